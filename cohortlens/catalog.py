@@ -1,7 +1,8 @@
 """Registry of the queries exposed to the driver: key -> (spark, sf_dir) -> DataFrame.
 
 Keys are the survey id in lower case plus a name. Every query reads the
-shared tables of ``sf_dir`` in full.
+shared tables of ``sf_dir`` in full; parameters that the analytics take
+(viewer, regex pattern, cut-off date) are fixed here or derived from the data.
 """
 
 from __future__ import annotations
@@ -9,23 +10,101 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cohortlens.plans import risk
+from cohortlens.plans import activity as act
+from cohortlens.plans import etl, intern, lms, mentor, risk
 from cohortlens.sources.bindings import Gold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-def register(key: str):
-    def deco(fn: Callable[[Gold], DataFrame]):
-        QUERIES[key] = lambda spark, sf_dir: fn(Gold(spark, sf_dir))
-        QUERIES[key].__name__ = key
-        QUERIES[key].__doc__ = fn.__doc__
-        return fn
-    return deco
+def register(key: str, fn: Callable[[Gold], DataFrame]) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(Gold(spark, sf_dir))
+    run.__name__ = key
+    run.__doc__ = fn.__doc__
+    QUERIES[key] = run
 
 
-@register("b04_dropout_risk")
-def _b04(g: Gold) -> DataFrame:
-    """Dropout risk score, parts and level for every intern with LMS rows."""
-    return risk.dropout_risk(g)
+def _first_intern(g: Gold):
+    """The viewer for W07: the lowest intern id with activity (data-derived)."""
+    return g.fact_activity.agg(F.min("intern_id")).scalar()
+
+
+# --- risk ------------------------------------------------------------------
+register("b04_dropout_risk", lambda g: risk.dropout_risk(g))
+
+# --- activity --------------------------------------------------------------
+register("a02_total_hours", act.total_hours)
+register("a03_daily_outliers", act.outlier_days)
+register("a04_daily_stats", act.daily_stats)
+register("a05_activity_share", lambda g: act.activity_hours(g, ("intern_id",)))
+register("a05_cohort_activity_share", lambda g: act.activity_hours(g, ()))
+register("a06_date_activity_hours", act.date_activity_hours)
+register("a07_weekly_hours", lambda g: act.weekly_hours(g, ("intern_id",)))
+register("a07_cohort_weekly_hours", lambda g: act.weekly_hours(g, ()))
+register("a19_cohort_activity_mean", act.cohort_activity_mean)
+register("b05_weekly_trend", act.weekly_trend_pivot)
+register("b10_weekly_with_cohort", act.weekly_with_cohort)
+register("b12_activity_by_mentor", act.activity_by_mentor)
+register("b15_cohort_weekly_band", act.cohort_weekly_band)
+register("b27_top_activity_week", act.top_activity_last_week)
+register("b31_daily_activity_pivot", act.daily_activity_pivot)
+register("w02_streak_stats", act.streak_stats)
+register("r05_streak_calendar", act.streak_calendar)
+
+# --- LMS -------------------------------------------------------------------
+register("a01_course_avg_progress", lms.course_avg_progress)
+register("b06_pending_reviews", lms.pending_reviews)
+register("b07_score_summary", lms.score_summary)
+register("b08_progress_heatmap", lms.progress_heatmap)
+register("b11_score_distribution", lms.score_distribution)
+register("b13_progress_by_course", lms.progress_by_course)
+register("b16_course_detail", lms.course_assignment_detail)
+register("b16_course_kpis", lms.course_panel_kpis)
+register("b21_status_by_course", lms.status_by_course)
+register("r04_status_pivot", lms.status_pivot)
+register("b34_course_scoreboard", lms.course_scoreboard)
+register("b35_course_vs_cohort", lms.course_vs_cohort)
+
+# --- intern ----------------------------------------------------------------
+register("a16_cohort_hour_quantiles", intern.cohort_hour_stats)
+register("w01_hours_rank", intern.hours_rank)
+register("w01_mentor_hours_rank", intern.mentor_hours_rank)
+register("w07_masked_leaderboard", lambda g: intern.masked_leaderboard(g, _first_intern(g)))
+register("b14_effort_vs_progress", intern.effort_vs_progress)
+register("b14_trend_line", intern.effort_trend_line)
+register("b17_intern_range_panel", intern.intern_range_panel)
+register("b18_deep_dive", intern.deep_dive)
+register("b25_skill_intensity", intern.skill_intensity)
+register("b26_cohort_skill_intensity", intern.cohort_skill_intensity)
+register("b28_outlook_badge", intern.outlook_badge)
+register("b29_banner", intern.banner)
+register("b30_radar_profile", intern.radar_profile)
+register("b33_activity_benchmark", intern.activity_benchmark)
+register("b36_kpi_strip", intern.kpi_strip)
+
+# --- mentor ----------------------------------------------------------------
+register("f04_regex_cohort", lambda g: mentor.cohort_by_regex(g, "NATION_1"))
+register("a15_mentor_courses", mentor.mentor_courses)
+register("b09_risk_register", mentor.risk_register)
+register("t02_top_risk", mentor.top_risk)
+register("b19_action_items", mentor.action_items)
+register("b20_mentor_kpis", mentor.mentor_kpis)
+register("b23_mentor_calendar", mentor.mentor_calendar)
+register("b24_profile_list", mentor.profile_list)
+register("b38_intervention_plan", mentor.intervention_plan)
+
+# --- bronze -> gold ----------------------------------------------------------
+register("b01_dim_intern", lambda g: etl.star_schema(g)["dim_intern"])
+register("b01_dim_course", lambda g: etl.star_schema(g)["dim_course"])
+register("b01_dim_mentor", lambda g: etl.star_schema(g)["dim_mentor"])
+register("b01_fact_lms", lambda g: etl.star_schema(g)["fact_lms"])
+register("b01_fact_activity", lambda g: etl.star_schema(g)["fact_activity"])
+register("b01_key_collisions", etl.key_collisions)
+register("b02_dim_intern_seq", lambda g: etl.star_schema_sequential(g)["dim_intern"])
+register("b02_fact_progress", lambda g: etl.star_schema_sequential(g)["fact_progress"])
+register("b03_quality_report", etl.quality_report)
+register("u02_merge_new", etl.merged_lms)
+register("b40_validate_output", etl.validate_output)

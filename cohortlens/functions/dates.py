@@ -14,7 +14,7 @@ DATE_FORMATS = ("d/M/yyyy", "yyyy-MM-dd", "d MMM yyyy")
 def parse_date(c, formats=DATE_FORMATS) -> Column:
     """Day-first date parse over several layouts; unparseable -> null."""
     s = F.trim(col_of(c).cast("string"))
-    return F.coalesce(*[F.try_to_date(s, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_date(s, f) for f in formats])
 
 
 def utc_date(ts) -> Column:

@@ -47,14 +47,16 @@ def rank_rows(df: DataFrame, order: Sequence, group: Sequence[str] = (),
     # group it has at most num_partitions rows, so it is broadcast.
     stats = stats.withColumn(
         "__offset", F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    stats = stats.select(_PID, *group, "__offset", "__first")
+    keys = [_PID, *group]
+    # Renamed join keys: both sides derive from the same plan, so the
+    # original names would be ambiguous after the self-join.
+    stats = stats.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__offset", "__first")
     if not group:
         stats = F.broadcast(stats)
-    keys = [_PID, *group]
-    cond = [s[k].eqNullSafe(stats[k]) for k in keys]
+    cond = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
     j = s.join(stats, cond, "inner")
-    out = j.select(*[s[c] for c in df.columns],
-                   (stats["__offset"] + (s[_MID] - stats["__first"]) + 1).alias(name))
+    out = j.select(*[F.col(c) for c in df.columns],
+                   (F.col("__offset") + (F.col(_MID) - F.col("__first")) + 1).alias(name))
     return out
 
 
@@ -70,33 +72,34 @@ def with_total(df: DataFrame, group: Sequence[str] = (), name: str = "total") ->
 
 
 def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], names: Sequence[str] | None = None,
-                    num_partitions: int | None = None) -> DataFrame:
-    """One-row frame of exact quantiles with linear interpolation (the same
-    definition as pandas ``quantile`` / SQL ``quantile_cont``), computed by
+                    group: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation (the definition of pandas
+    ``quantile`` and SQL ``quantile_cont``), one row per group, computed by
     distributed ranking; nulls are ignored. Empty input gives nulls."""
+    group = list(group)
     names = list(names or [f"q{int(q * 100)}" for q in qs])
-    v = df.select(F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    ranked = rank_rows(v, [F.col("__v")], name="__pos", num_partitions=num_partitions)
-    n = v.agg(F.count(F.lit(1)).alias("__cnt"))
-    pos = ranked.crossJoin(F.broadcast(n))
-    aggs = []
+    v = df.select(*group, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
+    ranked = rank_rows(v, [F.col("__v")], group=group, name="__pos", num_partitions=num_partitions)
+    if group:
+        n = v.groupBy(*group).agg(F.count(F.lit(1)).alias("__cnt"))
+        pos = ranked.join(n, group)
+    else:
+        n = v.agg(F.count(F.lit(1)).alias("__cnt"))
+        pos = ranked.crossJoin(F.broadcast(n))
+    aggs, wanted = [], None
     for q, nm in zip(qs, names):
         k = (F.col("__cnt") - 1) * F.lit(float(q))
-        lo = F.floor(k) + 1
-        hi = F.ceil(k) + 1
-        frac = k - F.floor(k)
+        lo, hi = F.floor(k) + 1, F.ceil(k) + 1
         v_lo = F.max(F.when(F.col("__pos") == lo, F.col("__v")))
         v_hi = F.max(F.when(F.col("__pos") == hi, F.col("__v")))
-        f = F.max(F.when(F.col("__pos") == lo, frac))
-        aggs.append((v_lo + (v_hi - v_lo) * f).alias(nm))
-    # Only the (at most 2 per quantile) rows at the wanted positions survive
-    # the filter, so the final one-row aggregate is tiny.
-    wanted = None
-    for q in qs:
-        k = (F.col("__cnt") - 1) * F.lit(float(q))
-        c = (F.col("__pos") == F.floor(k) + 1) | (F.col("__pos") == F.ceil(k) + 1)
+        frac = F.max(F.when(F.col("__pos") == lo, k - F.floor(k)))
+        aggs.append((v_lo + (v_hi - v_lo) * frac).alias(nm))
+        c = (F.col("__pos") == lo) | (F.col("__pos") == hi)
         wanted = c if wanted is None else (wanted | c)
-    return pos.where(wanted).agg(*aggs)
+    # Only the (at most two per quantile) rows at the wanted positions
+    # survive the filter, so the final aggregate is tiny.
+    sel = pos.where(wanted)
+    return sel.groupBy(*group).agg(*aggs) if group else sel.agg(*aggs)
 
 
 def exact_median(df: DataFrame, value: str, name: str = "median") -> DataFrame:

@@ -17,10 +17,14 @@ def with_scalars(df: DataFrame, scalars: DataFrame) -> DataFrame:
     return df.crossJoin(F.broadcast(scalars))
 
 
-def share_of_total(df: DataFrame, value: str, group: Sequence[str] = (), name: str = "share") -> DataFrame:
-    """value / sum(value) over the group, as aggregate + join (no single-task window)."""
+def share_of_total(df: DataFrame, value: str, group: Sequence[str] = (), name: str = "share",
+                   scale: int = 2) -> DataFrame:
+    """value / sum(value) over the group, as aggregate + join (no single-task
+    window). The total is summed as decimal(38, scale) so it does not depend
+    on row order."""
     group = list(group)
-    tot = df.groupBy(*group).agg(F.sum(value).alias("__tot")) if group else df.agg(F.sum(value).alias("__tot"))
+    total = F.sum(F.col(value).cast(f"decimal(38,{scale})")).cast("double").alias("__tot")
+    tot = df.groupBy(*group).agg(total) if group else df.agg(total)
     j = df.join(tot, group, "left") if group else df.crossJoin(F.broadcast(tot))
     return j.withColumn(name, F.try_divide(F.col(value), F.col("__tot"))).drop("__tot")
 
@@ -71,3 +75,16 @@ def islands(df: DataFrame, key: Sequence[str], day: str, name: str = "island") -
 def date_spine(lo: Column, hi: Column, name: str = "date") -> Column:
     """explode(sequence(lo, hi, 1 day)) as a generator column."""
     return F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY"))).alias(name)
+
+
+def distinct_values(df: DataFrame, column: str, limit: int = 1000) -> list:
+    """Sorted distinct values of a label column, for pivot headers.
+
+    This is the one place a result reaches the driver: a header list whose
+    size is checked, never data rows. A label set above ``limit`` is an
+    error rather than a silently huge schema.
+    """
+    vals = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()]
+    if len(vals) > limit:
+        raise ValueError(f"{column} has more than {limit} distinct values; use the long form")
+    return sorted(vals)

@@ -180,6 +180,7 @@ class Gold:
         no_lines = n.isNull()
         return j.select(
             F.col("o_orderkey").alias("row_id"),
+            F.to_date("o_orderdate").alias("ingest_date"),
             F.concat(F.lit("  "), F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit(" "))), F.lit(" ")).alias("User Name"),
             F.col("o_orderpriority").alias("Course Name"),
             F.when(dated, F.date_format(start, "dd MMM yyyy")).alias("Start Date"),
