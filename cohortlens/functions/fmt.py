@@ -1,5 +1,10 @@
-"""Display formatting. Python's '%.0f' rounds half to even; Java's
-format_string rounds half up, so values are rounded with ``bround`` first."""
+"""Display formatting.
+
+Python's '%.0f' rounds half to even while Java's ``format_string`` rounds
+half up, so every value is rounded with ``round_half_even`` to the printed
+number of digits first. A null value gives a null label (``format_string``
+alone would print the text 'null').
+"""
 
 from __future__ import annotations
 
@@ -10,16 +15,25 @@ from cohortlens.functions.common import col_of
 from cohortlens.functions.numeric import round_half_even
 
 
+def _guard(c: Column, out: Column) -> Column:
+    return F.when(c.isNotNull(), out)
+
+
+def fmt_num(c, digits: int = 0, suffix: str = "", prefix: str = "") -> Column:
+    c = col_of(c)
+    return _guard(c, F.format_string(f"{prefix}%.{digits}f{suffix}", round_half_even(c, digits)))
+
+
 def fmt_pct0(c) -> Column:
-    return F.format_string("%.0f%%", round_half_even(c, 0))
+    return fmt_num(c, 0, "%%")
 
 
 def fmt_score(c) -> Column:
-    return F.format_string("%.1f/100", round_half_even(c, 1))
+    return fmt_num(c, 1, "/100")
 
 
-def fmt_hours(c) -> Column:
-    return F.format_string("%.1f hrs", round_half_even(c, 1))
+def fmt_hours(c, digits: int = 0) -> Column:
+    return fmt_num(c, digits, " hrs")
 
 
 def fmt_rank(rank, total) -> Column:
@@ -28,16 +42,19 @@ def fmt_rank(rank, total) -> Column:
 
 
 def fmt_ratio(a, b) -> Column:
-    return F.format_string("%d/%d", col_of(a), col_of(b))
+    return _guard(col_of(a), F.format_string("%d/%d", col_of(a), col_of(b)))
 
 
-def dash_if_nonpositive(c, fmt: str = "%.1f") -> Column:
+def dash_if_nonpositive(c, digits: int = 0, suffix: str = "%%") -> Column:
+    """'—' for missing or non-positive values, else the rounded number."""
     c = col_of(c)
-    return F.when(c.isNull() | (c <= 0), F.lit("—")).otherwise(F.format_string(fmt, round_half_even(c, 1)))
+    return F.when(c.isNull() | (c <= 0), F.lit("—")).otherwise(
+        F.format_string(f"%.{digits}f{suffix}", round_half_even(c, digits)))
 
 
 def signed_delta(c) -> Column:
-    return F.format_string("%+.1f", round_half_even(c, 1))
+    c = col_of(c)
+    return _guard(c, F.format_string("%+.1f", round_half_even(c, 1)))
 
 
 def risk_level(score) -> Column:

@@ -50,11 +50,32 @@ bridge AS (SELECT unnest(string_split(mentor_string, ', ')) AS mentor_name, inte
 """
 
 
+def _bigint_counts(sql: str) -> str:
+    """DuckDB's count_if returns HUGEINT; Spark's returns BIGINT."""
+    out, i = [], 0
+    while True:
+        j = sql.find("count_if(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len("count_if")
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        out.append(sql[i:j] + "CAST(" + sql[j:k + 1] + " AS BIGINT)")
+        i = k + 1
+
+
 def with_gold(body: str, extra_ctes: str = "") -> str:
     ctes = GOLD.strip()
     if extra_ctes.strip():
         ctes += ",\n" + extra_ctes.strip()
-    return f"WITH {ctes}\n{body.strip()}\n"
+    return _bigint_counts(f"WITH {ctes}\n{body.strip()}\n")
 
 
 RISK_CTES = f"""
@@ -99,3 +120,374 @@ RISK_COLS = ("intern_id, intern_name, avg_progress, prog_risk, effort_risk, assg
 SQL: dict[str, str] = {}
 
 SQL["b04_dropout_risk"] = with_gold(f"SELECT {RISK_COLS} FROM risk", RISK_CTES)
+
+# ---------------------------------------------------------------------------
+# Shared fragments
+# ---------------------------------------------------------------------------
+
+def pct_sql(scored: str, total: str) -> str:
+    return rhe(f"{scored} / (CASE WHEN {total} = 0 THEN 1 ELSE {total} END) * 100", 1)
+
+
+def fmt0(x: str, suffix: str = "%%") -> str:
+    return f"CASE WHEN ({x}) IS NOT NULL THEN printf('%.0f{suffix}', {rhe(x, 0)}) END"
+
+
+def dash0(x: str) -> str:
+    return f"CASE WHEN ({x}) IS NULL OR ({x}) <= 0 THEN '—' ELSE printf('%.0f%%', {rhe(x, 0)}) END"
+
+
+SHORT = ("CASE course_name WHEN 'Basic Python Programming' THEN 'Python' WHEN 'Basic SQL' THEN 'SQL' "
+         "WHEN 'Data Processing using NumPy & Pandas' THEN 'NumPy/Pandas' "
+         "WHEN 'Data Processing using Pyspark' THEN 'PySpark' ELSE course_name END")
+
+# Label sets of the bound data (the Spark side discovers them with a
+# size-checked distinct; the SQL twin names them).
+ACTIVITIES = ("click", "error", "purchase", "signup", "view")
+WEEKS = (1, 2, 3, 4, 5)
+COURSES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+STATUSES = ("Completed", "In Progress", "Not Started")
+
+TH = f"th AS (SELECT intern_id, {hsum()} AS total_hours FROM fact_activity GROUP BY intern_id)"
+DAILY = f"daily AS (SELECT intern_id, date, {hsum()} AS hours FROM fact_activity WHERE date IS NOT NULL GROUP BY intern_id, date)"
+WK = "fa_wk AS (SELECT *, CAST(weekofyear(date) AS INTEGER) AS week FROM fact_activity WHERE date IS NOT NULL)"
+SCORES = f"""lms_s AS (SELECT *, {pct_sql('kc_scored', 'kc_total')} AS kc_pct,
+                  {pct_sql('test_scored', 'test_total')} AS test_pct FROM fact_lms)"""
+QUANT = f"""qs AS (SELECT quantile_cont(total_hours, 0.5) AS median_hours,
+                   quantile_cont(total_hours, 0.25) AS p25_hours FROM th)"""
+ILMS = """ilms AS (
+  SELECT intern_id, avg(progress) AS avg_progress, sum(reviewed) AS sum_reviewed,
+         sum(total_assg) AS sum_total_assg, count(*) AS n_courses,
+         count_if(overall_status = 'Completed') AS n_completed,
+         count_if(overall_status IN ('Not started', 'Not Started')) AS n_not_started,
+         coalesce(bool_and(progress >= 70), true) AS all_above_70
+  FROM fact_lms GROUP BY intern_id)"""
+A01 = "a01 AS (SELECT course_name, avg(progress) AS avg_progress FROM fact_lms JOIN dim_course USING (course_id) GROUP BY course_name)"
+RANK = f"""rk AS (
+  SELECT intern_id, total_hours, row_number() OVER (ORDER BY total_hours DESC, intern_id) AS rank,
+         count(*) OVER () AS n_ranked FROM th)"""
+
+# ---------------------------------------------------------------------------
+# Activity
+# ---------------------------------------------------------------------------
+SQL["a02_total_hours"] = with_gold("SELECT intern_id, total_hours FROM th", TH)
+SQL["a03_daily_outliers"] = with_gold("SELECT intern_id, date, hours, hours > 12.0 AS is_outlier FROM daily", DAILY)
+SQL["a04_daily_stats"] = with_gold(f"""
+SELECT intern_id, count(*) AS logged_days, count_if(hours > 0) AS active_days,
+       {hsum()} / count(*) AS mean_daily_hours, max(hours) AS max_daily_hours,
+       first(date ORDER BY hours DESC, date) AS best_day
+FROM daily GROUP BY intern_id""", DAILY)
+SQL["a05_activity_share"] = with_gold(f"""
+SELECT intern_id, activity, h AS hours, h / CAST(sum(CAST(h AS DECIMAL(38,2))) OVER (PARTITION BY intern_id) AS DOUBLE) AS share
+FROM (SELECT intern_id, activity, {hsum()} AS h FROM fact_activity GROUP BY intern_id, activity)""")
+SQL["a05_cohort_activity_share"] = with_gold(f"""
+SELECT activity, h AS hours, h / CAST(sum(CAST(h AS DECIMAL(38,2))) OVER () AS DOUBLE) AS share
+FROM (SELECT activity, {hsum()} AS h FROM fact_activity GROUP BY activity)""")
+SQL["a06_date_activity_hours"] = with_gold(f"""
+SELECT intern_id, date, activity, {hsum()} AS hours FROM fact_activity WHERE date IS NOT NULL GROUP BY ALL""")
+SQL["a07_weekly_hours"] = with_gold(f"SELECT intern_id, week, {hsum()} AS hours FROM fa_wk GROUP BY ALL", WK)
+SQL["a07_cohort_weekly_hours"] = with_gold(f"SELECT week, {hsum()} AS hours FROM fa_wk GROUP BY ALL", WK)
+SQL["a19_cohort_activity_mean"] = with_gold(f"""
+SELECT activity, {hsum()} / (SELECT count(DISTINCT intern_id) FROM fact_activity) AS cohort_avg_hours
+FROM fact_activity GROUP BY activity""")
+SQL["b05_weekly_trend"] = with_gold("SELECT intern_id, " + ", ".join(
+    f"coalesce({hsum(f'CASE WHEN week = {w} THEN hours END')}, 0.0::DOUBLE) AS w{w}" for w in WEEKS)
+    + " FROM fa_wk GROUP BY intern_id", WK)
+SQL["b10_weekly_with_cohort"] = with_gold(f"""
+SELECT p.intern_id, p.week, p.hours, c.cohort_hours, d.intern_name
+FROM (SELECT intern_id, week, {hsum()} AS hours FROM fa_wk GROUP BY ALL) p
+JOIN (SELECT week, {hsum()} AS cohort_hours FROM fa_wk GROUP BY ALL) c USING (week)
+LEFT JOIN dim_intern d ON p.intern_id = d.intern_id""", WK)
+SQL["b12_activity_by_mentor"] = with_gold(f"""
+SELECT mentor_name, activity, hours,
+       hours / CAST(sum(CAST(hours AS DECIMAL(38,2))) OVER (PARTITION BY mentor_name) AS DOUBLE) AS share
+FROM (SELECT b.mentor_name, p.activity, {hsum('p.h')} AS hours
+      FROM (SELECT intern_id, activity, {hsum()} AS h FROM fact_activity GROUP BY ALL) p
+      JOIN bridge b USING (intern_id) GROUP BY ALL)""")
+SQL["b15_cohort_weekly_band"] = with_gold(f"""
+SELECT week, hours, m AS avg_hours, m * 0.9::DOUBLE AS band_low, m * 1.1::DOUBLE AS band_high
+FROM wk CROSS JOIN (SELECT {hsum()} / count(*) AS m FROM wk)""",
+    WK + f", wk AS (SELECT week, {hsum()} AS hours FROM fa_wk GROUP BY week)")
+SQL["b27_top_activity_week"] = with_gold(f"""
+SELECT intern_id, activity AS top_activity, {rhe('hours', 1)} AS top_hours FROM (
+  SELECT intern_id, activity, hours,
+         row_number() OVER (PARTITION BY intern_id ORDER BY hours DESC, activity) AS rn
+  FROM (SELECT a.intern_id, a.activity, {hsum('a.hours')} AS hours
+        FROM a JOIN (SELECT intern_id, max(date) AS last FROM a GROUP BY intern_id) l USING (intern_id)
+        WHERE a.date >= l.last - 7 GROUP BY ALL))
+WHERE rn = 1""", f"a AS (SELECT intern_id, date, activity, {hsum()} AS hours FROM fact_activity WHERE date IS NOT NULL GROUP BY ALL)")
+SQL["b31_daily_activity_pivot"] = with_gold("SELECT intern_id, date, " + ", ".join(
+    f"coalesce({hsum(f'CASE WHEN activity = {chr(39)}{a}{chr(39)} THEN hours END')}, 0.0::DOUBLE) AS \"{a}\""
+    for a in ACTIVITIES) + " FROM fact_activity WHERE date IS NOT NULL GROUP BY intern_id, date")
+SQL["w02_streak_stats"] = with_gold(f"""
+SELECT s.intern_id, s.active_days, s.best_day_hours, s.daily_avg_hours, s.first_date, s.last_date,
+       CAST(coalesce(l.longest_streak, 0) AS BIGINT) AS longest_streak
+FROM (SELECT intern_id, count_if(hours > 0) AS active_days, max(hours) AS best_day_hours,
+             {hsum()} / count(*) AS daily_avg_hours, min(date) AS first_date, max(date) AS last_date
+      FROM daily GROUP BY intern_id) s
+LEFT JOIN (SELECT intern_id, max(run) AS longest_streak FROM (
+             SELECT intern_id, island, count(*) AS run FROM (
+               SELECT intern_id, date - CAST(row_number() OVER (PARTITION BY intern_id ORDER BY date) AS INTEGER) AS island
+               FROM daily WHERE hours > 0) GROUP BY ALL) GROUP BY intern_id) l
+ON s.intern_id = l.intern_id""", DAILY)
+SQL["r05_streak_calendar"] = with_gold("""
+SELECT sp.intern_id, CAST(isoyear(sp.date) AS INTEGER) AS iso_year, CAST(weekofyear(sp.date) AS INTEGER) AS week,
+       CAST(isodow(sp.date) - 1 AS INTEGER) AS dow, sp.date, coalesce(d.hours, 0.0::DOUBLE) AS hours
+FROM (SELECT intern_id, CAST(unnest(generate_series(CAST(date_trunc('week', lo) AS TIMESTAMP),
+                                                     CAST(date_trunc('week', hi) AS TIMESTAMP) + INTERVAL 6 DAY,
+                                                     INTERVAL 1 DAY)) AS DATE) AS date
+      FROM (SELECT intern_id, min(date) AS lo, max(date) AS hi FROM daily GROUP BY intern_id)) sp
+LEFT JOIN daily d ON sp.intern_id = d.intern_id AND sp.date = d.date""", DAILY)
+
+# ---------------------------------------------------------------------------
+# LMS
+# ---------------------------------------------------------------------------
+SQL["a01_course_avg_progress"] = with_gold("SELECT course_name, avg_progress FROM a01", A01)
+SQL["b06_pending_reviews"] = with_gold(f"""
+SELECT lms_row_id, f.intern_id, intern_name, f.course_id, {SHORT} AS course_short, reviewed, total_assg,
+       total_assg - reviewed AS pending
+FROM fact_lms f JOIN dim_intern USING (intern_id) JOIN dim_course USING (course_id)
+WHERE reviewed < total_assg""")
+SQL["b07_score_summary"] = with_gold(f"""
+SELECT lms_row_id, intern_id, course_name, kc_pct, test_pct, {dash0('kc_pct')} AS kc_display,
+       {dash0('test_pct')} AS test_display
+FROM lms_s JOIN dim_course USING (course_id)""", SCORES)
+SQL["b08_progress_heatmap"] = with_gold("SELECT intern_id, " + ", ".join(
+    f"coalesce(avg(CASE WHEN course_name = '{c}' THEN progress END), 0.0::DOUBLE) AS \"{c}\"" for c in COURSES)
+    + " FROM fact_lms JOIN dim_course USING (course_id) GROUP BY intern_id")
+SQL["b11_score_distribution"] = with_gold(f"""
+SELECT metric, count(*) AS n, {rhe('s1 / n', 6)} AS mean,
+       {rhe('sqrt(greatest((s2 - s1 * s1 / n) / n, 0.0::DOUBLE))', 6)} AS sd, min(v) AS min,
+       {rhe('quantile_cont(v, 0.25)', 6)} AS q1, {rhe('quantile_cont(v, 0.5)', 6)} AS median,
+       {rhe('quantile_cont(v, 0.75)', 6)} AS q3, max(v) AS max
+FROM (SELECT *, CAST(sum(CAST(v AS DECIMAL(38,1))) OVER (PARTITION BY metric) AS DOUBLE) AS s1,
+             CAST(sum(CAST(v AS DECIMAL(38,1)) * CAST(v AS DECIMAL(38,1))) OVER (PARTITION BY metric) AS DOUBLE) AS s2,
+             count(*) OVER (PARTITION BY metric) AS n
+      FROM (SELECT 'kc_pct' AS metric, kc_pct AS v FROM lms_s UNION ALL
+            SELECT 'test_pct' AS metric, test_pct AS v FROM lms_s) WHERE v > 0)
+GROUP BY metric, s1, s2, n""", SCORES)
+SQL["b13_progress_by_course"] = with_gold(f"""
+SELECT lms_row_id, intern_id, intern_name, split_part(trim(intern_name), ' ', 1) AS first_name,
+       {SHORT} AS course_short, progress
+FROM fact_lms JOIN dim_intern USING (intern_id) JOIN dim_course USING (course_id)""")
+SQL["b16_course_detail"] = with_gold(f"""
+SELECT lms_row_id, intern_name, course_name, reviewed, total_assg, total_assg - reviewed AS pending, overall_status,
+       CAST({rhe('reviewed / (CASE WHEN total_assg = 0 THEN 1 ELSE total_assg END) * 100', 0)} AS INTEGER) AS completion_pct,
+       {fmt0('progress')} AS progress_display, {dash0('kc_pct')} AS kc_display, {dash0('test_pct')} AS test_display
+FROM lms_s JOIN dim_intern USING (intern_id) JOIN dim_course USING (course_id)""", SCORES)
+SQL["b16_course_kpis"] = with_gold(f"""
+SELECT mentor_name, course_id, course_name, n_rows, {rhe('sp / n_rows', 6)} AS avg_progress, completed, in_progress,
+       not_started, total_reviewed, total_assg,
+       CASE WHEN kcn > 0 THEN {rhe('kcs / kcn', 6)} ELSE 0.0::DOUBLE END AS avg_kc,
+       CASE WHEN ten > 0 THEN {rhe('tes / ten', 6)} ELSE 0.0::DOUBLE END AS avg_test
+FROM (SELECT b.mentor_name, p.course_id, CAST(sum(n) AS BIGINT) AS n_rows, sum(sp) AS sp,
+             CAST(sum(c) AS BIGINT) AS completed, CAST(sum(ip) AS BIGINT) AS in_progress,
+             CAST(sum(ns) AS BIGINT) AS not_started, CAST(sum(r) AS BIGINT) AS total_reviewed,
+             CAST(sum(t) AS BIGINT) AS total_assg, CAST(sum(kcs) AS DOUBLE) AS kcs, CAST(sum(kcn) AS BIGINT) AS kcn,
+             CAST(sum(tes) AS DOUBLE) AS tes, CAST(sum(ten) AS BIGINT) AS ten
+      FROM (SELECT intern_id, course_id, count(*) AS n, sum(progress) AS sp,
+                   count_if(overall_status = 'Completed') AS c,
+                   count_if(overall_status IN ('In Progress', 'In progress')) AS ip,
+                   count_if(overall_status IN ('Not started', 'Not Started')) AS ns,
+                   sum(reviewed) AS r, sum(total_assg) AS t,
+                   sum(CASE WHEN kc_pct > 0 THEN CAST(kc_pct AS DECIMAL(38,1)) END) AS kcs, count_if(kc_pct > 0) AS kcn,
+                   sum(CASE WHEN test_pct > 0 THEN CAST(test_pct AS DECIMAL(38,1)) END) AS tes, count_if(test_pct > 0) AS ten
+            FROM lms_s GROUP BY intern_id, course_id) p
+      JOIN bridge b USING (intern_id) GROUP BY b.mentor_name, p.course_id) x
+JOIN dim_course USING (course_id)""", SCORES)
+SQL["b21_status_by_course"] = with_gold("""
+SELECT course_name, overall_status, count(*) AS n FROM fact_lms JOIN dim_course USING (course_id) GROUP BY ALL""")
+SQL["r04_status_pivot"] = with_gold("SELECT course_name, " + ", ".join(
+    f"count_if(overall_status = '{s}') AS \"{s}\"" for s in STATUSES)
+    + " FROM fact_lms JOIN dim_course USING (course_id) GROUP BY course_name")
+SQL["b34_course_scoreboard"] = with_gold("""
+SELECT lms_row_id, intern_id, course_name,
+       replace(replace(course_name, 'Data Processing using ', ''), ' & Pandas', '/Pandas') AS course_label,
+       progress, overall_status,
+       CASE WHEN overall_status = 'Completed' THEN 'done'
+            WHEN overall_status IN ('In Progress', 'In progress') THEN 'active' ELSE 'waiting' END AS status_style,
+       printf('%d/%d', reviewed, total_assg) AS assignments
+FROM fact_lms JOIN dim_course USING (course_id)""")
+SQL["b35_course_vs_cohort"] = with_gold(f"""
+SELECT lms_row_id, intern_id, replace(course_name, 'Data Processing using ', '') AS course,
+       {fmt0('progress')} AS my_progress, {fmt0('coalesce(a01.avg_progress, 0.0::DOUBLE)')} AS cohort_avg,
+       (CASE WHEN progress - coalesce(a01.avg_progress, 0.0::DOUBLE) >= 0 THEN '🟢 +' ELSE '🔴 ' END)
+         || printf('%.1f%%', {rhe('abs(progress - coalesce(a01.avg_progress, 0.0::DOUBLE))', 1)}) AS gap,
+       overall_status
+FROM fact_lms JOIN dim_course USING (course_id) LEFT JOIN a01 USING (course_name)""", A01)
+
+# ---------------------------------------------------------------------------
+# Intern
+# ---------------------------------------------------------------------------
+SQL["a16_cohort_hour_quantiles"] = with_gold("SELECT median_hours, p25_hours FROM qs", TH + ",\n" + QUANT)
+SQL["w01_hours_rank"] = with_gold("""
+SELECT intern_id, total_hours, rank, n_ranked, printf('#%d of %d', rank, n_ranked) AS rank_label FROM rk""",
+    TH + ",\n" + RANK)
+SQL["w01_mentor_hours_rank"] = with_gold("""
+SELECT intern_id, total_hours, mentor_name,
+       row_number() OVER (PARTITION BY mentor_name ORDER BY total_hours DESC, intern_id) AS rank
+FROM th JOIN bridge USING (intern_id)""", TH)
+SQL["w07_masked_leaderboard"] = with_gold(f"""
+SELECT printf('#%d', rank) AS rank_label,
+       CASE WHEN rk.intern_id = (SELECT min(intern_id) FROM fact_activity) THEN '⭐ ' || intern_name || ' (You)'
+            ELSE printf('Intern #%d', rank) END AS name,
+       printf('%.0f hrs', {rhe('total_hours', 0)}) AS hours_label, total_hours AS bar,
+       rk.intern_id = (SELECT min(intern_id) FROM fact_activity) AS is_viewer
+FROM rk LEFT JOIN dim_intern d ON rk.intern_id = d.intern_id""", TH + ",\n" + RANK)
+SQL["b14_effort_vs_progress"] = with_gold("""
+SELECT th.intern_id, total_hours AS hours, progress, intern_name
+FROM th JOIN (SELECT intern_id, avg(progress) AS progress FROM fact_lms GROUP BY intern_id) p USING (intern_id)
+LEFT JOIN dim_intern d ON th.intern_id = d.intern_id""", TH)
+SQL["b14_trend_line"] = with_gold(f"""
+SELECT i, {rhe('lo + i * (hi - lo) / 49', 6)} AS hours, {rhe('slope * (lo + i * (hi - lo) / 49) + intercept', 6)} AS progress
+FROM (SELECT regr_slope(progress, total_hours) AS slope, regr_intercept(progress, total_hours) AS intercept,
+             count(*) AS n, min(total_hours) AS lo, max(total_hours) AS hi
+      FROM th JOIN (SELECT intern_id, avg(progress) AS progress FROM fact_lms GROUP BY intern_id) p USING (intern_id))
+CROSS JOIN (SELECT CAST(unnest(range(0, 50)) AS INTEGER) AS i)
+WHERE n > 2""", TH)
+SQL["b17_intern_range_panel"] = with_gold(f"""
+SELECT l.intern_id, coalesce(a.total_hours, 0.0::DOUBLE) AS total_hours, coalesce(a.active_days, 0) AS active_days,
+       printf('%.0f hrs', {rhe('coalesce(a.total_hours, 0.0::DOUBLE)', 0)}) AS hours_label,
+       {fmt0('avg_progress')} AS progress_label, printf('%d/%d courses', c, n) AS completed_label,
+       printf('%d/%d', r, t) AS assignments_label,
+       CASE WHEN kc IS NULL THEN 'N/A' ELSE {fmt0('kc')} END AS kc_label,
+       CASE WHEN te IS NULL THEN 'N/A' ELSE {fmt0('te')} END AS test_label
+FROM (SELECT intern_id, avg(progress) AS avg_progress, sum(reviewed) AS r, sum(total_assg) AS t,
+             count_if(overall_status = 'Completed') AS c, count(*) AS n,
+             CAST(sum(CASE WHEN kc_pct > 0 THEN CAST(kc_pct AS DECIMAL(38,1)) END) AS DOUBLE) / count_if(kc_pct > 0) AS kc,
+             CAST(sum(CASE WHEN test_pct > 0 THEN CAST(test_pct AS DECIMAL(38,1)) END) AS DOUBLE) / count_if(test_pct > 0) AS te
+      FROM lms_s GROUP BY intern_id) l
+LEFT JOIN (SELECT intern_id, {hsum()} AS total_hours, count(DISTINCT date) AS active_days
+           FROM fact_activity GROUP BY intern_id) a ON l.intern_id = a.intern_id""", SCORES)
+SQL["b18_deep_dive"] = with_gold(f"""
+SELECT ilms.intern_id, {fmt0('avg_progress')} AS progress_label,
+       CASE WHEN total_hours IS NULL THEN 'N/A' ELSE printf('%.0f hrs', {rhe('total_hours', 0)}) END AS hours_label,
+       printf('%d/%d', sum_reviewed, sum_total_assg) AS assignments_label,
+       printf('%d/%d courses', n_completed, n_courses) AS completed_label,
+       CASE WHEN avg_progress < 40 THEN 'High' WHEN avg_progress > 70 THEN 'Low' ELSE 'Medium' END AS risk_tier
+FROM ilms LEFT JOIN th ON ilms.intern_id = th.intern_id""", ILMS + ",\n" + TH)
+SKILL = f"""
+  (avg_progress / 100 * 0.5::DOUBLE)
+  + (least(hours / (CASE WHEN median_hours IS NULL OR median_hours = 0 THEN 1.0::DOUBLE ELSE median_hours END), 1.5::DOUBLE) / 1.5::DOUBLE * 0.3::DOUBLE)
+  + (sum_reviewed / greatest(sum_total_assg, 1) * 0.2::DOUBLE)"""
+SQL["b25_skill_intensity"] = with_gold(f"""
+SELECT intern_id, hours AS total_hours, {rhe('(' + SKILL + ') * 100', 1)} AS skill_score
+FROM (SELECT ilms.*, coalesce(th.total_hours, 0.0::DOUBLE) AS hours FROM ilms LEFT JOIN th USING (intern_id)) CROSS JOIN qs""",
+    ILMS + ",\n" + TH + ",\n" + QUANT)
+SQL["b26_cohort_skill_intensity"] = with_gold(f"""
+SELECT coalesce({rhe('CAST(sum(CAST((' + SKILL + ') AS DECIMAL(38,9))) AS DOUBLE) / count(*) * 100', 1)}, 50.0::DOUBLE)
+       AS cohort_skill_score
+FROM (SELECT ilms.*, th.total_hours AS hours FROM ilms JOIN th USING (intern_id)) CROSS JOIN qs""",
+    ILMS + ",\n" + TH + ",\n" + QUANT)
+SQL["b28_outlook_badge"] = with_gold("""
+SELECT intern_id,
+  CASE WHEN all_above_70 AND h >= median_hours THEN '🎯 On track to complete all courses!'
+       WHEN n_completed = n_courses THEN '🏆 All courses completed! Star intern!'
+       WHEN h < p25_hours THEN '⚠️ Low effort detected — time to push harder!'
+       ELSE '📈 Progressing steadily. Keep the momentum!' END AS badge_text,
+  CASE WHEN all_above_70 AND h >= median_hours THEN 'success' WHEN n_completed = n_courses THEN 'success'
+       WHEN h < p25_hours THEN 'error' ELSE 'info' END AS badge_type
+FROM (SELECT ilms.*, coalesce(th.total_hours, 0.0::DOUBLE) AS h FROM ilms LEFT JOIN th USING (intern_id)) CROSS JOIN qs""",
+    ILMS + ",\n" + TH + ",\n" + QUANT)
+SQL["b29_banner"] = with_gold(f"""
+SELECT intern_id,
+  CASE WHEN avg_progress >= 80 THEN 'success' WHEN n_not_started > 0 THEN 'warning'
+       WHEN h < median_hours THEN 'warning' ELSE 'info' END AS banner_type,
+  CASE WHEN avg_progress >= 80 THEN printf('Top tier: average progress %.0f%%', {rhe('avg_progress', 0)})
+       WHEN n_not_started > 0 THEN printf('Heads up: %d course(s) not started yet', n_not_started)
+       WHEN h < median_hours THEN printf('Almost there: %.1f hrs below the cohort median', {rhe('median_hours - h', 1)})
+       ELSE printf('On track: %.0f hrs logged', {rhe('h', 0)}) END AS banner_text
+FROM (SELECT ilms.*, coalesce(th.total_hours, 0.0::DOUBLE) AS h FROM ilms LEFT JOIN th USING (intern_id)) CROSS JOIN qs""",
+    ILMS + ",\n" + TH + ",\n" + QUANT)
+SQL["b30_radar_profile"] = with_gold("SELECT * FROM (SELECT intern_id, " + ", ".join(
+    f"coalesce(arg_min(progress, CASE WHEN course_name = '{c}' THEN lms_row_id END), 0.0::DOUBLE) AS \"own_{c}\""
+    for c in COURSES) + " FROM fact_lms JOIN dim_course USING (course_id) GROUP BY intern_id) CROSS JOIN (SELECT "
+    + ", ".join(f"coalesce(max(CASE WHEN course_name = '{c}' THEN avg_progress END), 0.0::DOUBLE) AS \"cohort_{c}\""
+                for c in COURSES) + " FROM a01)", A01)
+SQL["b33_activity_benchmark"] = with_gold(f"""
+SELECT s.activity, s.intern_id, coalesce(m.h, 0.0::DOUBLE) AS my_hours, c.cohort_avg_hours
+FROM (SELECT i.intern_id, a.activity FROM (SELECT DISTINCT intern_id FROM fact_activity) i
+      CROSS JOIN (SELECT DISTINCT activity FROM fact_activity) a) s
+LEFT JOIN (SELECT intern_id, activity, {hsum()} AS h FROM fact_activity GROUP BY ALL) m
+  ON s.intern_id = m.intern_id AND s.activity = m.activity
+LEFT JOIN (SELECT activity, {hsum()} / (SELECT count(DISTINCT intern_id) FROM fact_activity) AS cohort_avg_hours
+           FROM fact_activity GROUP BY activity) c ON s.activity = c.activity""")
+SQL["b36_kpi_strip"] = with_gold(f"""
+SELECT ilms.intern_id, printf('%.0f hrs', {rhe('coalesce(rk.total_hours, 0.0::DOUBLE)', 0)}) AS hours_label,
+       printf('%d/%d', n_completed, n_courses) AS completed_label,
+       printf('%d/%d', sum_reviewed, sum_total_assg) AS assignments_label,
+       coalesce(printf('#%d of %d', rank, n_ranked), 'N/A') AS rank_label,
+       {fmt0('avg_progress')} AS progress_label,
+       printf('%+.1f', {rhe('avg_progress - (SELECT avg(avg_progress) FROM a01)', 1)}) || '% vs cohort' AS delta_label
+FROM ilms LEFT JOIN rk ON ilms.intern_id = rk.intern_id""", ILMS + ",\n" + TH + ",\n" + RANK + ",\n" + A01)
+
+# ---------------------------------------------------------------------------
+# Mentor
+# ---------------------------------------------------------------------------
+SQL["f04_regex_cohort"] = with_gold("""
+SELECT DISTINCT f.intern_id FROM fact_lms f JOIN intern_mentors m ON f.intern_id = m.intern_id
+WHERE regexp_matches(m.mentor_string, 'NATION_1')""")
+SQL["a15_mentor_courses"] = with_gold("""
+SELECT mentor_name, course_name FROM (
+  SELECT DISTINCT b.mentor_name, p.course_id FROM (SELECT DISTINCT intern_id, course_id FROM fact_lms) p
+  JOIN bridge b USING (intern_id)) JOIN dim_course USING (course_id)""")
+SQL["b09_risk_register"] = with_gold(f"""
+SELECT b.mentor_name, r.intern_id, intern_name, risk_score, risk_level,
+       (CASE risk_level WHEN 'High' THEN '🔴' WHEN 'Medium' THEN '🟡' WHEN 'Low' THEN '🟢' END) || ' ' || risk_level AS risk_label,
+       printf('%.1f/100', {rhe('risk_score', 1)}) AS score_label, {fmt0('avg_progress')} AS progress_label
+FROM risk r JOIN bridge b ON r.intern_id = b.intern_id""", RISK_CTES)
+SQL["t02_top_risk"] = with_gold("""
+SELECT intern_id, intern_name, risk_score, prog_risk, effort_risk, assg_lag, recency_risk
+FROM risk ORDER BY risk_score DESC, intern_id LIMIT 12""", RISK_CTES)
+SQL["b19_action_items"] = with_gold("""
+SELECT mentor_name, ord, card, text FROM (
+  SELECT mentor_name, 1 AS ord, 'urgent' AS card, printf('%d intern(s) need immediate check-in', n_high) AS text
+  FROM m WHERE n_high > 0
+  UNION ALL
+  SELECT mentor_name, 2, 'backlog', printf('%d assignments are awaiting your review across %d intern-course combinations.',
+         coalesce(total_pending, 0), coalesce(pairs, 0)) FROM m WHERE coalesce(total_pending, 0) > 5
+  UNION ALL
+  SELECT mentor_name, 3, 'medium_watch', printf('%d interns are trending downward in effort.', n_medium)
+  FROM m WHERE n_medium > 2
+  UNION ALL
+  SELECT mentor_name, 4, 'all_clear', 'No urgent action items.' FROM m
+  WHERE NOT (n_high > 0 OR coalesce(total_pending, 0) > 5 OR n_medium > 2))""", RISK_CTES + """,
+m AS (
+  SELECT r.mentor_name, n_high, n_medium, total_pending, pairs FROM (
+    SELECT b.mentor_name, count_if(risk_level = 'High') AS n_high, count_if(risk_level = 'Medium') AS n_medium
+    FROM risk JOIN bridge b USING (intern_id) GROUP BY b.mentor_name) r
+  LEFT JOIN (
+    SELECT b.mentor_name, sum(pending) AS total_pending, sum(pairs) AS pairs
+    FROM (SELECT intern_id, sum(total_assg - reviewed) AS pending, count(*) AS pairs
+          FROM fact_lms WHERE reviewed < total_assg GROUP BY intern_id) p
+    JOIN bridge b USING (intern_id) GROUP BY b.mentor_name) q ON r.mentor_name = q.mentor_name)""")
+SQL["b20_mentor_kpis"] = with_gold(f"""
+SELECT b.mentor_name, count(*) AS n_interns, CAST(sum(c) AS BIGINT) AS completed, CAST(sum(ip) AS BIGINT) AS in_progress,
+       CAST(sum(ns) AS BIGINT) AS not_started, {rhe('sum(sp) / sum(n)', 6)} AS avg_progress,
+       coalesce({hsum('th.total_hours')}, 0.0::DOUBLE) AS total_hours, CAST(sum(hi) AS BIGINT) AS high_risk,
+       CAST(sum(pending) AS BIGINT) AS total_pending
+FROM (SELECT intern_id, count_if(overall_status = 'Completed') AS c, count_if(overall_status = 'In Progress') AS ip,
+             count_if(overall_status IN ('Not started', 'Not Started')) AS ns, sum(progress) AS sp, count(*) AS n,
+             sum(greatest(total_assg - reviewed, 0)) AS pending
+      FROM fact_lms GROUP BY intern_id) l
+LEFT JOIN th ON l.intern_id = th.intern_id
+LEFT JOIN (SELECT intern_id, CAST(risk_level = 'High' AS INTEGER) AS hi FROM risk) r ON l.intern_id = r.intern_id
+JOIN bridge b ON l.intern_id = b.intern_id
+GROUP BY b.mentor_name""", RISK_CTES + ",\n" + TH)
+SQL["b23_mentor_calendar"] = with_gold(f"""
+SELECT b.mentor_name, w.intern_id, week, hours
+FROM (SELECT intern_id, week, {hsum()} AS hours FROM fa_wk GROUP BY ALL) w JOIN bridge b USING (intern_id)""", WK)
+SQL["b24_profile_list"] = with_gold(f"""
+SELECT b.mentor_name, b.intern_id, coalesce(risk_level, 'Low') AS risk_level, coalesce(risk_score, 0.0::DOUBLE) AS risk_score,
+       {fmt0('avg_progress')} AS progress_label,
+       printf('%.0f hrs', {rhe('coalesce(th.total_hours, 0.0::DOUBLE)', 0)}) AS hours_label
+FROM bridge b LEFT JOIN risk r ON b.intern_id = r.intern_id LEFT JOIN th ON b.intern_id = th.intern_id""",
+    RISK_CTES + ",\n" + TH)
+SQL["b38_intervention_plan"] = with_gold("""
+SELECT intern_id, risk_level,
+  CASE WHEN risk_level = 'High' THEN printf('Schedule a 1:1 with %s this week; review the %.1f%% average progress and set daily goals.',
+                                             split_part(trim(intern_name), ' ', 1), avg_progress)
+       WHEN risk_level = 'Medium' THEN printf('Check in with %s on the effort trend and pending reviews; pair with a peer.',
+                                               split_part(trim(intern_name), ' ', 1))
+       ELSE printf('Keep %s engaged with stretch tasks.', split_part(trim(intern_name), ' ', 1)) END AS plan_text
+FROM risk""", RISK_CTES)

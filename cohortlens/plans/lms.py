@@ -47,8 +47,8 @@ def score_summary(g: Gold) -> DataFrame:
     """Per LMS row KC % and test %, with the display strings."""
     j = with_scores(g.fact_lms).join(g.dim_course, "course_id")
     return j.select("lms_row_id", "intern_id", "course_name", "kc_pct", "test_pct",
-                    dash_if_nonpositive(F.col("kc_pct"), "%.0f%%").alias("kc_display"),
-                    dash_if_nonpositive(F.col("test_pct"), "%.0f%%").alias("test_display"))
+                    dash_if_nonpositive(F.col("kc_pct")).alias("kc_display"),
+                    dash_if_nonpositive(F.col("test_pct")).alias("test_display"))
 
 
 def progress_heatmap(g: Gold) -> DataFrame:
@@ -98,8 +98,8 @@ def course_assignment_detail(g: Gold) -> DataFrame:
     return s.select("lms_row_id", "intern_name", "course_name", "reviewed", "total_assg",
                     (F.col("total_assg") - F.col("reviewed")).alias("pending"), "overall_status",
                     comp.alias("completion_pct"), fmt_pct0(F.col("progress")).alias("progress_display"),
-                    dash_if_nonpositive(F.col("kc_pct"), "%.0f%%").alias("kc_display"),
-                    dash_if_nonpositive(F.col("test_pct"), "%.0f%%").alias("test_display"))
+                    dash_if_nonpositive(F.col("kc_pct")).alias("kc_display"),
+                    dash_if_nonpositive(F.col("test_pct")).alias("test_display"))
 
 
 def course_panel_kpis(g: Gold) -> DataFrame:
