@@ -7,14 +7,30 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.common import col_of
 
-# Accepted input layouts, day first.
-DATE_FORMATS = ("d/M/yyyy", "yyyy-MM-dd", "d MMM yyyy")
+# Accepted input layouts, day first, each with the shape test
+# that selects it.
+DATE_FORMATS = (
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
+    (r"^\d{4}-\d{1,2}-\d{1,2}", "yyyy-M-d"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
+)
 
 
 def parse_date(c, formats=DATE_FORMATS) -> Column:
-    """Day-first date parse over several layouts; unparseable -> null."""
+    """Day-first date parse over several layouts; unparseable -> null.
+
+    A regex picks the layout so that only one parse is attempted per row
+    (a failed ``try_to_date`` costs an exception inside the JVM).
+    """
     s = F.trim(col_of(c).cast("string"))
-    return F.coalesce(*[F.try_to_date(s, f) for f in formats])
+    out = None
+    for shape, fmt in formats:
+        if fmt.startswith("yyyy"):
+            parsed = F.try_to_date(F.substring(s, 1, 10), fmt)
+        else:
+            parsed = F.try_to_date(s, fmt)
+        out = F.when(s.rlike(shape), parsed) if out is None else out.when(s.rlike(shape), parsed)
+    return out
 
 
 def utc_date(ts) -> Column:

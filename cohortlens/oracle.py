@@ -491,3 +491,170 @@ SELECT intern_id, risk_level,
                                                split_part(trim(intern_name), ' ', 1))
        ELSE printf('Keep %s engaged with stretch tasks.', split_part(trim(intern_name), ' ', 1)) END AS plan_text
 FROM risk""", RISK_CTES)
+
+# ---------------------------------------------------------------------------
+# Bronze -> silver -> gold
+# ---------------------------------------------------------------------------
+
+def title_sql(x: str) -> str:
+    return (f"array_to_string(list_transform(regexp_extract_all(lower({x}), '(\\p{{L}}+|[^\\p{{L}}]+)'), "
+            f"lambda t: upper(t[1]) || lower(t[2:])), '')")
+
+
+def clean_name_sql(x: str) -> str:
+    return f"CASE WHEN trim({x}) = '' THEN NULL ELSE {title_sql(f'trim({x})')} END"
+
+
+def to_double_sql(x: str) -> str:
+    v = f"TRY_CAST(trim({x}) AS DOUBLE)"
+    return f"(CASE WHEN isnan({v}) THEN NULL ELSE {v} END)"
+
+
+def frac_sql(x: str, idx: int, default: str, as_int: bool = False) -> str:
+    v = f"coalesce({to_double_sql(f'string_split({x}, {chr(39)}/{chr(39)})[{idx + 1}]')}, {default})"
+    return f"CAST(trunc({v}) AS INTEGER)" if as_int else v
+
+
+def date_sql(x: str) -> str:
+    s = f"trim({x})"
+    return (f"CASE WHEN regexp_matches({s}, '^\\d{{1,2}}/\\d{{1,2}}/\\d{{4}}$') THEN CAST(try_strptime({s}, '%d/%m/%Y') AS DATE) "
+            f"WHEN regexp_matches({s}, '^\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}') THEN CAST(try_strptime(substr({s}, 1, 10), '%Y-%m-%d') AS DATE) "
+            f"WHEN regexp_matches({s}, '^\\d{{1,2}} [A-Za-z]{{3}} \\d{{4}}$') THEN CAST(try_strptime({s}, '%d %b %Y') AS DATE) END")
+
+
+def nz_sql(x: str) -> str:
+    return f"(CASE WHEN {x} = 0 THEN 1 ELSE {x} END)"
+
+
+STATUS_RAW = "CASE o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'O' THEN 'In Progress' ELSE '-' END"
+STAT = "coalesce(\"Overall Status\", 'Not Started')"
+
+BRONZE = f"""
+bronze_lms AS (
+  SELECT o_orderkey AS row_id, CAST(o_orderdate AS DATE) AS ingest_date,
+    '  ' || lower(replace(c_name, '#', ' ')) || ' ' AS "User Name",
+    o_orderpriority AS "Course Name",
+    CASE WHEN k < 5 THEN strftime(DATE '2024-01-01' + (k - 1) * 7, '%d %b %Y') END AS "Start Date",
+    CASE WHEN k < 5 THEN strftime(DATE '2024-01-01' + (k - 1) * 7 + 55, '%d %b %Y') END AS "End Date",
+    im.mentor_string AS "Mentor Name",
+    CASE WHEN o_totalprice >= 5000 THEN printf('%d%%', CAST(floor(o_totalprice / 5000.0) AS BIGINT)) END AS "Progress (%)",
+    CASE WHEN n_lines IS NOT NULL THEN printf('%d/%d', n_done, n_lines) END AS "Completed Assignment",
+    CASE WHEN n_lines IS NOT NULL THEN printf('%d/%d', n_rev, n_sub) END AS "Reviewed / Submitted",
+    CASE WHEN n_lines IS NULL THEN '0 / 0'
+         ELSE printf('%.1f / %.1f', CAST(qty AS DOUBLE), CAST(n_lines * 50 AS DOUBLE)) END AS "Overall Knowledge Check",
+    CASE WHEN n_lines IS NULL THEN '0 / 0'
+         ELSE printf('%.2f / %.1f', CAST(disc * 100 AS DOUBLE), CAST(n_lines * 10 AS DOUBLE)) END AS "Overall Test",
+    CASE WHEN n_lines IS NULL THEN '-' ELSE printf('%d/%d', n_done, n_lines) END AS "Reviewed / Total Assignments",
+    {STATUS_RAW} AS "Overall Status"
+  FROM (SELECT *, CAST(split_part(o_orderpriority, '-', 1) AS INTEGER) AS k FROM orders) o
+  LEFT JOIN line_counts ON o_orderkey = l_orderkey
+  LEFT JOIN customer ON o_custkey = c_custkey
+  LEFT JOIN intern_mentors im ON o_custkey = im.intern_id),
+bronze_eod AS (
+  SELECT event_id AS row_id, strftime(CAST(ts AS DATE), '%d/%m/%Y') AS "Date",
+         split_part(c_name, '#', 1) AS "First Name", split_part(c_name, '#', 2) || ' ' AS "Last Name",
+         event_type AS "Activity", value AS "Hours"
+  FROM events LEFT JOIN customer ON user_id = c_custkey),
+silver_lms AS (
+  SELECT row_id, ingest_date, {clean_name_sql('"User Name"')} AS intern_name, "Course Name" AS course_name,
+    {date_sql('"Start Date"')} AS start_date, {date_sql('"End Date"')} AS end_date,
+    "Mentor Name" AS mentor_name,
+    {to_double_sql("regexp_replace(coalesce(" + '"Progress (%)"' + ", '0%'), '%+$', '')")} AS progress,
+    {frac_sql('"Reviewed / Total Assignments"', 0, '0.0', True)} AS reviewed,
+    {frac_sql('"Reviewed / Total Assignments"', 1, '1.0', True)} AS total_assg,
+    {frac_sql('"Reviewed / Submitted"', 0, '0.0', True)} AS rev_submitted,
+    {frac_sql('"Reviewed / Submitted"', 1, '0.0', True)} AS submitted,
+    CASE WHEN {STAT} = '-' THEN 'Not Started' ELSE {STAT} END AS overall_status,
+    {frac_sql('"Overall Knowledge Check"', 0, '0.0')} AS kc_scored,
+    {nz_sql(frac_sql('"Overall Knowledge Check"', 1, '1.0'))} AS kc_total,
+    {frac_sql('"Overall Test"', 0, '0.0')} AS test_scored,
+    {nz_sql(frac_sql('"Overall Test"', 1, '1.0'))} AS test_total
+  FROM bronze_lms),
+silver_eod AS (
+  SELECT row_id, {date_sql('"Date"')} AS date,
+         CASE WHEN "First Name" IS NULL AND "Last Name" IS NULL THEN NULL
+              ELSE {title_sql("concat_ws(' ', trim(" + '"First Name"' + "), trim(" + '"Last Name"' + "))")} END AS full_name,
+         "Activity" AS activity, CAST("Hours" AS DOUBLE) AS hours
+  FROM bronze_eod),
+g_dim_intern AS (
+  SELECT DISTINCT intern_name, substr(md5(intern_name), 1, 8) AS intern_id FROM silver_lms WHERE intern_name IS NOT NULL),
+g_dim_course AS (
+  SELECT course_name, start_date, end_date,
+         printf('CRS-%03d', row_number() OVER (ORDER BY course_name NULLS FIRST, start_date NULLS FIRST,
+                                                      end_date NULLS FIRST) - 1) AS course_id
+  FROM (SELECT DISTINCT course_name, start_date, end_date FROM silver_lms)),
+g_fact_lms AS (
+  SELECT row_id, substr(md5(s.intern_name), 1, 8) AS intern_id, d.course_id, progress, reviewed, total_assg,
+         rev_submitted, submitted, overall_status, mentor_name, kc_scored, kc_total, test_scored, test_total
+  FROM silver_lms s JOIN g_dim_course d
+    ON s.course_name IS NOT DISTINCT FROM d.course_name AND s.start_date IS NOT DISTINCT FROM d.start_date
+   AND s.end_date IS NOT DISTINCT FROM d.end_date
+  WHERE s.intern_name IS NOT NULL),
+g_fact_activity AS (
+  SELECT row_id, date, substr(md5(full_name), 1, 8) AS intern_id, activity, hours
+  FROM silver_eod WHERE full_name IN (SELECT intern_name FROM g_dim_intern))
+"""
+
+SQL["b01_dim_intern"] = with_gold("SELECT intern_name, intern_id FROM g_dim_intern", BRONZE)
+SQL["b01_dim_course"] = with_gold("SELECT course_name, start_date, end_date, course_id FROM g_dim_course", BRONZE)
+SQL["b01_dim_mentor"] = with_gold("""
+SELECT DISTINCT unnest(list_distinct(list_filter(list_transform(string_split(mentor_name, ', '), lambda x: trim(x)),
+                                                 lambda x: x <> ''))) AS mentor_name FROM silver_lms""", BRONZE)
+SQL["b01_fact_lms"] = with_gold("SELECT * FROM g_fact_lms", BRONZE)
+SQL["b01_fact_activity"] = with_gold("SELECT * FROM g_fact_activity", BRONZE)
+SQL["b01_key_collisions"] = with_gold("""
+SELECT intern_id, count(*) AS n_names FROM g_dim_intern GROUP BY intern_id HAVING count(*) > 1""", BRONZE)
+SEQ = """
+seq_intern AS (SELECT intern_name, row_number() OVER (ORDER BY intern_name) + 1000 AS intern_id
+               FROM (SELECT DISTINCT intern_name FROM silver_lms WHERE intern_name IS NOT NULL)),
+seq_course AS (
+  SELECT course_name, start_date, end_date,
+         row_number() OVER (ORDER BY course_name NULLS FIRST, start_date NULLS FIRST, end_date NULLS FIRST) - 1 + 501 AS course_id
+  FROM (SELECT DISTINCT course_name, start_date, end_date FROM silver_lms))"""
+SQL["b02_dim_intern_seq"] = with_gold("SELECT intern_name, intern_id FROM seq_intern", BRONZE + "," + SEQ)
+SQL["b02_fact_progress"] = with_gold("""
+SELECT row_id, i.intern_id, d.course_id, progress, reviewed, total_assg, overall_status
+FROM silver_lms s JOIN seq_intern i ON s.intern_name = i.intern_name
+JOIN seq_course d ON s.course_name IS NOT DISTINCT FROM d.course_name AND s.start_date IS NOT DISTINCT FROM d.start_date
+ AND s.end_date IS NOT DISTINCT FROM d.end_date""", BRONZE + "," + SEQ)
+SQL["b03_quality_report"] = with_gold("""
+SELECT (SELECT count(*) FROM g_dim_intern) AS unique_interns,
+       (SELECT count(*) FROM g_dim_course) AS courses,
+       (SELECT count(*) FROM (SELECT DISTINCT unnest(list_distinct(list_filter(list_transform(
+            string_split(mentor_name, ', '), lambda x: trim(x)), lambda x: x <> ''))) FROM silver_lms)) AS mentors,
+       (SELECT count(*) FROM g_fact_lms) AS fact_lms_rows,
+       (SELECT count(*) FROM g_fact_activity) AS fact_activity_rows,
+       (SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM silver_lms GROUP BY intern_name, course_name)) AS duplicates,
+       (SELECT count_if(hours < 0) FROM g_fact_activity) AS invalid_hours,
+       (SELECT count_if(progress > 100) FROM g_fact_lms) AS invalid_progress,
+       (SELECT count(*) FROM silver_eod e WHERE NOT EXISTS (
+           SELECT 1 FROM silver_lms s WHERE s.intern_name IS NOT NULL AND s.intern_name = e.full_name)) AS orphan_records,
+       (SELECT count_if(h > 12.0) FROM (SELECT sum(CAST(hours AS DECIMAL(38,2))) AS h FROM g_fact_activity
+                                    WHERE date IS NOT NULL GROUP BY intern_id, date)) AS outlier_days""", BRONZE)
+SQL["u02_merge_new"] = with_gold(f"""
+SELECT * FROM b WHERE ingest_date < DATE '1998-01-01'
+UNION ALL
+SELECT * FROM b n WHERE ingest_date >= DATE '1998-01-01' AND NOT EXISTS (
+  SELECT 1 FROM b o WHERE o.ingest_date < DATE '1998-01-01'
+    AND o."Course Name" IS NOT DISTINCT FROM n."Course Name" AND o.name_norm IS NOT DISTINCT FROM n.name_norm)""",
+    BRONZE + f", b AS (SELECT *, {clean_name_sql(chr(34) + 'User Name' + chr(34))} AS name_norm FROM bronze_lms)")
+SQL["b40_validate_output"] = with_gold(f"""
+SELECT "check", scope, passed, detail FROM (
+  SELECT 'lms_schema' AS "check", scope, true AS passed, '12 columns in order' AS detail FROM pc
+  UNION ALL SELECT 'row_count', scope, rows = (SELECT n FROM ni), printf('%d rows', rows) FROM pc
+  UNION ALL SELECT 'progress_range', scope, prog_ok, '0..100' FROM pc
+  UNION ALL SELECT 'status_values', scope, status_ok, 'known spellings' FROM pc
+  UNION ALL SELECT 'completed_progress', scope, coalesce(min_done_prog >= 30, true), 'completed => progress >= 30' FROM pc
+  UNION ALL SELECT 'eod_schema', 'eod', true, '5 columns in order'
+  UNION ALL SELECT 'unique_names', 'lms', true, printf('%d names', (SELECT n FROM ni))
+  UNION ALL SELECT 'hours_range', 'eod', (SELECT coalesce(bool_and("Hours" BETWEEN 0.0 AND 10.0), true) FROM bronze_eod), '0..10'
+  UNION ALL SELECT 'eod_coverage', 'eod', (SELECT count(DISTINCT concat_ws(' ', "First Name", "Last Name")) FROM bronze_eod) = (SELECT n FROM ni),
+                   printf('%d names', (SELECT count(DISTINCT concat_ws(' ', "First Name", "Last Name")) FROM bronze_eod)))""",
+    BRONZE + f""",
+ni AS (SELECT count(DISTINCT trim("User Name")) AS n FROM bronze_lms),
+pc AS (SELECT "Course Name" AS scope, count(*) AS rows,
+              coalesce(bool_and(p BETWEEN 0 AND 100), true) AS prog_ok,
+              bool_and(coalesce("Overall Status" IN ('Completed', 'In Progress', 'In progress', 'Not started', 'Not Started'), false)) AS status_ok,
+              min(CASE WHEN "Overall Status" = 'Completed' THEN p END) AS min_done_prog
+       FROM (SELECT *, {to_double_sql("regexp_replace(" + '"Progress (%)"' + ", '%+$', '')")} AS p FROM bronze_lms)
+       GROUP BY "Course Name")""")
