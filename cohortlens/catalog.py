@@ -108,3 +108,24 @@ register("b02_fact_progress", lambda g: etl.star_schema_sequential(g)["fact_prog
 register("b03_quality_report", etl.quality_report)
 register("u02_merge_new", etl.merged_lms)
 register("b40_validate_output", etl.validate_output)
+
+# --- profiles ------------------------------------------------------------------
+from cohortlens.plans import ml, profile  # noqa: E402
+
+register("b37_cohort_summary", profile.cohort_summary)
+register("t03_top_bottom_interns", profile.top_bottom_interns)
+register("t04_sample_rows", profile.sample_rows)
+register("c25_summary_json", profile.summary_json)
+register("b39_progress_per_course", profile.progress_per_course)
+register("b39_status_shares", profile.status_shares)
+register("b39_ratio_profile", profile.ratio_profile)
+register("b39_activity_shares", profile.activity_shares)
+register("b39_eod_profile", profile.eod_profile)
+register("b41_status_mix", profile.status_mix)
+register("b41_generation_summary", profile.generation_summary)
+
+# --- machine learning ------------------------------------------------------------
+register("m01_features", ml.features)
+register("m02_clusters", ml.clusters)
+register("m03_test_score_model", ml.test_score_model)
+register("m04_dropout_model", ml.dropout_model)

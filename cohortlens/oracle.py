@@ -658,3 +658,84 @@ pc AS (SELECT "Course Name" AS scope, count(*) AS rows,
               min(CASE WHEN "Overall Status" = 'Completed' THEN p END) AS min_done_prog
        FROM (SELECT *, {to_double_sql("regexp_replace(" + '"Progress (%)"' + ", '%+$', '')")} AS p FROM bronze_lms)
        GROUP BY "Course Name")""")
+
+# ---------------------------------------------------------------------------
+# Profiles
+# ---------------------------------------------------------------------------
+
+def moments_sql(v: str, scale: int, which=("n", "mean", "std_pop", "std_samp")) -> str:
+    d = f"CAST({v} AS DECIMAL(18,{scale}))"
+    s1, s2, n = f"CAST(sum({d}) AS DOUBLE)", f"CAST(sum({d} * {d}) AS DOUBLE)", f"count({v})"
+    parts = {
+        "n": f"{n} AS n",
+        "mean": f"{rhe(f'{s1} / {n}', 6)} AS mean",
+        "std_pop": f"{rhe(f'sqrt(greatest(({s2} - {s1} * {s1} / {n}) / {n}, 0.0::DOUBLE))', 6)} AS std_pop",
+        "std_samp": f"CASE WHEN {n} > 1 THEN {rhe(f'sqrt(greatest(({s2} - {s1} * {s1} / {n}) / ({n} - 1), 0.0::DOUBLE))', 6)} END AS std_samp",
+    }
+    return ", ".join(parts[w] for w in which)
+
+
+LMS_VIEW = ("lv AS (SELECT lms_row_id, intern_id, course_id, progress, overall_status, intern_name, course_name "
+            "FROM fact_lms LEFT JOIN dim_intern USING (intern_id) LEFT JOIN dim_course USING (course_id))")
+PCT_P = "regexp_replace(\"Progress (%)\", '%+$', '')"
+
+SQL["b37_cohort_summary"] = with_gold("""
+SELECT 7 AS n_columns, count(*) AS total_rows, count(DISTINCT course_name) AS unique_courses,
+       count(DISTINCT intern_name) AS unique_interns, avg(progress) AS avg_progress FROM lv""", LMS_VIEW)
+SQL["t03_top_bottom_interns"] = with_gold("""
+SELECT * FROM (SELECT intern_name, avg_progress, 'top' AS side FROM per ORDER BY avg_progress DESC, intern_name LIMIT 3)
+UNION ALL
+SELECT * FROM (SELECT intern_name, avg_progress, 'bottom' AS side FROM per ORDER BY avg_progress, intern_name LIMIT 3)""",
+    LMS_VIEW + ", per AS (SELECT intern_name, avg(progress) AS avg_progress FROM lv WHERE intern_name IS NOT NULL GROUP BY intern_name)")
+SQL["b39_progress_per_course"] = with_gold(f"""
+SELECT "Course Name" AS course_name, {moments_sql('p', 4, ('n', 'mean', 'std_pop'))}
+FROM (SELECT *, {to_double_sql(PCT_P)} AS p FROM bronze_lms) GROUP BY "Course Name" """, BRONZE)
+SQL["b39_status_shares"] = with_gold("""
+SELECT status, n, n / CAST(sum(CAST(n AS DECIMAL(38,0))) OVER () AS DOUBLE) AS share
+FROM (SELECT coalesce("Overall Status", 'Not Started') AS status, count(*) AS n FROM bronze_lms GROUP BY 1)""", BRONZE)
+RATIOS = {
+    "assg_ratio": (frac_sql('"Reviewed / Total Assignments"', 0, '0.0'), nz_sql(frac_sql('"Reviewed / Total Assignments"', 1, '1.0'))),
+    "rev_sub_ratio": (frac_sql('"Reviewed / Submitted"', 0, '0.0'), nz_sql(frac_sql('"Reviewed / Submitted"', 1, '0.0'))),
+    "kc_ratio": (frac_sql('"Overall Knowledge Check"', 0, '0.0'), nz_sql(frac_sql('"Overall Knowledge Check"', 1, '1.0'))),
+    "test_ratio": (frac_sql('"Overall Test"', 0, '0.0'), nz_sql(frac_sql('"Overall Test"', 1, '1.0'))),
+}
+SQL["b39_ratio_profile"] = with_gold(f"""
+SELECT metric, {moments_sql('v', 12, ('n', 'mean', 'std_pop'))} FROM (
+""" + "\nUNION ALL\n".join(f"SELECT '{k}' AS metric, {a} / {b} AS v FROM bronze_lms" for k, (a, b) in RATIOS.items())
+    + ") GROUP BY metric", BRONZE)
+SQL["b39_activity_shares"] = with_gold("""
+SELECT activity, n, n / CAST(sum(CAST(n AS DECIMAL(38,0))) OVER () AS DOUBLE) AS share
+FROM (SELECT "Activity" AS activity, count(*) AS n FROM bronze_eod GROUP BY 1)""", BRONZE)
+SQL["b39_eod_profile"] = with_gold(f"""
+SELECT h.mean AS hours_mean, h.std_pop AS hours_std, h.hours_min, h.hours_max,
+       r.mean AS records_mean, r.std_samp AS records_std, r.records_min, r.records_max, d.date_start, d.date_end
+FROM (SELECT {moments_sql('"Hours"', 2, ('mean', 'std_pop'))}, min("Hours") AS hours_min, max("Hours") AS hours_max FROM bronze_eod) h
+CROSS JOIN (SELECT {moments_sql('r', 0, ('mean', 'std_samp'))}, min(r) AS records_min, max(r) AS records_max
+            FROM (SELECT count(*) AS r FROM silver_eod GROUP BY full_name)) r
+CROSS JOIN (SELECT min(date) AS date_start, max(date) AS date_end FROM silver_eod) d""", BRONZE)
+SQL["b41_status_mix"] = with_gold(f"""
+SELECT status, n, {rhe('n / CAST(sum(CAST(n AS DECIMAL(38,0))) OVER () AS DOUBLE) * 100', 1)} AS pct
+FROM (SELECT "Overall Status" AS status, count(*) AS n FROM bronze_lms GROUP BY 1)""", BRONZE)
+SQL["b41_generation_summary"] = with_gold(f"""
+SELECT p.mean AS progress_mean, p.std_samp AS progress_std, q.progress_median,
+       h.mean AS hours_mean, h.std_samp AS hours_std, h.hours_min, h.hours_max
+FROM (SELECT {moments_sql('p', 4, ('mean', 'std_samp'))} FROM pp) p
+CROSS JOIN (SELECT quantile_cont(p, 0.5) AS progress_median FROM pp) q
+CROSS JOIN (SELECT {moments_sql('"Hours"', 2, ('mean', 'std_samp'))}, min("Hours") AS hours_min, max("Hours") AS hours_max
+            FROM bronze_eod) h""", BRONZE + f", pp AS (SELECT {to_double_sql(PCT_P)} AS p FROM bronze_lms)")
+
+# ---------------------------------------------------------------------------
+# ML feature table (the models themselves are checked by invariants)
+# ---------------------------------------------------------------------------
+SQL["m01_features"] = with_gold(f"""
+SELECT l.intern_id, progress, CAST(reviewed AS BIGINT) AS reviewed, CAST(total AS BIGINT) AS total_assg,
+       reviewed / total AS assg_ratio, {rhe('kc', 6)} AS kc_pct, {rhe('te', 6)} AS test_pct,
+       th.total_hours AS hours,
+       CAST((progress < 40 OR (progress < 60 AND th.total_hours < (SELECT median(total_hours) FROM th) * 0.75::DOUBLE))
+            AS INTEGER) AS is_at_risk
+FROM (SELECT intern_id, avg(progress) AS progress, sum(reviewed) AS reviewed,
+             CASE WHEN sum(total_assg) = 0 THEN 1 ELSE sum(total_assg) END AS total,
+             CAST(sum(CAST(kc_pct AS DECIMAL(38,1))) AS DOUBLE) / count(kc_pct) AS kc,
+             CAST(sum(CAST(test_pct AS DECIMAL(38,1))) AS DOUBLE) / count(test_pct) AS te
+      FROM lms_s GROUP BY intern_id) l
+JOIN th ON l.intern_id = th.intern_id""", SCORES + ",\n" + TH)
