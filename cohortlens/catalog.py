@@ -129,3 +129,9 @@ register("m01_features", ml.features)
 register("m02_clusters", ml.clusters)
 register("m03_test_score_model", ml.test_score_model)
 register("m04_dropout_model", ml.dropout_model)
+
+# --- streaming -------------------------------------------------------------------
+from cohortlens.streaming import landing  # noqa: E402
+
+QUERIES["st1_incremental_landing"] = lambda spark, sf_dir: landing.landed_activity(spark, sf_dir)
+QUERIES["st1_incremental_landing"].__doc__ = landing.landed_activity.__doc__

@@ -739,3 +739,5 @@ FROM (SELECT intern_id, avg(progress) AS progress, sum(reviewed) AS reviewed,
              CAST(sum(CAST(test_pct AS DECIMAL(38,1))) AS DOUBLE) / count(test_pct) AS te
       FROM lms_s GROUP BY intern_id) l
 JOIN th ON l.intern_id = th.intern_id""", SCORES + ",\n" + TH)
+
+SQL["st1_incremental_landing"] = with_gold("SELECT row_id, date, full_name, activity, hours FROM silver_eod", BRONZE)
