@@ -21,7 +21,7 @@ def to_double(c) -> Column:
 
 def parse_percent(c) -> Column:
     """'50%' -> 50.0; all trailing '%' removed; junk -> null."""
-    return to_double(F.regexp_replace(col_of(c).cast("string"), "%+$", ""))
+    return to_double(F.regexp_replace(F.trim(col_of(c).cast("string")), "%+$", ""))
 
 
 def fraction_part(c, idx: int, default: float | int, as_int: bool = False) -> Column:

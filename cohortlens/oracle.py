@@ -559,7 +559,7 @@ silver_lms AS (
   SELECT row_id, ingest_date, {clean_name_sql('"User Name"')} AS intern_name, "Course Name" AS course_name,
     {date_sql('"Start Date"')} AS start_date, {date_sql('"End Date"')} AS end_date,
     "Mentor Name" AS mentor_name,
-    {to_double_sql("regexp_replace(coalesce(" + '"Progress (%)"' + ", '0%'), '%+$', '')")} AS progress,
+    {to_double_sql("regexp_replace(trim(coalesce(" + '"Progress (%)"' + ", '0%')), '%+$', '')")} AS progress,
     {frac_sql('"Reviewed / Total Assignments"', 0, '0.0', True)} AS reviewed,
     {frac_sql('"Reviewed / Total Assignments"', 1, '1.0', True)} AS total_assg,
     {frac_sql('"Reviewed / Submitted"', 0, '0.0', True)} AS rev_submitted,
@@ -630,7 +630,9 @@ SELECT (SELECT count(*) FROM g_dim_intern) AS unique_interns,
        (SELECT count(*) FROM silver_eod e WHERE NOT EXISTS (
            SELECT 1 FROM silver_lms s WHERE s.intern_name IS NOT NULL AND s.intern_name = e.full_name)) AS orphan_records,
        (SELECT count_if(h > 12.0) FROM (SELECT sum(CAST(hours AS DECIMAL(38,2))) AS h FROM g_fact_activity
-                                    WHERE date IS NOT NULL GROUP BY intern_id, date)) AS outlier_days""", BRONZE)
+                                    WHERE date IS NOT NULL GROUP BY intern_id, date)) AS outlier_days,
+       (SELECT count_if("Progress (%)" IS NOT NULL AND """ + to_double_sql("regexp_replace(trim(" + '"Progress (%)"' + "), '%+$', '')")
+    + """ IS NULL) FROM bronze_lms) AS unparsed_progress""", BRONZE)
 SQL["u02_merge_new"] = with_gold(f"""
 SELECT * FROM b WHERE ingest_date < DATE '1998-01-01'
 UNION ALL
@@ -656,7 +658,7 @@ pc AS (SELECT "Course Name" AS scope, count(*) AS rows,
               coalesce(bool_and(p BETWEEN 0 AND 100), true) AS prog_ok,
               bool_and(coalesce("Overall Status" IN ('Completed', 'In Progress', 'In progress', 'Not started', 'Not Started'), false)) AS status_ok,
               min(CASE WHEN "Overall Status" = 'Completed' THEN p END) AS min_done_prog
-       FROM (SELECT *, {to_double_sql("regexp_replace(" + '"Progress (%)"' + ", '%+$', '')")} AS p FROM bronze_lms)
+       FROM (SELECT *, {to_double_sql("regexp_replace(trim(" + '"Progress (%)"' + "), '%+$', '')")} AS p FROM bronze_lms)
        GROUP BY "Course Name")""")
 
 # ---------------------------------------------------------------------------
@@ -677,7 +679,7 @@ def moments_sql(v: str, scale: int, which=("n", "mean", "std_pop", "std_samp"))
 
 LMS_VIEW = ("lv AS (SELECT lms_row_id, intern_id, course_id, progress, overall_status, intern_name, course_name "
             "FROM fact_lms LEFT JOIN dim_intern USING (intern_id) LEFT JOIN dim_course USING (course_id))")
-PCT_P = "regexp_replace(\"Progress (%)\", '%+$', '')"
+PCT_P = "regexp_replace(trim(\"Progress (%)\"), '%+$', '')"
 
 SQL["b37_cohort_summary"] = with_gold("""
 SELECT 7 AS n_columns, count(*) AS total_rows, count(DISTINCT course_name) AS unique_courses,

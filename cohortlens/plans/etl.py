@@ -132,8 +132,9 @@ def key_collisions(g: Gold) -> DataFrame:
 
 
 def quality_report(g: Gold, outlier_hours: float = 12.0) -> DataFrame:
-    """The ten profiling counters as one row. Each counter is a global
-    aggregate evaluated as a scalar subquery."""
+    """The profiling counters as one row (the sheet's ten plus the count
+    of progress texts that do not parse). Each counter is a global aggregate
+    evaluated as a scalar subquery."""
     s = star_schema(g)
     lms, eod = s["silver_lms"], s["silver_eod"]
     fa, fl = s["fact_activity"], s["fact_lms"]
@@ -156,6 +157,8 @@ def quality_report(g: Gold, outlier_hours: float = 12.0) -> DataFrame:
         fl.agg(F.count_if(F.col("progress") > 100)).scalar().alias("invalid_progress"),
         orphans.scalar().alias("orphan_records"),
         daily.agg(F.count_if(F.col("h") > outlier_hours)).scalar().alias("outlier_days"),
+        g.bronze_lms.agg(F.count_if(F.col("Progress (%)").isNotNull() & parse_percent(F.col("Progress (%)")).isNull()))
+         .scalar().alias("unparsed_progress"),
     )
 
 

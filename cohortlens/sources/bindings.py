@@ -56,6 +56,20 @@ class Gold:
     spark: SparkSession
     sf_dir: str
 
+    @classmethod
+    def from_frames(cls, spark: SparkSession, **frames: DataFrame) -> "Gold":
+        """Bind given frames to the roles (tests, or gold tables already on disk).
+
+        Any role not given is derived as usual; ``fact_lms`` also serves
+        as ``fact_lms_light``.
+        """
+        g = cls(spark, "<frames>")
+        for name, df in frames.items():
+            setattr(g, name, df)  # cached_property: the instance value wins
+        if "fact_lms" in frames and "fact_lms_light" not in frames:
+            g.fact_lms_light = frames["fact_lms"]
+        return g
+
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
