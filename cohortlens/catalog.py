@@ -100,7 +100,7 @@ register("b38_intervention_plan", mentor.intervention_plan)
 register("b01_dim_intern", lambda g: etl.star_schema(g)["dim_intern"])
 register("b01_dim_course", lambda g: etl.star_schema(g)["dim_course"])
 register("b01_dim_mentor", lambda g: etl.star_schema(g)["dim_mentor"])
-register("b01_fact_lms", lambda g: etl.star_schema(g)["fact_lms"])
+register("b01_fact_lms", lambda g: etl.star_schema(g, materialized=True)["fact_lms"])
 register("b01_fact_activity", lambda g: etl.star_schema(g)["fact_activity"])
 register("b01_key_collisions", etl.key_collisions)
 register("b02_dim_intern_seq", lambda g: etl.star_schema_sequential(g)["dim_intern"])

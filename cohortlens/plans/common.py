@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.functions.numeric import exact_sum
 from cohortlens.sources.bindings import Gold
 
 # Course short names and activity labels of the source sheets.
@@ -47,9 +48,9 @@ def max_date(fa: DataFrame) -> Column:
 
 
 def hours_sum(c="hours") -> Column:
-    """Exact (decimal) sum of hours, as double; order-independent."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast("decimal(38,2)")).cast("double")
+    """Exact, order-independent sum of 2-decimal hours, as double (summed as
+    integer hundredths; see ``functions.numeric.exact_sum``)."""
+    return exact_sum(c, 2)
 
 
 def course_names(g: Gold) -> DataFrame:

@@ -9,15 +9,18 @@ place instead of joining the intern dimension; only membership tests
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.dates import parse_date
-from cohortlens.functions.numeric import fraction_part, parse_percent, zero_to_one
+from cohortlens.functions.numeric import exact_sum, fraction_part, parse_percent, zero_to_one
 from cohortlens.functions.text import clean_name, full_name, mentor_list
 from cohortlens.operators.ranking import rank_rows
 from cohortlens.operators.relational import null_safe_join
 from cohortlens.plans.common import STATUS_VALUES
+from cohortlens.operators.materialize import materialize
 from cohortlens.sources.bindings import Gold
 
 # The sheet layouts.
@@ -90,28 +93,62 @@ def dim_mentor(lms: DataFrame) -> DataFrame:
     return lms.select(F.explode(mentor_list("mentor_name")).alias("mentor_name")).distinct()
 
 
-def star_schema(g: Gold) -> dict[str, DataFrame]:
-    """The gold star schema built from the raw sheets."""
-    lms = silver_lms(g.bronze_lms)
-    eod = silver_eod(g.bronze_eod)
-    di = dim_intern(lms)
-    dc = dim_course(lms)
-    named = lms.where(F.col("intern_name").isNotNull())
-    fact_lms = null_safe_join(named, dc, ["course_name", "start_date", "end_date"]).select(
-        "row_id", intern_key(F.col("intern_name")).alias("intern_id"), "course_id", "progress", "reviewed",
-        "total_assg", "rev_submitted", "submitted", "overall_status", "mentor_name",
-        "kc_scored", "kc_total", "test_scored", "test_total")
-    # EOD rows count only for names known to the LMS sheet (inner-join semantics).
-    known = eod.join(di.select(F.col("intern_name").alias("full_name")), "full_name", "left_semi")
-    fact_activity = known.select("row_id", "date", intern_key(F.col("full_name")).alias("intern_id"),
-                                 "activity", "hours")
-    return {"dim_intern": di, "dim_course": dc, "dim_mentor": dim_mentor(lms),
-            "fact_lms": fact_lms, "fact_activity": fact_activity, "silver_lms": lms, "silver_eod": eod}
+class Star:
+    """The gold star schema built from the raw sheets, one lazy table
+    per attribute. With ``materialized`` the silver tables are written once
+    (shared checkpoint folder) before several tables read them."""
+
+    def __init__(self, g: Gold, materialized: bool = False):
+        self.g, self.materialized = g, materialized
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return getattr(self, name)
+
+    @cached_property
+    def silver_lms(self) -> DataFrame:
+        df = silver_lms(self.g.bronze_lms)
+        return materialize(df, "silver_lms") if self.materialized else df
+
+    @cached_property
+    def silver_eod(self) -> DataFrame:
+        df = silver_eod(self.g.bronze_eod)
+        return materialize(df, "silver_eod") if self.materialized else df
+
+    @cached_property
+    def dim_intern(self) -> DataFrame:
+        return dim_intern(self.silver_lms)
+
+    @cached_property
+    def dim_course(self) -> DataFrame:
+        return dim_course(self.silver_lms)
+
+    @cached_property
+    def dim_mentor(self) -> DataFrame:
+        return dim_mentor(self.silver_lms)
+
+    @cached_property
+    def fact_lms(self) -> DataFrame:
+        named = self.silver_lms.where(F.col("intern_name").isNotNull())
+        return null_safe_join(named, self.dim_course, ["course_name", "start_date", "end_date"]).select(
+            "row_id", intern_key(F.col("intern_name")).alias("intern_id"), "course_id", "progress", "reviewed",
+            "total_assg", "rev_submitted", "submitted", "overall_status", "mentor_name",
+            "kc_scored", "kc_total", "test_scored", "test_total")
+
+    @cached_property
+    def fact_activity(self) -> DataFrame:
+        # EOD rows count only for names known to the LMS sheet (inner-join semantics).
+        known = self.silver_eod.join(self.dim_intern.select(F.col("intern_name").alias("full_name")),
+                                     "full_name", "left_semi")
+        return known.select("row_id", "date", intern_key(F.col("full_name")).alias("intern_id"), "activity", "hours")
+
+
+def star_schema(g: Gold, materialized: bool = False) -> Star:
+    return Star(g, materialized)
 
 
 def star_schema_sequential(g: Gold) -> dict[str, DataFrame]:
     """Integer surrogate keys from 1001 (interns) and 501 (courses)."""
-    lms = silver_lms(g.bronze_lms)
+    lms = materialize(silver_lms(g.bronze_lms))
     eod = silver_eod(g.bronze_eod)
     names = lms.where(F.col("intern_name").isNotNull()).select("intern_name").distinct()
     di = rank_rows(names, [F.asc("intern_name")], name="__r").select(
@@ -135,11 +172,11 @@ def quality_report(g: Gold, outlier_hours: float = 12.0) -> DataFrame:
     """The profiling counters as one row (the sheet's ten plus the count
     of progress texts that do not parse). Each counter is a global aggregate
     evaluated as a scalar subquery."""
-    s = star_schema(g)
+    s = star_schema(g, materialized=True)
     lms, eod = s["silver_lms"], s["silver_eod"]
     fa, fl = s["fact_activity"], s["fact_lms"]
     daily = fa.where(F.col("date").isNotNull()).groupBy("intern_id", "date").agg(
-        F.sum(F.col("hours").cast("decimal(38,2)")).alias("h"))
+        exact_sum("hours", 2).alias("h"))
     # Duplicates beyond the first per (name, course); null keys group together.
     dup = lms.groupBy("intern_name", "course_name").agg(F.count(F.lit(1)).alias("n")) \
              .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.fmt import fmt_pct0, fmt_rank, fmt_ratio, signed_delta
-from cohortlens.functions.numeric import round_half_even
+from cohortlens.functions.numeric import exact_sum, round_half_even
 from cohortlens.operators.ranking import exact_quantiles, rank_rows
 from cohortlens.operators.relational import distinct_values
 from cohortlens.plans.activity import total_hours
@@ -221,8 +221,8 @@ def intern_range_panel(g: Gold, p: Params | None = None) -> DataFrame:
     lms = s.groupBy("intern_id").agg(
         F.avg("progress").alias("avg_progress"), F.sum("reviewed").alias("r"), F.sum("total_assg").alias("t"),
         F.count_if(F.col("overall_status") == "Completed").alias("c"), F.count(F.lit(1)).alias("n"),
-        (F.sum(F.when(kc > 0, kc.cast("decimal(38,1)"))).cast("double") / F.count_if(kc > 0)).alias("kc"),
-        (F.sum(F.when(te > 0, te.cast("decimal(38,1)"))).cast("double") / F.count_if(te > 0)).alias("te"))
+        (exact_sum(F.when(kc > 0, kc), 1) / F.count_if(kc > 0)).alias("kc"),
+        (exact_sum(F.when(te > 0, te), 1) / F.count_if(te > 0)).alias("te"))
     j = lms.join(act, "intern_id", "left")
     hours = F.coalesce(F.col("total_hours"), F.lit(0.0))
     return j.select(

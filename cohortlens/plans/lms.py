@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.fmt import dash_if_nonpositive, fmt_pct0, fmt_ratio
-from cohortlens.functions.numeric import pct, round_half_even, zero_to_one
+from cohortlens.functions.numeric import exact_units, pct, round_half_even, zero_to_one
 from cohortlens.functions.text import first_token, lookup
 from cohortlens.operators.ranking import exact_quantiles
 from cohortlens.operators.relational import distinct_values
@@ -69,8 +69,9 @@ def score_distribution(g: Gold) -> DataFrame:
         F.struct(F.lit("test_pct").alias("metric"), F.col("test_pct").alias("v")))).alias("x")
     ).select("x.metric", "x.v").where(F.col("v") > 0)
     # Exact sums of the 1-decimal values: the moments do not depend on order.
-    s1 = F.sum(F.col("v").cast("decimal(38,1)")).cast("double")
-    s2 = F.sum((F.col("v").cast("decimal(38,1)") * F.col("v").cast("decimal(38,1)"))).cast("double")
+    t = exact_units(F.col("v"), 1)
+    s1 = F.sum(t) / F.lit(10.0)
+    s2 = F.sum(t * t) / F.lit(100.0)
     n = F.count(F.lit(1))
     mom = long.groupBy("metric").agg(
         n.alias("n"), (s1 / n).alias("mean"),
@@ -117,15 +118,15 @@ def course_panel_kpis(g: Gold) -> DataFrame:
         F.count_if(st == "Completed").alias("c"), F.count_if(st.isin(*IN_PROGRESS)).alias("ip"),
         F.count_if(st.isin(*NOT_STARTED)).alias("ns"),
         F.sum("reviewed").alias("r"), F.sum("total_assg").alias("t"),
-        F.sum(F.when(kc > 0, kc.cast("decimal(38,1)"))).alias("kcs"), F.count_if(kc > 0).alias("kcn"),
-        F.sum(F.when(te > 0, te.cast("decimal(38,1)"))).alias("tes"), F.count_if(te > 0).alias("ten"))
+        F.sum(F.when(kc > 0, exact_units(kc, 1))).alias("kcs"), F.count_if(kc > 0).alias("kcn"),
+        F.sum(F.when(te > 0, exact_units(te, 1))).alias("tes"), F.count_if(te > 0).alias("ten"))
     j = per.join(g.bridge, "intern_id")
     agg = j.groupBy("mentor_name", "course_id").agg(
         F.sum("n").alias("n_rows"), (F.sum("sp") / F.sum("n")).alias("avg_progress"),
         F.sum("c").alias("completed"), F.sum("ip").alias("in_progress"), F.sum("ns").alias("not_started"),
         F.sum("r").alias("total_reviewed"), F.sum("t").alias("total_assg"),
-        F.sum("kcs").cast("double").alias("kcs"), F.sum("kcn").alias("kcn"),
-        F.sum("tes").cast("double").alias("tes"), F.sum("ten").alias("ten"))
+        (F.sum("kcs") / F.lit(10.0)).alias("kcs"), F.sum("kcn").alias("kcn"),
+        (F.sum("tes") / F.lit(10.0)).alias("tes"), F.sum("ten").alias("ten"))
     out = agg.join(g.dim_course, "course_id")
     return out.select(
         "mentor_name", "course_id", "course_name", "n_rows", round_half_even(F.col("avg_progress"), 6).alias("avg_progress"),

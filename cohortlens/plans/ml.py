@@ -17,8 +17,8 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.functions.numeric import round_half_even
-from cohortlens.session import checkpoint_dir
+from cohortlens.functions.numeric import exact_sum, round_half_even
+from cohortlens.operators.materialize import materialize
 from cohortlens.operators.ranking import exact_median
 from cohortlens.plans.activity import total_hours
 from cohortlens.plans.lms import with_scores
@@ -48,8 +48,8 @@ def features(g: Gold) -> DataFrame:
     lms = s.groupBy("intern_id").agg(
         F.avg("progress").alias("progress"), F.sum("reviewed").alias("reviewed"),
         F.sum("total_assg").alias("total_assg_raw"),
-        (F.sum(F.col("kc_pct").cast("decimal(38,1)")).cast("double") / F.count("kc_pct")).alias("kc_pct"),
-        (F.sum(F.col("test_pct").cast("decimal(38,1)")).cast("double") / F.count("test_pct")).alias("test_pct"))
+        (exact_sum("kc_pct", 1) / F.count("kc_pct")).alias("kc_pct"),
+        (exact_sum("test_pct", 1) / F.count("test_pct")).alias("test_pct"))
     th = total_hours(g)
     med = exact_median(th, "total_hours", "m").scalar()
     j = lms.join(th, "intern_id")
@@ -64,6 +64,12 @@ def features(g: Gold) -> DataFrame:
     return out.na.fill(0)
 
 
+def training_table(g: Gold) -> DataFrame:
+    """The feature table written to the shared checkpoint folder: every model
+    makes several passes over it, none of which re-runs the aggregations."""
+    return materialize(features(g), "ml_features")
+
+
 def _assembled(df: DataFrame, cols: list[str], name: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=cols, outputCol=name, handleInvalid="keep").transform(df)
 
@@ -74,7 +80,7 @@ def clusters(g: Gold, k: int = N_CLUSTERS, n_init: int = N_INIT) -> DataFrame:
     kept. Persona rule on cluster means: > 75 progress High Performers,
     < 45 Needs Support, hours above the mean of cluster means Steady
     Workers, else Efficient Learners. Empty when there are <= k interns."""
-    f = features(g)
+    f = training_table(g)
     if f.count() <= k:
         return f.limit(0).withColumn("cluster", F.lit(0)).withColumn("persona", F.lit(""))
     x = _assembled(f, CLUSTER_FEATURES, "raw")
@@ -90,8 +96,7 @@ def clusters(g: Gold, k: int = N_CLUSTERS, n_init: int = N_INIT) -> DataFrame:
         best = min(fits, key=lambda t: (t[0], t[1]))[2]
         # Written to the shared checkpoint folder: later stages do not
         # re-run the fits if an executor is lost.
-        checkpoint_dir(g.spark)
-        pred = best.transform(xs).select(*f.columns, "cluster").checkpoint(eager=True)
+        pred = materialize(best.transform(xs).select(*f.columns, "cluster"), "clusters")
         means = pred.groupBy("cluster").agg(F.avg("progress").alias("cp"), F.avg("hours").alias("ch"))
         mean_of_means = means.agg(F.avg("ch")).scalar()
         persona = (F.when(F.col("cp") > PERSONA_HIGH_MIN, PERSONA_HIGH)
@@ -107,7 +112,7 @@ def clusters(g: Gold, k: int = N_CLUSTERS, n_init: int = N_INIT) -> DataFrame:
 def test_score_model(g: Gold) -> DataFrame:
     """Random-forest regression of test % on the other features, fitted
     and applied on the same rows (anomaly view), with the residual."""
-    f = features(g)
+    f = training_table(g)
     if f.count() < MIN_ROWS:
         return f.limit(0).withColumn("predicted_test_pct", F.lit(0.0)).withColumn("score_diff", F.lit(0.0))
     x = _assembled(f, REGRESSION_FEATURES)
@@ -123,7 +128,7 @@ def dropout_model(g: Gold) -> DataFrame:
     """Random-forest classifier of the at-risk label with balanced class
     weights n / (2 n_class); with one class only, probability 0.5 and the
     label itself as prediction."""
-    f = features(g)
+    f = training_table(g)
     n = f.count()
     if n < MIN_ROWS:
         return f.limit(0).withColumn("risk_probability", F.lit(0.0)).withColumn("predicted_risk_class", F.lit(0))

@@ -82,8 +82,9 @@ class Gold:
             F.count_if(F.col("l_linestatus") == "F").alias("n_done"),
             F.count_if(F.col("l_returnflag") != "N").alias("n_sub"),
             F.count_if(F.col("l_returnflag") == "R").alias("n_rev"),
-            F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("qty"),
-            F.sum(F.col("l_discount").cast("decimal(18,2)")).alias("disc"),
+            # Exact sums as integer hundredths (fast bigint aggregation).
+            (F.sum(F.rint(F.col("l_quantity") * 100).cast("bigint")) / F.lit(100.0)).alias("qty"),
+            F.sum(F.rint(F.col("l_discount") * 100).cast("bigint")).cast("double").alias("disc_pct_points"),
         )
 
     # ---- facts -----------------------------------------------------------
@@ -118,7 +119,7 @@ class Gold:
             _status(F.col("o_orderstatus")).alias("overall_status"),
             F.coalesce(F.col("qty").cast("double"), F.lit(0.0)).alias("kc_scored"),
             F.coalesce((n * KC_POINTS_PER_LINE).cast("double"), F.lit(1.0)).alias("kc_total"),
-            F.coalesce((F.col("disc") * 100).cast("double"), F.lit(0.0)).alias("test_scored"),
+            F.coalesce(F.col("disc_pct_points"), F.lit(0.0)).alias("test_scored"),
             F.coalesce((n * TEST_POINTS_PER_LINE).cast("double"), F.lit(1.0)).alias("test_total"),
         )
 
@@ -208,7 +209,7 @@ class Gold:
                 F.format_string("%.1f / %.1f", F.col("qty").cast("double"), (n * KC_POINTS_PER_LINE).cast("double"))
             ).alias("Overall Knowledge Check"),
             F.when(no_lines, F.lit("0 / 0")).otherwise(
-                F.format_string("%.2f / %.1f", (F.col("disc") * 100).cast("double"), (n * TEST_POINTS_PER_LINE).cast("double"))
+                F.format_string("%.2f / %.1f", F.col("disc_pct_points"), (n * TEST_POINTS_PER_LINE).cast("double"))
             ).alias("Overall Test"),
             F.when(no_lines, F.lit("-")).otherwise(F.format_string("%d/%d", F.col("n_done"), n)).alias("Reviewed / Total Assignments"),
             F.when(F.col("o_orderstatus") == "F", "Completed").when(F.col("o_orderstatus") == "O", "In Progress")
