@@ -71,7 +71,10 @@ class Gold:
         return g
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        cache = self.__dict__.setdefault("_tables", {})
+        if name not in cache:
+            cache[name] = read_table(self.spark, self.sf_dir, name)
+        return cache[name]
 
     # ---- per-order line counts (one aggregate, partial/final) ------------
     @cached_property
@@ -193,6 +196,14 @@ class Gold:
         end = F.date_add(start, COURSE_WEEKS * 7 - 1)
         dated = k < 5
         no_lines = n.isNull()
+        def txt(c, decimals=None):
+            # Plain-notation text without java.util.Formatter (slow per row):
+            # a decimal cast prints like '%.nf' for these exact values.
+            return (c.cast(f"decimal(20,{decimals})") if decimals is not None else c).cast("string")
+
+        def frac(a, b, sep="/", da=None, db=None):
+            return F.concat(txt(a, da), F.lit(sep), txt(b, db))
+
         return j.select(
             F.col("o_orderkey").alias("row_id"),
             F.to_date("o_orderdate").alias("ingest_date"),
@@ -202,16 +213,14 @@ class Gold:
             F.when(dated, F.date_format(end, "dd MMM yyyy")).alias("End Date"),
             F.col("mentor_string").alias("Mentor Name"),
             F.when(F.col("o_totalprice") >= PROGRESS_UNIT,
-                   F.format_string("%d%%", F.floor(F.col("o_totalprice") / PROGRESS_UNIT))).alias("Progress (%)"),
-            F.when(~no_lines, F.format_string("%d/%d", F.col("n_done"), n)).alias("Completed Assignment"),
-            F.when(~no_lines, F.format_string("%d/%d", F.col("n_rev"), F.col("n_sub"))).alias("Reviewed / Submitted"),
+                   F.concat(txt(F.floor(F.col("o_totalprice") / PROGRESS_UNIT)), F.lit("%"))).alias("Progress (%)"),
+            F.when(~no_lines, frac(F.col("n_done"), n)).alias("Completed Assignment"),
+            F.when(~no_lines, frac(F.col("n_rev"), F.col("n_sub"))).alias("Reviewed / Submitted"),
             F.when(no_lines, F.lit("0 / 0")).otherwise(
-                F.format_string("%.1f / %.1f", F.col("qty").cast("double"), (n * KC_POINTS_PER_LINE).cast("double"))
-            ).alias("Overall Knowledge Check"),
+                frac(F.col("qty"), n * KC_POINTS_PER_LINE, " / ", 1, 1)).alias("Overall Knowledge Check"),
             F.when(no_lines, F.lit("0 / 0")).otherwise(
-                F.format_string("%.2f / %.1f", F.col("disc_pct_points"), (n * TEST_POINTS_PER_LINE).cast("double"))
-            ).alias("Overall Test"),
-            F.when(no_lines, F.lit("-")).otherwise(F.format_string("%d/%d", F.col("n_done"), n)).alias("Reviewed / Total Assignments"),
+                frac(F.col("disc_pct_points"), n * TEST_POINTS_PER_LINE, " / ", 2, 1)).alias("Overall Test"),
+            F.when(no_lines, F.lit("-")).otherwise(frac(F.col("n_done"), n)).alias("Reviewed / Total Assignments"),
             F.when(F.col("o_orderstatus") == "F", "Completed").when(F.col("o_orderstatus") == "O", "In Progress")
              .otherwise(F.lit("-")).alias("Overall Status"),
         )
