@@ -135,3 +135,13 @@ from cohortlens.streaming import landing  # noqa: E402
 
 QUERIES["st1_incremental_landing"] = lambda spark, sf_dir: landing.landed_activity(spark, sf_dir)
 QUERIES["st1_incremental_landing"].__doc__ = landing.landed_activity.__doc__
+
+# --- reload views and set checks ------------------------------------------------------
+from cohortlens.plans import reload  # noqa: E402
+
+register("w05_latest_lms_rows", reload.latest_lms_rows)
+register("b43_dim_mentor_from_facts", reload.dim_mentor_from_facts)
+register("b43_outlier_count", reload.outlier_count)
+register("u03_unknown_statuses", reload.unknown_statuses)
+register("u04_name_union", reload.name_union)
+register("f09_signed_in_mentor", lambda g: reload.signed_in_mentor_dim(g, g.dim_mentor.agg(F.min("mentor_name")).first()[0]))

@@ -3,4 +3,4 @@
 from cohortlens.operators.ranking import exact_median, exact_quantiles, rank_rows, with_total  # noqa: F401
 from cohortlens.operators.relational import (  # noqa: F401
     date_spine, duplicate_flags, islands, keep_first, null_safe_join, pivot_explicit,
-    distinct_values, share_of_total, with_scalars)
+    distinct_values, keep_last, scoped_view, share_of_total, with_scalars)

@@ -88,3 +88,25 @@ def distinct_values(df: DataFrame, column: str, limit: int = 1000) -> list:
     if len(vals) > limit:
         raise ValueError(f"{column} has more than {limit} distinct values; use the long form")
     return sorted(vals)
+
+
+def keep_last(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """One row per key, the one with the largest ``order`` value.
+
+    Written as ``max_by`` over a struct of the row: an aggregate with a
+    map-side partial step, so a key holding a large share of the rows is
+    reduced on every partition before the shuffle (a window would sort that
+    key's rows in one task). ``order`` should be unique within a key.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    agg = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(order)).alias("__row"))
+    return agg.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest])
+
+
+def scoped_view(dim: DataFrame, column: str, value) -> DataFrame:
+    """the rows of ``dim`` whose ``column`` equals ``value``; all rows when
+    none does (the sign-in fallback). The match count is a one-row aggregate,
+    broadcast to every row."""
+    hit = dim.agg(F.count_if(F.col(column) == F.lit(value)).alias("__hits"))
+    j = dim.crossJoin(F.broadcast(hit))
+    return j.where((F.col("__hits") == 0) | (F.col(column) == F.lit(value))).drop("__hits")

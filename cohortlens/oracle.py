@@ -743,3 +743,37 @@ FROM (SELECT intern_id, avg(progress) AS progress, sum(reviewed) AS reviewed,
 JOIN th ON l.intern_id = th.intern_id""", SCORES + ",\n" + TH)
 
 SQL["st1_incremental_landing"] = with_gold("SELECT row_id, date, full_name, activity, hours FROM silver_eod", BRONZE)
+
+# ---------------------------------------------------------------------------
+# Reload views and set checks
+# ---------------------------------------------------------------------------
+ICON = ("CASE activity WHEN 'PySpark Session' THEN '⚡' WHEN 'Data Engineering Course' THEN '🏗️' "
+        "WHEN 'NumPy Practice' THEN '🔢' WHEN 'Advanced SQL Practice' THEN '🗄️' "
+        "WHEN 'Power BI Dashboard Work' THEN '📊' WHEN 'PySpark LMS Learning' THEN '📚' "
+        "WHEN 'Pandas Exam Preparation' THEN '🐼' WHEN 'PL/SQL Concepts' THEN '🔍' "
+        "WHEN 'Project Research' THEN '🔬' WHEN 'Pandas Practice' THEN '🐼' "
+        "WHEN 'Spark Architecture Study' THEN '🏛️' WHEN 'SQL Revision' THEN '🔄' ELSE '•' END")
+LABEL = f"{ICON} || ' ' || substr(activity, 1, 18)"
+for _k in ("a05_activity_share", "a05_cohort_activity_share"):
+    SQL[_k] = SQL[_k].replace(" AS share\nFROM (", f" AS share, {LABEL} AS label\nFROM (", 1)
+
+SQL["w05_latest_lms_rows"] = with_gold("""
+SELECT intern_id, course_id, lms_row_id, progress, overall_status FROM (
+  SELECT *, row_number() OVER (PARTITION BY intern_id, course_id ORDER BY lms_row_id DESC) AS rn FROM fact_lms)
+WHERE rn = 1""")
+SQL["b43_dim_mentor_from_facts"] = with_gold("""
+SELECT DISTINCT unnest(list_distinct(list_filter(list_transform(string_split(mentor_string, ', '), lambda x: trim(x)),
+                                                 lambda x: x <> ''))) AS mentor_name
+FROM fact_lms f JOIN intern_mentors m ON f.intern_id = m.intern_id""")
+SQL["b43_outlier_count"] = with_gold(f"SELECT count_if(h > 12.0) AS outlier_days FROM (SELECT {hsum()} AS h FROM fact_activity WHERE date IS NOT NULL GROUP BY intern_id, date)")
+SQL["u03_unknown_statuses"] = with_gold("""
+SELECT DISTINCT "Overall Status" AS status FROM bronze_lms
+WHERE "Overall Status" IS NOT NULL
+  AND "Overall Status" NOT IN ('Completed', 'In Progress', 'In progress', 'Not started', 'Not Started')""", BRONZE)
+SQL["u04_name_union"] = with_gold("""
+SELECT count(*) AS n_names FROM (
+  SELECT intern_name AS name FROM silver_lms UNION SELECT full_name FROM silver_eod) WHERE name IS NOT NULL""", BRONZE)
+SQL["f09_signed_in_mentor"] = with_gold("""
+SELECT mentor_name FROM (SELECT DISTINCT mentor_name FROM bridge)
+WHERE mentor_name = (SELECT min(mentor_name) FROM bridge)
+   OR NOT EXISTS (SELECT 1 FROM bridge WHERE mentor_name = (SELECT min(mentor_name) FROM bridge))""")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.dates import iso_week, iso_year, weekday0
 from cohortlens.functions.numeric import round_half_even
+from cohortlens.functions.text import lookup, short_label
 from cohortlens.operators.relational import distinct_values, islands, share_of_total
 from cohortlens.plans.common import Params, activity, hours_sum
 from cohortlens.sources.bindings import Gold
@@ -48,10 +49,33 @@ def daily_stats(g: Gold, p: Params | None = None) -> DataFrame:
     )
 
 
+# Activity labels of the EOD sheet and their icons; others get '•'.
+ACTIVITY_ICON = {
+    "PySpark Session": "⚡",
+    "Data Engineering Course": "🏗️",
+    "NumPy Practice": "🔢",
+    "Advanced SQL Practice": "🗄️",
+    "Power BI Dashboard Work": "📊",
+    "PySpark LMS Learning": "📚",
+    "Pandas Exam Preparation": "🐼",
+    "PL/SQL Concepts": "🔍",
+    "Project Research": "🔬",
+    "Pandas Practice": "🐼",
+    "Spark Architecture Study": "🏛️",
+    "SQL Revision": "🔄",
+}
+
+
+def activity_label(c) -> "F.Column":
+    """C13 + C22: '<icon> <first 18 characters>'."""
+    return F.concat(lookup(c, ACTIVITY_ICON, "•"), F.lit(" "), short_label(c, 18))
+
+
 def activity_hours(g: Gold, by=("intern_id",), p: Params | None = None) -> DataFrame:
-    """Hours per activity within ``by`` with the share of the total."""
+    """Hours per activity within ``by`` with the share of the total
+    and the display label."""
     a = activity(g, p).groupBy(*by, "activity").agg(hours_sum().alias("hours"))
-    return share_of_total(a, "hours", list(by), "share")
+    return share_of_total(a, "hours", list(by), "share").withColumn("label", activity_label(F.col("activity")))
 
 
 def activity_by_mentor(g: Gold, p: Params | None = None) -> DataFrame:

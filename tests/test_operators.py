@@ -47,3 +47,28 @@ def test_share_of_total(spark):
     df = spark.createDataFrame([("x", "a", 1.0), ("x", "b", 3.0), ("y", "a", 2.0)], "k string, a string, h double")
     got = {(r.k, r.a): r.share for r in share_of_total(df, "h", ["k"]).collect()}
     assert got == {("x", "a"): 0.25, ("x", "b"): 0.75, ("y", "a"): 1.0}
+
+
+def test_keep_last_and_scoped_view(spark):
+    from cohortlens.operators import keep_last, scoped_view
+    df = spark.createDataFrame([(1, "a", 10, "old"), (1, "a", 12, "new"), (2, "b", 5, "only")] + [(3, "h", i, f"v{i}") for i in range(200)],
+                               "k long, c string, seq long, v string")
+    got = {(r.k, r.c): (r.seq, r.v) for r in keep_last(df, ["k", "c"], "seq").collect()}
+    assert got == {(1, "a"): (12, "new"), (2, "b"): (5, "only"), (3, "h"): (199, "v199")}
+    dim = spark.createDataFrame([("Asha",), ("Raj",)], "mentor_name string")
+    assert [r[0] for r in scoped_view(dim, "mentor_name", "Raj").collect()] == ["Raj"]
+    assert scoped_view(dim, "mentor_name", "Nobody").count() == 2   # fallback: everything
+
+
+def test_date_range_filter_reaches_scan(spark):
+    from pyspark.sql import functions as F
+    from cohortlens.plans.activity import total_hours
+    from cohortlens.plans.common import Params
+    from cohortlens.sources.bindings import Gold
+    g = Gold(spark, "/root/testdata/sf0.001")
+    df = total_hours(g, Params(start="2024-01-10", end="2024-01-12"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan or "DataFilters" in plan
+    full = {r.intern_id: r.total_hours for r in total_hours(g).collect()}
+    part = {r.intern_id: r.total_hours for r in df.collect()}
+    assert set(part) <= set(full) and sum(part.values()) < sum(full.values())
