@@ -25,6 +25,26 @@ BASE_CONF = {
 }
 
 
+# Settings for the cluster deployment (~100 TB of input, ~1000 executors).
+# AQE starts from many shuffle partitions and coalesces them towards the
+# advisory size, so each reducer holds ~256 MiB and spills rarely; scans
+# split files at 256 MiB; skewed join partitions are split above 5x the
+# median / 1 GiB; broadcasts stay below 64 MiB at runtime.
+CLUSTER_CONF = {
+    **BASE_CONF,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.sources.bucketing.autoBucketedScan.enabled": "true",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "cohortlens", extra: dict | None = None) -> SparkSession:
     master = master or os.environ.get("COHORTLENS_MASTER", "local[8]")
