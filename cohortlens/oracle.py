@@ -8,6 +8,15 @@ DECIMAL(38,2); decimal half-even rounding goes through DECIMAL(38,9).
 
 from __future__ import annotations
 
+from cohortlens.plans.intern import BANNER_BELOW_MEDIAN, BANNER_NOT_STARTED, BANNER_ON_TRACK, BANNER_TOP
+from cohortlens.plans.mentor import (CARD_BACKLOG, CARD_CLEAR, CARD_MEDIUM, CARD_URGENT, PLAN_HIGH, PLAN_LOW,
+                                     PLAN_MEDIUM)
+
+
+def lit(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("'", "''") + "'"
+
 
 def rhe(expr: str, digits: int = 1) -> str:
     """Half-even rounding matching ``functions.round_half_even``."""
@@ -160,7 +169,7 @@ ILMS = """ilms AS (
          sum(total_assg) AS sum_total_assg, count(*) AS n_courses,
          count_if(overall_status = 'Completed') AS n_completed,
          count_if(overall_status IN ('Not started', 'Not Started')) AS n_not_started,
-         coalesce(bool_and(progress >= 70), true) AS all_above_70
+         coalesce(bool_and(coalesce(progress >= 70, false)), true) AS all_above_70
   FROM fact_lms GROUP BY intern_id)"""
 A01 = "a01 AS (SELECT course_name, avg(progress) AS avg_progress FROM fact_lms JOIN dim_course USING (course_id) GROUP BY course_name)"
 RANK = f"""rk AS (
@@ -393,10 +402,10 @@ SQL["b29_banner"] = with_gold(f"""
 SELECT intern_id,
   CASE WHEN avg_progress >= 80 THEN 'success' WHEN n_not_started > 0 THEN 'warning'
        WHEN h < median_hours THEN 'warning' ELSE 'info' END AS banner_type,
-  CASE WHEN avg_progress >= 80 THEN printf('Top tier: average progress %.0f%%', {rhe('avg_progress', 0)})
-       WHEN n_not_started > 0 THEN printf('Heads up: %d course(s) not started yet', n_not_started)
-       WHEN h < median_hours THEN printf('Almost there: %.1f hrs below the cohort median', {rhe('median_hours - h', 1)})
-       ELSE printf('On track: %.0f hrs logged', {rhe('h', 0)}) END AS banner_text
+  CASE WHEN avg_progress >= 80 THEN printf({lit(BANNER_TOP)}, {rhe('avg_progress', 0)})
+       WHEN n_not_started > 0 THEN printf({lit(BANNER_NOT_STARTED)}, n_not_started)
+       WHEN h < median_hours THEN printf({lit(BANNER_BELOW_MEDIAN)}, {rhe('median_hours - h', 1)})
+       ELSE printf({lit(BANNER_ON_TRACK)}, {rhe('h', 0)}) END AS banner_text
 FROM (SELECT ilms.*, coalesce(th.total_hours, 0.0::DOUBLE) AS h FROM ilms LEFT JOIN th USING (intern_id)) CROSS JOIN qs""",
     ILMS + ",\n" + TH + ",\n" + QUANT)
 SQL["b30_radar_profile"] = with_gold("SELECT * FROM (SELECT intern_id, " + ", ".join(
@@ -439,18 +448,18 @@ FROM risk r JOIN bridge b ON r.intern_id = b.intern_id""", RISK_CTES)
 SQL["t02_top_risk"] = with_gold("""
 SELECT intern_id, intern_name, risk_score, prog_risk, effort_risk, assg_lag, recency_risk
 FROM risk ORDER BY risk_score DESC, intern_id LIMIT 12""", RISK_CTES)
-SQL["b19_action_items"] = with_gold("""
-SELECT mentor_name, ord, card, text FROM (
-  SELECT mentor_name, 1 AS ord, 'urgent' AS card, printf('%d intern(s) need immediate check-in', n_high) AS text
+SQL["b19_action_items"] = with_gold(f"""
+SELECT mentor_name, ord, card, title, text FROM (
+  SELECT mentor_name, 1 AS ord, 'urgent' AS card, {lit(CARD_URGENT[0])} AS title, printf({lit(CARD_URGENT[1])}, n_high) AS text
   FROM m WHERE n_high > 0
   UNION ALL
-  SELECT mentor_name, 2, 'backlog', printf('%d assignments are awaiting your review across %d intern-course combinations.',
+  SELECT mentor_name, 2, 'backlog', {lit(CARD_BACKLOG[0])}, printf({lit(CARD_BACKLOG[1])},
          coalesce(total_pending, 0), coalesce(pairs, 0)) FROM m WHERE coalesce(total_pending, 0) > 5
   UNION ALL
-  SELECT mentor_name, 3, 'medium_watch', printf('%d interns are trending downward in effort.', n_medium)
+  SELECT mentor_name, 3, 'medium_watch', {lit(CARD_MEDIUM[0])}, printf({lit(CARD_MEDIUM[1])}, n_medium)
   FROM m WHERE n_medium > 2
   UNION ALL
-  SELECT mentor_name, 4, 'all_clear', 'No urgent action items.' FROM m
+  SELECT mentor_name, 4, 'all_clear', {lit(CARD_CLEAR[0])}, {lit(CARD_CLEAR[1])} FROM m
   WHERE NOT (n_high > 0 OR coalesce(total_pending, 0) > 5 OR n_medium > 2))""", RISK_CTES + """,
 m AS (
   SELECT r.mentor_name, n_high, n_medium, total_pending, pairs FROM (
@@ -479,18 +488,21 @@ SELECT b.mentor_name, w.intern_id, week, hours
 FROM (SELECT intern_id, week, {hsum()} AS hours FROM fa_wk GROUP BY ALL) w JOIN bridge b USING (intern_id)""", WK)
 SQL["b24_profile_list"] = with_gold(f"""
 SELECT b.mentor_name, b.intern_id, coalesce(risk_level, 'Low') AS risk_level, coalesce(risk_score, 0.0::DOUBLE) AS risk_score,
-       {fmt0('avg_progress')} AS progress_label,
+       coalesce({fmt0('avg_progress')}, '—') AS progress_label,
        printf('%.0f hrs', {rhe('coalesce(th.total_hours, 0.0::DOUBLE)', 0)}) AS hours_label
 FROM bridge b LEFT JOIN risk r ON b.intern_id = r.intern_id LEFT JOIN th ON b.intern_id = th.intern_id""",
     RISK_CTES + ",\n" + TH)
-SQL["b38_intervention_plan"] = with_gold("""
-SELECT intern_id, risk_level,
-  CASE WHEN risk_level = 'High' THEN printf('Schedule a 1:1 with %s this week; review the %.1f%% average progress and set daily goals.',
-                                             split_part(trim(intern_name), ' ', 1), avg_progress)
-       WHEN risk_level = 'Medium' THEN printf('Check in with %s on the effort trend and pending reviews; pair with a peer.',
-                                               split_part(trim(intern_name), ' ', 1))
-       ELSE printf('Keep %s engaged with stretch tasks.', split_part(trim(intern_name), ' ', 1)) END AS plan_text
-FROM risk""", RISK_CTES)
+SQL["b38_intervention_plan"] = with_gold(f"""
+SELECT intern_id, tier AS risk_level,
+  CASE tier WHEN 'High' THEN printf({lit(PLAN_HIGH)}, nm, nm, prog, hrs)
+            WHEN 'Medium' THEN printf({lit(PLAN_MEDIUM)}, nm, nm, prog, hrs)
+            ELSE printf({lit(PLAN_LOW)}, nm, nm, prog, hrs) END AS plan_text
+FROM (SELECT l.intern_id, coalesce(d.intern_name, 'Unknown') AS nm,
+             CASE WHEN avg_progress < 40 THEN 'High' WHEN avg_progress > 70 THEN 'Low' ELSE 'Medium' END AS tier,
+             coalesce({fmt0('avg_progress')}, 'nan%') AS prog,
+             printf('%.0f hrs', {rhe('coalesce(th.total_hours, 0.0::DOUBLE)', 0)}) AS hrs
+      FROM (SELECT intern_id, avg(progress) AS avg_progress FROM fact_lms GROUP BY intern_id) l
+      LEFT JOIN th ON l.intern_id = th.intern_id LEFT JOIN dim_intern d ON l.intern_id = d.intern_id)""", TH)
 
 # ---------------------------------------------------------------------------
 # Bronze -> silver -> gold

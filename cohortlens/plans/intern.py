@@ -28,6 +28,12 @@ BADGE_ON_TRACK = "🎯 On track to complete all courses!"
 BADGE_ALL_DONE = "🏆 All courses completed! Star intern!"
 BADGE_LOW_EFFORT = "⚠️ Low effort detected — time to push harder!"
 BADGE_STEADY = "📈 Progressing steadily. Keep the momentum!"
+BANNER_TOP = "🚀 **Top Tier Alert!** Your average progress is **%.0f%%** — you're outpacing most of your cohort. Keep crushing it!"
+BANNER_NOT_STARTED = "⚡ **Heads Up!** You haven't started **%d course(s)** yet. Every day counts — time to dive in!"
+BANNER_BELOW_MEDIAN = ("📈 **Almost There!** You're **%.1f hrs** below the cohort median. "
+                       "A little extra daily effort will move your rank significantly!")
+BANNER_ON_TRACK = ("✅ **On Track!** You've logged **%.0f hrs** and your effort is above the cohort median. "
+                   "Consistency is your superpower!")
 
 
 def cohort_hour_stats(g: Gold, p: Params | None = None) -> DataFrame:
@@ -73,7 +79,8 @@ def _intern_lms(g: Gold) -> DataFrame:
         F.sum("reviewed").alias("sum_reviewed"), F.sum("total_assg").alias("sum_total_assg"),
         F.count(F.lit(1)).alias("n_courses"), F.count_if(st == "Completed").alias("n_completed"),
         F.count_if(st.isin(*NOT_STARTED)).alias("n_not_started"),
-        F.coalesce(F.bool_and(F.col("progress") >= 70), F.lit(True)).alias("all_above_70"))
+        # A missing progress value fails the test (NaN >= 70 is false).
+        F.coalesce(F.bool_and(F.coalesce(F.col("progress") >= 70, F.lit(False))), F.lit(True)).alias("all_above_70"))
 
 
 def skill_intensity(g: Gold, p: Params | None = None) -> DataFrame:
@@ -130,12 +137,10 @@ def banner(g: Gold, p: Params | None = None) -> DataFrame:
     j = lms.join(th, "intern_id", "left")
     hours = F.coalesce(F.col("total_hours"), F.lit(0.0))
     ap = F.col("avg_progress")
-    text = (F.when(ap >= 80, F.format_string("Top tier: average progress %.0f%%", round_half_even(ap, 0)))
-             .when(F.col("n_not_started") > 0,
-                   F.format_string("Heads up: %d course(s) not started yet", F.col("n_not_started")))
-             .when(hours < med, F.format_string("Almost there: %.1f hrs below the cohort median",
-                                                round_half_even(med - hours, 1)))
-             .otherwise(F.format_string("On track: %.0f hrs logged", round_half_even(hours, 0))))
+    text = (F.when(ap >= 80, F.format_string(BANNER_TOP, round_half_even(ap, 0)))
+             .when(F.col("n_not_started") > 0, F.format_string(BANNER_NOT_STARTED, F.col("n_not_started")))
+             .when(hours < med, F.format_string(BANNER_BELOW_MEDIAN, round_half_even(med - hours, 1)))
+             .otherwise(F.format_string(BANNER_ON_TRACK, round_half_even(hours, 0))))
     kind = (F.when(ap >= 80, "success").when(F.col("n_not_started") > 0, "warning")
              .when(hours < med, "warning").otherwise("info"))
     return j.select("intern_id", kind.alias("banner_type"), text.alias("banner_text"))
