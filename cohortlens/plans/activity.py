@@ -127,9 +127,10 @@ def weekly_with_cohort(g: Gold, p: Params | None = None) -> DataFrame:
 def cohort_weekly_band(g: Gold, p: Params | None = None) -> DataFrame:
     """Cohort hours per week, their mean and the +-10 % target band."""
     wk = weekly_hours(g, (), p)
-    mean = wk.agg((hours_sum() / F.count(F.lit(1))).alias("m")).scalar()
-    return wk.select("week", "hours", mean.alias("avg_hours"),
-                     (mean * 0.9).alias("band_low"), (mean * 1.1).alias("band_high"))
+    mean = wk.agg((hours_sum() / F.count(F.lit(1))).alias("avg_hours"))   # one row: broadcast
+    j = wk.crossJoin(F.broadcast(mean))
+    return j.select("week", "hours", "avg_hours", (F.col("avg_hours") * 0.9).alias("band_low"),
+                    (F.col("avg_hours") * 1.1).alias("band_high"))
 
 
 def cohort_activity_mean(g: Gold, p: Params | None = None) -> DataFrame:

@@ -46,9 +46,9 @@ def hours_rank(g: Gold, p: Params | None = None) -> DataFrame:
     interns with activity, with '#r of n'. Range-partitioned, no global window."""
     th = total_hours(g, p)
     r = rank_rows(th, [F.desc("total_hours"), F.asc("intern_id")], name="rank")
-    n = th.agg(F.count(F.lit(1))).scalar()
-    return r.select("intern_id", "total_hours", "rank", n.alias("n_ranked"),
-                    fmt_rank(F.col("rank"), n).alias("rank_label"))
+    n = th.agg(F.count(F.lit(1)).alias("n_ranked"))                        # one row: broadcast
+    return r.crossJoin(F.broadcast(n)).select("intern_id", "total_hours", "rank", "n_ranked",
+                                              fmt_rank(F.col("rank"), F.col("n_ranked")).alias("rank_label"))
 
 
 def mentor_hours_rank(g: Gold, p: Params | None = None) -> DataFrame:
@@ -87,9 +87,9 @@ def skill_intensity(g: Gold, p: Params | None = None) -> DataFrame:
     """100 * (0.5 * progress/100 + 0.3 * min(hours/median, 1.5)/1.5 + 0.2 * reviewed/total)."""
     lms = _intern_lms(g)
     th = total_hours(g, p)
-    med = cohort_hour_stats(g, p).select("median_hours").scalar()
+    j = lms.join(th, "intern_id", "left").crossJoin(F.broadcast(cohort_hour_stats(g, p)))
+    med = F.col("median_hours")
     med_g = F.when((med.isNull()) | (med == 0), F.lit(1.0)).otherwise(med)
-    j = lms.join(th, "intern_id", "left")
     hours = F.coalesce(F.col("total_hours"), F.lit(0.0))
     ratio = F.least(hours / med_g, F.lit(HOURS_RATIO_CAP)) / HOURS_RATIO_CAP
     assg = F.col("sum_reviewed") / F.greatest(F.col("sum_total_assg"), F.lit(1))
@@ -101,9 +101,9 @@ def cohort_skill_intensity(g: Gold, p: Params | None = None) -> DataFrame:
     """Mean skill score over interns with both LMS rows and activity; 50.0 when none."""
     lms = _intern_lms(g)
     th = total_hours(g, p)
-    med = cohort_hour_stats(g, p).select("median_hours").scalar()
+    j = lms.join(th, "intern_id").crossJoin(F.broadcast(cohort_hour_stats(g, p)))
+    med = F.col("median_hours")
     med_g = F.when((med.isNull()) | (med == 0), F.lit(1.0)).otherwise(med)
-    j = lms.join(th, "intern_id")
     ratio = F.least(F.col("total_hours") / med_g, F.lit(HOURS_RATIO_CAP)) / HOURS_RATIO_CAP
     assg = F.col("sum_reviewed") / F.when(F.col("sum_total_assg") == 0, 1).otherwise(F.col("sum_total_assg"))
     score = (F.col("avg_progress") / 100 * W_PROGRESS) + (ratio * W_HOURS) + (assg * W_ASSIGN)
@@ -133,8 +133,8 @@ def banner(g: Gold, p: Params | None = None) -> DataFrame:
     """The ordered banner rule (top tier / not started / below median / on track)."""
     lms = _intern_lms(g)
     th = total_hours(g, p)
-    med = cohort_hour_stats(g, p).select("median_hours").scalar()
-    j = lms.join(th, "intern_id", "left")
+    j = lms.join(th, "intern_id", "left").crossJoin(F.broadcast(cohort_hour_stats(g, p)))
+    med = F.col("median_hours")
     hours = F.coalesce(F.col("total_hours"), F.lit(0.0))
     ap = F.col("avg_progress")
     text = (F.when(ap >= 80, F.format_string(BANNER_TOP, round_half_even(ap, 0)))
@@ -181,8 +181,9 @@ def kpi_strip(g: Gold, p: Params | None = None) -> DataFrame:
     mean of course means, formatted, for every intern with LMS rows."""
     lms = _intern_lms(g)
     rk = hours_rank(g, p)
-    mean_of_means = course_avg_progress(g).agg(F.avg("avg_progress")).scalar()
-    j = lms.join(rk, "intern_id", "left")
+    mom = course_avg_progress(g).agg(F.avg("avg_progress").alias("__mom"))    # one row: broadcast
+    j = lms.join(rk, "intern_id", "left").crossJoin(F.broadcast(mom))
+    mean_of_means = F.col("__mom")
     hours = F.coalesce(F.col("total_hours"), F.lit(0.0))
     return j.select(
         "intern_id",

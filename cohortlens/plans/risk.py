@@ -20,16 +20,20 @@ RECENCY_PER_DAY = 1.5
 def activity_windows(fa: DataFrame) -> DataFrame:
     """Per intern, one pass over activity: hours in [M-14, M], in [M-28, M-14),
     last active date and total hours (M = global last date)."""
-    m = max_date(fa)
+    # The scalar subquery sits in one projection, so it is planned and run
+    # once; the aggregates read it as a column (constant within the query).
+    x = fa.withColumn("__m", max_date(fa))
+    m = F.col("__m")
     d14, d28 = F.date_sub(m, RECENT_DAYS), F.date_sub(m, PREVIOUS_DAYS)
     d = F.col("date")
-    return fa.groupBy("intern_id").agg(
+    agg = x.groupBy("intern_id", "__m").agg(
         F.coalesce(hours_sum(F.when(d >= d14, F.col("hours"))), F.lit(0.0)).alias("recent_hours"),
         F.coalesce(hours_sum(F.when((d >= d28) & (d < d14), F.col("hours"))), F.lit(0.0)).alias("prev_hours"),
         F.max("date").alias("last_date"),
-        F.datediff(m, F.max("date")).alias("days_since"),
         hours_sum().alias("total_hours"),
     )
+    return agg.select("intern_id", "recent_hours", "prev_hours", "last_date",
+                      F.datediff(m, F.col("last_date")).alias("days_since"), "total_hours")
 
 
 def lms_summary(g: Gold) -> DataFrame:
