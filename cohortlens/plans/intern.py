@@ -63,13 +63,14 @@ def masked_leaderboard(g: Gold, viewer_id, p: Params | None = None) -> DataFrame
     """The hours leaderboard as one viewer sees it: their own row named,
     every other intern shown as 'Intern #r'. The ranked table is shared; the
     mask is applied at read time for the given viewer."""
-    r = hours_rank(g, p).join(g.dim_intern, "intern_id", "left")
-    me = F.col("intern_id") == viewer_id
+    # The viewer test is projected once (the viewer may be a scalar subquery).
+    r = hours_rank(g, p).join(g.dim_intern, "intern_id", "left").withColumn("is_viewer", F.col("intern_id") == viewer_id)
+    me = F.col("is_viewer")
     name = F.when(me, F.concat(F.lit("⭐ "), F.col("intern_name"), F.lit(" (You)"))).otherwise(
         F.format_string("Intern #%d", F.col("rank")))
     return r.select(F.format_string("#%d", F.col("rank")).alias("rank_label"), name.alias("name"),
                     F.format_string("%.0f hrs", round_half_even(F.col("total_hours"), 0)).alias("hours_label"),
-                    F.col("total_hours").alias("bar"), me.alias("is_viewer"))
+                    F.col("total_hours").alias("bar"), "is_viewer")
 
 
 def _intern_lms(g: Gold) -> DataFrame:

@@ -68,11 +68,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
     used as is. Only when it is unset (local tests) a scratch folder is made.
     """
-    sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
-    d = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: only the session conf is visible
+        sc = None
+    if sc is not None:
+        current = sc._jsc.sc().getCheckpointDir()
+        if current.isDefined():
+            return current.get()
+    d = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
     if not d:
         try:
             d = spark.conf.get("spark.checkpoint.dir")
@@ -80,5 +84,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
             d = None
     if not d:
         d = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
-    sc.setCheckpointDir(d)
+    if sc is not None:
+        sc.setCheckpointDir(d)
     return d

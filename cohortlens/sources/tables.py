@@ -30,10 +30,12 @@ def spread_small_scan(df: DataFrame) -> DataFrame:
     At scale the files have far more splits than cores and the scan is
     left untouched, so no shuffle is added there.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no SparkContext (e.g. Spark Connect): leave the scan as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
