@@ -120,6 +120,8 @@ register("b39_progress_per_course", profile.progress_per_course)
 register("b39_status_shares", profile.status_shares)
 register("b39_ratio_profile", profile.ratio_profile)
 register("b39_activity_shares", profile.activity_shares)
+register("b39_mentors_per_course", profile.mentors_per_course)
+register("b39_total_values", profile.total_values)
 register("b39_eod_profile", profile.eod_profile)
 register("b41_status_mix", profile.status_mix)
 register("b41_generation_summary", profile.generation_summary)

@@ -277,7 +277,10 @@ FROM (SELECT *, CAST(sum(CAST(v AS DECIMAL(38,1))) OVER (PARTITION BY metric) AS
 GROUP BY metric, s1, s2, n""", SCORES)
 SQL["b13_progress_by_course"] = with_gold(f"""
 SELECT lms_row_id, intern_id, intern_name, split_part(trim(intern_name), ' ', 1) AS first_name,
-       {SHORT} AS course_short, progress
+       array_to_string(list_transform(regexp_split_to_array(trim(intern_name), '\\s+')[1:2],
+                                      lambda w: upper(left(w, 1))), '') AS initials,
+       {SHORT} AS course_short, progress,
+       CASE WHEN progress >= 70 THEN 'good' WHEN progress >= 40 THEN 'fair' ELSE 'low' END AS progress_band
 FROM fact_lms JOIN dim_intern USING (intern_id) JOIN dim_course USING (course_id)""")
 SQL["b16_course_detail"] = with_gold(f"""
 SELECT lms_row_id, intern_name, course_name, reviewed, total_assg, total_assg - reviewed AS pending, overall_status,
@@ -789,3 +792,11 @@ SQL["f09_signed_in_mentor"] = with_gold("""
 SELECT mentor_name FROM (SELECT DISTINCT mentor_name FROM bridge)
 WHERE mentor_name = (SELECT min(mentor_name) FROM bridge)
    OR NOT EXISTS (SELECT 1 FROM bridge WHERE mentor_name = (SELECT min(mentor_name) FROM bridge))""")
+
+SQL["b39_mentors_per_course"] = with_gold("""
+SELECT DISTINCT "Course Name" AS course_name, "Mentor Name" AS mentor FROM bronze_lms WHERE "Mentor Name" IS NOT NULL""", BRONZE)
+SQL["b39_total_values"] = with_gold(f"""
+SELECT DISTINCT metric, value FROM (
+  SELECT 'assg_total' AS metric, {frac_sql('"Reviewed / Total Assignments"', 1, '1.0')} AS value FROM bronze_lms
+  UNION ALL SELECT 'kc_total', {frac_sql('"Overall Knowledge Check"', 1, '1.0')} FROM bronze_lms
+  UNION ALL SELECT 'test_total', {frac_sql('"Overall Test"', 1, '1.0')} FROM bronze_lms)""", BRONZE)

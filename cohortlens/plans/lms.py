@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.fmt import dash_if_nonpositive, fmt_pct0, fmt_ratio
 from cohortlens.functions.numeric import exact_units, pct, round_half_even, zero_to_one
-from cohortlens.functions.text import first_token, lookup
+from cohortlens.functions.fmt import progress_band
+from cohortlens.functions.text import first_token, initials, lookup
 from cohortlens.operators.ranking import exact_quantiles
 from cohortlens.operators.relational import distinct_values
 from cohortlens.plans.common import COURSE_SHORT, IN_PROGRESS, NOT_STARTED
@@ -89,7 +90,9 @@ def progress_by_course(g: Gold) -> DataFrame:
     """Each LMS row with intern first name and course short name."""
     j = g.fact_lms_light.join(g.dim_intern, "intern_id").join(g.dim_course, "course_id")
     return j.select("lms_row_id", "intern_id", "intern_name", first_token("intern_name").alias("first_name"),
-                    lookup("course_name", COURSE_SHORT).alias("course_short"), "progress")
+                    initials("intern_name").alias("initials"),
+                    lookup("course_name", COURSE_SHORT).alias("course_short"), "progress",
+                    progress_band(F.col("progress")).alias("progress_band"))
 
 
 def course_assignment_detail(g: Gold) -> DataFrame:

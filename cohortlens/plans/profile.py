@@ -101,6 +101,26 @@ def ratio_profile(g: Gold) -> DataFrame:
     return long.groupBy("metric").agg(*_exact_moments(F.col("v"), 12)[:3])
 
 
+def mentors_per_course(g: Gold) -> DataFrame:
+    """The distinct mentor strings seen per course, as rows (a list
+    per course would gather an unbounded group into one value)."""
+    b = g.bronze_lms.where(F.col("Mentor Name").isNotNull())
+    return b.select(F.col("Course Name").alias("course_name"), F.col("Mentor Name").alias("mentor")).distinct()
+
+
+def total_values(g: Gold) -> DataFrame:
+    """The distinct denominators of the assignment, KC and test
+    fractions, as (metric, value) rows."""
+    b = g.bronze_lms
+    long = b.select(F.explode(F.array(
+        F.struct(F.lit("assg_total").alias("metric"),
+                 fraction_part(F.col("Reviewed / Total Assignments"), 1, 1.0).alias("value")),
+        F.struct(F.lit("kc_total").alias("metric"), fraction_part(F.col("Overall Knowledge Check"), 1, 1.0).alias("value")),
+        F.struct(F.lit("test_total").alias("metric"), fraction_part(F.col("Overall Test"), 1, 1.0).alias("value")),
+    )).alias("x")).select("x.*")
+    return long.distinct()
+
+
 def activity_shares(g: Gold) -> DataFrame:
     c = g.bronze_eod.groupBy(F.col("Activity").alias("activity")).agg(F.count(F.lit(1)).alias("n"))
     return share_of_total(c, "n", (), "share", scale=0)

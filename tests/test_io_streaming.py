@@ -57,3 +57,13 @@ def test_daily_batch_and_sinks(spark, tmpdir_fresh):
     sinks.save_bucketed(act.withColumnRenamed("full_name", "intern_id"), "eod_bucketed", buckets=4)
     assert spark.table("eod_bucketed").count() == 1
     assert sinks.load_or_build(spark, "eod_bucketed", lambda: None).count() == 1
+
+
+def test_export_by_course(spark, tmpdir_fresh):
+    df = spark.createDataFrame([("a", "Basic SQL"), ("b", "Basic SQL"), ("c", "Basic Python Programming")],
+                               "`User Name` string, `Course Name` string")
+    sinks.export_by_course(df, tmpdir_fresh)
+    parts = sorted(os.listdir(os.path.join(tmpdir_fresh, "by_course")))
+    assert [p for p in parts if p.startswith("Course Name=")] == ["Course Name=Basic Python Programming",
+                                                                   "Course Name=Basic SQL"]
+    assert spark.read.option("header", True).csv(os.path.join(tmpdir_fresh, "combined")).count() == 3
