@@ -1,6 +1,6 @@
 """Reusable relational operators."""
 
-from cohortlens.operators.ranking import exact_median, exact_quantiles, rank_rows, with_total  # noqa: F401
+from cohortlens.operators.materialize import materialize  # noqa: F401
+from cohortlens.operators.ranking import exact_median, exact_quantiles, rank_rows  # noqa: F401
 from cohortlens.operators.relational import (  # noqa: F401
-    date_spine, duplicate_flags, islands, keep_first, null_safe_join, pivot_explicit,
-    distinct_values, keep_last, scoped_view, share_of_total, with_scalars)
+    distinct_values, islands, keep_last, null_safe_join, scoped_view, share_of_total)

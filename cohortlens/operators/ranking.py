@@ -60,17 +60,6 @@ def rank_rows(df: DataFrame, order: Sequence, group: Sequence[str] = (),
     return out
 
 
-def with_total(df: DataFrame, group: Sequence[str] = (), name: str = "total") -> DataFrame:
-    """Add the group row count (``count(*) over (partition by group)``) via an
-    aggregate + join rather than a window, so a hot group never lands in one task."""
-    group = list(group)
-    if not group:
-        cnt = df.agg(F.count(F.lit(1)).alias(name))
-        return df.crossJoin(F.broadcast(cnt))
-    cnt = df.groupBy(*group).agg(F.count(F.lit(1)).alias(name))
-    return df.join(cnt, [df[g].eqNullSafe(cnt[g]) for g in group]).select(df["*"], cnt[name])
-
-
 def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], names: Sequence[str] | None = None,
                     group: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (the definition of pandas

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.fmt import fmt_pct0, fmt_score
 from cohortlens.functions.numeric import round_half_even
-from cohortlens.functions.text import contains_regex, first_token
+from cohortlens.functions.text import contains_regex
 from cohortlens.plans.activity import total_hours
 from cohortlens.plans.common import NOT_STARTED, Params, activity, hours_sum
 from cohortlens.plans.lms import pending_reviews
