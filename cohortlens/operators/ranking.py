@@ -91,5 +91,16 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], names: Seque
     return sel.groupBy(*group).agg(*aggs) if group else sel.agg(*aggs)
 
 
+def approx_quantiles(df: DataFrame, value: str, qs: Sequence[float], names: Sequence[str] | None = None,
+                     group: Sequence[str] = (), accuracy: int = 10_000) -> DataFrame:
+    """Sketch-based quantiles (``percentile_approx``): one aggregate with a
+    bounded buffer per group, relative rank error 1 / accuracy. For cohorts
+    where the exact ranking pass is not worth its shuffle."""
+    names = list(names or [f"q{int(q * 100)}" for q in qs])
+    v = F.col(value).cast("double")
+    aggs = [F.percentile_approx(v, float(q), accuracy).alias(n) for q, n in zip(qs, names)]
+    return df.groupBy(*group).agg(*aggs) if group else df.agg(*aggs)
+
+
 def exact_median(df: DataFrame, value: str, name: str = "median") -> DataFrame:
     return exact_quantiles(df, value, [0.5], [name])

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.fmt import fmt_pct0, fmt_rank, fmt_ratio, signed_delta
 from cohortlens.functions.numeric import exact_sum, round_half_even
-from cohortlens.operators.ranking import exact_quantiles, rank_rows
+from cohortlens.operators.ranking import approx_quantiles, exact_quantiles, rank_rows
 from cohortlens.operators.relational import distinct_values
 from cohortlens.plans.activity import total_hours
 from cohortlens.plans.common import NOT_STARTED, Params, activity, hours_sum
@@ -36,9 +36,14 @@ BANNER_ON_TRACK = ("✅ **On Track!** You've logged **%.0f hrs** and your effort
                    "Consistency is your superpower!")
 
 
-def cohort_hour_stats(g: Gold, p: Params | None = None) -> DataFrame:
-    """One row: exact median and 25th percentile of total hours per intern."""
-    return exact_quantiles(total_hours(g, p), "total_hours", [0.5, 0.25], ["median_hours", "p25_hours"])
+def cohort_hour_stats(g: Gold, p: Params | None = None, approx: bool = False) -> DataFrame:
+    """One row: median and 25th percentile of total hours per intern; exact
+    (distributed ranking) by default, sketch-based with ``approx``."""
+    th = total_hours(g, p)
+    names = ["median_hours", "p25_hours"]
+    if approx:
+        return approx_quantiles(th, "total_hours", [0.5, 0.25], names)
+    return exact_quantiles(th, "total_hours", [0.5, 0.25], names)
 
 
 def hours_rank(g: Gold, p: Params | None = None) -> DataFrame:

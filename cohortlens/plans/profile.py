@@ -34,12 +34,15 @@ def lms_view(g: Gold) -> DataFrame:
     return g.fact_lms_light.join(g.dim_intern, "intern_id", "left").join(g.dim_course, "course_id", "left")
 
 
-def cohort_summary(g: Gold) -> DataFrame:
-    """One row: column count, rows, distinct courses, distinct interns, mean progress."""
+def cohort_summary(g: Gold, approx: bool = False) -> DataFrame:
+    """One row: column count, rows, distinct courses, distinct interns,
+    mean progress. ``approx`` counts distinct values with HyperLogLog++
+    (``approx_count_distinct``) instead of an exact distinct."""
     v = lms_view(g)
+    distinct = F.approx_count_distinct if approx else F.count_distinct
     return v.agg(F.lit(len(v.columns)).alias("n_columns"), F.count(F.lit(1)).alias("total_rows"),
-                 F.count_distinct("course_name").alias("unique_courses"),
-                 F.count_distinct("intern_name").alias("unique_interns"),
+                 distinct("course_name").alias("unique_courses"),
+                 distinct("intern_name").alias("unique_interns"),
                  F.avg("progress").alias("avg_progress"))
 
 

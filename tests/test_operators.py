@@ -72,3 +72,16 @@ def test_date_range_filter_reaches_scan(spark):
     full = {r.intern_id: r.total_hours for r in total_hours(g).collect()}
     part = {r.intern_id: r.total_hours for r in df.collect()}
     assert set(part) <= set(full) and sum(part.values()) < sum(full.values())
+
+
+def test_approx_modes_close_to_exact(spark):
+    from cohortlens.operators import approx_quantiles
+    from cohortlens.plans import intern, profile
+    from cohortlens.sources.bindings import Gold
+    g = Gold(spark, "/root/testdata/sf0.001")
+    ex, ap = intern.cohort_hour_stats(g).first(), intern.cohort_hour_stats(g, approx=True).first()
+    assert abs(ex.median_hours - ap.median_hours) <= 0.05 * ex.median_hours
+    s1, s2 = profile.cohort_summary(g).first(), profile.cohort_summary(g, approx=True).first()
+    assert abs(s1.unique_interns - s2.unique_interns) <= 0.05 * s1.unique_interns
+    df = spark.createDataFrame([(float(i),) for i in range(101)], "v double")
+    assert approx_quantiles(df, "v", [0.5], ["m"]).first().m == 50.0
