@@ -158,16 +158,22 @@ class Gold:
             F.col("o_orderpriority").alias("course_name"))
 
     @cached_property
-    def intern_mentors(self) -> DataFrame:
-        """intern_id, mentor_string ('NATION, REGION'). nation and region have a
-        fixed size by the data's spec (25 / 5 rows), so they are broadcast."""
-        c = self.table("customer").select("c_custkey", "c_nationkey")
+    def customer_profile(self) -> DataFrame:
+        """intern_id, c_name, mentor_string ('NATION, REGION'): one pass over
+        customer. nation and region have a fixed size by the data's spec
+        (25 / 5 rows), so they are broadcast."""
+        c = self.table("customer").select("c_custkey", "c_name", "c_nationkey")
         n = self.table("nation").select("n_nationkey", "n_name", "n_regionkey")
         r = self.table("region").select("r_regionkey", "r_name")
         nr = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select(
             "n_nationkey", F.concat_ws(", ", "n_name", "r_name").alias("mentor_string"))
         return c.join(F.broadcast(nr), c.c_nationkey == nr.n_nationkey).select(
-            F.col("c_custkey").alias("intern_id"), "mentor_string")
+            F.col("c_custkey").alias("intern_id"), "c_name", "mentor_string")
+
+    @cached_property
+    def intern_mentors(self) -> DataFrame:
+        """intern_id, mentor_string."""
+        return self.customer_profile.select("intern_id", "mentor_string")
 
     @cached_property
     def bridge(self) -> DataFrame:
@@ -186,10 +192,8 @@ class Gold:
         """LMS sheet rows as raw strings, one per order."""
         o = self.table("orders")
         lc = self.line_counts
-        c = self.table("customer").select("c_custkey", "c_name")
         j = o.join(lc, o.o_orderkey == lc.l_orderkey, "left") \
-             .join(c, o.o_custkey == c.c_custkey, "left") \
-             .join(self.intern_mentors, o.o_custkey == F.col("intern_id"), "left")
+             .join(self.customer_profile, o.o_custkey == F.col("intern_id"), "left")
         n = F.col("n_lines")
         k = _course_no(F.col("o_orderpriority"))
         start = F.date_add(F.lit(COURSE_START).cast("date"), (k - 1) * 7)
