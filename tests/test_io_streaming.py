@@ -67,3 +67,16 @@ def test_export_by_course(spark, tmpdir_fresh):
     assert [p for p in parts if p.startswith("Course Name=")] == ["Course Name=Basic Python Programming",
                                                                    "Course Name=Basic SQL"]
     assert spark.read.option("header", True).csv(os.path.join(tmpdir_fresh, "combined")).count() == 3
+
+
+def test_stored_gold_round_trip(spark, tmpdir_fresh):
+    from cohortlens.plans import risk
+    from cohortlens.sources.bindings import Gold
+    from cohortlens.sources.gold_store import gold_from_path, write_gold
+    from tests.conftest import SF_SMALL
+    g = Gold(spark, SF_SMALL)
+    write_gold(g, os.path.join(tmpdir_fresh, "gold"))
+    stored = gold_from_path(spark, os.path.join(tmpdir_fresh, "gold"))
+    a = sorted(tuple(r) for r in risk.dropout_risk(g).collect())
+    b = sorted(tuple(r) for r in risk.dropout_risk(stored).collect())
+    assert a == b and len(a) > 0
