@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions.common import col_of
+from cohortlens.operators.scalar import attach_row
 
 _PID, _MID = "__pid", "__mid"
 
@@ -74,7 +75,7 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], names: Seque
         pos = ranked.join(n, group)
     else:
         n = v.agg(F.count(F.lit(1)).alias("__cnt"))
-        pos = ranked.crossJoin(F.broadcast(n))
+        pos = attach_row(ranked, n)
     aggs, wanted = [], None
     for q, nm in zip(qs, names):
         k = (F.col("__cnt") - 1) * F.lit(float(q))

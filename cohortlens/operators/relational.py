@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlens.operators.scalar import attach_row
+
 
 
 def share_of_total(df: DataFrame, value: str, group: Sequence[str] = (), name: str = "share",
@@ -17,7 +19,7 @@ def share_of_total(df: DataFrame, value: str, group: Sequence[str] = (), name: s
     group = list(group)
     total = F.sum(F.col(value).cast(f"decimal(38,{scale})")).cast("double").alias("__tot")
     tot = df.groupBy(*group).agg(total) if group else df.agg(total)
-    j = df.join(tot, group, "left") if group else df.crossJoin(F.broadcast(tot))
+    j = df.join(tot, group, "left") if group else attach_row(df, tot)
     return j.withColumn(name, F.try_divide(F.col(value), F.col("__tot"))).drop("__tot")
 
 
@@ -68,5 +70,5 @@ def scoped_view(dim: DataFrame, column: str, value) -> DataFrame:
     none does (the sign-in fallback). The match count is a one-row aggregate,
     broadcast to every row."""
     hit = dim.agg(F.count_if(F.col(column) == F.lit(value)).alias("__hits"))
-    j = dim.crossJoin(F.broadcast(hit))
+    j = attach_row(dim, hit)
     return j.where((F.col("__hits") == 0) | (F.col(column) == F.lit(value))).drop("__hits")

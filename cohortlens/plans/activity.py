@@ -14,6 +14,7 @@ from cohortlens.functions.dates import iso_week, iso_year, weekday0
 from cohortlens.functions.numeric import round_half_even
 from cohortlens.functions.text import lookup, short_label
 from cohortlens.operators.relational import distinct_values, islands, share_of_total
+from cohortlens.operators.scalar import attach_row
 from cohortlens.plans.common import Params, activity, hours_sum
 from cohortlens.sources.bindings import Gold
 
@@ -128,7 +129,7 @@ def cohort_weekly_band(g: Gold, p: Params | None = None) -> DataFrame:
     """Cohort hours per week, their mean and the +-10 % target band."""
     wk = weekly_hours(g, (), p)
     mean = wk.agg((hours_sum() / F.count(F.lit(1))).alias("avg_hours"))   # one row: broadcast
-    j = wk.crossJoin(F.broadcast(mean))
+    j = attach_row(wk, mean)
     return j.select("week", "hours", "avg_hours", (F.col("avg_hours") * 0.9).alias("band_low"),
                     (F.col("avg_hours") * 1.1).alias("band_high"))
 

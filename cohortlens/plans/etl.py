@@ -19,6 +19,7 @@ from cohortlens.functions.numeric import exact_sum, fraction_part, parse_percent
 from cohortlens.functions.text import clean_name, full_name, mentor_list
 from cohortlens.operators.ranking import rank_rows
 from cohortlens.operators.relational import null_safe_join
+from cohortlens.operators.scalar import attach_row
 from cohortlens.plans.common import STATUS_VALUES
 from cohortlens.operators.materialize import materialize
 from cohortlens.sources.bindings import Gold
@@ -229,14 +230,14 @@ def validate_output(g: Gold) -> DataFrame:
     eod_stats = eod.agg(F.coalesce(F.bool_and(F.col("Hours").between(0.0, 10.0)), F.lit(True)).alias("hours_ok"))
     eod_names = eod.select(F.concat_ws(" ", "First Name", "Last Name").alias("n")).distinct() \
                    .agg(F.count("n").alias("eod_names"))
-    stats = n_names.crossJoin(eod_stats).crossJoin(eod_names)
+    stats = attach_row(attach_row(n_names, eod_stats), eod_names)
     prog = parse_percent(F.col("Progress (%)"))
     per_course = lms.groupBy(F.col("Course Name").alias("scope")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.bool_and(prog.between(0, 100)), F.lit(True)).alias("prog_ok"),
         F.bool_and(F.coalesce(F.col("Overall Status").isin(*STATUS_VALUES), F.lit(False))).alias("status_ok"),
         F.min(F.when(F.col("Overall Status") == "Completed", prog)).alias("min_done_prog"))
-    per_course = per_course.crossJoin(F.broadcast(stats))
+    per_course = attach_row(per_course, stats)
     checks = per_course.select(F.explode(F.array(
         F.struct(F.lit("lms_schema").alias("check"), "scope", F.lit(lms_ok).alias("passed"),
                  F.lit("12 columns in order").alias("detail")),

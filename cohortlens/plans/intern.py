@@ -15,6 +15,7 @@ from cohortlens.functions.fmt import fmt_pct0, fmt_rank, fmt_ratio, signed_delta
 from cohortlens.functions.numeric import exact_sum, round_half_even
 from cohortlens.operators.ranking import approx_quantiles, exact_quantiles, rank_rows
 from cohortlens.operators.relational import distinct_values
+from cohortlens.operators.scalar import attach_row
 from cohortlens.plans.activity import total_hours
 from cohortlens.plans.common import NOT_STARTED, Params, activity, hours_sum
 from cohortlens.plans.lms import course_avg_progress, with_scores
@@ -52,7 +53,7 @@ def hours_rank(g: Gold, p: Params | None = None) -> DataFrame:
     th = total_hours(g, p)
     r = rank_rows(th, [F.desc("total_hours"), F.asc("intern_id")], name="rank")
     n = th.agg(F.count(F.lit(1)).alias("n_ranked"))                        # one row: broadcast
-    return r.crossJoin(F.broadcast(n)).select("intern_id", "total_hours", "rank", "n_ranked",
+    return attach_row(r, n).select("intern_id", "total_hours", "rank", "n_ranked",
                                               fmt_rank(F.col("rank"), F.col("n_ranked")).alias("rank_label"))
 
 
@@ -93,7 +94,7 @@ def skill_intensity(g: Gold, p: Params | None = None) -> DataFrame:
     """100 * (0.5 * progress/100 + 0.3 * min(hours/median, 1.5)/1.5 + 0.2 * reviewed/total)."""
     lms = _intern_lms(g)
     th = total_hours(g, p)
-    j = lms.join(th, "intern_id", "left").crossJoin(F.broadcast(cohort_hour_stats(g, p)))
+    j = attach_row(lms.join(th, "intern_id", "left"), cohort_hour_stats(g, p))
     med = F.col("median_hours")
     med_g = F.when((med.isNull()) | (med == 0), F.lit(1.0)).otherwise(med)
     hours = F.coalesce(F.col("total_hours"), F.lit(0.0))
@@ -107,7 +108,7 @@ def cohort_skill_intensity(g: Gold, p: Params | None = None) -> DataFrame:
     """Mean skill score over interns with both LMS rows and activity; 50.0 when none."""
     lms = _intern_lms(g)
     th = total_hours(g, p)
-    j = lms.join(th, "intern_id").crossJoin(F.broadcast(cohort_hour_stats(g, p)))
+    j = attach_row(lms.join(th, "intern_id"), cohort_hour_stats(g, p))
     med = F.col("median_hours")
     med_g = F.when((med.isNull()) | (med == 0), F.lit(1.0)).otherwise(med)
     ratio = F.least(F.col("total_hours") / med_g, F.lit(HOURS_RATIO_CAP)) / HOURS_RATIO_CAP
@@ -124,7 +125,7 @@ def outlook_badge(g: Gold, p: Params | None = None) -> DataFrame:
     lms = _intern_lms(g)
     th = total_hours(g, p)
     stats = cohort_hour_stats(g, p)
-    j = lms.join(th, "intern_id", "left").crossJoin(F.broadcast(stats))
+    j = attach_row(lms.join(th, "intern_id", "left"), stats)
     hours = F.coalesce(F.col("total_hours"), F.lit(0.0))
     text = (F.when(F.col("all_above_70") & (hours >= F.col("median_hours")), BADGE_ON_TRACK)
              .when(F.col("n_completed") == F.col("n_courses"), BADGE_ALL_DONE)
@@ -139,7 +140,7 @@ def banner(g: Gold, p: Params | None = None) -> DataFrame:
     """The ordered banner rule (top tier / not started / below median / on track)."""
     lms = _intern_lms(g)
     th = total_hours(g, p)
-    j = lms.join(th, "intern_id", "left").crossJoin(F.broadcast(cohort_hour_stats(g, p)))
+    j = attach_row(lms.join(th, "intern_id", "left"), cohort_hour_stats(g, p))
     med = F.col("median_hours")
     hours = F.coalesce(F.col("total_hours"), F.lit(0.0))
     ap = F.col("avg_progress")
@@ -164,7 +165,7 @@ def radar_profile(g: Gold) -> DataFrame:
     avg = course_avg_progress(g)
     coh = avg.agg(*[F.coalesce(F.max(F.when(F.col("course_name") == c, F.col("avg_progress"))), F.lit(0.0))
                     .alias(f"cohort_{c}") for c in courses])
-    return per.crossJoin(F.broadcast(coh))
+    return attach_row(per, coh)
 
 
 def activity_benchmark(g: Gold, p: Params | None = None) -> DataFrame:
@@ -188,7 +189,7 @@ def kpi_strip(g: Gold, p: Params | None = None) -> DataFrame:
     lms = _intern_lms(g)
     rk = hours_rank(g, p)
     mom = course_avg_progress(g).agg(F.avg("avg_progress").alias("__mom"))    # one row: broadcast
-    j = lms.join(rk, "intern_id", "left").crossJoin(F.broadcast(mom))
+    j = attach_row(lms.join(rk, "intern_id", "left"), mom)
     mean_of_means = F.col("__mom")
     hours = F.coalesce(F.col("total_hours"), F.lit(0.0))
     return j.select(

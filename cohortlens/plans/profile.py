@@ -9,6 +9,7 @@ from cohortlens.functions.numeric import fraction_part, parse_percent, round_hal
 from cohortlens.functions.text import full_name
 from cohortlens.operators.ranking import exact_quantiles
 from cohortlens.operators.relational import share_of_total
+from cohortlens.operators.scalar import attach_row
 from cohortlens.sources.bindings import Gold
 
 SAMPLE_ROWS = 15
@@ -142,7 +143,7 @@ def eod_profile(g: Gold) -> DataFrame:
     rec = per.agg(*_exact_moments(F.col("r"), 0)[1:4:2], F.min("r").alias("records_min"), F.max("r").alias("records_max"))
     rec = rec.withColumnRenamed("mean", "records_mean").withColumnRenamed("std_samp", "records_std")
     d = e.select(parse_date(F.col("Date")).alias("d")).agg(F.min("d").alias("date_start"), F.max("d").alias("date_end"))
-    return hours.crossJoin(F.broadcast(rec)).crossJoin(F.broadcast(d))
+    return attach_row(attach_row(hours, rec), d)
 
 
 # ---- B41: generation summary --------------------------------------------------
@@ -163,4 +164,4 @@ def generation_summary(g: Gold) -> DataFrame:
     h = g.bronze_eod.agg(*_exact_moments(F.col("Hours"), 2), F.min("Hours").alias("hours_min"),
                          F.max("Hours").alias("hours_max"))
     h = h.select(F.col("mean").alias("hours_mean"), F.col("std_samp").alias("hours_std"), "hours_min", "hours_max")
-    return pm.crossJoin(F.broadcast(med)).crossJoin(F.broadcast(h))
+    return attach_row(attach_row(pm, med), h)
