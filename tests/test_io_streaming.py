@@ -80,3 +80,23 @@ def test_stored_gold_round_trip(spark, tmpdir_fresh):
     a = sorted(tuple(r) for r in risk.dropout_risk(g).collect())
     b = sorted(tuple(r) for r in risk.dropout_risk(stored).collect())
     assert a == b and len(a) > 0
+
+
+LMS_HEADER = ("User Name,Course Name,Start Date,End Date,Mentor Name,Progress (%),Completed Assignment,"
+              "Reviewed / Submitted,Overall Knowledge Check,Overall Test,Reviewed / Total Assignments,Overall Status")
+
+
+def test_landing_lms_sheets(spark, tmpdir_fresh):
+    src, sink, ckpt = (os.path.join(tmpdir_fresh, x) for x in ("in", "out", "ckpt"))
+    os.makedirs(src)
+    write(os.path.join(src, "sql.csv"), LMS_HEADER,
+          [(" asha rao ", "Basic SQL", "01 Jan 2026", "28 Feb 2026", '"Asha Rao, Raj"', "80%", "3/4", "3/4",
+            "68.0 / 70.0", "80 / 100", "3/4", "Completed"),
+           ("dev shah", "Basic SQL", "01 Jan 2026", "28 Feb 2026", "Rajesh", "", "", "", "", "0 / 0", "-", "-")])
+    landing.land_sheets(spark, src, sink, ckpt, kind="lms")
+    rows = {r.intern_name: r for r in spark.read.parquet(sink).collect()}
+    assert rows["Asha Rao"].progress == 80.0 and rows["Asha Rao"].mentor_name == "Asha Rao, Raj"
+    assert (rows["Dev Shah"].progress, rows["Dev Shah"].total_assg, rows["Dev Shah"].overall_status) == \
+        (0.0, 1, "Not Started")
+    landing.land_sheets(spark, src, sink, ckpt, kind="lms")
+    assert spark.read.parquet(sink).count() == 2
