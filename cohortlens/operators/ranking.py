@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions.common import col_of
+from cohortlens.operators.materialize import materialize
 from cohortlens.operators.scalar import attach_row
 
 _PID, _MID = "__pid", "__mid"
@@ -37,7 +38,14 @@ def rank_rows(df: DataFrame, order: Sequence, group: Sequence[str] = (),
     """
     group = list(group)
     order_cols = _sort_key_names(order)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The counts and the positions are two branches over the same range
+    # exchange; Spark reuses it, so both see identical partitions. If
+    # exchange reuse is switched off, the input is written once first so the
+    # two range shuffles sample identical, identically ordered data.
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
+        df = materialize(df, "rank_input")
     s = (df.repartitionByRange(n, *[F.col(g) for g in group], *order_cols)
            .sortWithinPartitions(*[F.col(g) for g in group], *order_cols)
            .withColumn(_PID, F.spark_partition_id())

@@ -85,3 +85,18 @@ def test_approx_modes_close_to_exact(spark):
     assert abs(s1.unique_interns - s2.unique_interns) <= 0.05 * s1.unique_interns
     df = spark.createDataFrame([(float(i),) for i in range(101)], "v double")
     assert approx_quantiles(df, "v", [0.5], ["m"]).first().m == 50.0
+
+
+def test_rank_rows_without_exchange_reuse(spark):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        rng = np.random.default_rng(11)
+        pdf = pd.DataFrame({"id": np.arange(300), "v": rng.integers(0, 30, 300).astype(float)})
+        got = rank_rows(spark.createDataFrame(pdf).groupBy("id").agg(F.max("v").alias("v")),
+                        [F.desc("v"), F.asc("id")], name="r", num_partitions=4).toPandas()
+        exp = pdf.sort_values(["v", "id"], ascending=[False, True]).reset_index(drop=True)
+        exp["r"] = np.arange(1, 301)
+        m = got.merge(exp, on="id", suffixes=("", "_e"))
+        assert (m["r"] == m["r_e"]).all()
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
