@@ -17,7 +17,7 @@ DATE_FORMATS = (
 
 
 def parse_date(c, formats=DATE_FORMATS) -> Column:
-    """Day-first date parse over several layouts; unparseable -> null.
+    """Day-first date parse over several layouts; unparseable -> null.
 
     A regex picks the layout so that only one parse is attempted per row
     (a failed ``try_to_date`` costs an exception inside the JVM).
@@ -40,17 +40,20 @@ def utc_date(ts) -> Column:
 
 
 def iso_week(c) -> Column:
+    """ISO week number (2027-01-01 is week 53)."""
     return F.weekofyear(col_of(c))
 
 
 def iso_year(c) -> Column:
+    """The ISO week-numbering year, to key weeks across years."""
     return F.extract(F.lit("YEAROFWEEK"), col_of(c))
 
 
 def weekday0(c) -> Column:
-    """Day of week with Monday = 0."""
+    """Day of week with Monday = 0."""
     return F.weekday(col_of(c))
 
 
 def inclusive_days(start, end) -> Column:
+    """Inclusive span in days, (end - start) + 1."""
     return F.datediff(col_of(end), col_of(start)) + 1

@@ -1,4 +1,4 @@
-"""Display formatting.
+"""Display formatting (C17, D6) and CASE bucketing.
 
 Python's '%.0f' rounds half to even while Java's ``format_string`` rounds
 half up, so every value is rounded with ``round_half_even`` to the printed

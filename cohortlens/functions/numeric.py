@@ -14,18 +14,18 @@ from cohortlens.functions.common import col_of
 
 
 def to_double(c) -> Column:
-    """Lenient string -> double: junk and 'nan' give null."""
+    """Lenient string -> double: junk and 'nan' give null."""
     d = F.trim(col_of(c).cast("string")).try_cast("double")
     return F.nanvl(d, F.lit(None).cast("double"))
 
 
 def parse_percent(c) -> Column:
-    """'50%' -> 50.0; all trailing '%' removed; junk -> null."""
+    """C05 / D11: '50%' -> 50.0; all trailing '%' removed; junk -> null."""
     return to_double(F.regexp_replace(F.trim(col_of(c).cast("string")), "%+$", ""))
 
 
 def fraction_part(c, idx: int, default: float | int, as_int: bool = False) -> Column:
-    """Part ``idx`` (0-based) of an 'a / b' fraction, with a default.
+    """Part ``idx`` (0-based) of an 'a / b' fraction, with a default.
 
     Missing parts, junk and nulls give the default; with ``as_int`` the
     value is truncated toward zero (so '3.7' gives 3).
@@ -36,18 +36,18 @@ def fraction_part(c, idx: int, default: float | int, as_int: bool = False) -> Co
 
 
 def zero_to_one(c) -> Column:
-    """Denominator guard: exactly 0 becomes 1 (negatives pass)."""
+    """Denominator guard, exactly 0 becomes 1 (negatives pass)."""
     c = col_of(c)
     return F.when(c == 0, F.lit(1)).otherwise(c)
 
 
 def at_least_one(c) -> Column:
-    """Denominator guard: clip below at 1."""
+    """Denominator guard, clip below at 1."""
     return F.greatest(col_of(c), F.lit(1))
 
 
 def round_half_even(c, digits: int = 1) -> Column:
-    """Decimal half-even rounding of a double.
+    """Decimal half-even rounding of a double.
 
     The value is first fixed to 9 decimals so that binary noise
     (34.45 is stored as 34.4500000000000028...) does not decide the tie.
@@ -56,11 +56,12 @@ def round_half_even(c, digits: int = 1) -> Column:
 
 
 def pct(scored, total, digits: int = 1) -> Column:
-    """round(scored / guard(total) * 100, 1)."""
+    """round(scored / guard(total) * 100, 1)."""
     return round_half_even(col_of(scored) / zero_to_one(total) * 100, digits)
 
 
 def clip(c, lower=None, upper=None) -> Column:
+    """Clip below / above (``greatest`` / ``least``)."""
     c = col_of(c)
     if lower is not None:
         c = F.greatest(c, F.lit(lower))

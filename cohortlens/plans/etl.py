@@ -33,7 +33,7 @@ KEY_HEX_CHARS = 8
 
 
 def intern_key(name, width: int = KEY_HEX_CHARS):
-    """First ``width`` hex chars of md5(name)."""
+    """First ``width`` hex chars of md5(name) (surrogate key)."""
     return F.substring(F.md5(name), 1, width)
 
 
