@@ -137,6 +137,8 @@ from cohortlens.streaming import landing  # noqa: E402
 
 QUERIES["st1_incremental_landing"] = lambda spark, sf_dir: landing.landed_activity(spark, sf_dir)
 QUERIES["st1_incremental_landing"].__doc__ = landing.landed_activity.__doc__
+register("b42_daily_landing_eod", lambda g: landing.export_and_land(g, "eod"))
+register("b42_daily_landing_lms", lambda g: landing.export_and_land(g, "lms"))
 
 # --- reload views and set checks ------------------------------------------------------
 from cohortlens.plans import reload  # noqa: E402

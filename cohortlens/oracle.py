@@ -800,3 +800,8 @@ SELECT DISTINCT metric, value FROM (
   SELECT 'assg_total' AS metric, {frac_sql('"Reviewed / Total Assignments"', 1, '1.0')} AS value FROM bronze_lms
   UNION ALL SELECT 'kc_total', {frac_sql('"Overall Knowledge Check"', 1, '1.0')} FROM bronze_lms
   UNION ALL SELECT 'test_total', {frac_sql('"Overall Test"', 1, '1.0')} FROM bronze_lms)""", BRONZE)
+
+SQL["b42_daily_landing_eod"] = with_gold("SELECT date, full_name, activity, hours FROM silver_eod", BRONZE)
+SQL["b42_daily_landing_lms"] = with_gold("""
+SELECT intern_name, course_name, start_date, end_date, mentor_name, progress, reviewed, total_assg, rev_submitted,
+       submitted, overall_status, kc_scored, kc_total, test_scored, test_total FROM silver_lms""", BRONZE)

@@ -78,7 +78,7 @@ def landed_activity(spark: SparkSession, sf_dir: str, run_dir: str | None = None
     return spark.read.parquet(sink)
 
 
-def daily_batch(spark: SparkSession, lms_glob: str, eod_glob: str, base: str) -> dict[str, int]:
+def daily_batch(spark: SparkSession, lms_glob: str, eod_glob: str, base: str, count: bool = True) -> dict[str, int]:
     """B42 as a batch job: read every matching sheet (combined by name),
     clean and append to the landing tables. Not idempotent by itself (a
     re-run appends again); ``land_sheets`` is the incremental form."""
@@ -91,5 +91,23 @@ def daily_batch(spark: SparkSession, lms_glob: str, eod_glob: str, base: str) ->
             continue
         out = clean(df.withColumn("row_id", F.lit(None).cast("long")))
         out.write.mode("append").parquet(os.path.join(base, kind))
-        counts[kind] = spark.read.parquet(os.path.join(base, kind)).count()
+        counts[kind] = spark.read.parquet(os.path.join(base, kind)).count() if count else -1
     return counts
+
+
+def export_and_land(g, kind: str = "eod") -> DataFrame:
+    """B42 end to end on the bound data: the bronze sheet is exported as CSV
+    files (S08) into the shared checkpoint folder, read back combined by
+    header (S02), cleaned and appended to a landing table, which is returned.
+    Every row of the given tables goes through the round trip."""
+    spark = g.spark
+    base = os.path.join(checkpoint_dir(spark), "sheets", uuid.uuid4().hex)
+    lms_dir, eod_dir = os.path.join(base, "lms"), os.path.join(base, "eod")
+    if kind == "eod":
+        g.bronze_eod.drop("row_id").write.option("header", True).csv(eod_dir)
+    else:
+        g.bronze_lms.drop("row_id", "ingest_date").write.option("header", True).csv(lms_dir)
+    daily_batch(spark, os.path.join(lms_dir, "*.csv"), os.path.join(eod_dir, "*.csv"), os.path.join(base, "landing"),
+                count=False)
+    table = "eod_activity" if kind == "eod" else "lms_submissions"
+    return spark.read.parquet(os.path.join(base, "landing", table)).drop("row_id", "source_file")
