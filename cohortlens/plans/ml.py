@@ -28,6 +28,7 @@ from cohortlens.sources.bindings import Gold
 SEED = 42
 N_TREES, MAX_DEPTH = 50, 5
 N_CLUSTERS, N_INIT = 3, 10
+KMEANS_MAX_ITER, KMEANS_TOL = 300, 1e-4   # run each restart to convergence
 AT_RISK_PROGRESS, AT_RISK_PROGRESS_LOW_EFFORT, LOW_EFFORT_SHARE = 40, 60, 0.75
 MIN_ROWS = 5
 CLUSTER_FEATURES = ["progress", "hours", "assg_ratio", "kc_pct"]
@@ -89,7 +90,8 @@ def clusters(g: Gold, k: int = N_CLUSTERS, n_init: int = N_INIT) -> DataFrame:
     try:
         # The restarts are independent Spark jobs: submit them concurrently.
         def fit(i):
-            m = KMeans(k=k, seed=SEED + i, featuresCol="features", predictionCol="cluster").fit(xs)
+            m = KMeans(k=k, seed=SEED + i, maxIter=KMEANS_MAX_ITER, tol=KMEANS_TOL,
+                       featuresCol="features", predictionCol="cluster").fit(xs)
             return m.summary.trainingCost, i, m
         with ThreadPoolExecutor(max_workers=n_init) as pool:
             fits = list(pool.map(fit, range(n_init)))
