@@ -39,3 +39,22 @@ def test_forest_models(g):
     d = ml.dropout_model(g).toPandas()
     assert d["risk_probability"].between(0, 1).all()
     assert set(d["predicted_risk_class"].unique()) <= {0, 1}
+
+
+def test_model_edge_rules(spark):
+    import datetime as dt
+    from tests.helpers import act_rows, courses, lms_rows, names
+    day = dt.date(2026, 2, 1)
+
+    def gold(n, progress):
+        lms = lms_rows(spark, [(i, "C", progress, 1, 2, "In Progress") for i in range(1, n + 1)])
+        act = act_rows(spark, [(i, day, "a", 5.0 + i) for i in range(1, n + 1)])
+        return Gold.from_frames(spark, fact_lms=lms, fact_activity=act, dim_intern=names(spark, range(1, n + 1)),
+                                dim_course=courses(spark, ["C"]))
+
+    assert ml.clusters(gold(3, 50.0)).count() == 0            # n <= k: no personas
+    assert ml.test_score_model(gold(4, 50.0)).count() == 0    # n < 5: no model
+    one_class = ml.dropout_model(gold(6, 90.0)).toPandas()     # nobody at risk
+    assert len(one_class) == 6
+    assert (one_class["risk_probability"] == 0.5).all()
+    assert (one_class["predicted_risk_class"] == one_class["is_at_risk"]).all()
