@@ -113,26 +113,38 @@ def fly(prob: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndar
         hand = left
 
 
-def land(prob: np.ndarray, size: np.ndarray) -> np.ndarray:
+def land(prob: np.ndarray, size: np.ndarray, words: float, docs: float, movable: np.ndarray) -> np.ndarray:
     """Landing phase: round the few open units so that words, then documents,
-    miss their totals least."""
+    miss their totals least. If a long document had to be rounded, shorter
+    ``movable`` ones are turned over, longest that fits first, until no turn
+    brings the words nearer."""
     prob = prob.copy()
     open_ = np.flatnonzero((prob > 0) & (prob < 1))
     if len(open_):
-        words, docs = float(prob[open_] @ size[open_]), float(prob[open_].sum())
-        best = min(itertools.product((0.0, 1.0), repeat=len(open_)),
-                   key=lambda r: (abs(float(np.dot(r, size[open_])) - words), abs(sum(r) - docs), r))
-        prob[open_] = best
+        w, d = words - float(prob @ size) + float(prob[open_] @ size[open_]), docs - float(prob.sum() - prob[open_].sum())
+        prob[open_] = min(itertools.product((0.0, 1.0), repeat=len(open_)),
+                          key=lambda r: (abs(float(np.dot(r, size[open_])) - w), abs(sum(r) - d), r))
+    miss = words - float(prob @ size)
+    for i in np.argsort(-size, kind="stable"):
+        gain = size[i] if prob[i] == 0 else -size[i]
+        if movable[i] and size[i] > 0 and gain * miss > 0 and size[i] <= abs(miss):
+            prob[i] = 1 - prob[i]
+            miss -= gain
     return prob
 
 
 def _fly_block(last: bool):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_h", "doc_id", "size"], kind="stable", na_position="last").reset_index(drop=True)
+        # Long documents are settled first, so short ones are left for the landing.
+        pdf = pdf.sort_values(["size", "_h", "doc_id"], ascending=[False, True, True], kind="stable",
+                              na_position="last").reset_index(drop=True)
         rng = np.random.default_rng([int(key[0]) & 0xFFFFFFFF, int(key[1]), int(last)])
         size = pdf["size"].to_numpy(dtype=float)
-        p = fly(pdf["_p"].to_numpy(dtype=float), size, rng)
-        pdf["_p"] = land(p, size) if last else p
+        start = pdf["_p"].to_numpy(dtype=float)
+        p = fly(start, size, rng)
+        if last:
+            p = land(p, size, float(start @ size), float(start.sum()), (start > EPS) & (start < 1 - EPS))
+        pdf["_p"] = p
         return pdf
     return run
 

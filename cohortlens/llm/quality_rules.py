@@ -105,7 +105,6 @@ def rules() -> list:
     mean = chars / words
     band = lambda x, good, bad: vote(x > bad, x < good)
     return [
-        vote(words < MIN_WORDS, words >= 2 * MIN_WORDS),
         vote((mean < 2.5) | (mean > 14), (mean > 3.5) & (mean < 10)),
         band(F.col("_q_n_symbols") / words, 0.05, 0.2),
         band(F.col("_q_n_dup_lines") * 20 / words, 0.2, 1.0),
@@ -121,8 +120,10 @@ def judge(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
 
     Two maps over the texts: the first only counts vote patterns for the fit,
     the second attaches the verdict, so no text is ever shuffled."""
-    post, _ = fit(pattern_counts(attach_stats(docs.select("text")), rules()), len(rules()))
     failed = (F.col("_q_n_words") < MIN_WORDS) | (100 * F.col("_q_n_repeat_words") > 50 * F.col("_q_n_words"))
+    # Rows that the base rules reject anyway would otherwise be the whole bad class.
+    counts = pattern_counts(attach_stats(docs.select("text")).where(~failed), rules())
+    post, _ = fit(counts, len(rules()))
     out = attach_posterior(attach_stats(docs), rules(), post, "_q_posterior").withColumn("_q_base_failed", failed)
     return out.withColumn("_q_kept", ~F.col("_q_base_failed") & (F.col("_q_posterior") >= threshold))
 

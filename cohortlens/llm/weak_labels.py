@@ -3,8 +3,8 @@
 A labeller votes good (2), bad (1) or abstains (0). The votes of a row make
 a pattern, a base-3 number; with m labellers there are at most 3 ** m
 patterns, so the pattern counts of any corpus are a small table. The
-two-class model with a vote distribution per class and labeller is fitted
-on those counts.
+two-class model is fitted on those counts: per class and labeller the rate
+of bad among its votes. An abstention says nothing about the class.
 """
 
 from __future__ import annotations
@@ -38,36 +38,34 @@ def digits(patterns: np.ndarray, m: int) -> np.ndarray:
 
 def fit(counts: Mapping[int, int], m: int, iterations: int = 200, prior: float = 0.5) -> tuple[dict[int, float], np.ndarray]:
     """EM over pattern counts. Returns the posterior probability of good per
-    pattern and the vote distributions [class (bad, good), labeller, vote].
+    pattern and the rates of bad votes [class (bad, good), labeller].
 
     Starts from a soft majority in which one bad vote outweighs the good ones,
     the way all-must-pass filters read votes; a labeller that would vote bad
     more often on good rows than on bad ones is held at equal odds, so the
     classes cannot swap. Without rows the result is empty."""
     if not counts:
-        return {}, np.full((2, m, 3), 1 / 3)
+        return {}, np.full((2, m), 0.5)
     pats = np.array(sorted(counts), dtype=np.int64)
     n = np.array([counts[int(p)] for p in pats], dtype=float)
     v = digits(pats, m)
     bad, good = (v == BAD).sum(1), (v == GOOD).sum(1)
     post = np.where(bad > 0, 0.1, np.where(good > 0, 0.95, 0.5))
-    theta = np.full((2, m, 3), 1 / 3)
+    rate = np.full((2, m), 0.5)  # of bad among the votes, by class (bad, good) and labeller
     for _ in range(iterations):
         share = float(np.clip((n @ post + prior) / (n.sum() + 2 * prior), 1e-6, 1 - 1e-6))
         for c, w in enumerate((n * (1 - post), n * post)):
-            for j in range(m):
-                t = np.bincount(v[:, j], weights=w, minlength=3) + prior
-                theta[c, j] = t / t.sum()
-        lifted = theta[1, :, BAD] > theta[0, :, BAD]
-        mean = theta[:, lifted].mean(axis=0)
-        theta[:, lifted] = mean
-        log = [np.log(p) + sum(np.log(theta[c, j, v[:, j]]) for j in range(m)) for c, p in enumerate((1 - share, share))]
+            rate[c] = (w @ (v == BAD) + prior) / (w @ (v != ABSTAIN) + 2 * prior)
+        swapped = rate[1] > rate[0]
+        rate[:, swapped] = rate[:, swapped].mean(axis=0)
+        log = [np.log(p) + (v == BAD) @ np.log(rate[c]) + (v == GOOD) @ np.log(1 - rate[c])
+               for c, p in enumerate((1 - share, share))]
         new = 1 / (1 + np.exp(np.clip(log[0] - log[1], -500, 500)))
         if np.abs(new - post).max() < 1e-9:
             post = new
             break
         post = new
-    return dict(zip(pats.tolist(), post.tolist())), theta
+    return dict(zip(pats.tolist(), post.tolist())), rate
 
 
 def pattern_counts(df: DataFrame, votes: list[Column]) -> dict[int, int]:
