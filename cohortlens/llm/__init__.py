@@ -1,2 +1,12 @@
 """Operators of a large-scale training-data pipeline. Nothing else in the
-library imports this subpackage."""
+library imports this subpackage.
+
+Functions that run in Python workers are sent by value, so executors need no
+copy of this package on their path.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
