@@ -52,8 +52,10 @@ def seed_rows(df: DataFrame, key: str, masks: Sequence[str]) -> DataFrame:
     h = df.select(F.col(key), F.transform(tokens(text_of()), lambda w: F.xxhash64(w)).alias("_h"))
     per_mask = F.greatest(F.size("_h") - (span.pop() - 1), F.lit(0))
     s = h.select(F.col(key), per_mask.alias("_n"), seeds(F.col("_h"), masks).alias("_s"))
-    return s.select(F.col(key), "_n", F.posexplode("_s").alias("_i", "seed")).select(
-        F.col(key), "seed", (F.col("_i") % F.col("_n")).alias("pos"))
+    # The outer form: for the inner one the planner infers a filter on the size
+    # of the array and computes all seeds again below the projections.
+    return (s.select(F.col(key), "_n", F.posexplode_outer("_s").alias("_i", "seed")).where(F.col("seed").isNotNull())
+            .select(F.col(key), "seed", (F.col("_i") % F.col("_n")).alias("pos")))
 
 
 def overlap(doc: Column, item: Column, shift: Column, window: Column) -> Column:
