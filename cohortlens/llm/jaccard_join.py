@@ -20,6 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortlens.llm.common import hash_words, materialize, mix64, partitions_for, text_of, text_slices, words_of
 from cohortlens.llm.components import components
@@ -343,19 +344,38 @@ def jaccard_join(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFram
     that share a doc_id are compared like any others. A null doc_id is never
     the smallest. Other columns are not read. Empty input gives no rows.
     """
-    classes, edges = jaccard_links(docs, words, percent)
-    root = components(edges).toDF("cid", "root")
-    rows = classes.join(root, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    rows = _rooted(docs, words, percent)
     names = rows.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return (rows.join(names, "root", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
+def _rooted(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    classes, edges = jaccard_links(docs, words, percent)
+    root = components(edges).toDF("cid", "root")
+    return classes.join(root, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+
+
+def _attach_class(names: list[str], words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text_slices(batches, "_j_text"):
+            sets = shingle_sets(b.column(b.schema.get_field_index("_j_text")), words)
+            cid = pa.array([class_id(s) if len(s) else None for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(names))], cid], names=[*names, "_j_cid"])
+    return run
+
+
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One row of each component of ``docs``, all columns unchanged: the one
-    with the smallest doc_id (of rows that share it, the one whose columns
-    sort first; texts without words are kept as they are)."""
-    j = jaccard_join(docs, words, percent)
-    kept = j.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    kept = materialize(kept, "jj_kept")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]), "left_semi").dropDuplicates(["doc_id"])
+    """One row of each component of ``docs``, all columns unchanged: a row with
+    its smallest doc_id (null last). Rows without words are in no component
+    and stay, one for each doc_id."""
+    rows = _rooted(docs, words, percent).where(F.col("root").isNotNull())
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "cid")).alias("f"))
+    keep = materialize(first.select(F.col("f.cid").alias("_j_key"), F.col("f.doc_id").alias("_j_id")), "jj_keep")
+    schema = T.StructType([*docs.schema.fields, T.StructField("_j_cid", T.LongType())])
+    d = docs.withColumn("_j_text", text_of()).mapInArrow(_attach_class(docs.columns, words), schema)
+    d = d.withColumn("_j_key", F.coalesce("_j_cid", F.xxhash64("doc_id")))
+    chosen = F.col("_j_cid").isNull() | F.col("doc_id").cast("long").eqNullSafe(F.col("_j_id"))
+    matched = F.col("_j_cid").isNull() | F.col("_j_found")
+    j = d.join(keep.withColumn("_j_found", F.lit(True)), "_j_key", "left").where(matched & chosen)
+    return j.dropDuplicates(["_j_key"]).select(*docs.columns)

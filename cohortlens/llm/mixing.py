@@ -160,7 +160,16 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_repeats
     words has target 0 and takes nothing. Draws depend only on the rows, so
     reruns agree. Empty input gives no rows.
     """
-    sized = materialize(docs.select(F.col("doc_id"), F.col("source").cast("string").alias("source"),
+    out = _draws(docs, weights, max_repeats, block_rows)
+    return out.select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
+
+
+def _row_key():
+    return F.xxhash64("doc_id", F.col("source").cast("string"), text_of())
+
+
+def _draws(docs: DataFrame, weights: Sequence[int], max_repeats: int, block_rows: int) -> DataFrame:
+    sized = materialize(docs.select(F.col("doc_id"), F.col("source").cast("string").alias("source"), _row_key().alias("row_key"),
                                     F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("size")), "mix_sizes")
     targets = materialize(source_targets(sized, weights, max_repeats), "mix_targets")
     t = targets.withColumnRenamed("source", "_src")
@@ -191,24 +200,19 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_repeats
     for d in done[1:]:
         out = out.unionByName(d)
     copies = F.col("_base") + F.col("_p").cast("long")
-    return out.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
+    return out.select("doc_id", "source", "row_key", "size", "source_size", "target", copies.alias("copies"),
                       (copies * F.col("size")).alias("taken"))
 
 
 def apply_mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_repeats: int = 3,
               block_rows: int = 4096) -> DataFrame:
     """The mixed corpus: each row of ``docs`` repeated as often as taken, all
-    columns kept. Rows are matched to their draws by doc_id; rows that share
-    a doc_id share the sum of their draws in a fixed order."""
-    m = mix_sources(docs, weights, max_repeats, block_rows).select(
-        F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("source").alias("_src"), "copies")
-    by = [F.col("_id"), F.col("_size"), F.col("_src")]
-    m = m.groupBy(*by).agg(F.sort_array(F.collect_list("copies"), asc=False).alias("_copies"))
-    d = docs.withColumn("_n", F.regexp_count(text_of(), F.lit(WORD)).cast("long"))
-    w = Window.partitionBy("doc_id", "_n", "source").orderBy(text_of())
-    d = d.withColumn("_k", F.row_number().over(w))
-    j = d.join(m, d["doc_id"].eqNullSafe(m["_id"]) & (d["_n"] == m["_size"])
-               & d["source"].cast("string").eqNullSafe(m["_src"]))
+    columns kept. Rows that agree in doc_id, source and text share their
+    draws, the most copies first."""
+    m = _draws(docs, weights, max_repeats, block_rows).groupBy("row_key").agg(
+        F.sort_array(F.collect_list("copies"), asc=False).alias("_copies"))
+    d = docs.withColumn("_key", _row_key())
+    d = d.withColumn("_k", F.row_number().over(Window.partitionBy("_key").orderBy("_key")))
     times = F.element_at("_copies", F.col("_k"))
-    return (j.where(times > 0).withColumn("_t", F.explode(F.array_repeat(F.lit(1), times.cast("int"))))
-            .select(*[d[c] for c in docs.columns]))
+    return (d.join(m.withColumnRenamed("row_key", "_key"), "_key").where(times > 0)
+            .withColumn("_t", F.explode_outer(F.array_repeat(F.lit(1), times.cast("int")))).select(*docs.columns))

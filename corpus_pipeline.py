@@ -2,7 +2,8 @@
 decontamination, source mixing, packed token ids.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is
-written as Parquet and read again as the next stage's ``docs``.
+written as Parquet and read again as the next stage's ``docs``; all but the
+last return the columns of documents.
 """
 
 from __future__ import annotations
@@ -10,10 +11,14 @@ from __future__ import annotations
 import os
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.llm.common import documents
+from cohortlens.llm.decontaminate import remove_leaks
+from cohortlens.llm.jaccard_join import keep_one
 from cohortlens.llm.mixing import apply_mix
+from cohortlens.llm.packing import pack_documents
 from cohortlens.llm.quality_rules import apply_quality_rules
 from cohortlens.session import checkpoint_dir
 
@@ -23,18 +28,37 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return apply_quality_rules(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of similar documents (five words, similarity 0.8 or more)
+    the one with the smallest doc_id stays."""
+    return keep_one(docs, words=5, percent=80)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark passages go."""
+    return remove_leaks(docs, documents(spark, sf_dir, "benchmark"))
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are repeated or left out so that the sources meet their targets."""
     return apply_mix(docs)
 
 
-STAGES = [("quality_rules", quality), ("mixing", mixing)]
+def token_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of the mix, packed into sequences."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [("quality_rules", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
+          ("source_mixing", mixing), ("token_packing", token_packing)]
 
-# The stages draw samples and fit models, which SQL does not express.
+# Model fits, components and draws are beyond SQL; tests/llm holds the
+# pipeline against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages applied to documents."""
     docs = documents(spark, sf_dir)
     root = os.path.join(checkpoint_dir(spark), "pipeline", uuid.uuid4().hex)
     for name, stage in STAGES:
