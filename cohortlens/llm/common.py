@@ -88,12 +88,28 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(33))
 
 
+PLACES = 4096
+
+
 def hash_words(words: pa.Array) -> np.ndarray:
-    """64-bit hash of each word; each distinct word is hashed once."""
-    import xxhash
-
-    d = words.dictionary_encode()
-    ids = d.indices.to_numpy(zero_copy_only=False)
-    table = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in d.dictionary.cast(pa.binary()).to_pylist()),
-                        dtype=np.uint64, count=len(d.dictionary))
-    return table[ids] if len(ids) else np.zeros(0, np.uint64)
+    """64-bit hash of each (non-empty) word: a sum over its bytes of a random
+    number per byte value times one per place, finished by ``mix64``. Words of
+    more than PLACES bytes are hashed by xxh3."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    buf, off = utf8_buffer(words)
+    size = np.diff(off)
+    byte = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    place = mix64(np.arange(1, PLACES + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
+    at = np.arange(len(buf), dtype=np.int64) - np.repeat(off[:-1], size)
+    long = np.flatnonzero(size > PLACES)
+    if len(long):
+        at = np.minimum(at, PLACES - 1)
+    with np.errstate(over="ignore"):
+        h = mix64(np.add.reduceat(byte[buf] * place[at], off[:-1]) + size.astype(np.uint64))
+    if len(long):
+        import xxhash
+
+        for i in long.tolist():
+            h[i] = xxhash.xxh3_64_intdigest(buf[off[i]:off[i + 1]].tobytes())
+    return h
