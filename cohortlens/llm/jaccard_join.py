@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from cohortlens.llm.common import hash_words, materialize, mix64, partitions_for, text_of, text_slices, words_of
 from cohortlens.llm.components import components
 
-LINK_TOKENS = 3  # prefix tokens that two linked sets share at least
+LINK_TOKENS, LINK_PART = 3, 8  # two linked sets share 3 + n / 8 tokens of their prefixes
 BLOCK = 256  # sets compared in one task at a time
 HOT_SHARE = 5e-4  # tokens in so large a share of the documents come last in the order
 HOT_LEAST = 3
@@ -40,7 +40,18 @@ def smallest_size(percent: int) -> int:
 
 
 def prefix_length(n: int, percent: int) -> int:
-    return min(n, n - -(-percent * n // 100) + LINK_TOKENS)
+    """Linked sets have at least percent * n / 100 tokens in common, so the
+    first l of these, in any order of tokens, lie in the first
+    n - percent * n / 100 + l of each; l = LINK_TOKENS + n / LINK_PART. A
+    longer prefix than needed for one token in common lets chance passages,
+    which share few tokens, be told from similar texts early."""
+    return min(n, n - -(-percent * n // 100) + LINK_TOKENS + n // LINK_PART)
+
+
+def needed(n, percent: int):
+    """Column: prefix tokens that a set of ``n`` shares with any set it links to,
+    which may have percent * n / 100 tokens only."""
+    return F.lit(LINK_TOKENS) + F.floor(F.ceil(n * percent / 100) / LINK_PART)
 
 
 def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
@@ -287,7 +298,9 @@ def jaccard_links(docs: DataFrame, words: int = 4, percent: int = 85) -> tuple[D
     stats = shared.groupBy("cid").agg(
         F.count(F.lit(1)).alias("k"), F.max(F.struct("df", "token")).getField("token").alias("key1"),
         F.min(F.xxhash64("token")).alias("key2"))
-    cand = materialize(stats.where(F.col("k") >= LINK_TOKENS).drop("k"), "jj_candidates")
+    sizes = classes.where(F.col("cid").isNotNull()).groupBy("cid").agg(F.max("n_shingles").alias("n"))
+    stats = stats.join(sizes, "cid").withColumn("need", needed(F.col("n"), percent))
+    cand = materialize(stats.where(F.col("k") >= F.col("need")).drop("k", "n"), "jj_candidates")
 
     size = min(FILTER_BYTES // SEGMENTS, max(1 << 10, 2 * cand.count() // SEGMENTS))
     bitmap = bytearray(SEGMENTS * size)
@@ -316,18 +329,20 @@ def jaccard_links(docs: DataFrame, words: int = 4, percent: int = 85) -> tuple[D
 
     # The token-group matrix over the groups, and who must open which.
     comp = components(edges).toDF("cid", "comp")
-    m = (shared.join(cand.select("cid"), "cid", "left_semi").join(home, "cid", "left").join(comp, "cid", "left")
-         .select("token", "cid", F.coalesce("grp", "cid").alias("grp"), F.coalesce("comp", "cid").alias("comp")))
+    m = (shared.join(cand.select("cid", "need"), "cid").join(home, "cid", "left").join(comp, "cid", "left")
+         .select("token", "cid", "need", F.coalesce("grp", "cid").alias("grp"), F.coalesce("comp", "cid").alias("comp")))
     m = materialize(m, "jj_matrix")
     several = m.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
     m = materialize(m.join(several, "token"), "jj_matrix2")
     matrix = m.groupBy("token", F.col("grp").alias("g")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    opened = (m.join(matrix, "token").where((F.col("g") > F.col("grp")) & ((F.col("lo") != F.col("comp")) | (F.col("hi") != F.col("comp"))))
-              .groupBy("cid", "g").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= LINK_TOKENS).select("cid", "g"))
+    other = (F.col("lo") != F.col("comp")) | (F.col("hi") != F.col("comp"))
+    opened = (m.join(matrix, "token").where((F.col("g") > F.col("grp")) & other)
+              .groupBy("cid", "g").agg(F.count(F.lit(1)).alias("k"), F.first("need").alias("need"))
+              .where(F.col("k") >= F.col("need")).select("cid", "g"))
     opened = materialize(opened, "jj_opened")
     chunks = opened.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("nq"))
     asked = opened.join(chunks, "g").select(F.xxhash64("g", F.pmod(F.xxhash64("cid"), F.col("nq"))).alias("block"), "cid")
-    members = cand.join(home, "cid", "left").select("cid", F.coalesce("grp", "cid").alias("g")).join(chunks, "g")
+    members = cand.select("cid").join(home, "cid", "left").select("cid", F.coalesce("grp", "cid").alias("g")).join(chunks, "g")
     members = members.withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nq") - 1)))
     members = members.select(F.xxhash64("g", "s").alias("block"), "cid")
     more = _compare(asked.union(members), sets, percent, "jj_opened_links")
