@@ -19,20 +19,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import text_of, text_slices, utf8_buffer
+from cohortlens.llm.common import text_of, text_slices
 
 LENGTH = 2048
 PAD_ID = 50_256  # free in the vocabulary; never inside a segment
 GROUP_BYTES = 8 << 20  # of text that one task packs
-MEMO_CHUNKS = 300_000  # encoded chunks that a worker remembers; dropped when full
 PACKS = ("group int, pack int, n_tokens int, doc_ids array<bigint>, parts array<int>, cu_seqlens array<int>, "
          "input_ids binary, position_ids binary")
 
 
-class ChunkEncoder:
-    """Ids of whole texts from their chunks. The vocabulary's pattern always
-    begins a new piece at a space before a character that is not white space,
-    so texts are cut there, and each distinct chunk is encoded once."""
+class TextEncoder:
+    """Ids of whole texts, special strings read as ordinary text."""
 
     def __init__(self, ranks: str, pattern: str):
         import tiktoken
@@ -40,48 +37,17 @@ class ChunkEncoder:
         with open(ranks, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         self.encode = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=table, special_tokens={}).encode_ordinary
-        self.memo: dict[bytes, np.ndarray] = {}
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, offsets)."""
-        buf, off = utf8_buffer(texts)
-        n = len(texts)
-        if not len(buf):
-            return np.zeros(0, np.uint16), np.zeros(n + 1, np.int64)
-        nxt = buf[1:]
-        # 9-13 and 32 are white space; the lead bytes of other white space are left alone.
-        space = ((nxt >= 9) & (nxt <= 13)) | (nxt == 32) | ((nxt >= 0x1C) & (nxt <= 0x1F)) \
-            | (nxt == 0xC2) | ((nxt >= 0xE1) & (nxt <= 0xE3))
-        cut = np.zeros(len(buf) + 1, bool)
-        cut[:-2] = (buf[:-1] == 32) & ~space
-        cut[off] = True
-        at = np.flatnonzero(cut)
-        chunks = pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64).tobytes()),
-                                                                        pa.py_buffer(buf.tobytes())])
-        d = chunks.dictionary_encode()
-        if len(self.memo) > MEMO_CHUNKS:
-            self.memo.clear()
-        memo, table = self.memo, []
-        for c in d.dictionary.to_pylist():
-            x = memo.get(c)
-            if x is None:
-                x = memo[c] = np.array(self.encode(c.decode("utf-8", "replace")), np.uint16)
-            table.append(x)
-        size = np.array([len(x) for x in table], np.int64)
-        start = np.cumsum(size) - size
-        flat = np.concatenate(table) if table else np.zeros(0, np.uint16)
-        which = d.indices.to_numpy(zero_copy_only=False)
-        m = size[which]
-        end = np.cumsum(m)
-        take = np.repeat(start[which] - (end - m), m) + np.arange(int(end[-1]) if len(end) else 0)
-        total = np.concatenate([[0], end])
-        return flat[take], total[np.searchsorted(at, off)]
+        parts = [np.array(self.encode(t), np.uint16) for t in texts.to_pylist()]
+        return np.concatenate([np.zeros(0, np.uint16), *parts]), np.cumsum([0, *(len(p) for p in parts)])
 
 
 def _parts(ranks: str, pattern: str, length: int):
     """(doc_id, part, ids): the ids of each text in parts of at most ``length``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = ChunkEncoder(ranks, pattern)
+        enc = TextEncoder(ranks, pattern)
         for b in text_slices(batches):
             ids, off = enc.ids(b.column(1))
             n = np.diff(off)
