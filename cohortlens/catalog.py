@@ -44,6 +44,14 @@ register("a05_cohort_activity_share", lambda g: act.activity_hours(g, ()))
 register("a06_date_activity_hours", act.date_activity_hours)
 register("a07_weekly_hours", lambda g: act.weekly_hours(g, ("intern_id",)))
 register("a07_cohort_weekly_hours", lambda g: act.weekly_hours(g, ()))
+# the views over a chosen range of dates; the filter reaches the scan.
+RANGE = act.Params(start="2024-01-08", end="2024-01-21")
+register("f05_dropout_risk_range", lambda g: risk.dropout_risk(g, RANGE))
+register("f05_activity_share_range", lambda g: act.activity_hours(g, ("intern_id",), RANGE))
+register("f05_daily_hours_range", lambda g: act.daily_hours(g, RANGE))
+register("f05_weekly_hours_range", lambda g: act.weekly_hours(g, ("intern_id",), RANGE))
+register("c10_range_summary", lambda g: act.range_summary(g, RANGE))
+register("a07_weekly_hours_by_year", lambda g: act.weekly_hours(g, ("intern_id",), with_year=True))
 register("a19_cohort_activity_mean", act.cohort_activity_mean)
 register("b05_weekly_trend", act.weekly_trend_pivot)
 register("b10_weekly_with_cohort", act.weekly_with_cohort)
@@ -76,6 +84,7 @@ register("w07_masked_leaderboard", lambda g: intern.masked_leaderboard(g, _first
 register("b14_effort_vs_progress", intern.effort_vs_progress)
 register("b14_trend_line", intern.effort_trend_line)
 register("b17_intern_range_panel", intern.intern_range_panel)
+register("b17_intern_range_panel_range", lambda g: intern.intern_range_panel(g, RANGE))
 register("b18_deep_dive", intern.deep_dive)
 register("b25_skill_intensity", intern.skill_intensity)
 register("b26_cohort_skill_intensity", intern.cohort_skill_intensity)
@@ -91,6 +100,7 @@ register("a15_mentor_courses", mentor.mentor_courses)
 register("b09_risk_register", mentor.risk_register)
 register("t02_top_risk", mentor.top_risk)
 register("b19_action_items", mentor.action_items)
+register("b19_urgent_names", mentor.urgent_names)
 register("b20_mentor_kpis", mentor.mentor_kpis)
 register("b23_mentor_calendar", mentor.mentor_calendar)
 register("b24_profile_list", mentor.profile_list)
@@ -105,6 +115,8 @@ register("b01_fact_activity", lambda g: etl.star_schema(g)["fact_activity"])
 register("b01_key_collisions", etl.key_collisions)
 register("b02_dim_intern_seq", lambda g: etl.star_schema_sequential(g)["dim_intern"])
 register("b02_fact_progress", lambda g: etl.star_schema_sequential(g)["fact_progress"])
+register("b02_dim_course_seq", lambda g: etl.star_schema_sequential(g)["dim_course"])
+register("b02_fact_effort", lambda g: etl.star_schema_sequential(g)["fact_effort"])
 register("b03_quality_report", etl.quality_report)
 register("u02_merge_new", etl.merged_lms)
 register("b40_validate_output", etl.validate_output)
@@ -113,6 +125,7 @@ register("b40_validate_output", etl.validate_output)
 from cohortlens.plans import ml, profile  # noqa: E402
 
 register("b37_cohort_summary", profile.cohort_summary)
+register("b37_course_list", profile.course_list)
 register("t03_top_bottom_interns", profile.top_bottom_interns)
 register("t04_sample_rows", profile.sample_rows)
 register("c25_summary_json", profile.summary_json)
@@ -121,6 +134,7 @@ register("b39_status_shares", profile.status_shares)
 register("b39_ratio_profile", profile.ratio_profile)
 register("b39_activity_shares", profile.activity_shares)
 register("b39_mentors_per_course", profile.mentors_per_course)
+register("b39_completed_values", profile.completed_assignment_values)
 register("b39_total_values", profile.total_values)
 register("b39_eod_profile", profile.eod_profile)
 register("b41_status_mix", profile.status_mix)
@@ -148,4 +162,4 @@ register("b43_dim_mentor_from_facts", reload.dim_mentor_from_facts)
 register("b43_outlier_count", reload.outlier_count)
 register("u03_unknown_statuses", reload.unknown_statuses)
 register("u04_name_union", reload.name_union)
-register("f09_signed_in_mentor", lambda g: reload.signed_in_mentor_dim(g, g.dim_mentor.agg(F.min("mentor_name")).first()[0]))
+register("f09_signed_in_mentor", lambda g: reload.signed_in_mentor_dim(g, g.dim_mentor.agg(F.min("mentor_name")).scalar()))

@@ -75,9 +75,30 @@ def exact_units(c, decimals: int = 2) -> Column:
     return F.rint(col_of(c) * float(10 ** decimals)).cast("bigint")
 
 
-def exact_sum(c, decimals: int = 2) -> Column:
-    """Exact, order-independent sum of values with ``decimals`` decimals, as
-    double: integer units are added (fast bigint aggregation, no BigDecimal
-    buffers) and the total divided once, giving the double nearest the
-    exact sum."""
-    return F.sum(exact_units(c, decimals)) / F.lit(float(10 ** decimals))
+SUM_DECIMALS = 7
+_MAX_PART = 9.0e15
+
+
+def finite(c) -> Column:
+    """The value, null if it is NaN or too large in size for an exact sum."""
+    c = col_of(c).cast("double")
+    return F.when(F.abs(c) <= _MAX_PART, c)  # comparing NaN: it is larger than any number
+
+
+def unsummable(c) -> Column:
+    """How many values ``exact_sum`` leaves out: NaN, infinite or beyond 9e15."""
+    c = col_of(c).cast("double")
+    return F.count_if(c.isNotNull() & finite(c).isNull())
+
+
+def exact_sum(c) -> Column:
+    """Order-independent sum as double. Whole parts and fractions (in units of
+    1e-7, over a trillion rows per group) are added as integers on the fast
+    aggregation path; only the two totals are joined as decimals. Null
+    without a summable value; see ``unsummable`` for those left out."""
+    v = finite(c)
+    whole = F.floor(v)
+    part = F.rint((v - whole) * float(10 ** SUM_DECIMALS)).cast("bigint")
+    units = (F.sum(whole.cast("bigint")).cast("decimal(20,0)") * F.lit(10 ** SUM_DECIMALS).cast("decimal(9,0)")
+             + F.sum(part).cast("decimal(20,0)"))
+    return (units.cast("decimal(31,0)") * F.lit("0.0000001").cast("decimal(7,7)")).cast("double")

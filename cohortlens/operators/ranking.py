@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.common import col_of
 from cohortlens.operators.materialize import materialize
-from cohortlens.operators.scalar import attach_row
 
 _PID, _MID = "__pid", "__mid"
 
@@ -28,6 +27,37 @@ def _sort_key_names(order: Sequence) -> list[Column]:
     return [col_of(c) for c in order]
 
 
+def _ranged(df: DataFrame, order: Sequence, group: Sequence[str], num_partitions: int | None) -> tuple[DataFrame, DataFrame]:
+    """(rows, stats): the rows range-partitioned and sorted, written once with
+    their partition and place, and per (partition, group) the offset, the
+    first place and the group's count. Both come from the written table, so
+    they always agree, whatever columns the rows carry."""
+    cols = [F.col(g) for g in group] + _sort_key_names(order)
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    s = materialize(df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+                    .withColumn(_PID, F.spark_partition_id()).withColumn(_MID, F.monotonically_increasing_id()), "ranked")
+    stats = s.groupBy(_PID, *group).agg(F.count(F.lit(1)).alias("__n"), F.min(_MID).alias("__first"))
+    # One row per (partition, group): at most num_partitions rows without a group.
+    w = Window.partitionBy(*group) if group else Window.partitionBy()
+    before = w.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    stats = (stats.withColumn("__offset", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+             .withColumn("__cnt", F.sum("__n").over(w)))
+    return s, stats
+
+
+def _positions(df: DataFrame, order: Sequence, group: Sequence[str], num_partitions: int | None) -> DataFrame:
+    """``df`` with __pos (1-based position) and __cnt (rows of the group)."""
+    group = list(group)
+    s, stats = _ranged(df, order, group, num_partitions)
+    keys = [_PID, *group]
+    stats = stats.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__offset", "__first", "__cnt")
+    if not group:
+        stats = F.broadcast(stats)
+    cond = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    return s.join(stats, cond, "inner").select(
+        *[F.col(c) for c in df.columns], (F.col("__offset") + (F.col(_MID) - F.col("__first")) + 1).alias("__pos"), "__cnt")
+
+
 def rank_rows(df: DataFrame, order: Sequence, group: Sequence[str] = (),
               name: str = "rank", num_partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 1-based position of each row in ``order`` (within ``group``).
@@ -36,37 +66,8 @@ def rank_rows(df: DataFrame, order: Sequence, group: Sequence[str] = (),
     result to be deterministic; ties otherwise get arbitrary distinct
     positions, like ``row_number``.
     """
-    group = list(group)
-    order_cols = _sort_key_names(order)
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # The counts and the positions are two branches over the same range
-    # exchange; Spark reuses it, so both see identical partitions. If
-    # exchange reuse is switched off, the input is written once first so the
-    # two range shuffles sample identical, identically ordered data.
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
-        df = materialize(df, "rank_input")
-    s = (df.repartitionByRange(n, *[F.col(g) for g in group], *order_cols)
-           .sortWithinPartitions(*[F.col(g) for g in group], *order_cols)
-           .withColumn(_PID, F.spark_partition_id())
-           .withColumn(_MID, F.monotonically_increasing_id()))
-    stats = s.groupBy(_PID, *group).agg(F.count(F.lit(1)).alias("__n"), F.min(_MID).alias("__first"))
-    w = Window.partitionBy(*group).orderBy(_PID) if group else Window.orderBy(_PID)
-    # One row per (partition, group); a window over it stays small. Without a
-    # group it has at most num_partitions rows, so it is broadcast.
-    stats = stats.withColumn(
-        "__offset", F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    keys = [_PID, *group]
-    # Renamed join keys: both sides derive from the same plan, so the
-    # original names would be ambiguous after the self-join.
-    stats = stats.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__offset", "__first")
-    if not group:
-        stats = F.broadcast(stats)
-    cond = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
-    j = s.join(stats, cond, "inner")
-    out = j.select(*[F.col(c) for c in df.columns],
-                   (F.col("__offset") + (F.col(_MID) - F.col("__first")) + 1).alias(name))
-    return out
+    out = _positions(df, order, group, num_partitions)
+    return out.select(*df.columns, F.col("__pos").alias(name))
 
 
 def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], names: Sequence[str] | None = None,
@@ -77,13 +78,7 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], names: Seque
     group = list(group)
     names = list(names or [f"q{int(q * 100)}" for q in qs])
     v = df.select(*group, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    ranked = rank_rows(v, [F.col("__v")], group=group, name="__pos", num_partitions=num_partitions)
-    if group:
-        n = v.groupBy(*group).agg(F.count(F.lit(1)).alias("__cnt"))
-        pos = ranked.join(n, group)
-    else:
-        n = v.agg(F.count(F.lit(1)).alias("__cnt"))
-        pos = attach_row(ranked, n)
+    pos = _positions(v, [F.col("__v")], group, num_partitions)
     aggs, wanted = [], None
     for q, nm in zip(qs, names):
         k = (F.col("__cnt") - 1) * F.lit(float(q))

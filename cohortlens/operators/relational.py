@@ -7,17 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlens.functions.numeric import exact_sum
 from cohortlens.operators.scalar import attach_row
 
 
 
-def share_of_total(df: DataFrame, value: str, group: Sequence[str] = (), name: str = "share",
-                   scale: int = 2) -> DataFrame:
+def share_of_total(df: DataFrame, value: str, group: Sequence[str] = (), name: str = "share") -> DataFrame:
     """value / sum(value) over the group, as aggregate + join (no single-task
-    window). The total is summed as decimal(38, scale) so it does not depend
-    on row order."""
+    window). The total does not depend on row order."""
     group = list(group)
-    total = F.sum(F.col(value).cast(f"decimal(38,{scale})")).cast("double").alias("__tot")
+    total = exact_sum(value).alias("__tot")
     tot = df.groupBy(*group).agg(total) if group else df.agg(total)
     j = df.join(tot, group, "left") if group else attach_row(df, tot)
     return j.withColumn(name, F.try_divide(F.col(value), F.col("__tot"))).drop("__tot")
@@ -39,29 +38,19 @@ def islands(df: DataFrame, key: Sequence[str], day: str, name: str = "island") -
     return df.withColumn(name, F.date_sub(F.col(day), F.row_number().over(w).cast("int")))
 
 
-def distinct_values(df: DataFrame, column: str, limit: int = 1000) -> list:
-    """Sorted distinct values of a label column, for pivot headers.
-
-    This is the one place a result reaches the driver: a header list whose
-    size is checked, never data rows. A label set above ``limit`` is an
-    error rather than a silently huge schema.
-    """
-    vals = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()]
-    if len(vals) > limit:
-        raise ValueError(f"{column} has more than {limit} distinct values; use the long form")
-    return sorted(vals)
-
-
 def keep_last(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """One row per key, the one with the largest ``order`` value.
 
     Written as ``max_by`` over a struct of the row: an aggregate with a
     map-side partial step, so a key holding a large share of the rows is
     reduced on every partition before the shuffle (a window would sort that
-    key's rows in one task). ``order`` should be unique within a key.
+    key's rows in one task). ``order`` should be unique within a key; a null
+    order value comes before all others.
     """
     rest = [c for c in df.columns if c not in keys]
-    agg = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(order)).alias("__row"))
+    # A struct is never null, so rows with a null order value count too.
+    by = F.struct(F.col(order).isNotNull().alias("set"), F.col(order).alias("value"))
+    agg = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), by).alias("__row"))
     return agg.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest])
 
 

@@ -3,14 +3,23 @@
 Each statement recreates the role bindings from the raw tables as CTEs
 (``GOLD``) and then computes the same result as the Spark plan with plain
 SQL. Conventions shared with the Spark side: hour sums are taken as
-DECIMAL(38,2); decimal half-even rounding goes through DECIMAL(38,9).
+DECIMAL(38,7); decimal half-even rounding goes through DECIMAL(38,9).
 """
 
 from __future__ import annotations
 
-from cohortlens.plans.intern import BANNER_BELOW_MEDIAN, BANNER_NOT_STARTED, BANNER_ON_TRACK, BANNER_TOP
-from cohortlens.plans.mentor import (CARD_BACKLOG, CARD_CLEAR, CARD_MEDIUM, CARD_URGENT, PLAN_HIGH, PLAN_LOW,
-                                     PLAN_MEDIUM)
+# Texts as the sheets show them, written out here so that a wrong text in a plan does not pass.
+BANNER_BELOW_MEDIAN = "📈 **Almost There!** You're **%.1f hrs** below the cohort median. A little extra daily effort will move your rank significantly!"
+BANNER_NOT_STARTED = "⚡ **Heads Up!** You haven't started **%d course(s)** yet. Every day counts — time to dive in!"
+BANNER_ON_TRACK = "✅ **On Track!** You've logged **%.0f hrs** and your effort is above the cohort median. Consistency is your superpower!"
+BANNER_TOP = "🚀 **Top Tier Alert!** Your average progress is **%.0f%%** — you're outpacing most of your cohort. Keep crushing it!"
+CARD_BACKLOG = ('📝 Review Backlog', '**%d assignments** are awaiting your review across %d intern-course combinations.')
+CARD_CLEAR = ('✅ All Clear!', 'No urgent action items. Your cohort is performing well!')
+CARD_MEDIUM = ('⚡ Medium Risk Watch', '%d interns are trending downward in effort. Consider a group check-in.')
+CARD_URGENT = ('🚨 Urgent: At-Risk Interns', '%d intern(s) need immediate check-in')
+PLAN_HIGH = '%s needs help now: mean progress %s after %s of logged effort. Meet today, agree on one small next step per open course, and find a study partner in the cohort.'
+PLAN_MEDIUM = '%s is slowing down: mean progress %s after %s of logged effort. Ask in writing what is blocking, suggest the assignment closest to done, and look again in three days.'
+PLAN_LOW = '%s is doing fine: mean progress %s after %s of logged effort. Say so, and offer a task that lets others learn from it.'
 
 
 def lit(text: str) -> str:
@@ -24,7 +33,7 @@ def rhe(expr: str, digits: int = 1) -> str:
 
 
 def hsum(expr: str = "hours") -> str:
-    return f"CAST(sum(CAST(({expr}) AS DECIMAL(38,2))) AS DOUBLE)"
+    return f"CAST(sum(CAST(({expr}) AS DECIMAL(38,7))) AS DOUBLE)"
 
 
 COURSE_ID = "printf('CRS-%03d', CAST(split_part(o_orderpriority, '-', 1) AS INTEGER) - 1)"
@@ -150,12 +159,7 @@ SHORT = ("CASE course_name WHEN 'Basic Python Programming' THEN 'Python' WHEN 'B
          "WHEN 'Data Processing using NumPy & Pandas' THEN 'NumPy/Pandas' "
          "WHEN 'Data Processing using Pyspark' THEN 'PySpark' ELSE course_name END")
 
-# Label sets of the bound data (the Spark side discovers them with a
-# size-checked distinct; the SQL twin names them).
-ACTIVITIES = ("click", "error", "purchase", "signup", "view")
-WEEKS = (1, 2, 3, 4, 5)
-COURSES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
-STATUSES = ("Completed", "In Progress", "Not Started")
+WEEKS = range(1, 54)
 
 TH = f"th AS (SELECT intern_id, {hsum()} AS total_hours FROM fact_activity GROUP BY intern_id)"
 DAILY = f"daily AS (SELECT intern_id, date, {hsum()} AS hours FROM fact_activity WHERE date IS NOT NULL GROUP BY intern_id, date)"
@@ -179,6 +183,25 @@ RANK = f"""rk AS (
 # ---------------------------------------------------------------------------
 # Activity
 # ---------------------------------------------------------------------------
+RANGE_FROM = "FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-21')"
+
+
+def in_range(sql: str) -> str:
+    """A statement over the activity of the chosen dates only."""
+    out = sql.replace("value AS hours FROM events)", "value AS hours " + RANGE_FROM)
+    assert out != sql
+    return out
+
+
+SQL["f05_dropout_risk_range"] = in_range(SQL["b04_dropout_risk"])
+SQL["f05_daily_hours_range"] = in_range(with_gold("SELECT intern_id, date, hours FROM daily", DAILY))
+SQL["f05_weekly_hours_range"] = in_range(with_gold(f"SELECT intern_id, week, {hsum()} AS hours FROM fa_wk GROUP BY ALL", WK))
+SQL["c10_range_summary"] = in_range(with_gold(f"""
+SELECT intern_id, {hsum()} AS total_hours, count(DISTINCT date) AS logged_days, min(date) AS first_date, max(date) AS last_date,
+       CAST(date_diff('day', min(date), max(date)) + 1 AS INTEGER) AS own_span_days, 14 AS range_days, {hsum()} / 14 AS hours_per_day
+FROM fact_activity GROUP BY intern_id"""))
+SQL["a07_weekly_hours_by_year"] = with_gold(f"""
+SELECT intern_id, CAST(isoyear(date) AS INTEGER) AS iso_year, week, {hsum()} AS hours FROM fa_wk GROUP BY ALL""", WK)
 SQL["a02_total_hours"] = with_gold("SELECT intern_id, total_hours FROM th", TH)
 SQL["a03_daily_outliers"] = with_gold("SELECT intern_id, date, hours, hours > 12.0 AS is_outlier FROM daily", DAILY)
 SQL["a04_daily_stats"] = with_gold(f"""
@@ -209,7 +232,7 @@ JOIN (SELECT week, {hsum()} AS cohort_hours FROM fa_wk GROUP BY ALL) c USING (we
 LEFT JOIN dim_intern d ON p.intern_id = d.intern_id""", WK)
 SQL["b12_activity_by_mentor"] = with_gold(f"""
 SELECT mentor_name, activity, hours,
-       hours / CAST(sum(CAST(hours AS DECIMAL(38,2))) OVER (PARTITION BY mentor_name) AS DOUBLE) AS share
+       hours / CAST(sum(CAST(hours AS DECIMAL(38,7))) OVER (PARTITION BY mentor_name) AS DOUBLE) AS share
 FROM (SELECT b.mentor_name, p.activity, {hsum('p.h')} AS hours
       FROM (SELECT intern_id, activity, {hsum()} AS h FROM fact_activity GROUP BY ALL) p
       JOIN bridge b USING (intern_id) GROUP BY ALL)""")
@@ -225,9 +248,9 @@ SELECT intern_id, activity AS top_activity, {rhe('hours', 1)} AS top_hours FROM
         FROM a JOIN (SELECT intern_id, max(date) AS last FROM a GROUP BY intern_id) l USING (intern_id)
         WHERE a.date >= l.last - 7 GROUP BY ALL))
 WHERE rn = 1""", f"a AS (SELECT intern_id, date, activity, {hsum()} AS hours FROM fact_activity WHERE date IS NOT NULL GROUP BY ALL)")
-SQL["b31_daily_activity_pivot"] = with_gold("SELECT intern_id, date, " + ", ".join(
-    f"coalesce({hsum(f'CASE WHEN activity = {chr(39)}{a}{chr(39)} THEN hours END')}, 0.0::DOUBLE) AS \"{a}\""
-    for a in ACTIVITIES) + " FROM fact_activity WHERE date IS NOT NULL GROUP BY intern_id, date")
+SQL["b31_daily_activity_pivot"] = with_gold(f"""
+SELECT intern_id, date, activity, hours, CAST(sum(CAST(hours AS DECIMAL(38,7))) OVER (PARTITION BY intern_id, date) AS DOUBLE) AS day_hours
+FROM (SELECT intern_id, date, activity, {hsum()} AS hours FROM fact_activity WHERE date IS NOT NULL GROUP BY ALL)""")
 SQL["w02_streak_stats"] = with_gold(f"""
 SELECT s.intern_id, s.active_days, s.best_day_hours, s.daily_avg_hours, s.first_date, s.last_date,
        CAST(coalesce(l.longest_streak, 0) AS BIGINT) AS longest_streak
@@ -261,9 +284,9 @@ SQL["b07_score_summary"] = with_gold(f"""
 SELECT lms_row_id, intern_id, course_name, kc_pct, test_pct, {dash0('kc_pct')} AS kc_display,
        {dash0('test_pct')} AS test_display
 FROM lms_s JOIN dim_course USING (course_id)""", SCORES)
-SQL["b08_progress_heatmap"] = with_gold("SELECT intern_id, " + ", ".join(
-    f"coalesce(avg(CASE WHEN course_name = '{c}' THEN progress END), 0.0::DOUBLE) AS \"{c}\"" for c in COURSES)
-    + " FROM fact_lms JOIN dim_course USING (course_id) GROUP BY intern_id")
+SQL["b08_progress_heatmap"] = with_gold(f"""
+SELECT intern_id, {SHORT} AS course, progress FROM (
+  SELECT intern_id, course_id, avg(progress) AS progress FROM fact_lms GROUP BY ALL) JOIN dim_course USING (course_id)""")
 SQL["b11_score_distribution"] = with_gold(f"""
 SELECT metric, count(*) AS n, {rhe('s1 / n', 6)} AS mean,
        {rhe('sqrt(greatest((s2 - s1 * s1 / n) / n, 0.0::DOUBLE))', 6)} AS sd, min(v) AS min,
@@ -309,9 +332,13 @@ FROM (SELECT b.mentor_name, p.course_id, CAST(sum(n) AS BIGINT) AS n_rows, sum(s
 JOIN dim_course USING (course_id)""", SCORES)
 SQL["b21_status_by_course"] = with_gold("""
 SELECT course_name, overall_status, count(*) AS n FROM fact_lms JOIN dim_course USING (course_id) GROUP BY ALL""")
-SQL["r04_status_pivot"] = with_gold("SELECT course_name, " + ", ".join(
-    f"count_if(overall_status = '{s}') AS \"{s}\"" for s in STATUSES)
-    + " FROM fact_lms JOIN dim_course USING (course_id) GROUP BY course_name")
+SQL["r04_status_pivot"] = with_gold("""
+SELECT course_name, count_if(overall_status = 'Completed') AS completed, count_if(overall_status = 'In Progress') AS in_progress,
+       count_if(overall_status = 'In progress') AS in_progress_2, count_if(overall_status = 'Not started') AS not_started_2,
+       count_if(overall_status = 'Not Started') AS not_started,
+       count_if(overall_status IS NULL OR overall_status NOT IN
+                ('Completed', 'In Progress', 'In progress', 'Not started', 'Not Started')) AS other
+FROM fact_lms JOIN dim_course USING (course_id) GROUP BY course_name""")
 SQL["b34_course_scoreboard"] = with_gold("""
 SELECT lms_row_id, intern_id, course_name,
        replace(replace(course_name, 'Data Processing using ', ''), ' & Pandas', '/Pandas') AS course_label,
@@ -371,6 +398,7 @@ FROM (SELECT intern_id, avg(progress) AS avg_progress, sum(reviewed) AS r, sum(t
       FROM lms_s GROUP BY intern_id) l
 LEFT JOIN (SELECT intern_id, {hsum()} AS total_hours, count(DISTINCT date) AS active_days
            FROM fact_activity GROUP BY intern_id) a ON l.intern_id = a.intern_id""", SCORES)
+SQL["b17_intern_range_panel_range"] = in_range(SQL["b17_intern_range_panel"])
 SQL["b18_deep_dive"] = with_gold(f"""
 SELECT ilms.intern_id, {fmt0('avg_progress')} AS progress_label,
        CASE WHEN total_hours IS NULL THEN 'N/A' ELSE printf('%.0f hrs', {rhe('total_hours', 0)}) END AS hours_label,
@@ -411,19 +439,15 @@ SELECT intern_id,
        ELSE printf({lit(BANNER_ON_TRACK)}, {rhe('h', 0)}) END AS banner_text
 FROM (SELECT ilms.*, coalesce(th.total_hours, 0.0::DOUBLE) AS h FROM ilms LEFT JOIN th USING (intern_id)) CROSS JOIN qs""",
     ILMS + ",\n" + TH + ",\n" + QUANT)
-SQL["b30_radar_profile"] = with_gold("SELECT * FROM (SELECT intern_id, " + ", ".join(
-    f"coalesce(arg_min(progress, CASE WHEN course_name = '{c}' THEN lms_row_id END), 0.0::DOUBLE) AS \"own_{c}\""
-    for c in COURSES) + " FROM fact_lms JOIN dim_course USING (course_id) GROUP BY intern_id) CROSS JOIN (SELECT "
-    + ", ".join(f"coalesce(max(CASE WHEN course_name = '{c}' THEN avg_progress END), 0.0::DOUBLE) AS \"cohort_{c}\""
-                for c in COURSES) + " FROM a01)", A01)
+SQL["b30_radar_profile"] = with_gold("""
+SELECT intern_id, course_name, arg_min(progress, lms_row_id) AS own_progress, any_value(avg_progress) AS cohort_progress
+FROM fact_lms JOIN dim_course USING (course_id) JOIN a01 USING (course_name) GROUP BY intern_id, course_name""", A01)
 SQL["b33_activity_benchmark"] = with_gold(f"""
-SELECT s.activity, s.intern_id, coalesce(m.h, 0.0::DOUBLE) AS my_hours, c.cohort_avg_hours
-FROM (SELECT i.intern_id, a.activity FROM (SELECT DISTINCT intern_id FROM fact_activity) i
-      CROSS JOIN (SELECT DISTINCT activity FROM fact_activity) a) s
-LEFT JOIN (SELECT intern_id, activity, {hsum()} AS h FROM fact_activity GROUP BY ALL) m
-  ON s.intern_id = m.intern_id AND s.activity = m.activity
+SELECT m.activity, m.intern_id, m.my_hours, c.cohort_avg_hours,
+       CAST(row_number() OVER (PARTITION BY m.intern_id ORDER BY m.my_hours DESC, m.activity) AS INTEGER) AS own_rank
+FROM (SELECT intern_id, activity, {hsum()} AS my_hours FROM fact_activity GROUP BY ALL) m
 LEFT JOIN (SELECT activity, {hsum()} / (SELECT count(DISTINCT intern_id) FROM fact_activity) AS cohort_avg_hours
-           FROM fact_activity GROUP BY activity) c ON s.activity = c.activity""")
+           FROM fact_activity GROUP BY activity) c ON m.activity = c.activity""")
 SQL["b36_kpi_strip"] = with_gold(f"""
 SELECT ilms.intern_id, printf('%.0f hrs', {rhe('coalesce(rk.total_hours, 0.0::DOUBLE)', 0)}) AS hours_label,
        printf('%d/%d', n_completed, n_courses) AS completed_label,
@@ -473,6 +497,9 @@ m AS (
     FROM (SELECT intern_id, sum(total_assg - reviewed) AS pending, count(*) AS pairs
           FROM fact_lms WHERE reviewed < total_assg GROUP BY intern_id) p
     JOIN bridge b USING (intern_id) GROUP BY b.mentor_name) q ON r.mentor_name = q.mentor_name)""")
+SQL["b19_urgent_names"] = with_gold("""
+SELECT b.mentor_name, r.intern_id, split_part(trim(intern_name), ' ', 1) AS first_name, risk_score
+FROM risk r JOIN bridge b ON r.intern_id = b.intern_id WHERE risk_level = 'High'""", RISK_CTES)
 SQL["b20_mentor_kpis"] = with_gold(f"""
 SELECT b.mentor_name, count(*) AS n_interns, CAST(sum(c) AS BIGINT) AS completed, CAST(sum(ip) AS BIGINT) AS in_progress,
        CAST(sum(ns) AS BIGINT) AS not_started, {rhe('sum(sp) / sum(n)', 6)} AS avg_progress,
@@ -490,16 +517,16 @@ SQL["b23_mentor_calendar"] = with_gold(f"""
 SELECT b.mentor_name, w.intern_id, week, hours
 FROM (SELECT intern_id, week, {hsum()} AS hours FROM fa_wk GROUP BY ALL) w JOIN bridge b USING (intern_id)""", WK)
 SQL["b24_profile_list"] = with_gold(f"""
-SELECT b.mentor_name, b.intern_id, coalesce(risk_level, 'Low') AS risk_level, coalesce(risk_score, 0.0::DOUBLE) AS risk_score,
+SELECT b.mentor_name, b.intern_id, intern_name, coalesce(risk_level, 'Low') AS risk_level, coalesce(risk_score, 0.0::DOUBLE) AS risk_score,
        coalesce({fmt0('avg_progress')}, '—') AS progress_label,
        printf('%.0f hrs', {rhe('coalesce(th.total_hours, 0.0::DOUBLE)', 0)}) AS hours_label
 FROM bridge b LEFT JOIN risk r ON b.intern_id = r.intern_id LEFT JOIN th ON b.intern_id = th.intern_id""",
     RISK_CTES + ",\n" + TH)
 SQL["b38_intervention_plan"] = with_gold(f"""
 SELECT intern_id, tier AS risk_level,
-  CASE tier WHEN 'High' THEN printf({lit(PLAN_HIGH)}, nm, nm, prog, hrs)
-            WHEN 'Medium' THEN printf({lit(PLAN_MEDIUM)}, nm, nm, prog, hrs)
-            ELSE printf({lit(PLAN_LOW)}, nm, nm, prog, hrs) END AS plan_text
+  CASE tier WHEN 'High' THEN printf({lit(PLAN_HIGH)}, nm, prog, hrs)
+            WHEN 'Medium' THEN printf({lit(PLAN_MEDIUM)}, nm, prog, hrs)
+            ELSE printf({lit(PLAN_LOW)}, nm, prog, hrs) END AS plan_text
 FROM (SELECT l.intern_id, coalesce(d.intern_name, 'Unknown') AS nm,
              CASE WHEN avg_progress < 40 THEN 'High' WHEN avg_progress > 70 THEN 'Low' ELSE 'Medium' END AS tier,
              coalesce({fmt0('avg_progress')}, 'nan%') AS prog,
@@ -592,25 +619,25 @@ silver_eod AS (
          "Activity" AS activity, CAST("Hours" AS DOUBLE) AS hours
   FROM bronze_eod),
 g_dim_intern AS (
-  SELECT DISTINCT intern_name, substr(md5(intern_name), 1, 8) AS intern_id FROM silver_lms WHERE intern_name IS NOT NULL),
+  SELECT DISTINCT intern_name, md5(intern_name) AS intern_id, left(md5(intern_name), 8) AS intern_code FROM silver_lms WHERE intern_name IS NOT NULL),
 g_dim_course AS (
   SELECT course_name, start_date, end_date,
          printf('CRS-%03d', row_number() OVER (ORDER BY course_name NULLS FIRST, start_date NULLS FIRST,
                                                       end_date NULLS FIRST) - 1) AS course_id
   FROM (SELECT DISTINCT course_name, start_date, end_date FROM silver_lms)),
 g_fact_lms AS (
-  SELECT row_id, substr(md5(s.intern_name), 1, 8) AS intern_id, d.course_id, progress, reviewed, total_assg,
+  SELECT row_id, md5(s.intern_name) AS intern_id, d.course_id, progress, reviewed, total_assg,
          rev_submitted, submitted, overall_status, mentor_name, kc_scored, kc_total, test_scored, test_total
   FROM silver_lms s JOIN g_dim_course d
     ON s.course_name IS NOT DISTINCT FROM d.course_name AND s.start_date IS NOT DISTINCT FROM d.start_date
    AND s.end_date IS NOT DISTINCT FROM d.end_date
   WHERE s.intern_name IS NOT NULL),
 g_fact_activity AS (
-  SELECT row_id, date, substr(md5(full_name), 1, 8) AS intern_id, activity, hours
+  SELECT row_id, date, md5(full_name) AS intern_id, activity, hours
   FROM silver_eod WHERE full_name IN (SELECT intern_name FROM g_dim_intern))
 """
 
-SQL["b01_dim_intern"] = with_gold("SELECT intern_name, intern_id FROM g_dim_intern", BRONZE)
+SQL["b01_dim_intern"] = with_gold("SELECT intern_name, intern_id, intern_code FROM g_dim_intern", BRONZE)
 SQL["b01_dim_course"] = with_gold("SELECT course_name, start_date, end_date, course_id FROM g_dim_course", BRONZE)
 SQL["b01_dim_mentor"] = with_gold("""
 SELECT DISTINCT unnest(list_distinct(list_filter(list_transform(string_split(mentor_name, ', '), lambda x: trim(x)),
@@ -618,7 +645,7 @@ SELECT DISTINCT unnest(list_distinct(list_filter(list_transform(string_split(men
 SQL["b01_fact_lms"] = with_gold("SELECT * FROM g_fact_lms", BRONZE)
 SQL["b01_fact_activity"] = with_gold("SELECT * FROM g_fact_activity", BRONZE)
 SQL["b01_key_collisions"] = with_gold("""
-SELECT intern_id, count(*) AS n_names FROM g_dim_intern GROUP BY intern_id HAVING count(*) > 1""", BRONZE)
+SELECT intern_code, count(*) AS n_names FROM g_dim_intern GROUP BY intern_code HAVING count(*) > 1""", BRONZE)
 SEQ = """
 seq_intern AS (SELECT intern_name, row_number() OVER (ORDER BY intern_name) + 1000 AS intern_id
                FROM (SELECT DISTINCT intern_name FROM silver_lms WHERE intern_name IS NOT NULL)),
@@ -632,6 +659,9 @@ SELECT row_id, i.intern_id, d.course_id, progress, reviewed, total_assg, overall
 FROM silver_lms s JOIN seq_intern i ON s.intern_name = i.intern_name
 JOIN seq_course d ON s.course_name IS NOT DISTINCT FROM d.course_name AND s.start_date IS NOT DISTINCT FROM d.start_date
  AND s.end_date IS NOT DISTINCT FROM d.end_date""", BRONZE + "," + SEQ)
+SQL["b02_dim_course_seq"] = with_gold("SELECT course_name, start_date, end_date, course_id FROM seq_course", BRONZE + "," + SEQ)
+SQL["b02_fact_effort"] = with_gold("""
+SELECT row_id, date, i.intern_id, activity, hours FROM silver_eod e JOIN seq_intern i ON e.full_name = i.intern_name""", BRONZE + "," + SEQ)
 SQL["b03_quality_report"] = with_gold("""
 SELECT (SELECT count(*) FROM g_dim_intern) AS unique_interns,
        (SELECT count(*) FROM g_dim_course) AS courses,
@@ -644,10 +674,11 @@ SELECT (SELECT count(*) FROM g_dim_intern) AS unique_interns,
        (SELECT count_if(progress > 100) FROM g_fact_lms) AS invalid_progress,
        (SELECT count(*) FROM silver_eod e WHERE NOT EXISTS (
            SELECT 1 FROM silver_lms s WHERE s.intern_name IS NOT NULL AND s.intern_name = e.full_name)) AS orphan_records,
-       (SELECT count_if(h > 12.0) FROM (SELECT sum(CAST(hours AS DECIMAL(38,2))) AS h FROM g_fact_activity
+       (SELECT count_if(h > 12.0) FROM (SELECT sum(CAST(hours AS DECIMAL(38,7))) AS h FROM g_fact_activity
                                     WHERE date IS NOT NULL GROUP BY intern_id, date)) AS outlier_days,
        (SELECT count_if("Progress (%)" IS NOT NULL AND """ + to_double_sql("regexp_replace(trim(" + '"Progress (%)"' + "), '%+$', '')")
-    + """ IS NULL) FROM bronze_lms) AS unparsed_progress""", BRONZE)
+    + """ IS NULL) FROM bronze_lms) AS unparsed_progress,
+       (SELECT count_if(hours IS NOT NULL AND NOT abs(hours) <= 9e15) FROM g_fact_activity) AS unsummable_hours""", BRONZE)
 SQL["u02_merge_new"] = with_gold(f"""
 SELECT * FROM b WHERE ingest_date < DATE '1998-01-01'
 UNION ALL
@@ -658,21 +689,24 @@ SELECT * FROM b n WHERE ingest_date >= DATE '1998-01-01' AND NOT EXISTS (
 SQL["b40_validate_output"] = with_gold(f"""
 SELECT "check", scope, passed, detail FROM (
   SELECT 'lms_schema' AS "check", scope, true AS passed, '12 columns in order' AS detail FROM pc
-  UNION ALL SELECT 'row_count', scope, rows = (SELECT n FROM ni), printf('%d rows', rows) FROM pc
-  UNION ALL SELECT 'progress_range', scope, prog_ok, '0..100' FROM pc
-  UNION ALL SELECT 'status_values', scope, status_ok, 'known spellings' FROM pc
-  UNION ALL SELECT 'completed_progress', scope, coalesce(min_done_prog >= 30, true), 'completed => progress >= 30' FROM pc
+  UNION ALL SELECT 'row_count', scope, rows = (SELECT n FROM want), printf('%d rows', rows) FROM pc
+  UNION ALL SELECT 'progress_range', scope, bad_progress = 0, '0..100' FROM pc
+  UNION ALL SELECT 'status_values', scope, bad_status = 0, 'known spellings' FROM pc
+  UNION ALL SELECT 'completed_progress', scope, early_done = 0, 'completed => progress >= 30' FROM pc
   UNION ALL SELECT 'eod_schema', 'eod', true, '5 columns in order'
-  UNION ALL SELECT 'unique_names', 'lms', true, printf('%d names', (SELECT n FROM ni))
-  UNION ALL SELECT 'hours_range', 'eod', (SELECT coalesce(bool_and("Hours" BETWEEN 0.0 AND 10.0), true) FROM bronze_eod), '0..10'
-  UNION ALL SELECT 'eod_coverage', 'eod', (SELECT count(DISTINCT concat_ws(' ', "First Name", "Last Name")) FROM bronze_eod) = (SELECT n FROM ni),
-                   printf('%d names', (SELECT count(DISTINCT concat_ws(' ', "First Name", "Last Name")) FROM bronze_eod)))""",
+  UNION ALL SELECT 'unique_names', 'lms', (SELECT n FROM lms_names) = (SELECT n FROM want), printf('%d names', (SELECT n FROM lms_names))
+  UNION ALL SELECT 'hours_range', 'eod', (SELECT count(*) FROM bronze_eod
+                                          WHERE "Hours" IS NULL OR "Hours" < 0 OR "Hours" > 10) = 0, '0..10'
+  UNION ALL SELECT 'eod_coverage', 'eod', (SELECT n FROM eod_names) = (SELECT n FROM want), printf('%d names', (SELECT n FROM eod_names)))""",
     BRONZE + f""",
-ni AS (SELECT count(DISTINCT trim("User Name")) AS n FROM bronze_lms),
+want AS (SELECT count(DISTINCT intern_id) AS n FROM dim_intern),
+lms_names AS (SELECT count(*) AS n FROM (SELECT DISTINCT "User Name" FROM bronze_lms)),
+eod_names AS (SELECT count(*) AS n FROM (SELECT DISTINCT "First Name" || ' ' || "Last Name" FROM bronze_eod)),
 pc AS (SELECT "Course Name" AS scope, count(*) AS rows,
-              coalesce(bool_and(p BETWEEN 0 AND 100), true) AS prog_ok,
-              bool_and(coalesce("Overall Status" IN ('Completed', 'In Progress', 'In progress', 'Not started', 'Not Started'), false)) AS status_ok,
-              min(CASE WHEN "Overall Status" = 'Completed' THEN p END) AS min_done_prog
+              count(*) FILTER (WHERE p IS NULL OR p < 0 OR p > 100) AS bad_progress,
+              count(*) FILTER (WHERE "Overall Status" IS NULL OR "Overall Status" NOT IN
+                               ('Completed', 'In Progress', 'In progress', 'Not started', 'Not Started')) AS bad_status,
+              count(*) FILTER (WHERE "Overall Status" = 'Completed' AND p < 30) AS early_done
        FROM (SELECT *, {to_double_sql("regexp_replace(trim(" + '"Progress (%)"' + "), '%+$', '')")} AS p FROM bronze_lms)
        GROUP BY "Course Name")""")
 
@@ -680,14 +714,12 @@ pc AS (SELECT "Course Name" AS scope, count(*) AS rows,
 # Profiles
 # ---------------------------------------------------------------------------
 
-def moments_sql(v: str, scale: int, which=("n", "mean", "std_pop", "std_samp")) -> str:
-    d = f"CAST({v} AS DECIMAL(18,{scale}))"
-    s1, s2, n = f"CAST(sum({d}) AS DOUBLE)", f"CAST(sum({d} * {d}) AS DOUBLE)", f"count({v})"
+def moments_sql(v: str, which=("n", "mean", "std_pop", "std_samp")) -> str:
     parts = {
-        "n": f"{n} AS n",
-        "mean": f"{rhe(f'{s1} / {n}', 6)} AS mean",
-        "std_pop": f"{rhe(f'sqrt(greatest(({s2} - {s1} * {s1} / {n}) / {n}, 0.0::DOUBLE))', 6)} AS std_pop",
-        "std_samp": f"CASE WHEN {n} > 1 THEN {rhe(f'sqrt(greatest(({s2} - {s1} * {s1} / {n}) / ({n} - 1), 0.0::DOUBLE))', 6)} END AS std_samp",
+        "n": f"count({v}) AS n",
+        "mean": f"{rhe(f'avg({v})', 6)} AS mean",
+        "std_pop": f"{rhe(f'stddev_pop({v})', 6)} AS std_pop",
+        "std_samp": f"{rhe(f'stddev_samp({v})', 6)} AS std_samp",
     }
     return ", ".join(parts[w] for w in which)
 
@@ -697,15 +729,23 @@ LMS_VIEW = ("lv AS (SELECT lms_row_id, intern_id, course_id, progress, overall_s
 PCT_P = "regexp_replace(trim(\"Progress (%)\"), '%+$', '')"
 
 SQL["b37_cohort_summary"] = with_gold("""
-SELECT 7 AS n_columns, count(*) AS total_rows, count(DISTINCT course_name) AS unique_courses,
+SELECT 7 AS n_columns, 'course_id, intern_id, lms_row_id, progress, overall_status, intern_name, course_name' AS columns, count(*) AS total_rows, count(DISTINCT course_name) AS unique_courses,
        count(DISTINCT intern_name) AS unique_interns, avg(progress) AS avg_progress FROM lv""", LMS_VIEW)
+SQL["b37_course_list"] = with_gold("SELECT DISTINCT course_name FROM lv", LMS_VIEW)
+SQL["t04_sample_rows"] = with_gold("""
+SELECT course_id, intern_id, lms_row_id, progress, overall_status, intern_name, course_name FROM lv
+ORDER BY md5(lms_row_id || ':42'), lms_row_id LIMIT 15""", LMS_VIEW)
+SQL["c25_summary_json"] = with_gold(f"""
+SELECT '{{"n_columns":7,"total_rows":' || count(*) || ',"unique_courses":' || count(DISTINCT course_name)
+       || ',"unique_interns":' || count(DISTINCT intern_name) || ',"avg_progress":"'
+       || printf('%.6f', {rhe('avg(progress)', 6)}) || '"}}' AS summary FROM lv""", LMS_VIEW)
 SQL["t03_top_bottom_interns"] = with_gold("""
 SELECT * FROM (SELECT intern_name, avg_progress, 'top' AS side FROM per ORDER BY avg_progress DESC, intern_name LIMIT 3)
 UNION ALL
 SELECT * FROM (SELECT intern_name, avg_progress, 'bottom' AS side FROM per ORDER BY avg_progress, intern_name LIMIT 3)""",
     LMS_VIEW + ", per AS (SELECT intern_name, avg(progress) AS avg_progress FROM lv WHERE intern_name IS NOT NULL GROUP BY intern_name)")
 SQL["b39_progress_per_course"] = with_gold(f"""
-SELECT "Course Name" AS course_name, {moments_sql('p', 4, ('n', 'mean', 'std_pop'))}
+SELECT "Course Name" AS course_name, {moments_sql('p', ('n', 'mean', 'std_pop'))}
 FROM (SELECT *, {to_double_sql(PCT_P)} AS p FROM bronze_lms) GROUP BY "Course Name" """, BRONZE)
 SQL["b39_status_shares"] = with_gold("""
 SELECT status, n, n / CAST(sum(CAST(n AS DECIMAL(38,0))) OVER () AS DOUBLE) AS share
@@ -717,7 +757,7 @@ RATIOS = {
     "test_ratio": (frac_sql('"Overall Test"', 0, '0.0'), nz_sql(frac_sql('"Overall Test"', 1, '1.0'))),
 }
 SQL["b39_ratio_profile"] = with_gold(f"""
-SELECT metric, {moments_sql('v', 12, ('n', 'mean', 'std_pop'))} FROM (
+SELECT metric, {moments_sql('v', ('n', 'mean', 'std_pop'))} FROM (
 """ + "\nUNION ALL\n".join(f"SELECT '{k}' AS metric, {a} / {b} AS v FROM bronze_lms" for k, (a, b) in RATIOS.items())
     + ") GROUP BY metric", BRONZE)
 SQL["b39_activity_shares"] = with_gold("""
@@ -726,8 +766,8 @@ FROM (SELECT "Activity" AS activity, count(*) AS n FROM bronze_eod GROUP BY 1)""
 SQL["b39_eod_profile"] = with_gold(f"""
 SELECT h.mean AS hours_mean, h.std_pop AS hours_std, h.hours_min, h.hours_max,
        r.mean AS records_mean, r.std_samp AS records_std, r.records_min, r.records_max, d.date_start, d.date_end
-FROM (SELECT {moments_sql('"Hours"', 2, ('mean', 'std_pop'))}, min("Hours") AS hours_min, max("Hours") AS hours_max FROM bronze_eod) h
-CROSS JOIN (SELECT {moments_sql('r', 0, ('mean', 'std_samp'))}, min(r) AS records_min, max(r) AS records_max
+FROM (SELECT {moments_sql('"Hours"', ('mean', 'std_pop'))}, min("Hours") AS hours_min, max("Hours") AS hours_max FROM bronze_eod) h
+CROSS JOIN (SELECT {moments_sql('r', ('mean', 'std_samp'))}, min(r) AS records_min, max(r) AS records_max
             FROM (SELECT count(*) AS r FROM silver_eod GROUP BY full_name)) r
 CROSS JOIN (SELECT min(date) AS date_start, max(date) AS date_end FROM silver_eod) d""", BRONZE)
 SQL["b41_status_mix"] = with_gold(f"""
@@ -736,9 +776,9 @@ FROM (SELECT "Overall Status" AS status, count(*) AS n FROM bronze_lms GROUP BY
 SQL["b41_generation_summary"] = with_gold(f"""
 SELECT p.mean AS progress_mean, p.std_samp AS progress_std, q.progress_median,
        h.mean AS hours_mean, h.std_samp AS hours_std, h.hours_min, h.hours_max
-FROM (SELECT {moments_sql('p', 4, ('mean', 'std_samp'))} FROM pp) p
+FROM (SELECT {moments_sql('p', ('mean', 'std_samp'))} FROM pp) p
 CROSS JOIN (SELECT quantile_cont(p, 0.5) AS progress_median FROM pp) q
-CROSS JOIN (SELECT {moments_sql('"Hours"', 2, ('mean', 'std_samp'))}, min("Hours") AS hours_min, max("Hours") AS hours_max
+CROSS JOIN (SELECT {moments_sql('"Hours"', ('mean', 'std_samp'))}, min("Hours") AS hours_min, max("Hours") AS hours_max
             FROM bronze_eod) h""", BRONZE + f", pp AS (SELECT {to_double_sql(PCT_P)} AS p FROM bronze_lms)")
 
 # ---------------------------------------------------------------------------
@@ -771,6 +811,7 @@ ICON = ("CASE activity WHEN 'PySpark Session' THEN '⚡' WHEN 'Data Engineering
 LABEL = f"{ICON} || ' ' || substr(activity, 1, 18)"
 for _k in ("a05_activity_share", "a05_cohort_activity_share"):
     SQL[_k] = SQL[_k].replace(" AS share\nFROM (", f" AS share, {LABEL} AS label\nFROM (", 1)
+SQL["f05_activity_share_range"] = in_range(SQL["a05_activity_share"])
 
 SQL["w05_latest_lms_rows"] = with_gold("""
 SELECT intern_id, course_id, lms_row_id, progress, overall_status FROM (
@@ -795,6 +836,8 @@ WHERE mentor_name = (SELECT min(mentor_name) FROM bridge)
 
 SQL["b39_mentors_per_course"] = with_gold("""
 SELECT DISTINCT "Course Name" AS course_name, "Mentor Name" AS mentor FROM bronze_lms WHERE "Mentor Name" IS NOT NULL""", BRONZE)
+SQL["b39_completed_values"] = with_gold("""
+SELECT DISTINCT "Completed Assignment" AS value FROM bronze_lms WHERE "Completed Assignment" IS NOT NULL""", BRONZE)
 SQL["b39_total_values"] = with_gold(f"""
 SELECT DISTINCT metric, value FROM (
   SELECT 'assg_total' AS metric, {frac_sql('"Reviewed / Total Assignments"', 1, '1.0')} AS value FROM bronze_lms

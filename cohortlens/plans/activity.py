@@ -7,13 +7,15 @@ costs one small row per partition, not one huge task.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.functions.dates import iso_week, iso_year, weekday0
+from cohortlens.functions.dates import inclusive_days, iso_week, iso_year, weekday0
 from cohortlens.functions.numeric import round_half_even
 from cohortlens.functions.text import lookup, short_label
-from cohortlens.operators.relational import distinct_values, islands, share_of_total
+from cohortlens.operators.relational import islands, share_of_total
 from cohortlens.operators.scalar import attach_row
 from cohortlens.plans.common import Params, activity, hours_sum
 from cohortlens.sources.bindings import Gold
@@ -95,33 +97,40 @@ def date_activity_hours(g: Gold, p: Params | None = None) -> DataFrame:
 
 
 def daily_activity_pivot(g: Gold, p: Params | None = None) -> DataFrame:
-    """Per intern and date one column per activity, missing = 0."""
-    acts = distinct_values(g.fact_activity, "activity")
-    fa = activity(g, p).where(F.col("date").isNotNull())
-    cols = [F.coalesce(hours_sum(F.when(F.col("activity") == a, F.col("hours"))), F.lit(0.0)).alias(a)
-            for a in acts]
-    return fa.groupBy("intern_id", "date").agg(*cols)
+    """The cells of the (intern, date) x activity matrix that have
+    data, with the day's total; a missing cell reads as 0. Long form, so the
+    list of activities may be of any length."""
+    cells = date_activity_hours(g, p)
+    day = cells.groupBy("intern_id", "date").agg(hours_sum().alias("day_hours"))
+    return cells.join(day, ["intern_id", "date"])
 
 
-def weekly_hours(g: Gold, by=(), p: Params | None = None) -> DataFrame:
-    """Hours per ISO week (optionally per intern)."""
+def weekly_hours(g: Gold, by=(), p: Params | None = None, with_year: bool = False) -> DataFrame:
+    """Hours per ISO week (optionally per intern). The sheet's week number
+    has no year, so years merge; ``with_year`` keeps them apart."""
     fa = activity(g, p).where(F.col("date").isNotNull()).withColumn("week", iso_week("date"))
-    return fa.groupBy(*by, "week").agg(hours_sum().alias("hours"))
+    year = ["iso_year"] if with_year else []
+    if with_year:
+        fa = fa.withColumn("iso_year", iso_year("date"))
+    return fa.groupBy(*by, *year, "week").agg(hours_sum().alias("hours"))
+
+
+ISO_WEEKS = range(1, 54)
 
 
 def weekly_trend_pivot(g: Gold, p: Params | None = None) -> DataFrame:
-    """Intern x week matrix of hours, missing weeks = 0."""
-    fa = activity(g, p).where(F.col("date").isNotNull()).withColumn("week", iso_week("date"))
-    weeks = distinct_values(fa, "week", limit=60)
-    cols = [F.coalesce(hours_sum(F.when(F.col("week") == w, F.col("hours"))), F.lit(0.0)).alias(f"w{w}")
-            for w in weeks]
-    return fa.groupBy("intern_id").agg(*cols)
+    """Intern x week matrix of hours over the 53 weeks that an ISO
+    year can have, missing weeks = 0."""
+    per = weekly_hours(g, ("intern_id",), p)  # one row per intern and week before the pivot
+    cols = [F.coalesce(F.max(F.when(F.col("week") == w, F.col("hours"))), F.lit(0.0)).alias(f"w{w}") for w in ISO_WEEKS]
+    return per.groupBy("intern_id").agg(*cols)
 
 
 def weekly_with_cohort(g: Gold, p: Params | None = None) -> DataFrame:
     """Weekly hours per intern next to the cohort's weekly total."""
     per = weekly_hours(g, ("intern_id",), p)
-    coh = weekly_hours(g, (), p).withColumnRenamed("hours", "cohort_hours")
+    # At most 53 rows by the calendar.
+    coh = F.broadcast(weekly_hours(g, (), p).withColumnRenamed("hours", "cohort_hours"))
     return per.join(coh, "week").join(g.dim_intern, "intern_id", "left")
 
 
@@ -190,3 +199,14 @@ def top_activity_last_week(g: Gold, p: Params | None = None, days: int = 7) -> D
     top = per.withColumn("rn", F.row_number().over(w)).where(F.col("rn") == 1)
     return top.select("intern_id", F.col("activity").alias("top_activity"),
                       round_half_even(F.col("hours"), 1).alias("top_hours"))
+
+
+def range_summary(g: Gold, p: Params) -> DataFrame:
+    """Per intern, over the chosen dates: hours, days with a log, the
+    inclusive span of the range in days and the mean per day of it."""
+    days = F.lit((date.fromisoformat(p.end) - date.fromisoformat(p.start)).days + 1)
+    per = activity(g, p).groupBy("intern_id").agg(
+        hours_sum().alias("total_hours"), F.count_distinct("date").alias("logged_days"),
+        F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+    return per.select("*", inclusive_days(F.col("first_date"), F.col("last_date")).cast("int").alias("own_span_days"),
+                      days.alias("range_days"), (F.col("total_hours") / days).alias("hours_per_day"))

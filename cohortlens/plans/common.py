@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.numeric import exact_sum
+from cohortlens.operators.materialize import materialize
 from cohortlens.sources.bindings import Gold
 
 # Course short names and activity labels of the source sheets.
@@ -48,10 +49,23 @@ def max_date(fa: DataFrame) -> Column:
 
 
 def hours_sum(c="hours") -> Column:
-    """Exact, order-independent sum of 2-decimal hours, as double (summed as
-    integer hundredths; see ``functions.numeric.exact_sum``)."""
-    return exact_sum(c, 2)
+    """Exact, order-independent sum of hours, as double."""
+    return exact_sum(c)
 
 
-def course_names(g: Gold) -> DataFrame:
-    return g.dim_course.select("course_id", "course_name")
+# Dimensions of at most so many rows are broadcast; larger ones are joined by shuffle.
+BROADCAST_ROWS = 100_000
+
+
+def small_side(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once and marked for broadcast if it has at most
+    BROADCAST_ROWS rows (counted, not estimated); else it is joined by shuffle."""
+    df = materialize(df, name)
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+def course_dim(g: Gold) -> DataFrame:
+    """The course dimension for joins to facts, measured once per Gold."""
+    if getattr(g, "_course_dim", None) is None:
+        g._course_dim = small_side(g.dim_course, "dim_course")
+    return g._course_dim

@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.dates import parse_date
-from cohortlens.functions.numeric import exact_sum, fraction_part, parse_percent, zero_to_one
+from cohortlens.functions.numeric import exact_sum, fraction_part, parse_percent, unsummable, zero_to_one
 from cohortlens.functions.text import clean_name, full_name, mentor_list
 from cohortlens.operators.ranking import rank_rows
 from cohortlens.operators.relational import null_safe_join
 from cohortlens.operators.scalar import attach_row
-from cohortlens.plans.common import STATUS_VALUES
+from cohortlens.plans.common import STATUS_VALUES, small_side
 from cohortlens.operators.materialize import materialize
 from cohortlens.sources.bindings import Gold
 
@@ -29,12 +29,18 @@ LMS_COLUMNS = ["User Name", "Course Name", "Start Date", "End Date", "Mentor Nam
                "Completed Assignment", "Reviewed / Submitted", "Overall Knowledge Check", "Overall Test",
                "Reviewed / Total Assignments", "Overall Status"]
 EOD_COLUMNS = ["Date", "First Name", "Last Name", "Activity", "Hours"]
-KEY_HEX_CHARS = 8
+CODE_HEX_CHARS = 8
 
 
-def intern_key(name, width: int = KEY_HEX_CHARS):
-    """First ``width`` hex chars of md5(name) (surrogate key)."""
-    return F.substring(F.md5(name), 1, width)
+def intern_key(name):
+    """md5(name) in full, the key of all joins: 32 bits of it would give
+    two names one key from some 65 000 names on."""
+    return F.md5(name)
+
+
+def intern_code(name):
+    """The sheet's short code, the first eight hex digits, for display."""
+    return F.substring(F.md5(name), 1, CODE_HEX_CHARS)
 
 
 def silver_lms(bronze: DataFrame) -> DataFrame:
@@ -44,7 +50,7 @@ def silver_lms(bronze: DataFrame) -> DataFrame:
     prog = F.coalesce(F.col("Progress (%)"), F.lit("0%"))
     rta, rs = F.col("Reviewed / Total Assignments"), F.col("Reviewed / Submitted")
     kc, te = F.col("Overall Knowledge Check"), F.col("Overall Test")
-    extra = [c for c in ("row_id", "ingest_date") if c in bronze.columns]
+    extra = [c for c in ("row_id", "ingest_date", "unparsed") if c in bronze.columns]
     return bronze.select(
         *extra,
         clean_name(F.col("User Name")).alias("intern_name"),
@@ -75,7 +81,8 @@ def dim_intern(lms: DataFrame) -> DataFrame:
     """SCD-1 intern dimension: distinct cleaned names with the hash key.
     Rows without a name are quarantined, not named 'Nan'."""
     return lms.where(F.col("intern_name").isNotNull()).select("intern_name").distinct() \
-              .select("intern_name", intern_key(F.col("intern_name")).alias("intern_id"))
+              .select("intern_name", intern_key(F.col("intern_name")).alias("intern_id"),
+                      intern_code(F.col("intern_name")).alias("intern_code"))
 
 
 def dim_course(lms: DataFrame, first_id: int = 0, fmt: str | None = "CRS-%03d") -> DataFrame:
@@ -121,7 +128,8 @@ class Star:
 
     @cached_property
     def dim_course(self) -> DataFrame:
-        return dim_course(self.silver_lms)
+        d = dim_course(self.silver_lms)
+        return small_side(d, "dim_course") if self.materialized else d
 
     @cached_property
     def dim_mentor(self) -> DataFrame:
@@ -154,7 +162,7 @@ def star_schema_sequential(g: Gold) -> dict[str, DataFrame]:
     names = lms.where(F.col("intern_name").isNotNull()).select("intern_name").distinct()
     di = rank_rows(names, [F.asc("intern_name")], name="__r").select(
         "intern_name", (F.col("__r") + 1000).alias("intern_id"))
-    dc = dim_course(lms, first_id=501, fmt=None)
+    dc = small_side(dim_course(lms, first_id=501, fmt=None), "dim_course")
     fact_progress = null_safe_join(lms.join(di, "intern_name"), dc, ["course_name", "start_date", "end_date"]) \
         .select("row_id", "intern_id", "course_id", "progress", "reviewed", "total_assg", "overall_status")
     fact_effort = eod.join(di.withColumnRenamed("intern_name", "full_name"), "full_name") \
@@ -163,41 +171,46 @@ def star_schema_sequential(g: Gold) -> dict[str, DataFrame]:
 
 
 def key_collisions(g: Gold) -> DataFrame:
-    """Hash-key guard: ids shared by more than one name (32-bit keys collide
-    near 65k names; widen KEY_HEX_CHARS at scale). Empty means safe."""
+    """Display codes shared by more than one name (the keys themselves are whole
+    digests)."""
     di = star_schema(g)["dim_intern"]
-    return di.groupBy("intern_id").agg(F.count(F.lit(1)).alias("n_names")).where(F.col("n_names") > 1)
+    return di.groupBy("intern_code").agg(F.count(F.lit(1)).alias("n_names")).where(F.col("n_names") > 1)
 
 
 def quality_report(g: Gold, outlier_hours: float = 12.0) -> DataFrame:
-    """The profiling counters as one row (the sheet's ten plus the count
-    of progress texts that do not parse). Each counter is a global aggregate
-    evaluated as a scalar subquery."""
-    s = star_schema(g, materialized=True)
-    lms, eod = s["silver_lms"], s["silver_eod"]
-    fa, fl = s["fact_activity"], s["fact_lms"]
-    daily = fa.where(F.col("date").isNotNull()).groupBy("intern_id", "date").agg(
-        exact_sum("hours", 2).alias("h"))
+    """The profiling counters as one row (the sheet's ten, the count of
+    progress texts that do not parse and of hours that cannot be summed).
+
+    Each sheet is cleaned and written once; the LMS counters then need one
+    plain aggregate and one per key, the EOD ones a single (name, day)
+    aggregate joined to the known names."""
+    raw = g.bronze_lms
+    flag = F.col("Progress (%)").isNotNull() & parse_percent(F.col("Progress (%)")).isNull()
+    lms = materialize(silver_lms(raw.withColumn("unparsed", flag)), "silver_lms")
+    named = F.col("intern_name").isNotNull()
+    plain = lms.agg(F.count_if(named).alias("fact_lms_rows"), F.count_if(named & (F.col("progress") > 100)).alias("invalid_progress"),
+                    F.count_if("unparsed").alias("unparsed_progress"))
     # Duplicates beyond the first per (name, course); null keys group together.
-    dup = lms.groupBy("intern_name", "course_name").agg(F.count(F.lit(1)).alias("n")) \
-             .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)))
-    names = lms.select(F.col("intern_name").alias("full_name")).where(F.col("full_name").isNotNull()).distinct()
-    orphans = eod.join(names, "full_name", "left_anti").agg(F.count(F.lit(1)))
-    one = g.spark.range(1)
-    return one.select(
-        s["dim_intern"].agg(F.count(F.lit(1))).scalar().alias("unique_interns"),
-        s["dim_course"].agg(F.count(F.lit(1))).scalar().alias("courses"),
-        s["dim_mentor"].agg(F.count(F.lit(1))).scalar().alias("mentors"),
-        fl.agg(F.count(F.lit(1))).scalar().alias("fact_lms_rows"),
-        fa.agg(F.count(F.lit(1))).scalar().alias("fact_activity_rows"),
-        dup.scalar().alias("duplicates"),
-        fa.agg(F.count_if(F.col("hours") < 0)).scalar().alias("invalid_hours"),
-        fl.agg(F.count_if(F.col("progress") > 100)).scalar().alias("invalid_progress"),
-        orphans.scalar().alias("orphan_records"),
-        daily.agg(F.count_if(F.col("h") > outlier_hours)).scalar().alias("outlier_days"),
-        g.bronze_lms.agg(F.count_if(F.col("Progress (%)").isNotNull() & parse_percent(F.col("Progress (%)")).isNull()))
-         .scalar().alias("unparsed_progress"),
-    )
+    per_name = materialize(lms.groupBy("intern_name", "course_name").agg(F.count(F.lit(1)).alias("n"))
+                           .groupBy("intern_name").agg(F.sum(F.col("n") - 1).alias("extra")), "names")
+    people = per_name.agg(F.count("intern_name").alias("unique_interns"), F.coalesce(F.sum("extra"), F.lit(0)).alias("duplicates"))
+    courses = lms.select("course_name", "start_date", "end_date").distinct().agg(F.count(F.lit(1)).alias("courses"))
+    mentors = dim_mentor(lms.select("mentor_name").distinct()).agg(F.count(F.lit(1)).alias("mentors"))
+    daily = silver_eod(g.bronze_eod).groupBy("full_name", "date").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("hours") < 0).alias("negative"), exact_sum("hours").alias("h"),
+        unsummable("hours").alias("bad"))
+    known = per_name.where(named).select(F.col("intern_name").alias("full_name"), F.lit(True).alias("known"))
+    is_known = F.col("known").isNotNull()
+    total = lambda c, cond: F.coalesce(F.sum(F.when(cond, F.col(c))), F.lit(0))
+    effort = daily.join(known, "full_name", "left").agg(
+        total("n", is_known).alias("fact_activity_rows"), total("negative", is_known).alias("invalid_hours"),
+        total("n", ~is_known).alias("orphan_records"), total("bad", is_known).alias("unsummable_hours"),
+        F.count_if(is_known & F.col("date").isNotNull() & (F.col("h") > outlier_hours)).alias("outlier_days"))
+    out = people
+    for one_row in (courses, mentors, plain, effort):
+        out = attach_row(out, one_row)
+    return out.select("unique_interns", "courses", "mentors", "fact_lms_rows", "fact_activity_rows", "duplicates", "invalid_hours",
+                      "invalid_progress", "orphan_records", "outlier_days", "unparsed_progress", "unsummable_hours")
 
 
 def merge_new(base: DataFrame, new: DataFrame, keys=("course_name", "name_norm")) -> DataFrame:
@@ -214,27 +227,38 @@ def merged_lms(g: Gold, cutoff: str = "1998-01-01") -> DataFrame:
     """U02 on the bound data: sheets loaded before ``cutoff`` are the base,
     later ones the new batch; a new row is added only if its person is not
     in the base sheet of the same course."""
-    b = g.bronze_lms.withColumn("name_norm", clean_name(F.col("User Name")))
+    b = materialize(g.bronze_lms.withColumn("name_norm", clean_name(F.col("User Name"))), "bronze_lms")
     base = b.where(F.col("ingest_date") < F.lit(cutoff).cast("date"))
     new = b.where(F.col("ingest_date") >= F.lit(cutoff).cast("date"))
     return merge_new(base, new, ["Course Name", "name_norm"])
 
 
-def validate_output(g: Gold) -> DataFrame:
-    """The nine sheet checks as rows (check, scope, passed, detail)."""
-    lms, eod = g.bronze_lms, g.bronze_eod
-    lms_ok = [c for c in lms.columns if c in LMS_COLUMNS] == LMS_COLUMNS
-    eod_ok = [c for c in eod.columns if c in EOD_COLUMNS] == EOD_COLUMNS
+def validate_output(g: Gold, expected_interns: int | None = None) -> DataFrame:
+    """The nine sheet checks as rows (check, scope, passed, detail).
+
+    The names of the LMS sheets must be as many as the cohort has interns;
+    every sheet has a row for each of them and every one logs effort.
+    ``expected_interns`` defaults to the size of the intern dimension. A null
+    progress or null hours is outside any range, so its check fails."""
+    lms = materialize(g.bronze_lms.select(*LMS_COLUMNS) if set(LMS_COLUMNS) <= set(g.bronze_lms.columns) else g.bronze_lms, "bronze_lms")
+    eod = g.bronze_eod
+    own = ("row_id", "ingest_date")  # lineage that the binding adds, not part of a sheet
+    lms_ok = [c for c in g.bronze_lms.columns if c not in own] == LMS_COLUMNS
+    eod_ok = [c for c in eod.columns if c not in own] == EOD_COLUMNS
     # Cohort-wide counts, one row, computed once and broadcast.
-    n_names = lms.select(F.trim("User Name").alias("n")).distinct().agg(F.count("n").alias("n_interns"))
-    eod_stats = eod.agg(F.coalesce(F.bool_and(F.col("Hours").between(0.0, 10.0)), F.lit(True)).alias("hours_ok"))
-    eod_names = eod.select(F.concat_ws(" ", "First Name", "Last Name").alias("n")).distinct() \
-                   .agg(F.count("n").alias("eod_names"))
-    stats = attach_row(attach_row(n_names, eod_stats), eod_names)
+    n_names = lms.select(F.col("User Name").alias("n")).distinct().agg(F.count(F.lit(1)).alias("n_names"))
+    expected = (g.spark.range(1).select(F.lit(expected_interns).cast("long").alias("n_interns")) if expected_interns is not None
+                else g.dim_intern.agg(F.count_distinct("intern_id").alias("n_interns")))
+    in_range = F.coalesce(F.col("Hours").between(0.0, 10.0), F.lit(False))
+    eod_stats = eod.agg(F.coalesce(F.bool_and(in_range), F.lit(True)).alias("hours_ok"))
+    # A missing part makes the whole name missing, which counts as one name.
+    eod_names = eod.select(F.concat("First Name", F.lit(" "), "Last Name").alias("n")).distinct() \
+                   .agg(F.count(F.lit(1)).alias("eod_names"))
+    stats = attach_row(attach_row(attach_row(n_names, expected), eod_stats), eod_names)
     prog = parse_percent(F.col("Progress (%)"))
     per_course = lms.groupBy(F.col("Course Name").alias("scope")).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.bool_and(prog.between(0, 100)), F.lit(True)).alias("prog_ok"),
+        F.bool_and(F.coalesce(prog.between(0, 100), F.lit(False))).alias("prog_ok"),
         F.bool_and(F.coalesce(F.col("Overall Status").isin(*STATUS_VALUES), F.lit(False))).alias("status_ok"),
         F.min(F.when(F.col("Overall Status") == "Completed", prog)).alias("min_done_prog"))
     per_course = attach_row(per_course, stats)
@@ -253,8 +277,8 @@ def validate_output(g: Gold) -> DataFrame:
     glob = stats.select(F.explode(F.array(
         F.struct(F.lit("eod_schema").alias("check"), F.lit("eod").alias("scope"), F.lit(eod_ok).alias("passed"),
                  F.lit("5 columns in order").alias("detail")),
-        F.struct(F.lit("unique_names").alias("check"), F.lit("lms").alias("scope"), F.lit(True).alias("passed"),
-                 F.format_string("%d names", F.col("n_interns")).alias("detail")),
+        F.struct(F.lit("unique_names").alias("check"), F.lit("lms").alias("scope"), (F.col("n_names") == F.col("n_interns")).alias("passed"),
+                 F.format_string("%d names", F.col("n_names")).alias("detail")),
         F.struct(F.lit("hours_range").alias("check"), F.lit("eod").alias("scope"), F.col("hours_ok").alias("passed"),
                  F.lit("0..10").alias("detail")),
         F.struct(F.lit("eod_coverage").alias("check"), F.lit("eod").alias("scope"),

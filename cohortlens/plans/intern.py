@@ -8,16 +8,15 @@ ranking, never by pulling the cohort into one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions.fmt import fmt_pct0, fmt_rank, fmt_ratio, signed_delta
 from cohortlens.functions.numeric import exact_sum, round_half_even
 from cohortlens.operators.ranking import approx_quantiles, exact_quantiles, rank_rows
-from cohortlens.operators.relational import distinct_values
 from cohortlens.operators.scalar import attach_row
 from cohortlens.plans.activity import total_hours
-from cohortlens.plans.common import NOT_STARTED, Params, activity, hours_sum
+from cohortlens.plans.common import NOT_STARTED, Params, activity, course_dim, hours_sum, small_side
 from cohortlens.plans.lms import course_avg_progress, with_scores
 from cohortlens.sources.bindings import Gold
 
@@ -154,33 +153,31 @@ def banner(g: Gold, p: Params | None = None) -> DataFrame:
 
 
 def radar_profile(g: Gold) -> DataFrame:
-    """Per intern, own progress in each course (first LMS row of that
-    course, 0 when absent) next to the cohort course mean; one column pair per
-    course from the (size-checked) course list."""
-    courses = distinct_values(g.dim_course, "course_name", limit=500)
-    j = g.fact_lms_light.join(g.dim_course, "course_id")
-    own = [F.coalesce(F.min_by(F.col("progress"), F.when(F.col("course_name") == c, F.col("lms_row_id"))),
-                      F.lit(0.0)).alias(f"own_{c}") for c in courses]
-    per = j.groupBy("intern_id").agg(*own)
-    avg = course_avg_progress(g)
-    coh = avg.agg(*[F.coalesce(F.max(F.when(F.col("course_name") == c, F.col("avg_progress"))), F.lit(0.0))
-                    .alias(f"cohort_{c}") for c in courses])
-    return attach_row(per, coh)
+    """Per intern and course with data, own progress (first LMS row of
+    that course) next to the cohort's course mean. Long form: one row per
+    axis of the radar, a missing one reads as 0."""
+    own = g.fact_lms_light.groupBy("intern_id", "course_id").agg(
+        F.min(F.struct("lms_row_id", "progress")).alias("f"))
+    # Courses of one name are one axis; the dimension and the means are small.
+    dim = small_side(course_dim(g).join(course_avg_progress(g), "course_name", "left"), "course_means")
+    per = own.join(dim, "course_id").groupBy("intern_id", "course_name").agg(
+        F.min("f").alias("f"), F.first("avg_progress").alias("cohort_progress"))
+    return per.select("intern_id", "course_name", F.coalesce("f.progress", F.lit(0.0)).alias("own_progress"),
+                      F.coalesce("cohort_progress", F.lit(0.0)).alias("cohort_progress"))
 
 
 def activity_benchmark(g: Gold, p: Params | None = None) -> DataFrame:
-    """For each intern with activity and each cohort activity, own hours
-    (0 if none) vs the cohort mean per intern (A19). The activity list is a
-    size-checked label set, so the output is interns x labels."""
+    """For each intern and activity with hours: own hours, the cohort
+    mean per intern (A19) and the activity's place in the intern's own order
+    by hours (ties by name). An activity without a row reads as 0 hours."""
     fa = activity(g, p)
-    acts = distinct_values(g.fact_activity, "activity")
-    per = fa.groupBy("intern_id").agg(
-        *[F.coalesce(hours_sum(F.when(F.col("activity") == a, F.col("hours"))), F.lit(0.0)).alias(a) for a in acts])
     n = fa.agg(F.count_distinct("intern_id")).scalar()
-    coh = fa.groupBy("activity").agg((hours_sum() / n).alias("cohort_avg_hours"))
-    stacked = per.select("intern_id", F.explode(F.array(
-        *[F.struct(F.lit(a).alias("activity"), F.col(f"`{a}`").alias("my_hours")) for a in acts])).alias("x"))
-    return stacked.select("intern_id", "x.activity", "x.my_hours").join(coh, "activity", "left")
+    per = fa.groupBy("intern_id", "activity").agg(hours_sum().alias("my_hours"))
+    # The cohort's hours add up the interns' own: the facts are read once.
+    coh = small_side(per.groupBy("activity").agg((hours_sum("my_hours") / n).alias("cohort_avg_hours")), "cohort_hours")
+    # One row per activity of an intern: the window partitions are tiny.
+    w = Window.partitionBy("intern_id").orderBy(F.desc("my_hours"), F.asc("activity"))
+    return per.join(coh, "activity", "left").withColumn("own_rank", F.row_number().over(w))
 
 
 def kpi_strip(g: Gold, p: Params | None = None) -> DataFrame:
@@ -234,8 +231,8 @@ def intern_range_panel(g: Gold, p: Params | None = None) -> DataFrame:
     lms = s.groupBy("intern_id").agg(
         F.avg("progress").alias("avg_progress"), F.sum("reviewed").alias("r"), F.sum("total_assg").alias("t"),
         F.count_if(F.col("overall_status") == "Completed").alias("c"), F.count(F.lit(1)).alias("n"),
-        (exact_sum(F.when(kc > 0, kc), 1) / F.count_if(kc > 0)).alias("kc"),
-        (exact_sum(F.when(te > 0, te), 1) / F.count_if(te > 0)).alias("te"))
+        (exact_sum(F.when(kc > 0, kc)) / F.count_if(kc > 0)).alias("kc"),
+        (exact_sum(F.when(te > 0, te)) / F.count_if(te > 0)).alias("te"))
     j = lms.join(act, "intern_id", "left")
     hours = F.coalesce(F.col("total_hours"), F.lit(0.0))
     return j.select(

@@ -6,24 +6,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.fmt import dash_if_nonpositive, fmt_pct0, fmt_ratio
-from cohortlens.functions.numeric import exact_units, pct, round_half_even, zero_to_one
+from cohortlens.functions.numeric import exact_units, fraction_part, pct, round_half_even, zero_to_one
 from cohortlens.functions.fmt import progress_band
 from cohortlens.functions.text import first_token, initials, lookup
 from cohortlens.operators.ranking import exact_quantiles
-from cohortlens.operators.relational import distinct_values
-from cohortlens.plans.common import COURSE_SHORT, IN_PROGRESS, NOT_STARTED
+from cohortlens.operators.materialize import materialize
+from cohortlens.plans.common import COURSE_SHORT, IN_PROGRESS, NOT_STARTED, STATUS_VALUES, course_dim, small_side
 from cohortlens.sources.bindings import Gold
 
 
 def with_scores(lms: DataFrame) -> DataFrame:
-    """KC and test percentages from scored / total (0 -> 1 guard)."""
+    """KC and test percentages from scored / total (0 -> 1 guard), or
+    from the sheet's own 'scored / total' text where the pair is missing (a
+    part that is no number counts as 0 of 1), or 0."""
     cols = set(lms.columns)
     out = lms
-    for name, scored, total in (("kc_pct", "kc_scored", "kc_total"), ("test_pct", "test_scored", "test_total")):
+    for name, scored, total, text in (("kc_pct", "kc_scored", "kc_total", "Overall Knowledge Check"),
+                                      ("test_pct", "test_scored", "test_total", "Overall Test")):
         if name in cols:
             continue
         if scored in cols and total in cols:
             out = out.withColumn(name, pct(F.col(scored), F.col(total)))
+        elif text in cols:
+            c = F.col(f"`{text}`")
+            out = out.withColumn(name, pct(fraction_part(c, 0, 0.0), fraction_part(c, 1, 1.0)))
         else:
             out = out.withColumn(name, F.lit(0.0))
     return out
@@ -31,14 +37,15 @@ def with_scores(lms: DataFrame) -> DataFrame:
 
 def course_avg_progress(g: Gold) -> DataFrame:
     """Mean progress per course name (all interns)."""
-    j = g.fact_lms_light.join(g.dim_course, "course_id")
-    return j.groupBy("course_name").agg(F.avg("progress").alias("avg_progress"))
+    per = g.fact_lms_light.groupBy("course_id").agg(F.sum("progress").alias("s"), F.count("progress").alias("n"))
+    j = per.join(course_dim(g), "course_id")  # a row per course, not per fact
+    return j.groupBy("course_name").agg((F.sum("s") / F.sum("n")).alias("avg_progress"))
 
 
 def pending_reviews(g: Gold) -> DataFrame:
     """Rows with reviewed < total, with names and the pending count."""
     sub = g.fact_lms.where(F.col("reviewed") < F.col("total_assg"))
-    j = sub.join(g.dim_intern, "intern_id").join(g.dim_course, "course_id")
+    j = sub.join(g.dim_intern, "intern_id").join(course_dim(g), "course_id")
     return j.select("lms_row_id", "intern_id", "intern_name", "course_id",
                     lookup("course_name", COURSE_SHORT).alias("course_short"),
                     "reviewed", "total_assg", (F.col("total_assg") - F.col("reviewed")).alias("pending"))
@@ -46,19 +53,17 @@ def pending_reviews(g: Gold) -> DataFrame:
 
 def score_summary(g: Gold) -> DataFrame:
     """Per LMS row KC % and test %, with the display strings."""
-    j = with_scores(g.fact_lms).join(g.dim_course, "course_id")
+    j = with_scores(g.fact_lms).join(course_dim(g), "course_id")
     return j.select("lms_row_id", "intern_id", "course_name", "kc_pct", "test_pct",
                     dash_if_nonpositive(F.col("kc_pct")).alias("kc_display"),
                     dash_if_nonpositive(F.col("test_pct")).alias("test_display"))
 
 
 def progress_heatmap(g: Gold) -> DataFrame:
-    """Intern x course mean progress, missing = 0, explicit columns."""
-    courses = distinct_values(g.dim_course, "course_name", limit=500)
-    j = g.fact_lms_light.join(g.dim_course, "course_id")
-    cols = [F.coalesce(F.avg(F.when(F.col("course_name") == c, F.col("progress"))), F.lit(0.0))
-            .alias(COURSE_SHORT.get(c, c)) for c in courses]
-    return j.groupBy("intern_id").agg(*cols)
+    """Intern x course mean progress, one row per cell that has data
+    (a missing cell reads as 0), so the course list may be of any length."""
+    per = g.fact_lms_light.groupBy("intern_id", "course_id").agg(F.avg("progress").alias("progress"))
+    return per.join(course_dim(g), "course_id").select("intern_id", lookup("course_name", COURSE_SHORT).alias("course"), "progress")
 
 
 def score_distribution(g: Gold) -> DataFrame:
@@ -69,6 +74,7 @@ def score_distribution(g: Gold) -> DataFrame:
         F.struct(F.lit("kc_pct").alias("metric"), F.col("kc_pct").alias("v")),
         F.struct(F.lit("test_pct").alias("metric"), F.col("test_pct").alias("v")))).alias("x")
     ).select("x.metric", "x.v").where(F.col("v") > 0)
+    long = materialize(long, "scores")  # read by the moments and by the quantiles
     # Exact sums of the 1-decimal values: the moments do not depend on order.
     t = exact_units(F.col("v"), 1)
     s1 = F.sum(t) / F.lit(10.0)
@@ -88,7 +94,7 @@ def score_distribution(g: Gold) -> DataFrame:
 
 def progress_by_course(g: Gold) -> DataFrame:
     """Each LMS row with intern first name and course short name."""
-    j = g.fact_lms_light.join(g.dim_intern, "intern_id").join(g.dim_course, "course_id")
+    j = g.fact_lms_light.join(g.dim_intern, "intern_id").join(course_dim(g), "course_id")
     return j.select("lms_row_id", "intern_id", "intern_name", first_token("intern_name").alias("first_name"),
                     initials("intern_name").alias("initials"),
                     lookup("course_name", COURSE_SHORT).alias("course_short"), "progress",
@@ -97,7 +103,7 @@ def progress_by_course(g: Gold) -> DataFrame:
 
 def course_assignment_detail(g: Gold) -> DataFrame:
     """B16 detail: per LMS row pending, completion %, KC / test display."""
-    s = with_scores(g.fact_lms).join(g.dim_intern, "intern_id").join(g.dim_course, "course_id")
+    s = with_scores(g.fact_lms).join(g.dim_intern, "intern_id").join(course_dim(g), "course_id")
     comp = round_half_even(F.col("reviewed") / zero_to_one(F.col("total_assg")) * 100, 0).cast("int")
     return s.select("lms_row_id", "intern_name", "course_name", "reviewed", "total_assg",
                     (F.col("total_assg") - F.col("reviewed")).alias("pending"), "overall_status",
@@ -130,7 +136,7 @@ def course_panel_kpis(g: Gold) -> DataFrame:
         F.sum("r").alias("total_reviewed"), F.sum("t").alias("total_assg"),
         (F.sum("kcs") / F.lit(10.0)).alias("kcs"), F.sum("kcn").alias("kcn"),
         (F.sum("tes") / F.lit(10.0)).alias("tes"), F.sum("ten").alias("ten"))
-    out = agg.join(g.dim_course, "course_id")
+    out = agg.join(course_dim(g), "course_id")
     return out.select(
         "mentor_name", "course_id", "course_name", "n_rows", round_half_even(F.col("avg_progress"), 6).alias("avg_progress"),
         "completed", "in_progress", "not_started", "total_reviewed", "total_assg",
@@ -140,21 +146,27 @@ def course_panel_kpis(g: Gold) -> DataFrame:
 
 def status_by_course(g: Gold) -> DataFrame:
     """Row counts per (course, status), long form."""
-    j = g.fact_lms_light.join(g.dim_course, "course_id")
-    return j.groupBy("course_name", "overall_status").agg(F.count(F.lit(1)).alias("n"))
+    per = g.fact_lms_light.groupBy("course_id", "overall_status").agg(F.count(F.lit(1)).alias("n"))
+    return per.join(course_dim(g), "course_id").groupBy("course_name", "overall_status").agg(F.sum("n").alias("n"))
+
+
+# Column names are not case sensitive, so the spellings get names of their own.
+STATUS_COLUMNS = (("Completed", "completed"), ("In Progress", "in_progress"), ("In progress", "in_progress_2"),
+                  ("Not started", "not_started_2"), ("Not Started", "not_started"))
 
 
 def status_pivot(g: Gold) -> DataFrame:
-    """Course x status counts, explicit status columns, missing = 0."""
-    statuses = distinct_values(g.fact_lms_light, "overall_status", limit=50)
-    j = g.fact_lms_light.join(g.dim_course, "course_id")
-    cols = [F.count_if(F.col("overall_status") == s).alias(s) for s in statuses]
-    return j.groupBy("course_name").agg(*cols)
+    """Course x status counts, one column per status spelling of the sheets
+    and one for all others, missing = 0."""
+    other = ~F.coalesce(F.col("overall_status").isin(*STATUS_VALUES), F.lit(False))
+    cols = [*[F.sum(F.when(F.col("overall_status") == s, F.col("n")).otherwise(0)).alias(c) for s, c in STATUS_COLUMNS],
+            F.sum(F.when(other, F.col("n")).otherwise(0)).alias("other")]
+    return status_by_course(g).groupBy("course_name").agg(*cols)
 
 
 def course_scoreboard(g: Gold) -> DataFrame:
     """Each intern's courses with short label, status style and 'r/t'."""
-    j = g.fact_lms.join(g.dim_course, "course_id")
+    j = g.fact_lms.join(course_dim(g), "course_id")
     short = F.replace(F.replace(F.col("course_name"), F.lit("Data Processing using "), F.lit("")),
                       F.lit(" & Pandas"), F.lit("/Pandas"))
     style = (F.when(F.col("overall_status") == "Completed", "done")
@@ -166,8 +178,9 @@ def course_scoreboard(g: Gold) -> DataFrame:
 
 def course_vs_cohort(g: Gold) -> DataFrame:
     """Each LMS row's progress against the course mean, with the gap text."""
-    avg = course_avg_progress(g)
-    j = g.fact_lms_light.join(g.dim_course, "course_id").join(avg, "course_name", "left")
+    # The means join the course dimension first; the facts meet one small table.
+    dim = small_side(course_dim(g).join(course_avg_progress(g), "course_name", "left"), "course_means")
+    j = g.fact_lms_light.join(dim, "course_id")
     coh = F.coalesce(F.col("avg_progress"), F.lit(0.0))
     delta = F.col("progress") - coh
     arrow = F.when(delta >= 0, F.lit("🟢 +")).otherwise(F.lit("🔴 "))

@@ -49,8 +49,8 @@ def features(g: Gold) -> DataFrame:
     lms = s.groupBy("intern_id").agg(
         F.avg("progress").alias("progress"), F.sum("reviewed").alias("reviewed"),
         F.sum("total_assg").alias("total_assg_raw"),
-        (exact_sum("kc_pct", 1) / F.count("kc_pct")).alias("kc_pct"),
-        (exact_sum("test_pct", 1) / F.count("test_pct")).alias("test_pct"))
+        (exact_sum("kc_pct") / F.count("kc_pct")).alias("kc_pct"),
+        (exact_sum("test_pct") / F.count("test_pct")).alias("test_pct"))
     th = total_hours(g)
     med = exact_median(th, "total_hours", "m").scalar()
     j = lms.join(th, "intern_id")

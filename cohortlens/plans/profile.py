@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.numeric import fraction_part, parse_percent, round_half_even, zero_to_one
 from cohortlens.functions.text import full_name
+from cohortlens.operators.materialize import materialize
 from cohortlens.operators.ranking import exact_quantiles
 from cohortlens.operators.relational import share_of_total
 from cohortlens.operators.scalar import attach_row
+from cohortlens.plans.common import course_dim
 from cohortlens.sources.bindings import Gold
 
 SAMPLE_ROWS = 15
@@ -17,36 +19,38 @@ SAMPLE_SEED = 42
 TOP_N = 3
 
 
-def _exact_moments(v: Column, scale: int) -> list[Column]:
-    """n, mean, population and sample sd from exact decimal sums (order-independent)."""
-    d = v.cast(f"decimal(18,{scale})")  # the square stays within 38 digits, exact
-    s1 = F.sum(d).cast("double")
-    s2 = F.sum(d * d).cast("double")
-    n = F.count(v)
-    var_pop = F.greatest((s2 - s1 * s1 / n) / n, F.lit(0.0))
-    var_samp = F.when(n > 1, F.greatest((s2 - s1 * s1 / n) / (n - 1), F.lit(0.0)))
-    return [n.alias("n"), round_half_even(s1 / n, 6).alias("mean"),
-            round_half_even(F.sqrt(var_pop), 6).alias("std_pop"),
-            round_half_even(F.sqrt(var_samp), 6).alias("std_samp")]
+def _moments(c) -> list[Column]:
+    """n, mean, population and sample sd (Spark's running-moment aggregates,
+    which neither overflow nor cancel), to six decimals. NaN counts as null."""
+    v = F.nanvl(F.col(c).cast("double") if isinstance(c, str) else c.cast("double"), F.lit(None).cast("double"))
+    return [F.count(v).alias("n"), round_half_even(F.avg(v), 6).alias("mean"),
+            round_half_even(F.stddev_pop(v), 6).alias("std_pop"),
+            round_half_even(F.stddev_samp(v), 6).alias("std_samp")]
 
 
 def lms_view(g: Gold) -> DataFrame:
     """The joined LMS frame the cohort profile describes (fact x intern x course)."""
-    return g.fact_lms_light.join(g.dim_intern, "intern_id", "left").join(g.dim_course, "course_id", "left")
+    return g.fact_lms_light.join(g.dim_intern, "intern_id", "left").join(course_dim(g), "course_id", "left")
 
 
 def cohort_summary(g: Gold, approx: bool = False) -> DataFrame:
-    """One row: column count, rows, distinct courses, distinct interns,
-    mean progress. ``approx`` counts distinct values with HyperLogLog++
+    """One row: the column names, rows, distinct courses, distinct interns,
+    mean progress (the course names themselves: ``course_list``). ``approx`` counts distinct values with HyperLogLog++
     (``approx_count_distinct``) instead of an exact distinct."""
     v = lms_view(g)
     distinct = F.approx_count_distinct if approx else F.count_distinct
-    return v.agg(F.lit(len(v.columns)).alias("n_columns"), F.count(F.lit(1)).alias("total_rows"),
+    return v.agg(F.lit(len(v.columns)).alias("n_columns"), F.lit(", ".join(v.columns)).alias("columns"), F.count(F.lit(1)).alias("total_rows"),
                  distinct("course_name").alias("unique_courses"),
                  distinct("intern_name").alias("unique_interns"),
                  F.avg("progress").alias("avg_progress"))
 
 
+def course_list(g: Gold) -> DataFrame:
+    """The distinct course names of the profile, as rows."""
+    seen = g.fact_lms_light.select("course_id").distinct()
+    return seen.join(course_dim(g), "course_id", "left").select("course_name").distinct()
+
+
 def top_bottom_interns(g: Gold, n: int = TOP_N) -> DataFrame:
     """The n best and n worst interns by mean progress (name breaks ties).
     Each side is a distributed top-n (TakeOrderedAndProject), not a global sort."""
@@ -59,16 +63,17 @@ def top_bottom_interns(g: Gold, n: int = TOP_N) -> DataFrame:
 
 def sample_rows(g: Gold, n: int = SAMPLE_ROWS, seed: int = SAMPLE_SEED) -> DataFrame:
     """A seeded random sample of n LMS rows. Sampling is the feature; the
-    order key is a seeded hash of the row id, so the sample does not depend
-    on partitioning."""
-    v = lms_view(g)
-    return v.orderBy(F.xxhash64(F.col("lms_row_id"), F.lit(seed))).limit(n)
+    order key is a digest of the row id and the seed, so the sample does not
+    depend on partitioning."""
+    order = F.md5(F.concat_ws(":", F.col("lms_row_id").cast("string"), F.lit(str(seed))))
+    return lms_view(g).orderBy(order, "lms_row_id").limit(n)
 
 
 def summary_json(g: Gold) -> DataFrame:
-    """The cohort summary as one JSON document."""
+    """The cohort summary as one JSON document, the mean to six decimals."""
     s = cohort_summary(g)
-    return s.select(F.to_json(F.struct(*s.columns)).alias("summary"))
+    mean = F.format_string("%.6f", round_half_even(F.col("avg_progress"), 6)).alias("avg_progress")
+    return s.select(F.to_json(F.struct("n_columns", "total_rows", "unique_courses", "unique_interns", mean)).alias("summary"))
 
 
 # ---- B39: distribution profile of the raw sheets ----------------------------
@@ -77,14 +82,14 @@ def progress_per_course(g: Gold) -> DataFrame:
     """Per course: n, mean, population sd of the parsed progress values."""
     b = g.bronze_lms.select(F.col("Course Name").alias("course_name"),
                             parse_percent(F.col("Progress (%)")).alias("p"))
-    return b.groupBy("course_name").agg(*_exact_moments(F.col("p"), 4)[:3])
+    return b.groupBy("course_name").agg(*_moments("p")[:3])
 
 
 def status_shares(g: Gold) -> DataFrame:
     """Normalised frequency of each status (null read as 'Not Started')."""
     b = g.bronze_lms.select(F.coalesce(F.col("Overall Status"), F.lit("Not Started")).alias("status"))
     c = b.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
-    return share_of_total(c, "n", (), "share", scale=0)
+    return share_of_total(c, "n", (), "share")
 
 
 def ratio_profile(g: Gold) -> DataFrame:
@@ -101,8 +106,7 @@ def ratio_profile(g: Gold) -> DataFrame:
     }
     long = b.select(F.explode(F.array(*[F.struct(F.lit(k).alias("metric"), v.alias("v"))
                                         for k, v in ratios.items()])).alias("x")).select("x.*")
-    # Ratios are fixed to 12 decimals before the exact sums.
-    return long.groupBy("metric").agg(*_exact_moments(F.col("v"), 12)[:3])
+    return long.groupBy("metric").agg(*_moments("v")[:3])
 
 
 def mentors_per_course(g: Gold) -> DataFrame:
@@ -112,6 +116,11 @@ def mentors_per_course(g: Gold) -> DataFrame:
     return b.select(F.col("Course Name").alias("course_name"), F.col("Mentor Name").alias("mentor")).distinct()
 
 
+def completed_assignment_values(g: Gold) -> DataFrame:
+    """The distinct completed-assignment texts of the sheets, as rows."""
+    return g.bronze_lms.where(F.col("Completed Assignment").isNotNull()).select(F.col("Completed Assignment").alias("value")).distinct()
+
+
 def total_values(g: Gold) -> DataFrame:
     """The distinct denominators of the assignment, KC and test
     fractions, as (metric, value) rows."""
@@ -127,7 +136,7 @@ def total_values(g: Gold) -> DataFrame:
 
 def activity_shares(g: Gold) -> DataFrame:
     c = g.bronze_eod.groupBy(F.col("Activity").alias("activity")).agg(F.count(F.lit(1)).alias("n"))
-    return share_of_total(c, "n", (), "share", scale=0)
+    return share_of_total(c, "n", (), "share")
 
 
 def eod_profile(g: Gold) -> DataFrame:
@@ -135,12 +144,12 @@ def eod_profile(g: Gold) -> DataFrame:
     (mean, sample sd, min, max) and the date range."""
     from cohortlens.functions.dates import parse_date
     e = g.bronze_eod
-    hours = e.agg(*_exact_moments(F.col("Hours"), 2)[1:3],
+    hours = e.agg(*_moments("Hours")[1:3],
                   F.min("Hours").alias("hours_min"), F.max("Hours").alias("hours_max"))
     hours = hours.withColumnRenamed("mean", "hours_mean").withColumnRenamed("std_pop", "hours_std")
     per = e.groupBy(full_name(F.col("First Name"), F.col("Last Name")).alias("name")).agg(
         F.count(F.lit(1)).alias("r"))
-    rec = per.agg(*_exact_moments(F.col("r"), 0)[1:4:2], F.min("r").alias("records_min"), F.max("r").alias("records_max"))
+    rec = per.agg(*_moments("r")[1:4:2], F.min("r").alias("records_min"), F.max("r").alias("records_max"))
     rec = rec.withColumnRenamed("mean", "records_mean").withColumnRenamed("std_samp", "records_std")
     d = e.select(parse_date(F.col("Date")).alias("d")).agg(F.min("d").alias("date_start"), F.max("d").alias("date_end"))
     return attach_row(attach_row(hours, rec), d)
@@ -151,17 +160,17 @@ def eod_profile(g: Gold) -> DataFrame:
 def status_mix(g: Gold) -> DataFrame:
     """Status counts with their percentage of all LMS rows (one decimal)."""
     c = g.bronze_lms.groupBy(F.col("Overall Status").alias("status")).agg(F.count(F.lit(1)).alias("n"))
-    s = share_of_total(c, "n", (), "share", scale=0)
+    s = share_of_total(c, "n", (), "share")
     return s.select("status", "n", round_half_even(F.col("share") * 100, 1).alias("pct"))
 
 
 def generation_summary(g: Gold) -> DataFrame:
     """One row: progress mean / median / sample sd and EOD hours mean / sample sd / min / max."""
-    p = g.bronze_lms.select(parse_percent(F.col("Progress (%)")).alias("p"))
-    pm = p.agg(*[c for c in _exact_moments(F.col("p"), 4)])
+    p = materialize(g.bronze_lms.select(parse_percent(F.col("Progress (%)")).alias("p")), "progress")
+    pm = p.agg(*_moments("p"))
     pm = pm.select(F.col("mean").alias("progress_mean"), F.col("std_samp").alias("progress_std"))
     med = exact_quantiles(p, "p", [0.5], ["progress_median"])
-    h = g.bronze_eod.agg(*_exact_moments(F.col("Hours"), 2), F.min("Hours").alias("hours_min"),
+    h = g.bronze_eod.agg(*_moments("Hours"), F.min("Hours").alias("hours_min"),
                          F.max("Hours").alias("hours_max"))
     h = h.select(F.col("mean").alias("hours_mean"), F.col("std_samp").alias("hours_std"), "hours_min", "hours_max")
     return attach_row(attach_row(pm, med), h)

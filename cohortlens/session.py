@@ -49,8 +49,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                 app_name: str = "cohortlens", extra: dict | None = None) -> SparkSession:
     master = master or os.environ.get("COHORTLENS_MASTER", "local[8]")
     b = SparkSession.builder.master(master).appName(app_name)
-    conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
+    local = master.startswith("local")
+    conf = dict(BASE_CONF if local else CLUSTER_CONF)
+    if shuffle_partitions or local:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
     conf.setdefault("spark.driver.memory", "8g")
     if extra:
         conf.update(extra)
@@ -62,11 +64,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def delete_on_exit(sc, path: str) -> None:
+    """Have the file system remove ``path`` when the driver's JVM ends."""
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is. Only when it is unset (local tests) a scratch folder is made.
+    used as is; without it a cluster session is an error, since executors
+    would each write to a disk of their own. Only a local session gets a
+    scratch folder, which is removed when the session's JVM ends.
     """
     try:
         sc = spark.sparkContext
@@ -83,7 +93,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # unset
             d = None
     if not d:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
+        delete_on_exit(sc, d)
     if sc is not None:
         sc.setCheckpointDir(d)
     return d

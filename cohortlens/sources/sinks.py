@@ -14,35 +14,40 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortlens.operators.materialize import materialize
+
 
 def write_tables(tables: dict[str, DataFrame], base: str, mode: str = "overwrite") -> dict[str, str]:
-    """Full replace (``overwrite``) or ``append`` of each table.
-    A failure of one table is reported and does not stop the others."""
-    written, errors = {}, {}
+    """Full replace (``overwrite``) or ``append`` of each table. A
+    failure of one table does not stop the others, but is raised at the end,
+    so a half-written gold never looks like success."""
+    written, errors = {}, []
     for name, df in tables.items():
         path = os.path.join(base, name)
         try:
             df.write.mode(mode).parquet(path)
             written[name] = path
-        except Exception as e:  # noqa: BLE001 - non-fatal like the source loader
-            errors[name] = str(e)
+        except Exception as e:  # noqa: BLE001 - collected and raised below
+            errors.append(RuntimeError(f"table {name} was not written: {e}"))
     if errors:
-        written["__errors__"] = repr(errors)
+        raise ExceptionGroup(f"{len(errors)} of {len(tables)} tables failed", errors)
     return written
 
 
 def write_activity_layout(fact_activity: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Month partitions (partition pruning for date ranges)."""
-    (fact_activity.withColumn("activity_month", F.date_format("date", "yyyy-MM"))
-        .repartition("activity_month")
+    """Month partitions (partition pruning for date ranges). Rows are dealt
+    by month and AQE splits large months, so one of any size is written by
+    many tasks."""
+    with_month = fact_activity.withColumn("activity_month", F.date_format("date", "yyyy-MM"))
+    (with_month.hint("rebalance", "activity_month")
         .write.mode(mode).partitionBy("activity_month").parquet(path))
 
 
-def save_bucketed(df: DataFrame, table: str, key: str = "intern_id", buckets: int = 64,
+def save_bucketed(df: DataFrame, table: str, key: str = "intern_id", *, buckets: int,
                   sort_by: str | None = "date", mode: str = "overwrite") -> None:
     """Catalog table bucketed (and sorted) by ``key``: joins and
     aggregations on ``key`` between tables with equal bucket counts skip
-    the shuffle."""
+    the shuffle. Choose ``buckets`` so that one holds a few hundred MB."""
     w = df.write.mode(mode).bucketBy(buckets, key)
     if sort_by and sort_by in df.columns:
         w = w.sortBy(sort_by)
@@ -51,6 +56,7 @@ def save_bucketed(df: DataFrame, table: str, key: str = "intern_id", buckets: in
 
 def export_by_course(lms: DataFrame, out_dir: str, course_col: str = "Course Name") -> None:
     """One folder per course plus the combined table."""
+    lms = materialize(lms, "export")  # two writes, one run of the plan
     lms.write.mode("overwrite").partitionBy(course_col).option("header", True).csv(os.path.join(out_dir, "by_course"))
     lms.write.mode("overwrite").option("header", True).csv(os.path.join(out_dir, "combined"))
 

@@ -16,39 +16,7 @@ def table_path(sf_dir: str, name: str) -> str:
     return p if os.path.exists(p) or "://" in sf_dir else os.path.join(sf_dir, name)
 
 
-_SCHEMAS: dict[str, object] = {}
-# Fact-sized inputs: these get the scan-parallelism guard below.
-FACT_TABLES = frozenset({"events", "orders", "lineitem"})
-
-
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    A file written as one row group is one task, and everything pipelined
-    behind it (broadcast joins, parsing, partial aggregation) then runs on
-    one core. The split count is known when the plan is built (no job).
-    At scale the files have far more splits than cores and the scan is
-    left untouched, so no shuffle is added there.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no SparkContext (e.g. Spark Connect): leave the scan as is
-        return df
-    return df.repartition(cores) if splits < cores else df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan; Catalyst prunes columns and pushes filters into it.
-
-    The footer schema is inferred once per path and then passed explicitly,
-    so repeated reads of a table do not each launch a schema job.
-    """
-    path = table_path(sf_dir, name)
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-    else:
-        df = spark.read.schema(schema).parquet(path)
-    return spread_small_scan(df) if name in FACT_TABLES else df
+    """Parquet scan; Catalyst prunes columns and pushes filters into it. Scan
+    parallelism follows the row groups and ``spark.sql.files.maxPartitionBytes``."""
+    return spark.read.parquet(table_path(sf_dir, name))

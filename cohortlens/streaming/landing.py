@@ -21,7 +21,7 @@ from cohortlens.functions.dates import parse_date, utc_date
 from cohortlens.functions.text import full_name
 from cohortlens.plans.etl import silver_eod, silver_lms
 from cohortlens.session import checkpoint_dir
-from cohortlens.sources.files import EOD_SCHEMA, LMS_SCHEMA, read_sheets
+from cohortlens.sources.files import EOD_SCHEMA, LMS_SCHEMA, read_files, read_sheets, split_rejects
 from cohortlens.sources.tables import table_path
 
 EVENTS_SCHEMA = T.StructType([
@@ -41,12 +41,30 @@ def run_available(stream: DataFrame, sink: str, checkpoint: str, fmt: str = "par
 
 
 def land_sheets(spark: SparkSession, source_dir: str, sink: str, checkpoint: str, kind: str = "eod") -> None:
-    """ST1 for CSV sheets dropped into ``source_dir`` (header line, fixed layout)."""
+    """ST1 for CSV sheets dropped into ``source_dir``, columns bound by header.
+
+    The stream's log decides which files are new; each batch reads its files
+    by name and writes them to ``sink/batch_id=<n>``, which a retry of the
+    batch overwrites. Lines that do not fit go to ``<sink>_rejects``."""
     schema = EOD_SCHEMA if kind == "eod" else LMS_SCHEMA
-    raw = (spark.readStream.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-           .csv(source_dir).withColumn("row_id", F.lit(None).cast("long")))
-    clean = silver_eod(raw) if kind == "eod" else silver_lms(raw)
-    run_available(clean.withColumn("source_file", F.input_file_name()), sink, checkpoint)
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        s = batch.sparkSession
+        files = [r[0] for r in batch.select(F.input_file_name()).distinct().collect()]  # the batch's file names
+        raw = read_files(s, sorted(files), schema)
+        if raw is None:
+            return
+        good, bad = split_rejects(raw)
+        good = good.withColumn("row_id", F.lit(None).cast("long"))
+        clean = silver_eod(good) if kind == "eod" else silver_lms(good)
+        clean.write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}"))
+        bad.write.mode("overwrite").parquet(os.path.join(f"{sink}_rejects", f"batch_id={batch_id}"))
+
+    q = (spark.readStream.text(source_dir).writeStream.foreachBatch(land)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
 
 
 def eod_stream_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +98,8 @@ def landed_activity(spark: SparkSession, sf_dir: str, run_dir: str | None = None
 
 def daily_batch(spark: SparkSession, lms_glob: str, eod_glob: str, base: str, count: bool = True) -> dict[str, int]:
     """B42 as a batch job: read every matching sheet (combined by name),
-    clean and append to the landing tables. Not idempotent by itself (a
+    clean and append to the landing tables; lines that do not fit their header
+    go to ``<table>_rejects``. Not idempotent by itself (a
     re-run appends again); ``land_sheets`` is the incremental form."""
     counts = {}
     for kind, glob, schema, clean in (("lms_submissions", lms_glob, LMS_SCHEMA, silver_lms),
@@ -89,8 +108,9 @@ def daily_batch(spark: SparkSession, lms_glob: str, eod_glob: str, base: str, co
         if df is None:
             counts[kind] = 0
             continue
-        out = clean(df.withColumn("row_id", F.lit(None).cast("long")))
-        out.write.mode("append").parquet(os.path.join(base, kind))
+        good, bad = split_rejects(df)
+        clean(good.withColumn("row_id", F.lit(None).cast("long"))).write.mode("append").parquet(os.path.join(base, kind))
+        bad.write.mode("append").parquet(os.path.join(base, f"{kind}_rejects"))
         counts[kind] = spark.read.parquet(os.path.join(base, kind)).count() if count else -1
     return counts
 

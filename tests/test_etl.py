@@ -59,7 +59,7 @@ def test_star_schema(g):
     st = etl.star_schema(g)
     di = {r.intern_name: r.intern_id for r in st["dim_intern"].collect()}
     assert set(di) == {"Mary-Jane O'Neil", "Dev Shah", "Isha Iyer", "Asha K"}   # L5 quarantined
-    assert all(len(v) == 8 for v in di.values())
+    assert all(len(v) == 32 for v in di.values())
     dc = sorted((r.course_id, r.course_name, r.start_date) for r in st["dim_course"].collect())
     assert dc == [("CRS-000", "Basic Python Programming", dt.date(2026, 1, 1)), ("CRS-001", "Basic SQL", None),
                   ("CRS-002", "Basic SQL", dt.date(2026, 1, 1))]
@@ -77,7 +77,7 @@ def test_quality_report(g):
     r = etl.quality_report(g).first().asDict()
     assert r == {"unique_interns": 4, "courses": 3, "mentors": 3, "fact_lms_rows": 5, "fact_activity_rows": 5,
                  "duplicates": 1, "invalid_hours": 1, "invalid_progress": 1, "orphan_records": 1,
-                 "outlier_days": 1, "unparsed_progress": 1}
+                 "outlier_days": 1, "unparsed_progress": 1, "unsummable_hours": 0}
     assert etl.key_collisions(g).count() == 0
 
 
@@ -88,3 +88,40 @@ def test_merge_new_is_anti_join(spark):
     out = etl.merge_new(base, new, ["c", "name_norm"])
     assert out.count() == 2 + 2                          # union count = base + anti rows
     assert {(r.c, r.name_norm) for r in out.collect()} == {("SQL", "Asha"), ("SQL", None), ("SQL", "Dev"), ("Py", "Asha")}
+
+
+GOOD = [("asha rao", "Basic SQL", "01 Jan 2026", "28 Feb 2026", "Raj", "80%", "3/4", "3/4", "1 / 2", "1 / 2", "3/4", "Completed"),
+        ("dev shah", "Basic SQL", "01 Jan 2026", "28 Feb 2026", "Raj", "10%", "1/4", "1/4", "1 / 2", "1 / 2", "1/4", "In Progress")]
+LOGS = [("03/02/2026", "Asha", "Rao", "SQL Revision", 2.0), ("03/02/2026", "Dev", "Shah", "SQL Revision", 3.0)]
+
+
+def failed_checks(spark, lms=GOOD, eod=LOGS, cols=None, eod_cols=None, n=2):
+    cols, eod_cols = cols or etl.LMS_COLUMNS, eod_cols or etl.EOD_COLUMNS
+    g = Gold.from_frames(spark, bronze_lms=spark.createDataFrame(lms, ", ".join(f"`{c}` string" for c in cols)),
+                         bronze_eod=spark.createDataFrame(eod, ", ".join(f"`{c}` {'double' if c == 'Hours' else 'string'}" for c in eod_cols)))
+    return {r.check for r in etl.validate_output(g, expected_interns=n).collect() if not r.passed}
+
+
+def with_cell(i, value, row=0, table=GOOD):
+    out = [list(r) for r in table]
+    out[row][i] = value
+    return [tuple(r) for r in out]
+
+
+def test_each_sheet_check_can_fail(spark):
+    assert failed_checks(spark) == set()
+    swapped = [etl.LMS_COLUMNS[1], etl.LMS_COLUMNS[0], *etl.LMS_COLUMNS[2:]]
+    assert "lms_schema" in failed_checks(spark, lms=[(r[1], r[0], *r[2:]) for r in GOOD], cols=swapped)
+    assert "eod_schema" in failed_checks(spark, eod=[(r[1], r[0], *r[2:]) for r in LOGS],
+                                         eod_cols=["First Name", "Date", "Last Name", "Activity", "Hours"])
+    assert failed_checks(spark, lms=GOOD + GOOD[:1]) == {"row_count"}
+    assert failed_checks(spark, lms=with_cell(0, "dev shah")) == {"unique_names"}
+    assert failed_checks(spark, lms=with_cell(0, None)) == set()  # a missing name counts as one name
+    assert failed_checks(spark, eod=with_cell(4, 10.5, table=LOGS)) == {"hours_range"}
+    assert failed_checks(spark, eod=with_cell(4, None, table=LOGS)) == {"hours_range"}
+    assert failed_checks(spark, lms=with_cell(5, "130%")) == {"progress_range"}
+    assert failed_checks(spark, lms=with_cell(5, None, row=1)) == {"progress_range"}
+    assert failed_checks(spark, lms=with_cell(11, "Done", row=1)) == {"status_values"}
+    assert failed_checks(spark, lms=with_cell(11, None, row=1)) == {"status_values"}
+    assert failed_checks(spark, lms=with_cell(5, "20%")) == {"completed_progress"}
+    assert failed_checks(spark, eod=LOGS[:1]) == {"eod_coverage"}

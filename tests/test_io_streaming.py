@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from cohortlens.sources import files, sinks
 from cohortlens.streaming import landing
 
@@ -42,6 +44,33 @@ def test_landing_is_once_per_file(spark, tmpdir_fresh):
     assert spark.read.parquet(sink).count() == 3
 
 
+def test_landing_binds_by_header_and_keeps_rejects(spark, tmpdir_fresh):
+    src, sink, ckpt = (os.path.join(tmpdir_fresh, x) for x in ("in", "out", "ckpt"))
+    os.makedirs(src)
+    write(os.path.join(src, "a.csv"), "First Name,Last Name,Hours,Date,Activity",
+          [("Asha", "Rao", "2.5", "03/02/2026", "SQL Revision"), ("Asha", "Rao", "abc", "03/02/2026", "SQL Revision"),
+           ("Asha", "Rao", "1", "03/02/2026", "SQL Revision", "extra")])
+    landing.land_sheets(spark, src, sink, ckpt)
+    r = spark.read.parquet(sink).collect()
+    assert [(x.full_name, str(x.date), x.hours, x.activity) for x in r] == [("Asha Rao", "2026-02-03", 2.5, "SQL Revision")]
+    lines = {x.line for x in spark.read.parquet(f"{sink}_rejects").collect()}
+    assert lines == {"Asha,Rao,abc,03/02/2026,SQL Revision", "Asha,Rao,1,03/02/2026,SQL Revision,extra"}
+    good, bad = files.split_rejects(files.read_sheets(spark, os.path.join(src, "*.csv"), files.EOD_SCHEMA))
+    assert good.count() == 1 and bad.count() == 2
+
+
+def test_month_layout_splits_a_large_month(spark, tmpdir_fresh):
+    df = spark.range(200_000).selectExpr("id AS intern_id", "DATE'2026-02-01' AS date", "uuid() AS activity", "1.0 AS hours")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        sinks.write_activity_layout(df, os.path.join(tmpdir_fresh, "m"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    month = os.path.join(tmpdir_fresh, "m", "activity_month=2026-02")
+    assert len([f for f in os.listdir(month) if f.endswith(".parquet")]) > 1
+    assert spark.read.parquet(os.path.join(tmpdir_fresh, "m")).count() == 200_000
+
+
 def test_daily_batch_and_sinks(spark, tmpdir_fresh):
     src = os.path.join(tmpdir_fresh, "eod")
     os.makedirs(src)
@@ -53,7 +82,10 @@ def test_daily_batch_and_sinks(spark, tmpdir_fresh):
     sinks.write_activity_layout(act.withColumnRenamed("full_name", "intern_id"), os.path.join(tmpdir_fresh, "layout"))
     assert os.path.isdir(os.path.join(tmpdir_fresh, "layout", "activity_month=2026-02"))
     out = sinks.write_tables({"t": act}, os.path.join(tmpdir_fresh, "gold"))
-    assert "__errors__" not in out and spark.read.parquet(out["t"]).count() == 1
+    assert spark.read.parquet(out["t"]).count() == 1
+    with pytest.raises(ExceptionGroup):
+        sinks.write_tables({"t": act, "bad": act.selectExpr("raise_error('no') AS x")}, os.path.join(tmpdir_fresh, "gold2"))
+    assert spark.read.parquet(os.path.join(tmpdir_fresh, "gold2", "t")).count() == 1  # the others are written
     sinks.save_bucketed(act.withColumnRenamed("full_name", "intern_id"), "eod_bucketed", buckets=4)
     assert spark.table("eod_bucketed").count() == 1
     assert sinks.load_or_build(spark, "eod_bucketed", lambda: None).count() == 1

@@ -100,3 +100,38 @@ def test_rank_rows_without_exchange_reuse(spark):
         assert (m["r"] == m["r_e"]).all()
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+def test_rank_rows_with_payload_over_many_rows(spark):
+    n = 3_000_000
+    df = spark.range(n).selectExpr("pmod(xxhash64(id), 100000) AS v", "id", "uuid() AS payload")
+    r = rank_rows(df, [F.asc("v"), F.asc("id")], name="r").agg(
+        F.count_distinct("r").alias("d"), F.min("r").alias("lo"), F.max("r").alias("hi"),
+        F.corr("r", "v").alias("c")).first()
+    assert (r.d, r.lo, r.hi) == (n, 1, n) and r.c > 0.999
+
+
+def test_exact_sum_keeps_small_values_and_survives_nan(spark):
+    from cohortlens.functions.numeric import exact_sum, unsummable
+    rows = [(0.004,)] * 1000 + [(float("nan"),), (float("inf"),), (None,), (-0.0001,), (1e12,)]
+    r = spark.createDataFrame(rows, "h double").agg(exact_sum("h").alias("s"), unsummable("h").alias("bad")).first()
+    assert r.s == 1e12 + 3.9999 and r.bad == 2
+
+
+def test_moments_do_not_overflow_or_cancel(spark):
+    from cohortlens.plans.profile import _moments
+    df = spark.createDataFrame([(1e9 + 0.01 * (i % 2), 2e6 + i) for i in range(1000)], "a double, b double")
+    r = df.agg(_moments("a")[2], _moments("b")[1]).first()
+    assert abs(r.std_pop - 0.005) < 1e-6 and r.mean == 2e6 + 499.5
+
+
+def test_keep_last_with_null_order(spark):
+    from cohortlens.operators.relational import keep_last
+    df = spark.createDataFrame([(1, None, "a"), (2, 1, "b"), (2, None, "c")], "k int, o int, x string")
+    assert {(r.k, r.x) for r in keep_last(df, ["k"], "o").collect()} == {(1, "a"), (2, "b")}
+
+
+def test_scores_from_sheet_text(spark):
+    from cohortlens.plans.lms import with_scores
+    df = spark.createDataFrame([("3 / 4", "x / y"), ("50", None)], "`Overall Knowledge Check` string, `Overall Test` string")
+    assert [(r.kc_pct, r.test_pct) for r in with_scores(df).collect()] == [(75.0, 0.0), (5000.0, 0.0)]
