@@ -22,6 +22,7 @@ from cohortlens.llm.weak_labels import attach_posterior, fit, pattern_counts, vo
 DIMENSIONS = 1 << 16
 SAMPLE_ROWS = 6000  # documents that train the scorer, at most; those of the smallest id hashes
 STEPS = 150
+TRUST = 1.0  # in the labellers, see weak_labels.fit
 COUNTS = ("words", "distinct", "repeats", "symbols", "capitals", "exclaims")
 _REPEAT, _NEW, _FLAT = DIMENSIONS, DIMENSIONS + 1, DIMENSIONS + 2  # beside the trigrams
 SIZE = DIMENSIONS + 3
@@ -156,7 +157,7 @@ def fit_scorer(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[np.ndar
     counted; only ``sample_rows`` texts, those with the smallest id hashes,
     reach the driver, as vote posteriors and hashed features."""
     votes = labellers()
-    post, _ = fit(pattern_counts(attach_counts(docs.select("text")), votes), len(votes))
+    post, _ = fit(pattern_counts(attach_counts(docs.select("text")), votes), len(votes), trust=TRUST)
     sample = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     sample = attach_posterior(attach_counts(sample), votes, post)
 

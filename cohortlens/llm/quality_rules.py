@@ -20,6 +20,7 @@ from cohortlens.llm.common import text_of, text_slices, utf8_buffer, words_of
 from cohortlens.llm.weak_labels import attach_posterior, fit, pattern_counts, vote
 
 MIN_WORDS = 50
+TRUST = 1.0  # in the rules, see weak_labels.fit
 SYMBOLS = b"#*$%&|<>"
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_exclaim", "n_same_as_last")
 
@@ -123,7 +124,7 @@ def judge(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     failed = (F.col("_q_n_words") < MIN_WORDS) | (100 * F.col("_q_n_repeat_words") > 50 * F.col("_q_n_words"))
     # Rows that the base rules reject anyway would otherwise be the whole bad class.
     counts = pattern_counts(attach_stats(docs.select("text")).where(~failed), rules())
-    post, _ = fit(counts, len(rules()))
+    post, _ = fit(counts, len(rules()), trust=TRUST)
     out = attach_posterior(attach_stats(docs), rules(), post, "_q_posterior").withColumn("_q_base_failed", failed)
     return out.withColumn("_q_kept", ~F.col("_q_base_failed") & (F.col("_q_posterior") >= threshold))
 
