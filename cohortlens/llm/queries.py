@@ -17,6 +17,7 @@ from cohortlens.llm.secret_scan import joined, scan_secrets
 from cohortlens.llm.sharding import reshard
 from cohortlens.llm.suffix_dedup import suffix_dedup
 from cohortlens.llm.token_counts import token_counts
+from cohortlens.llm.twins import ORACLE_SQL  # noqa: F401
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,4 +71,3 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_secret_scan, op3_token_packing, op4_suffix_dedup, op5_quality_rules, op6_token_counts,
     op7_source_mixing, op8_jaccard_join, op9_resharding, op10_decontamination)}
-ORACLE_SQL: dict[str, str] = {}

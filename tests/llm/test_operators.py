@@ -390,3 +390,15 @@ def test_digest_of_spans(spark):
     for r in df.collect():
         want = ",".join(f"{k}:{s}:{e}" for s, _, k, e in brute_spans(dict(SECRETS)[r.doc_id] or ""))
         assert r.h == hashlib.sha256(want.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("key", ["op2_secret_scan", "op10_decontamination"])
+def test_twins(spark, key):
+    import duckdb
+
+    from cohortlens.llm.queries import ORACLE_SQL, QUERIES
+    from tools.oracle_check import compare
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_ORACLE}/{t}.parquet')")
+    assert compare(QUERIES[key](spark, SF_ORACLE).toPandas(), con.execute(ORACLE_SQL[key]).df()) is None
