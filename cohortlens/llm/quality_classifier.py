@@ -20,7 +20,7 @@ from cohortlens.llm.common import text_of, text_slices, utf8_buffer, words_of
 from cohortlens.llm.weak_labels import attach_posterior, fit, pattern_counts, vote
 
 DIMENSIONS = 1 << 16
-SAMPLE_ROWS = 6000  # documents that train the scorer, at most; those of the smallest id hashes
+SAMPLE_ROWS = 6000  # documents that train the scorer, at most; those of the smallest hashes
 STEPS = 150
 TRUST = 1.0  # in the labellers, see weak_labels.fit
 COUNTS = ("words", "distinct", "repeats", "symbols", "capitals", "exclaims")
@@ -154,11 +154,17 @@ def _score(names: list[str], weights):
 
 def fit_scorer(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, dict[int, float]]:
     """(weights, posterior per vote pattern). The patterns of all documents are
-    counted; only ``sample_rows`` texts, those with the smallest id hashes,
+    counted; only ``sample_rows`` texts, those with the smallest hashes,
     reach the driver, as vote posteriors and hashed features."""
     votes = labellers()
-    post, _ = fit(pattern_counts(attach_counts(docs.select("text")), votes), len(votes), trust=TRUST)
-    sample = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    counts = pattern_counts(attach_counts(docs.select("text")), votes)
+    post, _ = fit(counts, len(votes), trust=TRUST)
+    # A hash bound lets a little more than the sample through, so that few texts
+    # meet in the task that picks the smallest hashes.
+    share = min(1.0, 1.3 * (sample_rows + 100) / max(1, sum(counts.values())))
+    h = F.xxhash64("doc_id", text_of())
+    few = docs.select("doc_id", "text", h.alias("_h")).where(F.pmod("_h", F.lit(1 << 31)) < int(share * (1 << 31)) + 1)
+    sample = few.orderBy(F.pmod("_h", F.lit(1 << 31)), "_h").limit(sample_rows).drop("_h")
     sample = attach_posterior(attach_counts(sample), votes, post)
 
     def triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
