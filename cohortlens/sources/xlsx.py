@@ -43,8 +43,10 @@ def read_rows(path: str, sheet: int = 1):
                 shared.append("".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t")))
         root = ET.fromstring(z.read(f"xl/worksheets/sheet{sheet}.xml"))
         for row in root.iter(f"{{{_NS['m']}}}row"):
-            cells = {}
+            cells, at = {}, -1
             for c in row.findall("m:c", _NS):
+                # A cell without a reference stands right of the one before it.
+                at = _col_index(c.get("r")) if c.get("r") else at + 1
                 kind, v = c.get("t"), c.find("m:v", _NS)
                 if kind == "s" and v is not None:
                     val = shared[int(v.text)]
@@ -52,7 +54,7 @@ def read_rows(path: str, sheet: int = 1):
                     val = "".join(t.text or "" for t in c.iter(f"{{{_NS['m']}}}t"))
                 else:
                     val = v.text if v is not None else None
-                cells[_col_index(c.get("r"))] = val
+                cells[at] = val
             width = max(cells) + 1 if cells else 0
             yield [cells.get(i) for i in range(width)]
 

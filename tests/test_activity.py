@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from cohortlens.plans import activity as act
 from cohortlens.plans import risk
 from cohortlens.sources.bindings import Gold
@@ -59,3 +61,16 @@ def test_shares_sum_to_one(spark):
     g = gold(spark, [(1, D(2026, 1, 1), "a", 1.0), (1, D(2026, 1, 2), "b", 3.0), (2, D(2026, 1, 1), "a", 2.0)])
     per = act.activity_hours(g, ("intern_id",)).toPandas()
     assert (per.groupby("intern_id")["share"].sum().round(12) == 1.0).all()
+
+
+def test_labels_of_known_names(spark):                # C13, C14, C22: the branches the bound data never reach
+    from cohortlens.plans.lms import course_scoreboard, progress_by_course
+    from cohortlens.sources.bindings import Gold
+    from tests.helpers import lms_rows, names
+    fa = spark.createDataFrame([(1, "PySpark Session"), (2, "Data Engineering Course"), (3, "Juggling")], "i int, a string")
+    got = {r.i: r.x for r in fa.select("i", act.activity_label(F.col("a")).alias("x")).collect()}
+    assert got == {1: "⚡ PySpark Session", 2: "🏗️ Data Engineering C", 3: "• Juggling"}
+    g = Gold.from_frames(spark, fact_lms=lms_rows(spark, [(1, "c", 50.0, 1, 2, "Completed")]), dim_intern=names(spark, [1]),
+                         dim_course=spark.createDataFrame([("c", "Data Processing using NumPy & Pandas")], "course_id string, course_name string"))
+    assert progress_by_course(g).first().course_short == "NumPy/Pandas"
+    assert course_scoreboard(g).first().course_label == "NumPy/Pandas"
