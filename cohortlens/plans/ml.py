@@ -75,10 +75,12 @@ def _assembled(df: DataFrame, cols: list[str], name: str = "features") -> DataFr
     return VectorAssembler(inputCols=cols, outputCol=name, handleInvalid="keep").transform(df)
 
 
-def clusters(g: Gold, k: int = N_CLUSTERS, n_init: int = N_INIT) -> DataFrame:
+def clusters(g: Gold, k: int = N_CLUSTERS, n_init: int = N_INIT, max_iter: int = KMEANS_MAX_ITER,
+             parallel: int = 4) -> DataFrame:
     """Personas from k-means on standardised features. Spark's KMeans has
-    no n_init, so ``n_init`` seeds are fitted and the lowest training cost
-    kept. Persona rule on cluster means: > 75 progress High Performers,
+    no n_init, so ``n_init`` seeds are fitted, each for ``max_iter`` passes over
+    the feature table at most, ``parallel`` at a time, and the lowest training
+    cost kept. Persona rule on cluster means: > 75 progress High Performers,
     < 45 Needs Support, hours above the mean of cluster means Steady
     Workers, else Efficient Learners. Empty when there are <= k interns."""
     f = training_table(g)
@@ -88,12 +90,12 @@ def clusters(g: Gold, k: int = N_CLUSTERS, n_init: int = N_INIT) -> DataFrame:
     scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(x)
     xs = scaler.transform(x).persist()
     try:
-        # The restarts are independent Spark jobs: submit them concurrently.
+        # The restarts are independent Spark jobs: submit a few at a time.
         def fit(i):
-            m = KMeans(k=k, seed=SEED + i, maxIter=KMEANS_MAX_ITER, tol=KMEANS_TOL,
+            m = KMeans(k=k, seed=SEED + i, maxIter=max_iter, tol=KMEANS_TOL,
                        featuresCol="features", predictionCol="cluster").fit(xs)
             return m.summary.trainingCost, i, m
-        with ThreadPoolExecutor(max_workers=n_init) as pool:
+        with ThreadPoolExecutor(max_workers=min(n_init, parallel)) as pool:
             fits = list(pool.map(fit, range(n_init)))
         best = min(fits, key=lambda t: (t[0], t[1]))[2]
         # Written to the shared checkpoint folder: later stages do not

@@ -58,3 +58,24 @@ def test_model_edge_rules(spark):
     assert len(one_class) == 6
     assert (one_class["risk_probability"] == 0.5).all()
     assert (one_class["predicted_risk_class"] == one_class["is_at_risk"]).all()
+
+
+def test_model_quality(g):
+    r = ml.test_score_model(g).toPandas()
+    rss = ((r["test_pct"] - r["predicted_test_pct"]) ** 2).sum()
+    assert 1 - rss / ((r["test_pct"] - r["test_pct"].mean()) ** 2).sum() > 0.3
+    d = ml.dropout_model(g).toPandas()
+    pos, neg = d[d["is_at_risk"] == 1]["risk_probability"], d[d["is_at_risk"] == 0]["risk_probability"]
+    if len(pos) and len(neg):
+        auc = sum((p > neg).sum() + 0.5 * (p == neg).sum() for p in pos) / (len(pos) * len(neg))
+        assert auc > 0.9
+
+
+def test_clusters_keep_the_best_restart(g):
+    def cost(c):
+        x = c[ml.CLUSTER_FEATURES]
+        x = (x - x.mean()) / x.std()
+        return sum(((part - part.mean()) ** 2).to_numpy().sum() for _, part in x.groupby(c["cluster"]))
+
+    best = cost(ml.clusters(g, n_init=4).toPandas())
+    assert best <= min(cost(ml.clusters(g, n_init=n).toPandas()) for n in (1, 2)) * (1 + 1e-6)
