@@ -179,6 +179,26 @@ def _pack(docs, keys, counts, firsts, data) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(np.int64(len(head)).tobytes() + head + b"".join(data))
 
 
+def _pack_gone(rows: np.ndarray) -> bytes:
+    """(row key, start, length) stretches, neighbours of one text joined, by
+    columns and compressed."""
+    import zstandard
+
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    end = rows[:, 1] + rows[:, 2]
+    new = np.append(True, (rows[1:, 0] != rows[:-1, 0]) | (rows[1:, 1] > end[:-1]))
+    at = np.flatnonzero(new)
+    start = rows[at, 1]
+    cols = np.concatenate([rows[at, 0], start, np.maximum.reduceat(end, at) - start])
+    return zstandard.ZstdCompressor(level=1).compress(cols.tobytes())
+
+
+def _unpack_gone(blob: bytes) -> np.ndarray:
+    import zstandard
+
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.int64).reshape(3, -1).T
+
+
 def _send_pieces(bits: int, segment: int, filters):
     """The pieces whose key the filter holds. Of equal pieces in a partition
     only the smallest doc_id's leaves it; the others are removed already."""
@@ -205,7 +225,7 @@ def _send_pieces(bits: int, segment: int, filters):
             if gone:
                 ids.append(hash(gone[0]) % (1 << bits))
                 kinds.append(0)
-                blobs.append(np.array(gone, np.int64).tobytes())
+                blobs.append(_pack_gone(np.array(gone, np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(kinds, pa.int32()), pa.array(blobs, pa.binary())],
                                              names=["bucket", "kind", "blob"])
 
@@ -226,7 +246,7 @@ def _send_pieces(bits: int, segment: int, filters):
                 sel = np.flatnonzero(ok)
                 where = (at[sel] - starts[t[sel]] + bases[t[sel]]).tolist()
                 r = rows[t[sel]]
-                for key, bu, a, m, pos, doc, rk in zip(k[sel].tolist(), bucket[sel].tolist(), at[sel].tolist(), n[sel].tolist(),
+                for key, bu, a, m, pos, doc, rk in zip(low[sel].tolist(), bucket[sel].tolist(), at[sel].tolist(), n[sel].tolist(),
                                                        where, ids[r].tolist(), row_key[r].tolist()):
                     piece = data[a:a + m + LENGTH - 1]
                     got = held.get(piece)
@@ -293,7 +313,7 @@ def _match(doc_buckets: int):
         edges = np.flatnonzero(np.append(True, b[1:] != b[:-1])) if len(b) else np.zeros(0, np.int64)
         ends = np.append(edges[1:], len(b))
         return pd.DataFrame({"doc_bucket": b[edges].astype(np.int32) if len(b) else np.zeros(0, np.int32),
-                             "blob": [rows[a:e].tobytes() for a, e in zip(edges, ends)]})
+                             "blob": [_pack_gone(rows[a:e]) for a, e in zip(edges, ends)]})
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         import zstandard
@@ -302,7 +322,7 @@ def _match(doc_buckets: int):
         pieces: dict[bytes, list] = {}
         for kind, blob in zip(pdf["kind"], pdf["blob"]):
             if kind == 0:
-                gone.append(np.frombuffer(blob, np.int64).reshape(-1, 3))
+                gone.append(_unpack_gone(blob))
                 continue
             raw = z.decompress(blob)
             size = int(np.frombuffer(raw, np.int64, 1)[0])
@@ -369,7 +389,7 @@ def _apply(key: tuple, docs: pa.Table, gone: pa.Table) -> pa.Table:
         return _RESULT.empty_table()
     text = docs.column("text").combine_chunks().cast(pa.large_binary())
     buf, off = utf8_buffer(text)
-    rows = np.concatenate([np.zeros((0, 3), np.int64), *[np.frombuffer(x, np.int64).reshape(-1, 3) for x in gone.column("blob").to_pylist()]])
+    rows = np.concatenate([np.zeros((0, 3), np.int64), *[_unpack_gone(x) for x in gone.column("blob").to_pylist()]])
     rk = docs.column("row_key").to_numpy()
     order = np.argsort(rk, kind="stable")
     lo, hi = np.searchsorted(rk[order], rows[:, 0], "left"), np.searchsorted(rk[order], rows[:, 0], "right")
