@@ -327,16 +327,23 @@ def jaccard_links(docs: DataFrame, words: int = 4, percent: int = 85) -> tuple[D
         e = _compare(rows.union(lead), sets, percent, "jj_links")
         edges = e if edges is None else edges.union(e)
 
-    # The token-group matrix over the groups, and who must open which.
+    # The token-group matrix over the groups, and who must open which: a set of
+    # the smaller component asks groups that hold a member of a larger one (by
+    # size, then id), so a large component is asked, but does not ask. Sets of
+    # one group have been compared.
     comp = components(edges).toDF("cid", "comp")
+    comp = comp.join(comp.groupBy("comp").agg(F.count(F.lit(1)).alias("sz")), "comp")
     m = (shared.join(cand.select("cid", "need"), "cid").join(home, "cid", "left").join(comp, "cid", "left")
-         .select("token", "cid", "need", F.coalesce("grp", "cid").alias("grp"), F.coalesce("comp", "cid").alias("comp")))
+         .select("token", "cid", "need", F.coalesce("grp", "cid").alias("grp"), F.coalesce("comp", "cid").alias("comp"),
+                 F.coalesce("sz", F.lit(1)).alias("sz")))
     m = materialize(m, "jj_matrix")
     several = m.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
     m = materialize(m.join(several, "token"), "jj_matrix2")
-    matrix = m.groupBy("token", F.col("grp").alias("g")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    other = (F.col("lo") != F.col("comp")) | (F.col("hi") != F.col("comp"))
-    opened = (m.join(matrix, "token").where((F.col("g") > F.col("grp")) & other)
+    enough = m.groupBy("cid").agg(F.count(F.lit(1)).alias("k"), F.first("need").alias("need")).where("k >= need").select("cid")
+    m = materialize(m.join(enough, "cid", "left_semi"), "jj_matrix3")
+    matrix = m.groupBy("token", F.col("grp").alias("g")).agg(F.max(F.struct("sz", "comp")).alias("top"))
+    larger = (F.col("top.sz") > F.col("sz")) | ((F.col("top.sz") == F.col("sz")) & (F.col("top.comp") > F.col("comp")))
+    opened = (m.join(matrix, "token").where((F.col("g") != F.col("grp")) & larger)
               .groupBy("cid", "g").agg(F.count(F.lit(1)).alias("k"), F.first("need").alias("need"))
               .where(F.col("k") >= F.col("need")).select("cid", "g"))
     opened = materialize(opened, "jj_opened")
