@@ -29,7 +29,7 @@ LINK_TOKENS, LINK_PART = 3, 8  # two linked sets share 3 + n / 8 tokens of their
 BLOCK = 256  # sets compared in one task at a time
 HOT_SHARE = 5e-4  # tokens in so large a share of the documents come last in the order
 HOT_LEAST = 3
-CHUNK_TOKENS = 4_000_000  # tokens after which a task reports its frequent ones
+CHUNK_TOKENS = 2_000_000  # tokens after which a task reports its frequent ones
 FILTER_BYTES = 64 << 20  # filter of candidate classes, at most
 SEGMENTS = 64
 
