@@ -7,9 +7,11 @@ inclusion probability, and the cube method turns the probabilities into
 documents. A flight step moves the probabilities of three documents along
 the null space of the two balancing constraints until one of them reaches 0
 or 1. Flights run in bounded blocks, in parallel; what each block leaves
-open (at most two documents) is flown again in coarser blocks, until one
-block per source is left and its last one or two documents are landed by
-the rounding that misses the totals least.
+open (at most two documents) is flown again in coarser blocks. A source is
+landed at the level where one block of it is left: its last one or two
+documents are rounded so that they miss the totals least. If one of them was
+long, shorter documents of the whole source are turned over, in the block
+itself or, for a source of several blocks, by quotas per document size.
 """
 
 from __future__ import annotations
@@ -133,11 +135,12 @@ def land(prob: np.ndarray, size: np.ndarray, words: float, docs: float, movable:
     return prob
 
 
-def _fly_block(last: bool):
+def _fly_block(one: str):
+    """Fly a block; land it if column ``one`` says it is all that is left of its source."""
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        # Long documents are settled first, so short ones are left for the landing.
         pdf = pdf.sort_values(["size", "_h", "doc_id"], ascending=[False, True, True], kind="stable",
                               na_position="last").reset_index(drop=True)
+        last = bool(pdf[one].iat[0])
         rng = np.random.default_rng([int(key[0]) & 0xFFFFFFFF, int(key[1]), int(last)])
         size = pdf["size"].to_numpy(dtype=float)
         start = pdf["_p"].to_numpy(dtype=float)
@@ -149,6 +152,51 @@ def _fly_block(last: bool):
     return run
 
 
+def _quotas(pdf: pd.DataFrame) -> pd.DataFrame:
+    """How many documents of each size to turn over, longest that fits first."""
+    pdf = pdf.sort_values("size", ascending=False, kind="stable")
+    rest, quota = float(pdf["_miss"].iat[0]), []
+    for size, n in zip(pdf["size"].tolist(), pdf["_n"].tolist()):
+        k = min(n, int(rest // size))
+        rest -= k * size
+        quota.append(k)
+    return pdf.assign(_quota=quota)[["_sid", "size", "_quota"]]
+
+
+def _turn_over(units: DataFrame, block_rows: int) -> DataFrame:
+    """The repair of the landing for sources of several blocks: ``units`` with
+    all ``_p`` 0 or 1, some turned over so that the words of each such source
+    come nearer to its target. Documents of one size are picked block by block,
+    so no task holds more than a block or one count per size or block."""
+    movable = (F.col("source_docs") > block_rows) & (F.col("_p0") > EPS) & (F.col("_p0") < 1 - EPS)
+    miss = (units.where(movable).groupBy("_sid", "target")
+            .agg(F.sum((F.col("_base") + F.col("_p").cast("long")) * F.col("size")).alias("_taken"))
+            .select(F.col("_sid").alias("_s"), (F.col("target") - F.col("_taken")).alias("_gap")))
+    miss = materialize(miss, "mix_miss")
+    fits = movable & (F.col("size") > 0) & (F.col("size") <= F.abs("_gap")) & (F.col("_p") == F.when(F.col("_gap") > 0, 0.0).otherwise(1.0))
+    units = (units.join(miss, F.col("_sid") == F.col("_s"), "left").drop("_s")
+             .withColumn("_miss", F.when(fits, F.abs("_gap"))).drop("_gap"))
+    units = materialize(units, "mix_landed")
+    sizes = units.where("_miss IS NOT NULL").groupBy("_sid", "size", "_miss").agg(F.count(F.lit(1)).alias("_n"))
+    quotas = (sizes.groupBy("_sid").applyInPandas(_quotas, "_sid long, size long, _quota long").where("_quota > 0")
+              .select(F.col("_sid").alias("_s"), F.col("size").alias("_len"), "_quota"))
+    quotas = materialize(quotas, "mix_quotas")
+    units = units.join(quotas, (F.col("_sid") == F.col("_s")) & (F.col("size") == F.col("_len")) & F.col("_miss").isNotNull(), "left")
+    units = units.drop("_s", "_len", "_miss")
+    rest = units.where("_quota IS NULL").drop("_quota")
+    blocks = F.ceil(F.col("source_docs") / F.lit(block_rows))
+    some = units.where("_quota IS NOT NULL").withColumn("_r", F.xxhash64("row_key", "_h")).withColumn("_b", F.pmod("_r", blocks).cast("int"))
+    some = materialize(some, "mix_turned")
+    before = Window.partitionBy("_sid", "size").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    counts = (some.groupBy("_sid", "size", "_b").agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"))
+    nth = F.row_number().over(Window.partitionBy("_sid", "size", "_b").orderBy("_r", "doc_id"))
+    turn = F.col("_before") + F.col("_k") <= F.col("_quota")
+    some = (some.withColumn("_k", nth).join(counts, ["_sid", "size", "_b"])
+            .withColumn("_p", F.when(turn, 1 - F.col("_p")).otherwise(F.col("_p"))))
+    return rest.unionByName(some.select(rest.columns))
+
+
 def mix_sources(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_repeats: int = 3,
                 block_rows: int = 4096) -> DataFrame:
     """Decide how often each document is taken.
@@ -177,28 +225,33 @@ def _draws(docs: DataFrame, weights: Sequence[int], max_repeats: int, block_rows
     units = (sized.join(t, F.col("source").eqNullSafe(F.col("_src")), "left")
              .withColumn("_base", F.floor(rate + EPS).cast("long"))
              .withColumn("_p", F.greatest(rate - F.floor(rate + EPS), F.lit(0.0)))
+             .withColumn("_p0", F.col("_p"))
              .withColumn("_h", F.xxhash64("doc_id", "size"))
              .withColumn("_sid", F.xxhash64(F.coalesce(F.col("source"), F.lit("")), F.col("source").isNull()))
              .drop("_src"))
     biggest = targets.agg(F.max("source_docs")).first()[0] or 0  # one number: how many rounds
     blocks_max = max(1, math.ceil(biggest / block_rows))
+    several = blocks_max > 1
     done, shrink = [], F.ceil(F.col("source_docs") / F.lit(block_rows))
     open_ = units
     for level in itertools.count():
         last = blocks_max == 1
-        keyed = open_.withColumn("_b", F.pmod(F.xxhash64("_h", F.lit(level)), F.greatest(shrink, F.lit(1))).cast("int"))
-        flown = materialize(keyed.groupBy("_sid", "_b").applyInPandas(_fly_block(last), keyed.schema), "mix_flight")
+        keyed = (open_.withColumn("_b", F.pmod(F.xxhash64("_h", F.lit(level)), F.greatest(shrink, F.lit(1))).cast("int"))
+                 .withColumn("_one", shrink <= 1))
+        flown = materialize(keyed.groupBy("_sid", "_b").applyInPandas(_fly_block("_one"), keyed.schema), "mix_flight").drop("_b", "_one")
         settled = (F.col("_p") == 0) | (F.col("_p") == 1)
         if last:
             done.append(flown)
             break
         done.append(flown.where(settled))
-        open_ = flown.where(~settled).drop("_b")
+        open_ = flown.where(~settled)
         shrink = F.ceil(shrink * 2 / F.lit(block_rows))
         blocks_max = max(1, math.ceil(blocks_max * 2 / block_rows))
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
+    if several:
+        out = _turn_over(out, block_rows)
     copies = F.col("_base") + F.col("_p").cast("long")
     return out.select("doc_id", "source", "row_key", "size", "source_size", "target", copies.alias("copies"),
                       (copies * F.col("size")).alias("taken"))

@@ -266,6 +266,26 @@ def test_mix_caps_and_null_source(spark):
     assert t["b"] == 3 and t[None] == 150 and t["a"] == pytest.approx(1051 - 153)
 
 
+def test_mix_long_documents_are_made_up_for(spark):
+    # Blocks of 64: "a" and "b" have one block, "c" and "d" several. The long
+    # documents weigh less than the others of their source together.
+    rows = [(i, "w " * (8 + i % 5), "a") for i in range(40)] + [(99, "w " * 220, "a")]
+    rows += [(100 + i, "w " * (5 + i % 9), "b") for i in range(60)] + [(198, "w " * 301, "b"), (199, "w " * 150, "b")]
+    rows += [(1000 + i, "w " * (6 + i % 7), "c") for i in range(700)] + [(1998, "w " * 4001, "c")]
+    rows += [(2000 + i, "w " * 10, "d") for i in range(1500)] + [(4000, "w " * 7003, "d")]
+    runs = [sorted(mix_sources(docs_df(spark, rows), block_rows=64).collect()) for _ in range(2)]
+    assert runs[0] == runs[1] and sorted(r.doc_id for r in runs[0]) == sorted(r[0] for r in rows)
+    target, taken = {}, collections.Counter()
+    for r in runs[0]:
+        rate = r.target / r.source_size
+        assert np.floor(rate) <= r.copies <= np.ceil(rate) and r.taken == r.copies * r.size
+        target[r.source] = r.target
+        taken[r.source] += r.taken
+    # what is left is less than the shortest document of the source
+    for s, shortest in {"a": 8, "b": 5, "c": 6, "d": 10}.items():
+        assert abs(taken[s] - target[s]) < shortest, (s, taken[s], target[s])
+
+
 # --- op8 ------------------------------------------------------------------
 
 def brute_components(rows, words, percent):
