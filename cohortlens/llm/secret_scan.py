@@ -32,12 +32,14 @@ CLASSES: tuple[tuple[str, str, float], ...] = (
     ("letters", r"^[A-Za-z_/-]+$", 4.1),
     ("mixed", r"^.*$", 3.7),
 )
+# Signs before a candidate that say nothing about what follows; those behind it may be padding.
+LEAD = r"^[=_/+-]+"
 # Harmless strings that look random.
 ALLOW = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
     r"(?i)example|sample|placeholder|your[_-]|changeme|x{6}|0{8}|1234567",
     r"(?i)^(https?|www|ftp)|(/[a-z]+){3}",
-    r"^[=_/+-]+|[=_/+-]{5}",
+    r"^[=_/+-]*$|[=_/+-]{5}",
 )
 
 
@@ -120,7 +122,7 @@ def scan_secrets(docs: DataFrame, classes: Sequence[tuple[str, str, float]] = CL
     d = d.withColumn("base_spans", F.array_sort(F.concat("_assign", "_access", "_hex")))
 
     def secret(x: Column) -> Column:
-        v = x["value"]
+        v = F.regexp_replace(x["value"], LEAD, "")
         limit = F.lit(math.inf)
         for name, regex, _ in reversed(list(classes)):
             limit = F.when(v.rlike(regex), F.lit(bound[name])).otherwise(limit)
@@ -128,7 +130,7 @@ def scan_secrets(docs: DataFrame, classes: Sequence[tuple[str, str, float]] = CL
         allowed = F.lit(False)
         for regex in allow:
             allowed = allowed | v.rlike(regex)
-        return F.when((limit < F.lit(math.inf)) & free & ~allowed, window_entropy(v) >= limit).otherwise(F.lit(False))
+        return F.when((limit < F.lit(math.inf)) & free & ~allowed, window_entropy(x["value"]) >= limit).otherwise(F.lit(False))
 
     d = d.withColumn("_entropy", F.when(F.size("_cand") > 0, label(F.filter("_cand", secret), 3, "entropy"))
                      .otherwise(F.slice("base_spans", 1, 0)))

@@ -120,6 +120,16 @@ def test_secret_entropy(spark):
         assert r.e == pytest.approx(max(entropy(r.s[i:i + w]) for i in range(len(r.s) - w + 1)))
 
 
+def test_secret_behind_a_sign(spark):
+    key = "9fQ2xLr8TzWm4KpVbN7sYd3HcJ6gUe1A"
+    rows = [(i, f"key: {x}{key} end") for i, x in enumerate(["+", "/", "-", "_", "=", "--", "====="])]
+    rows += [(20, "wJ /wJalrXUtnFEMIK7MDENGbPxRfiCYEXZMPL3KEY"), (21, ' "+9fK3jQm2Zx8Lw0VbN5tR7yUc1Hs"')]
+    signs = [(30, "=-=-_+_/-=_+/-=_+-=_"), (31, "-" * 60), (32, "--a-long-option-of-a-program"), (33, "_" * 19 + "abc"),
+             (34, "-123e4567-e89b-12d3-a456-426614174000"), (35, "/12345678901234567890123")]
+    got = {r.doc_id: r.n_entropy for r in secret_scan.scan_secrets(docs_df(spark, rows + signs)).collect()}
+    assert got == {i: 1 for i, _ in rows} | {i: 0 for i, _ in signs}
+
+
 # --- op3 ------------------------------------------------------------------
 
 def test_best_fit_decreasing():
