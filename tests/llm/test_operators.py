@@ -130,6 +130,24 @@ def test_secret_behind_a_sign(spark):
     assert got == {i: 1 for i, _ in rows} | {i: 0 for i, _ in signs}
 
 
+def test_secret_beside_harmless_text(spark):
+    key = "9fQ2xLr8TzWm4KpVbN7sYd3HcJ6gUe1A0oXi5Bqw"
+    rng = np.random.default_rng(3)
+    pick = lambda letters, n: "".join(rng.choice(list(letters), n))
+    low = "abcdefghijklmnopqrstuvwxyz"
+    base = low + low.upper() + "0123456789"
+    rows = [(1, f"/home/app/data/key={key}"), (2, f"config_example={key}"), (3, f"/usr/local/lib/{key}"),
+            (4, pick(base, 800) + "00000000" + pick(base, 800)), (5, pick(base, 300) + "1234567" + pick(base, 60)),
+            (6, f"{key}-----{key}"), (7, pick(base, 90) + "/ab/cd/ef/" + pick(base, 90)), (8, f"https_proxy={key}")]
+    plain = [(20, "/home/app/data/key"), (21, "/usr/share/doc2/pack3age/read4me/file5x"), (22, "EXAMPLE9fQ2xLr8TzWm4KpVbN7sYd3H"),
+             (23, "your_api-key9Z8-goes7here"), (24, "/Users/Shared/Documents/Reports2024/q1"), (25, "httpServerFactoryBean2Impl"),
+             (26, "getUserAccountInformationById"), (27, "internationalization-of-documentation")]
+    letters = [(100 + i, pick(low + low.upper(), 32)) for i in range(100)] + [(300 + i, pick(low, 32)) for i in range(100)]
+    got = {r.doc_id: r.n_entropy for r in secret_scan.scan_secrets(docs_df(spark, rows + plain + letters)).collect()}
+    assert {i: n for i, n in got.items() if i < 100} == {i: 1 for i, _ in rows} | {i: 0 for i, _ in plain}
+    assert sum(got[100 + i] for i in range(100)) >= 90 and sum(got[300 + i] for i in range(100)) >= 85
+
+
 # --- op3 ------------------------------------------------------------------
 
 def test_best_fit_decreasing():
