@@ -18,6 +18,15 @@ from cohortlens.llm.common import materialize, text_of
 TOKEN = r"[\p{L}\p{N}]+"
 # 1: the token enters the hash; 0: any token may stand there.
 MASKS = ("110110011", "101011101")
+# Masks added for items of so many tokens (from, to). With them every placement
+# of the substitutions that OVERLAP and AGREE allow leaves a hit: three in 15
+# (hence in 16), two in 10 to 14, one in 5 to 9, none in fewer.
+ADDED = (
+    (15, 1 << 30, ("1110000101",)),
+    (10, 14, ("111011", "11010011", "11111")),
+    (5, 9, ("1111", "11101", "11011", "10111")),
+    (4, 4, ("1111",)), (3, 3, ("111",)), (2, 2, ("11",)), (1, 1, ("1",)),
+)
 OVERLAP = 16  # tokens over which agreement is judged (an item's length, if shorter)
 AGREE = 0.8
 # Up to so many benchmark seeds (24 bytes each) are broadcast; more are joined by shuffle.
@@ -28,15 +37,15 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
 
 
-def seeds(h: Column, masks: Sequence[str]) -> Column:
+def seeds(h: Column, masks: Sequence[tuple], counts: Sequence[Column]) -> Column:
     """The seed hashes of an array of token hashes, all positions of the first
-    mask, then of the next; the mask's number is part of the hash."""
+    mask, then of the next; the mask's number is part of the hash. ``counts``
+    are the positions of each mask."""
     parts = []
-    for k, mask in enumerate(masks):
+    for (number, mask, _, _), n in zip(masks, counts):
         at = [i for i, c in enumerate(mask) if c == "1"]
-        last = F.size(h) - len(mask)
-        positions = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
-        parts.append(F.transform(positions, _seed(h, k, at)))
+        positions = F.when(n > 0, F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+        parts.append(F.transform(positions, _seed(h, number, at)))
     return F.concat(*parts)
 
 
@@ -44,18 +53,33 @@ def _seed(h: Column, number: int, at: list[int]):
     return lambda i: F.xxhash64(F.lit(number), *[F.get(h, i + a) for a in at])
 
 
-def seed_rows(df: DataFrame, key: str, masks: Sequence[str]) -> DataFrame:
-    """(key, seed, pos): one row per mask and position."""
-    span = {len(m) for m in masks}
-    if len(span) != 1:
-        raise ValueError("masks must have one length")
+def numbered(masks: Sequence[str]) -> list[tuple]:
+    """(number, mask, from, to) of ``masks``, for items of any length, and of the added ones."""
+    rows = [(mask, 0, 1 << 30) for mask in masks] + [(mask, lo, hi) for lo, hi, more in ADDED for mask in more]
+    return [(k, *row) for k, row in enumerate(rows)]
+
+
+def seed_rows(df: DataFrame, key: str, masks: Sequence[tuple], items: bool = False) -> DataFrame:
+    """(key, seed, pos, mask): one row per mask and position; of items, only
+    the masks for their length."""
     h = df.select(F.col(key), F.transform(tokens(text_of()), lambda w: F.xxhash64(w)).alias("_h"))
-    per_mask = F.greatest(F.size("_h") - (span.pop() - 1), F.lit(0))
-    s = h.select(F.col(key), per_mask.alias("_n"), seeds(F.col("_h"), masks).alias("_s"))
+
+    def counts(size: Column) -> list[Column]:
+        full = [F.greatest(size - (len(mask) - 1), F.lit(0)) for _, mask, _, _ in masks]
+        return [F.when(size.between(lo, hi), n).otherwise(F.lit(0)) for n, (_, _, lo, hi) in zip(full, masks)] if items else full
+
+    s = h.select(F.col(key), F.size("_h").alias("_size"), seeds(F.col("_h"), masks, counts(F.size("_h"))).alias("_s"))
     # The outer form: for the inner one the planner infers a filter on the size
     # of the array and computes all seeds again below the projections.
-    return (s.select(F.col(key), "_n", F.posexplode_outer("_s").alias("_i", "seed")).where(F.col("seed").isNotNull())
-            .select(F.col(key), "seed", (F.col("_i") % F.col("_n")).alias("pos")))
+    rows = s.select(F.col(key), "_size", F.posexplode_outer("_s").alias("_i", "seed")).where(F.col("seed").isNotNull())
+    pos, mask, end = F.lit(None).cast("int"), F.lit(None).cast("int"), []
+    for n in counts(F.col("_size")):
+        end.append(end[-1] + n if end else n)
+    for k in reversed(range(len(masks))):
+        here = F.col("_i") < end[k]
+        pos = F.when(here, F.col("_i") - (end[k - 1] if k else F.lit(0))).otherwise(pos)
+        mask = F.when(here, F.lit(masks[k][0])).otherwise(mask)
+    return rows.select(F.col(key), "seed", pos.alias("pos"), mask.alias("mask"))
 
 
 def overlap(doc: Column, item: Column, shift: Column, window: Column) -> Column:
@@ -79,22 +103,28 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = MAS
     Returns one row per (doc_id, item_id): item_tokens, matched (tokens that
     agree in the best stretch), needed, position (token of the text where
     the item would begin; negative if its beginning is missing) and seeds
-    (hits on that alignment). Tokens are runs of letters and digits in lower
+    (hits of ``masks`` on that alignment, without the ADDED ones). Tokens are runs of letters and digits in lower
     case. A leak is a stretch of ``window`` tokens (the whole item, if it is
-    shorter) of which ``agree`` or more are equal at equal distances. Items
-    and texts with fewer tokens than a mask have no seeds and are never
-    reported; null texts have none. Equal texts are each reported; rows that
+    shorter) of which ``agree`` or more are equal at equal distances; with
+    the usual window and share, each one is found. Items and texts without
+    tokens are never reported. Equal texts are each reported; rows that
     share a doc_id count as one document, an item_id likewise. Other columns
     are not read.
     """
     items = benchmark.select("item_id", text_of().alias("text"))
-    probe = materialize(seed_rows(items, "item_id", masks).select("item_id", "seed", F.col("pos").alias("_ipos")).distinct(), "seeds")
+    every = numbered(masks)
+    counted = (F.col("mask") < len(masks)).cast("long").alias("_counted")
+    probe = materialize(seed_rows(items, "item_id", every, items=True).select("item_id", "seed", F.col("pos").alias("_ipos"), "mask", counted)
+                        .distinct(), "seeds")
+    used = {r.mask for r in probe.select("mask").distinct().collect()}  # at most one row per mask
+    every = [m for m in every if m[0] in used] or every[:1]
+    probe = probe.drop("mask")
     if probe.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS:
         probe = F.broadcast(probe)
     texts = docs.select("doc_id", text_of().alias("text"))
-    hits = (seed_rows(texts, "doc_id", masks).join(probe, "seed")
+    hits = (seed_rows(texts, "doc_id", every).select("doc_id", "seed", "pos").join(probe, "seed")
             .groupBy("doc_id", "item_id", (F.col("pos") - F.col("_ipos")).alias("_shift"))
-            .agg(F.count(F.lit(1)).alias("seeds")))
+            .agg(F.sum("_counted").alias("seeds")))
     hits = materialize(hits, "seed_hits")
     words = items.select(F.col("item_id").alias("_item"), tokens(F.col("text")).alias("_want"))
     # Written first, so the planner knows the size of the hits: small ones are

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import re
 import zlib
 
@@ -433,6 +434,20 @@ def test_leaks(spark):
     assert len(got - {100, 101}) >= 57 and not got & {100, 101}
 
 
+def test_leaks_every_placement(spark):
+    items, rows, want = [], [], set()
+    for n, subs in ((1, 0), (2, 0), (3, 0), (4, 0), (5, 1), (8, 1), (9, 1), (10, 2), (12, 2), (14, 2), (15, 3), (16, 3)):
+        words = [f"i{n}w{k}" for k in range(n)]
+        items.append((n, " ".join(words)))
+        for bad in itertools.combinations(range(n), subs):
+            rows.append((len(rows), " ".join(["aa", "bb"] + ["other" if k in bad else w for k, w in enumerate(words)] + ["cc"])))
+            want.add((rows[-1][0], n))
+        for bad in itertools.islice(itertools.combinations(range(n), subs + 1), 5):  # one too many
+            rows.append((len(rows), " ".join("other" if k in bad else w for k, w in enumerate(words))))
+    got = find_leaks(docs_df(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and all(r.position == 2 for r in got)
+
+
 def test_digest_of_spans(spark):
     df = secret_scan.scan_secrets(docs_df(spark, SECRETS)).select("doc_id", F.sha2(secret_scan.joined("base_spans").cast("binary"), 256).alias("h"))
     for r in df.collect():
