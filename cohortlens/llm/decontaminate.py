@@ -143,6 +143,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = MAS
 
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` without a leak, all columns unchanged."""
-    found = materialize(find_leaks(docs, benchmark, **options).select(F.col("doc_id").alias("_id")).distinct(), "leaks")
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]), "left_anti")
+    """The rows of ``docs`` without a leak, all columns unchanged. Rows are told
+    apart by doc_id and text, so a clean row stays if it shares the doc_id, or
+    the lack of one, with a leaking row."""
+    key = F.xxhash64("doc_id", text_of())
+    keyed = docs.select(key.alias("doc_id"), "text")
+    found = materialize(find_leaks(keyed, benchmark, **options).select(F.col("doc_id").alias("_leak")).distinct(), "leaks")
+    return docs.withColumn("_key", key).join(found, F.col("_key") == F.col("_leak"), "left_anti").drop("_key")

@@ -64,6 +64,13 @@ def test_leaks_edges(spark):
     assert find_leaks(d, bench(spark).limit(0)).collect() == []
 
 
+def test_leaking_rows_only(spark):
+    leak = "so w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11 w12 w13 w14 end"
+    rows = [(None, leak), (None, "clean"), (None, None), (1, leak), (1, "clean too"), (2, "third"), (2, "third"), (3, leak), (3, leak)]
+    got = [(r.doc_id, r.text) for r in remove_leaks(docs_df(spark, rows, clash=True), bench(spark)).collect()]
+    assert sorted(got, key=str) == sorted([r for r in rows if r[1] != leak], key=str)
+
+
 def test_packing_edges(spark):
     d = docs_df(spark, edge_rows(), clash=True)
     out = pack_documents(d, P.path("byte_bpe_50k.tiktoken"), P.PATTERN, length=512).collect()
