@@ -154,17 +154,22 @@ def _prefixes(words: int, percent: int, hot):
     return run
 
 
+PART_ROWS = 1_000_000  # rows of one token that are held before they leave in parts
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of (token, cid) in order of both: the distinct rows of tokens with two
-    or more classes, and how many those are."""
+    or more classes, and how many those are (of a token that leaves in parts,
+    how many of the part)."""
     tok, cid = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    begun = None  # the token whose first part has left: what follows of it is shared, even one row
 
     def out(t, c):
-        keep = np.append(True, (t[1:] != t[:-1]) | (c[1:] != c[:-1])) if len(t) else np.zeros(0, bool)
-        t, c = t[keep], c[keep]
         starts = np.flatnonzero(np.append(True, t[1:] != t[:-1])) if len(t) else np.zeros(0, np.int64)
         n = np.repeat(np.diff(np.append(starts, len(t))), np.diff(np.append(starts, len(t))))
         m = n > 1
+        if begun is not None:
+            m |= t == begun
         return pa.RecordBatch.from_arrays([pa.array(t[m]), pa.array(c[m]), pa.array(n[m].astype(np.int64))], names=["token", "cid", "df"])
 
     for b in batches:
@@ -172,11 +177,14 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cid = np.concatenate([cid, b.column(1).to_numpy()])
         if not len(tok):
             continue
-        cut = int(np.searchsorted(tok, tok[-1], side="left"))  # the last token may go on
-        if cut == 0 and len(tok) > 1_000_000:
-            cut = len(tok) - 1  # a very frequent one leaves in parts
+        keep = np.append(True, (tok[1:] != tok[:-1]) | (cid[1:] != cid[:-1]))
+        tok, cid = tok[keep], cid[keep]
+        cut, part = int(np.searchsorted(tok, tok[-1], side="left")), False  # the last token may go on
+        if cut == 0 and len(tok) > PART_ROWS:
+            cut, part = len(tok) - 1, True  # a very frequent one leaves in parts; its last row tells repeats
         if cut:
             yield out(tok[:cut], cid[:cut])
+            begun = tok[0] if part else begun
             tok, cid = tok[cut:], cid[cut:]
     if len(tok):
         yield out(tok, cid)

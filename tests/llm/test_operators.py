@@ -8,12 +8,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from cohortlens.llm import packing, secret_scan, sharding, weak_labels
 from cohortlens.llm.components import components
 from cohortlens.llm.decontaminate import find_leaks
+from cohortlens.llm import jaccard_join as jaccard_join_module
 from cohortlens.llm.jaccard_join import jaccard_join, keep_one
 from cohortlens.llm.mixing import apply_mix, fly, mix_sources
 from cohortlens.llm.quality_classifier import classify_quality
@@ -370,6 +372,23 @@ def test_jaccard_components(spark, words, percent):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows, words, percent)
 
 
+@pytest.mark.parametrize("step", [1, 2, 5, 7, 8, 40])
+def test_shared_tokens_that_leave_in_parts(monkeypatch, step):
+    monkeypatch.setattr(jaccard_join_module, "PART_ROWS", 3, raising=False)
+    rows = [(1, 4)] + [(2, c) for c in (1, 1, 2, 3, 4, 5, 5, 6)] + [(3, 9), (3, 9)] + [(4, c) for c in range(20)] + [(5, 1)]
+    names = ["token", "cid"]
+    batches = [pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows[i:i + step])], names=names) for i in range(0, len(rows), step)]
+    got = [(t, c) for b in jaccard_join_module._shared(iter(batches)) for t, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+    assert got == sorted({r for r in rows if r[0] in (2, 4)})
+
+
+def test_shared_token_ends_with_a_part():
+    n = 1_000_001
+    batches = [pa.RecordBatch.from_arrays([pa.array(np.full(n, 7)), pa.array(np.arange(n))], names=["token", "cid"]),
+               pa.RecordBatch.from_arrays([pa.array([8]), pa.array([1])], names=["token", "cid"])]
+    assert sum(b.num_rows for b in jaccard_join_module._shared(iter(batches))) == n
+
+
 def test_keep_one(spark):
     rows = near_rows(6)
     want = sorted({c for _, _, c in brute_components(rows, 5, 80)})
