@@ -6,8 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortlens.llm.bisector_clusters import bisector_clusters
 from cohortlens.llm.common import documents
+from cohortlens.llm.cross_polytope import nearest_neighbours
 from cohortlens.llm.decontaminate import find_leaks
+from cohortlens.llm.filter_audit import audit_filters
 from cohortlens.llm.jaccard_join import jaccard_join
 from cohortlens.llm.mixing import mix_sources
 from cohortlens.llm.packing import pack_documents
@@ -18,6 +21,7 @@ from cohortlens.llm.sharding import reshard
 from cohortlens.llm.suffix_dedup import suffix_dedup
 from cohortlens.llm.token_counts import token_counts
 from cohortlens.llm.twins import ORACLE_SQL  # noqa: F401
+from cohortlens.sources.tables import table_path
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +72,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(documents(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(spark, table_path(sf_dir, "documents"), documents(spark, sf_dir, "labels"))
+
+
+def op13_bisector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bisector_clusters(documents(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_secret_scan, op3_token_packing, op4_suffix_dedup, op5_quality_rules, op6_token_counts,
-    op7_source_mixing, op8_jaccard_join, op9_resharding, op10_decontamination)}
+    op7_source_mixing, op8_jaccard_join, op9_resharding, op10_decontamination,
+    op11_nearest_neighbours, op12_filter_audit, op13_bisector_clusters)}

@@ -90,3 +90,67 @@ FROM t LEFT JOIN per USING (doc_id)
 """
 
 ORACLE_SQL = {"op2_secret_scan": OP2, "op10_decontamination": OP10}
+
+_BLANKS = "[\\x20\\x09-\\x0D]+"
+
+OP12 = f"""
+WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(t, '{_BLANKS}'), lambda x: x <> '') AS w, min(doc_id) OVER (PARTITION BY t) AS first FROM t),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+      FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+             list_filter([CASE WHEN len(w) < 50 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' END,
+               CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' END,
+               CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+               CASE WHEN coalesce(doc_id > first, first IS NOT NULL) THEN 'E' END], lambda x: x IS NOT NULL) AS fs
+      FROM w LEFT JOIN l USING (doc_id)),
+m AS (SELECT part, fs, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fs),
+k AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS k),
+o AS (SELECT a.k || b.k || c.k || d.k || e.k AS filter_order FROM k a, k b, k c, k d, k e
+      WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5),
+s AS (SELECT filter_order, unnest([1, 2, 3, 4, 5]) AS step FROM o),
+j AS (SELECT part, filter_order, step, n, good, toxic, fs,
+             substr(filter_order, step, 1) AS f, substr(filter_order, 1, step - 1) AS before FROM s, m),
+b AS (SELECT *, list_contains(fs, f) AS mine, len(list_filter(fs, lambda x: contains(before, x))) > 0 AS earlier FROM j)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+       CAST(sum(CASE WHEN mine OR earlier THEN 0 ELSE n END) AS BIGINT) AS kept,
+       CAST(sum(CASE WHEN mine AND NOT earlier THEN n ELSE 0 END) AS BIGINT) AS removed,
+       CAST(sum(CASE WHEN mine AND earlier THEN n ELSE 0 END) AS BIGINT) AS redundant,
+       CAST(sum(CASE WHEN mine AND len(fs) = 1 THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+       CAST(sum(CASE WHEN mine AND NOT earlier THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+       CAST(sum(CASE WHEN mine AND NOT earlier THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost,
+       CAST(sum(CASE WHEN mine THEN n * (120 // len(fs)) ELSE 0 END) AS BIGINT) AS shapley
+FROM b GROUP BY part, filter_order, step
+"""
+
+
+def _clusters(k: int = 8, rounds: int = 10, width: int = 64, scale: int = 1024, seed: int = 3) -> str:
+    parts = [f"""x AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda v: CAST(floor({scale} * CAST(v AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE len(embedding) = {width} AND len(list_filter(embedding, lambda v: v IS NOT NULL AND isfinite(v))) = {width})""",
+             f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h) - 1 AS c, x FROM (SELECT sha256('{seed}:' || vec_id) AS h, x FROM x ORDER BY h LIMIT {k}))"""]
+    for i in range(rounds + 1):  # least distance, then smallest number, as one whole number
+        parts.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, min(CAST(list_sum(list_transform(list_zip(x.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS HUGEINT) * {k} + c) AS m
+  FROM x, c{i} c GROUP BY r)""")
+        if i < rounds:
+            parts.append(f"""s{i} AS (
+  SELECT c, list((s - ((s % n + n) % n)) // n ORDER BY i) AS x
+  FROM (SELECT m % {k} AS c, i, CAST(sum(v) AS HUGEINT) AS s, CAST(count(*) AS HUGEINT) AS n
+        FROM (SELECT m, unnest(x) AS v, unnest(range({width})) AS i FROM x JOIN a{i} USING (r)) GROUP BY ALL) GROUP BY c)""")
+            parts.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c.c, coalesce(CAST(s.x AS BIGINT[]), c.x) AS x FROM c{i} c LEFT JOIN s{i} s ON s.c = c.c)""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, CAST(m % {k} AS INTEGER) AS cluster, CAST(m // {k} AS BIGINT) AS distance,
+       CAST(sum(m // {k}) OVER (PARTITION BY m % {k}) AS BIGINT) AS cluster_inertia,
+       CAST(sum(m // {k}) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM x JOIN a{rounds} USING (r) JOIN c{rounds} c ON c.c = m % {k}
+"""
+
+
+OP13 = _clusters()
+
+ORACLE_SQL = {**ORACLE_SQL, "op12_filter_audit": OP12, "op13_bisector_clusters": OP13}
