@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.plans import activity as act
-from cohortlens.plans import etl, intern, lms, mentor, risk
+from cohortlens.plans import etl, intern, lms, maintain, mentor, risk
 from cohortlens.sources.bindings import Gold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,7 @@ def _first_intern(g: Gold):
 
 # --- risk ------------------------------------------------------------------
 register("b04_dropout_risk", lambda g: risk.dropout_risk(g))
+register("b04_risk_after_changes", lambda g: maintain.risk_after_changes(g))
 
 # --- activity --------------------------------------------------------------
 register("a02_total_hours", act.total_hours)
@@ -151,6 +152,11 @@ from cohortlens.streaming import landing  # noqa: E402
 
 QUERIES["st1_incremental_landing"] = lambda spark, sf_dir: landing.landed_activity(spark, sf_dir)
 QUERIES["st1_incremental_landing"].__doc__ = landing.landed_activity.__doc__
+from cohortlens.streaming import effort, indexed_landing  # noqa: E402
+
+QUERIES["st1_daily_effort"] = lambda spark, sf_dir: effort.streamed_outlier_days(spark, sf_dir)
+QUERIES["st1_weekly_effort"] = lambda spark, sf_dir: effort.streamed_weekly_hours(spark, sf_dir)
+register("u02_merge_indexed", indexed_landing.merged_by_index)
 register("b42_daily_landing_eod", lambda g: landing.export_and_land(g, "eod"))
 register("b42_daily_landing_lms", lambda g: landing.export_and_land(g, "lms"))
 

@@ -848,3 +848,10 @@ SQL["b42_daily_landing_eod"] = with_gold("SELECT date, full_name, activity, hour
 SQL["b42_daily_landing_lms"] = with_gold("""
 SELECT intern_name, course_name, start_date, end_date, mentor_name, progress, reviewed, total_assg, rev_submitted,
        submitted, overall_status, kc_scored, kc_total, test_scored, test_total FROM silver_lms""", BRONZE)
+
+# The same results by other ways: from a stream's windows and state, from a store
+# kept current by changes, through a stored membership index.
+SQL["st1_daily_effort"] = SQL["a03_daily_outliers"]
+SQL["st1_weekly_effort"] = SQL["a07_weekly_hours_by_year"]
+SQL["b04_risk_after_changes"] = SQL["b04_dropout_risk"]
+SQL["u02_merge_indexed"] = SQL["u02_merge_new"]

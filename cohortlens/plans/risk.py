@@ -38,7 +38,11 @@ def activity_windows(fa: DataFrame) -> DataFrame:
 
 def lms_summary(g: Gold) -> DataFrame:
     """Per intern over all LMS rows: mean progress and assignment sums."""
-    return g.fact_lms.groupBy("intern_id").agg(
+    return lms_totals(g.fact_lms)
+
+
+def lms_totals(fact_lms: DataFrame) -> DataFrame:
+    return fact_lms.groupBy("intern_id").agg(
         F.avg("progress").alias("avg_progress_raw"),
         F.sum("reviewed").alias("sum_reviewed"),
         F.sum("total_assg").alias("sum_total_assg"),
@@ -54,9 +58,12 @@ def dropout_risk(g: Gold, p: Params | None = None, keep_parts: bool = False) ->
     the mentor bridge. Both inputs are aggregated to one row per intern
     before the join, so a hot intern never skews a join.
     """
-    lms = lms_summary(g)
-    act = activity_windows(activity(g, p))
-    j = lms.join(act, "intern_id", "left").join(g.dim_intern, "intern_id", "left")
+    return risk_scores(lms_summary(g), activity_windows(activity(g, p)), g.dim_intern, keep_parts)
+
+
+def risk_scores(lms: DataFrame, act: DataFrame, dim_intern: DataFrame, keep_parts: bool = False) -> DataFrame:
+    """The score from one row per intern of each input."""
+    j = lms.join(act, "intern_id", "left").join(dim_intern, "intern_id", "left")
 
     avg_p = F.coalesce(F.col("avg_progress_raw"), F.lit(0.0))
     prog = F.greatest((F.lit(PROGRESS_FLOOR) - avg_p) / F.lit(PROGRESS_FLOOR), F.lit(0.0)) * PROGRESS_WEIGHT
