@@ -2,25 +2,28 @@
 
 from __future__ import annotations
 
+from cohortlens.llm.decontaminate import MASKS, numbered
+
 _TOKENS = "regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+')"
 
 
-def _seeds(table: str, key: str) -> str:
-    """All seeds of a token table, the words themselves in place of a hash."""
-    masks = ((0, 1, 3, 4, 7, 8), (0, 2, 4, 5, 6, 8))
+def _seeds(table: str, key: str, items: bool) -> str:
+    """All seeds of a token table, the words themselves in place of a hash; of
+    items only under the masks for their length."""
     return "\nUNION ALL\n".join(
-        f"SELECT {key}, pos, {k} AS mask, " + " || ' ' || ".join(f"w[pos + {a + 1}]" for a in at) + " AS seed "
-        f"FROM (SELECT {key}, w, unnest(generate_series(0, len(w) - 9)) AS pos FROM {table} WHERE len(w) >= 9)"
-        for k, at in enumerate(masks))
+        f"SELECT {key}, pos, {k} AS mask, " + " || ' ' || ".join(f"w[pos + {a + 1}]" for a, c in enumerate(mask) if c == "1") + " AS seed "
+        f"FROM (SELECT {key}, w, unnest(generate_series(0, len(w) - {len(mask)})) AS pos FROM {table} WHERE len(w) >= {len(mask)}"
+        + (f" AND len(w) BETWEEN {lo} AND {hi}" if items else "") + ")"
+        for k, mask, lo, hi in numbered(MASKS))
 
 
 OP10 = f"""
 WITH d AS (SELECT doc_id, {_TOKENS} AS w FROM documents),
 b AS (SELECT item_id, {_TOKENS} AS w FROM benchmark),
-ds AS ({_seeds('d', 'doc_id')}),
-bs AS ({_seeds('b', 'item_id')}),
+bs AS MATERIALIZED ({_seeds('b', 'item_id', True)}),
+ds AS (SELECT * FROM ({_seeds('d', 'doc_id', False)}) WHERE seed IN (SELECT seed FROM bs)),
 hits AS (
-  SELECT doc_id, item_id, ds.pos - bs.pos AS shift, count(*) AS seeds
+  SELECT doc_id, item_id, ds.pos - bs.pos AS shift, count_if(ds.mask < {len(MASKS)}) AS seeds
   FROM ds JOIN bs ON ds.mask = bs.mask AND ds.seed = bs.seed GROUP BY ALL),
 laid AS (
   SELECT h.doc_id, h.item_id, shift, seeds, len(b.w) AS n, b.w AS want, d.w AS have,
@@ -35,7 +38,7 @@ judged AS (
   SELECT doc_id, item_id, shift, seeds, n, max(now) AS matched, ceil(least(n, 16) * 0.8::DOUBLE) AS needed
   FROM run GROUP BY ALL)
 SELECT doc_id, item_id, CAST(n AS INTEGER) AS item_tokens, CAST(matched AS INTEGER) AS matched,
-       CAST(needed AS INTEGER) AS needed, CAST(shift AS INTEGER) AS position, seeds
+       CAST(needed AS INTEGER) AS needed, CAST(shift AS INTEGER) AS position, CAST(seeds AS BIGINT) AS seeds
 FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, seeds DESC, shift) AS rn
       FROM judged WHERE matched >= needed) WHERE rn = 1
 """
@@ -60,23 +63,41 @@ FROM (SELECT doc_id, m, v,
 WHERE length(v) >= {least}"""
 
 
+def _cut() -> str:
+    """The candidate with every match of the allow-list a space. RE2 has no
+    lookahead, so for the paths the end of a part is marked by a character."""
+    paths = ("regexp_replace(regexp_replace(regexp_replace({0}, '([ =/])', '\x01\\1', 'g') || '\x01', "
+             "'(?i)(\x01?/[a-z]+){{3}}([^ =/\x01]{{0,19}}\x01)?(/[^ =/\x01]{{0,19}}\x01)*', ' ', 'g'), '\x01', '', 'g')")
+    steps = ("regexp_replace({0}, '^[=_/+-]*[0-9a-fA-F]{{8}}(-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}$', ' ', 'g')", paths,
+             "regexp_replace({0}, '(?i)[^ =/]{{0,20}}(example|sample|placeholder|your[_-]|changeme|x{{6}}|0{{8}}|1234567)[^ =/]{{0,20}}', ' ', 'g')",
+             "regexp_replace({0}, '(?i)^(https?|www|ftp)[^ =/]{{0,20}}', ' ', 'g')", "regexp_replace({0}, '[=_/+-]{{5,}}', ' ', 'g')")
+    out = "value"
+    for step in steps:
+        out = step.format(out)
+    return out
+
+
+_CUT = _cut()
+_UNLIKE = "regexp_matches(v, '(?i)[bcdfghjklmnpqrstvwxz]{5}')"
+
 OP2 = f"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 base AS ({_spans(_ASSIGN, 0, 'assign', 2, 8)}
 UNION ALL {_spans('AKIA[A-Z0-9]+', 1, 'access', 0, 16)}
 UNION ALL {_spans('[0-9a-f]+', 2, 'hex', 0, 32)}),
 cand AS ({_spans(_CANDIDATE, 3, 'entropy', 0, 20)}),
-added AS (
-  SELECT c.* FROM cand c
-  WHERE NOT regexp_matches(value, '^[0-9]+$') AND NOT regexp_matches(value, '^([a-z_-]+|[A-Z_-]+)$')
-    AND NOT regexp_matches(value, '^[0-9a-fA-F]{{8}}(-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}$')
-    AND NOT regexp_matches(value, '(?i)example|sample|placeholder|your[_-]|changeme|x{{6}}|0{{8}}|1234567')
-    AND NOT regexp_matches(value, '(?i)^(https?|www|ftp)|(/[a-z]+){{3}}')
-    AND NOT regexp_matches(value, '^[=_/+-]+|[=_/+-]{{5}}')
-    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.s < c.e AND c.s < b.e)
-    AND list_max(list_transform(range(1, length(value) - 18), lambda i: list_entropy(string_split(substr(value, i, 20), ''))))
-        >= CASE WHEN regexp_matches(value, '^([0-9a-f]+|[0-9A-F]+)$') THEN 3.0
-                WHEN regexp_matches(value, '^[A-Za-z_/-]+$') THEN 4.1 ELSE 3.7 END),
+free AS (
+  SELECT *, row_number() OVER () AS i FROM cand c
+  WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.s < c.e AND c.s < b.e)),
+pieces AS (SELECT i, unnest(string_split({_CUT}, ' ')) AS piece FROM free),
+judged AS (SELECT i, piece, regexp_replace(piece, '^[=_/+-]+', '') AS v FROM pieces WHERE length(piece) >= 20),
+random AS (
+  SELECT DISTINCT i FROM judged
+  WHERE list_max(list_transform(range(1, length(piece) - 18), lambda k: list_entropy(string_split(substr(piece, k, 20), '')))) >=
+    CASE WHEN regexp_matches(v, '^[0-9]+$') THEN 99 WHEN regexp_matches(v, '^([0-9a-f]+|[0-9A-F]+)$') THEN 3.0
+         WHEN regexp_matches(v, '^([a-z_-]+|[A-Z_-]+)$') THEN CASE WHEN {_UNLIKE} THEN 3.5 ELSE 99 END
+         WHEN regexp_matches(v, '^[A-Za-z_/-]+$') THEN CASE WHEN {_UNLIKE} THEN 3.8 ELSE 4.1 END ELSE 3.7 END),
+added AS (SELECT doc_id, s, rank, kind, e, value FROM free SEMI JOIN random USING (i)),
 spans AS (SELECT * FROM base UNION ALL SELECT * FROM added),
 per AS (
   SELECT doc_id, count_if(rank = 0) AS a, count_if(rank = 1) AS k, count_if(rank = 2) AS h, count_if(rank = 3) AS n,
