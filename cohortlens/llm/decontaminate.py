@@ -31,6 +31,7 @@ OVERLAP = 16  # tokens over which agreement is judged (an item's length, if shor
 AGREE = 0.8
 # Up to so many benchmark seeds (24 bytes each) are broadcast; more are joined by shuffle.
 BROADCAST_SEEDS = 1_000_000
+BROADCAST_IDS = 1_000_000  # of texts with a hit, 8 bytes each; more are joined by shuffle
 
 
 def tokens(text: Column) -> Column:
@@ -127,8 +128,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = MAS
             .agg(F.sum("_counted").alias("seeds")))
     hits = materialize(hits, "seed_hits")
     words = items.select(F.col("item_id").alias("_item"), tokens(F.col("text")).alias("_want"))
-    # Written first, so the planner knows the size of the hits: small ones are
-    # broadcast to the texts, large ones joined by shuffle.
+    # Only the texts with a hit are tokenised again, and shuffled: the others
+    # fall to the ids of the hits, which are broadcast up to a counted number.
+    ids = materialize(hits.select(F.col("doc_id").alias("_hit")).distinct(), "hit_ids")
+    ids = F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+    texts = materialize(texts.join(ids, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_semi"), "hit_texts")
     near = hits.join(words, F.col("item_id").eqNullSafe(F.col("_item"))).drop("_item")
     near = near.withColumnRenamed("doc_id", "_doc")
     both = texts.select("doc_id", tokens(F.col("text")).alias("_have")).join(near, F.col("doc_id").eqNullSafe(F.col("_doc")))
