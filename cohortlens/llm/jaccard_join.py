@@ -21,8 +21,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from cohortlens.llm.common import hash_words, materialize, mix64, partitions_for, text_of, text_slices, words_of
+from cohortlens.llm.common import give_back, hash_words, lean, materialize, mix64, partitions_for, text_of, text_slices, words_of
 from cohortlens.llm.components import components
 
 LINK_TOKENS, LINK_PART = 3, 8  # two linked sets share 3 + n / 8 tokens of their prefixes
@@ -121,7 +122,7 @@ def _classes(words: int):
                 held, size = [], 0
         if held:
             yield frequent()
-    return run
+    return lean(run)
 
 
 def _prefixes(words: int, percent: int, hot):
@@ -151,7 +152,7 @@ def _prefixes(words: int, percent: int, hot):
             if toks:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(toks).view(np.int64)),
                                                   pa.array(np.repeat(np.array(cids, np.int64), lens))], names=["token", "cid"])
-    return run
+    return lean(run)
 
 
 PART_ROWS = 1_000_000  # rows of one token that are held before they leave in parts
@@ -167,9 +168,10 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def out(t, c):
         starts = np.flatnonzero(np.append(True, t[1:] != t[:-1])) if len(t) else np.zeros(0, np.int64)
         n = np.repeat(np.diff(np.append(starts, len(t))), np.diff(np.append(starts, len(t))))
-        m = n > 1
         if begun is not None:
-            m |= t == begun
+            n[t == begun] = PART_ROWS
+        n = np.minimum(n, PART_ROWS)
+        m = n > 1
         return pa.RecordBatch.from_arrays([pa.array(t[m]), pa.array(c[m]), pa.array(n[m].astype(np.int64))], names=["token", "cid", "df"])
 
     for b in batches:
@@ -221,7 +223,16 @@ def _sets(words: int, percent: int, size: int, wanted):
                     cids.append(c)
                     blobs.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.array(blobs, pa.binary())], names=["cid", "tokens"])
-    return run
+    return lean(run)
+
+
+def _all_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(token, cid) of all tokens of the sets."""
+    for b in batches:
+        for part in (b.slice(i, 1024) for i in range(0, b.num_rows, 1024)):
+            toks = [np.frombuffer(x, np.int64) for x in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(toks)), part.column(0).take(
+                pa.array(np.repeat(np.arange(len(toks)), [len(t) for t in toks])))], names=["token", "cid"])
 
 
 def overlaps(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
@@ -308,7 +319,7 @@ def jaccard_links(docs: DataFrame, words: int = 4, percent: int = 85) -> tuple[D
         F.min(F.xxhash64("token")).alias("key2"))
     sizes = classes.where(F.col("cid").isNotNull()).groupBy("cid").agg(F.max("n_shingles").alias("n"))
     stats = stats.join(sizes, "cid").withColumn("need", needed(F.col("n"), percent))
-    cand = materialize(stats.where(F.col("k") >= F.col("need")).drop("k", "n"), "jj_candidates")
+    cand = materialize(stats.where(F.col("k") >= F.col("need")).drop("k"), "jj_candidates")
 
     size = min(FILTER_BYTES // SEGMENTS, max(1 << 10, 2 * cand.count() // SEGMENTS))
     bitmap = bytearray(SEGMENTS * size)
@@ -341,17 +352,35 @@ def jaccard_links(docs: DataFrame, words: int = 4, percent: int = 85) -> tuple[D
     # one group have been compared.
     comp = components(edges).toDF("cid", "comp")
     comp = comp.join(comp.groupBy("comp").agg(F.count(F.lit(1)).alias("sz")), "comp")
-    m = (shared.join(cand.select("cid", "need"), "cid").join(home, "cid", "left").join(comp, "cid", "left")
+    # Among the candidates the order of tokens is made exact: by how many of
+    # them hold a token. A passage in many of them comes last, and of a set
+    # that shares nothing else it is not in the prefix.
+    own = (sets.mapInArrow(lean(_all_tokens), "token long, cid long").repartition(parts, "token")
+           .sortWithinPartitions("token", "cid").mapInArrow(lean(_shared), "token long, cid long, df long"))
+    own = own.join(cand.select("cid", "need", "n"), "cid")
+    by_set = Window.partitionBy("cid")
+    length = F.least(F.col("n"), F.col("n") - F.ceil(F.col("n") * percent / 100) + LINK_TOKENS + F.floor(F.col("n") / LINK_PART))
+    # Tokens of one set only come first; what is left of the prefix goes to the shared ones.
+    own = (own.withColumn("c", F.count(F.lit(1)).over(by_set)).withColumn("r", F.row_number().over(by_set.orderBy("df", "token")))
+           .where(F.col("r") <= length - (F.col("n") - F.col("c"))).select("token", "cid", "need"))
+    m = (own.join(home, "cid", "left").join(comp, "cid", "left")
          .select("token", "cid", "need", F.coalesce("grp", "cid").alias("grp"), F.coalesce("comp", "cid").alias("comp"),
                  F.coalesce("sz", F.lit(1)).alias("sz")))
     m = materialize(m, "jj_matrix")
     several = m.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
     m = materialize(m.join(several, "token"), "jj_matrix2")
-    enough = m.groupBy("cid").agg(F.count(F.lit(1)).alias("k"), F.first("need").alias("need")).where("k >= need").select("cid")
-    m = materialize(m.join(enough, "cid", "left_semi"), "jj_matrix3")
-    matrix = m.groupBy("token", F.col("grp").alias("g")).agg(F.max(F.struct("sz", "comp")).alias("top"))
+    enough = m.groupBy("cid").agg(F.count(F.lit(1)).alias("k"), F.first("need").alias("need")).where("k >= need").select("cid", "k")
+    m = materialize(m.join(enough, "cid"), "jj_matrix3")
+    matrix = materialize(m.groupBy("token", F.col("grp").alias("g")).agg(F.max(F.struct("sz", "comp")).alias("top")), "jj_groups")
+    # A group that shares ``need`` of a set's k tokens has one of its k - need + 1
+    # rarest: only these look for groups, the rest is counted for those found.
+    spread = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("groups"))
+    m = m.join(spread, "token").withColumn("r", F.row_number().over(by_set.orderBy("groups", "token")))
+    m = materialize(m, "jj_ranked")
     larger = (F.col("top.sz") > F.col("sz")) | ((F.col("top.sz") == F.col("sz")) & (F.col("top.comp") > F.col("comp")))
-    opened = (m.join(matrix, "token").where((F.col("g") != F.col("grp")) & larger)
+    found = (m.where((F.col("groups") > 1) & (F.col("r") <= F.col("k") - F.col("need") + 1)).join(matrix, "token")
+             .where((F.col("g") != F.col("grp")) & larger).select("cid", "g", "need").distinct())
+    opened = (found.join(m.select("cid", "token", "sz", "comp"), "cid").join(matrix, ["token", "g"]).where(larger)
               .groupBy("cid", "g").agg(F.count(F.lit(1)).alias("k"), F.first("need").alias("need"))
               .where(F.col("k") >= F.col("need")).select("cid", "g"))
     opened = materialize(opened, "jj_opened")
@@ -392,7 +421,7 @@ def _attach_class(names: list[str], words: int):
             sets = shingle_sets(b.column(b.schema.get_field_index("_j_text")), words)
             cid = pa.array([class_id(s) if len(s) else None for s in sets], pa.int64())
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(names))], cid], names=[*names, "_j_cid"])
-    return run
+    return lean(run)
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
