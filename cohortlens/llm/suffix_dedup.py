@@ -26,11 +26,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import SLICE_BYTES, mix64, text_of, utf8_buffer
+from cohortlens.llm.common import SLICE_BYTES, give_back, lean, mix64, text_of, utf8_buffer
 
 LENGTH = 50
 GRAM = 26  # bytes of a key's k-gram
@@ -38,6 +39,7 @@ BUCKET_BYTES = 4 << 20  # of text for each bucket
 DOC_BUCKET_BYTES = 8 << 20
 FILTER_BYTES = 64 << 20  # all buckets' filters together, at most
 SEGMENT_BYTES = 32 << 10  # one bucket's filter, at most
+HELD_KEYS = 2_000_000  # keys that a task holds before it sends them
 HELD_PIECES = 150_000  # pieces that a task holds before it sends them
 BATCH_STRINGS = 1 << 15  # strings in a batch of the index
 NO_ID = (1 << 63) - 1  # a null doc_id: after all others
@@ -113,21 +115,13 @@ def _bucket(keys: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _send_keys(bits: int):
-    """Per partition and bucket: its distinct keys (32 bits beside the
-    bucket's), those of one document and those of several apart."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, row0 = [], 0
-        for b in batches:
-            for buf, starts, rows, _ in segments(b, 0):
-                k, _, _, t = runs_of(buf, starts)
-                if len(k):
-                    held.append((k, rows[t] + row0))
-            row0 += b.num_rows
-        if not held:
-            return
+    """Per stretch of a partition and bucket: its distinct keys (32 bits beside
+    the bucket's), those of one document and those of several apart. A key of
+    one long text may come from two stretches; that only makes it look shared."""
+    def pack(held: list) -> pa.RecordBatch:
         k = mix64(np.concatenate([h[0] for h in held]))
         r = np.concatenate([h[1] for h in held])
-        del held
+        held.clear()
         k >>= np.uint64(32 - bits)  # the bucket, then 32 bits
         order = np.argsort(k, kind="stable")
         k, r = k[order], r[order]
@@ -143,9 +137,24 @@ def _send_keys(bits: int):
             ids.append(i)
             one.append(low[s][~several[s]].tobytes())
             many.append(low[s][several[s]].tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(one, pa.binary()), pa.array(many, pa.binary())],
-                                         names=["bucket", "one", "many"])
-    return run
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(one, pa.binary()), pa.array(many, pa.binary())],
+                                          names=["bucket", "one", "many"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, row0 = [], 0, 0
+        for b in batches:
+            for buf, starts, rows, _ in segments(b, 0):
+                k, _, _, t = runs_of(buf, starts)
+                if len(k):
+                    held.append((k, rows[t] + row0))
+                    size += len(k)
+                if size > HELD_KEYS:
+                    yield pack(held)
+                    size = 0
+            row0 += b.num_rows
+        if held:
+            yield pack(held)
+    return lean(run)
 
 
 def _probe(low: np.ndarray, segment: int) -> tuple[np.ndarray, np.ndarray]:
@@ -180,23 +189,23 @@ def _pack(docs, keys, counts, firsts, data) -> bytes:
 
 
 def _pack_gone(rows: np.ndarray) -> bytes:
-    """(row key, start, length) stretches, neighbours of one text joined, by
-    columns and compressed."""
+    """(doc_id, row key, start, length) stretches, neighbours of one text
+    joined, by columns and compressed."""
     import zstandard
 
-    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
-    end = rows[:, 1] + rows[:, 2]
-    new = np.append(True, (rows[1:, 0] != rows[:-1, 0]) | (rows[1:, 1] > end[:-1]))
+    rows = rows[np.lexsort((rows[:, 2], rows[:, 0], rows[:, 1]))]
+    end = rows[:, 2] + rows[:, 3]
+    new = np.append(True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1) | (rows[1:, 2] > end[:-1]))
     at = np.flatnonzero(new)
-    start = rows[at, 1]
-    cols = np.concatenate([rows[at, 0], start, np.maximum.reduceat(end, at) - start])
+    start = rows[at, 2]
+    cols = np.concatenate([rows[at, 0], rows[at, 1], start, np.maximum.reduceat(end, at) - start])
     return zstandard.ZstdCompressor(level=1).compress(cols.tobytes())
 
 
 def _unpack_gone(blob: bytes) -> np.ndarray:
     import zstandard
 
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.int64).reshape(3, -1).T
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.int64).reshape(4, -1).T
 
 
 def _send_pieces(bits: int, segment: int, filters):
@@ -214,7 +223,7 @@ def _send_pieces(bits: int, segment: int, filters):
                 d0 = min(r[0] for r in rows)
                 mine = [(r[1], r[2]) for r in rows if r[0] == d0]
                 out.setdefault(bucket, []).append((d0, key, len(piece) - LENGTH + 1, mine, piece))
-                gone.extend((r[1], r[2], len(piece)) for r in rows if r[0] != d0)
+                gone.extend((*r, len(piece)) for r in rows if r[0] != d0)
             held.clear()
             ids, kinds, blobs = [], [], []
             for bucket, recs in out.items():
@@ -260,7 +269,7 @@ def _send_pieces(bits: int, segment: int, filters):
                     rows_held = 0
         if held:
             yield from flush()
-    return run
+    return lean(run)
 
 
 class LevelIndex:
@@ -306,8 +315,8 @@ class LevelIndex:
 def _match(doc_buckets: int):
     """One bucket: decide which strings of its pieces a smaller doc_id holds."""
     def emit(parts: list[np.ndarray]) -> pd.DataFrame:
-        rows = np.concatenate(parts) if parts else np.zeros((0, 3), np.int64)
-        b = np.mod(rows[:, 0], doc_buckets)
+        rows = np.concatenate(parts) if parts else np.zeros((0, 4), np.int64)
+        b = np.mod(rows[:, 1], doc_buckets)
         order = np.argsort(b, kind="stable")
         rows, b = rows[order], b[order]
         edges = np.flatnonzero(np.append(True, b[1:] != b[:-1])) if len(b) else np.zeros(0, np.int64)
@@ -345,7 +354,7 @@ def _match(doc_buckets: int):
                 if d == d0:
                     mine.extend(where)
                 elif where:
-                    gone.append(np.array([(r, p, len(piece)) for r, p in where], np.int64))
+                    gone.append(np.array([(d, r, p, len(piece)) for r, p in where], np.int64))
             kept.append((d0, k, piece, mine))
             by_key[k] = by_key.get(k, 0) + 1
         # A key with one piece only has no other place where its strings are.
@@ -373,11 +382,13 @@ def _match(doc_buckets: int):
             out = []
             for a, e in zip(begin[live].tolist(), stop[live].tolist()):
                 w = which[a]
-                out.extend((r, p + int(local[a]), e - a + LENGTH - 1) for r, p in part[w][3])
+                out.extend((part[w][0], r, p + int(local[a]), e - a + LENGTH - 1) for r, p in part[w][3])
             if out:
                 gone.append(np.array(out, np.int64))
             i = j
-        return emit(gone)
+        out = emit(gone)
+        give_back()
+        return out
     return run
 
 
@@ -389,29 +400,38 @@ def _apply(key: tuple, docs: pa.Table, gone: pa.Table) -> pa.Table:
         return _RESULT.empty_table()
     text = docs.column("text").combine_chunks().cast(pa.large_binary())
     buf, off = utf8_buffer(text)
-    rows = np.concatenate([np.zeros((0, 3), np.int64), *[_unpack_gone(x) for x in gone.column("blob").to_pylist()]])
-    rk = docs.column("row_key").to_numpy()
+    gone = np.concatenate([np.zeros((0, 4), np.int64), *[_unpack_gone(x) for x in gone.column("blob").to_pylist()]])
+    rk, ids = docs.column("row_key").to_numpy(), pc.fill_null(docs.column("doc_id"), NO_ID).to_numpy()
     order = np.argsort(rk, kind="stable")
-    lo, hi = np.searchsorted(rk[order], rows[:, 0], "left"), np.searchsorted(rk[order], rows[:, 0], "right")
-    cover = np.zeros(len(buf) + 1, np.int64)
-    for k in range(int((hi - lo).max(initial=0))):  # rows with one key have one text; mostly a single one
-        live = lo + k < hi
-        start = off[order[lo[live] + k]] + rows[live, 1]
-        np.add.at(cover, start, 1)
-        np.add.at(cover, start + rows[live, 2], -1)
-    out = np.cumsum(cover[:-1]) > 0
-    total = np.concatenate([[0], np.cumsum(out)])
-    removed = total[off[1:]] - total[off[:-1]]
-    begin = out.copy()
-    begin[1:] &= ~out[:-1]
-    first = off[:-1][off[:-1] < off[1:]]
-    begin[first] = out[first]
-    spans = np.concatenate([[0], np.cumsum(begin)])
+    lo, hi = np.searchsorted(rk[order], gone[:, 1], "left"), np.searchsorted(rk[order], gone[:, 1], "right")
+    parts = [np.zeros((0, 3), np.int64)]
+    for k in range(int((hi - lo).max(initial=0))):  # repeated rows share a key; mostly a single one
+        live = np.flatnonzero(lo + k < hi)
+        row = order[lo[live] + k]
+        same = ids[row] == gone[live, 0]  # a key is a hash: the doc_id must agree too
+        live, row = live[same], row[same]
+        parts.append(np.stack([row, off[row] + gone[live, 2], off[row] + gone[live, 2] + gone[live, 3]], axis=1))
+    cut = np.concatenate(parts)
+    cut = cut[np.lexsort((cut[:, 1], cut[:, 0]))]  # by text, then start: rows lie one after another in buf
+    if len(cut):
+        reach = np.maximum.accumulate(cut[:, 2])
+        new = np.append(True, (cut[1:, 0] != cut[:-1, 0]) | (cut[1:, 1] > reach[:-1]))
+        at = np.flatnonzero(new)
+        cut = np.stack([cut[at, 0], cut[at, 1], reach[np.append(at[1:], len(cut)) - 1]], axis=1)
+    removed = np.zeros(n, np.int64)
+    np.add.at(removed, cut[:, 0], cut[:, 2] - cut[:, 1])
     size = off[1:] - off[:-1]
     koff = np.concatenate([[0], np.cumsum(size - removed)]).astype(np.int64)
-    kept = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(koff.tobytes()), pa.py_buffer(buf[~out].tobytes())])
-    return pa.table([docs.column("doc_id"), pa.array(size), pa.array(removed), pa.array(spans[off[1:]] - spans[off[:-1]]),
-                     kept.cast(pa.binary())], schema=_RESULT)
+    data, edge, left = buf.data, 0, []  # what lies between the stretches
+    for a, e in zip(cut[:, 1].tolist(), cut[:, 2].tolist()):
+        left.append(data[edge:a])
+        edge = e
+    left.append(data[edge:])
+    kept = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(koff.tobytes()), pa.py_buffer(b"".join(left))])
+    out = pa.table([docs.column("doc_id"), pa.array(size), pa.array(removed), pa.array(np.bincount(cut[:, 0], minlength=n)),
+                    kept.cast(pa.binary())], schema=_RESULT)
+    give_back()
+    return out
 
 
 _RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
