@@ -22,7 +22,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 20
 
 __all__ = ["WORD", "SLICE_BYTES", "documents", "text_of", "materialize", "text_slices", "words_of", "mix64",
-           "hash_words", "utf8_buffer", "partitions_for"]
+           "hash_words", "utf8_buffer", "partitions_for", "give_back", "lean"]
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -78,6 +78,28 @@ def words_of(arr: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return flat.filter(full), row[keep]
 
 
+def give_back() -> None:
+    """Return to the system what this worker holds and does not use. Workers
+    are reused by later stages, and freed arrays would otherwise stay with
+    them until the executor's memory is full."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "mallopt"):  # glibc: large arrays always by mmap, so that freeing them frees memory
+        libc.mallopt(-3, 1 << 18)
+        libc.malloc_trim(0)
+
+
+def lean(run):
+    """The map function ``run``, giving memory back before and after its partition."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
+        yield from run(batches)
+        give_back()
+    return wrapped
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (multiply and xor-shift)."""
     with np.errstate(over="ignore"):

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import text_of, text_slices
+from cohortlens.llm.common import give_back, lean, text_of, text_slices
 
 LENGTH = 2048
 PAD_ID = 50_256  # free in the vocabulary; never inside a segment
@@ -60,7 +60,7 @@ def _parts(ranks: str, pattern: str, length: int):
                                                                         pa.py_buffer(ids.astype("<u2").tobytes())])
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), pa.array(part.astype(np.int32)), blobs.cast(pa.binary())],
                                              names=["doc_id", "part", "ids"])
-    return run
+    return lean(run)
 
 
 class CapacityTree:
@@ -123,6 +123,7 @@ def _pack(length: int):
             pos = np.concatenate([*[np.arange(x, dtype="<u2") for x in n], np.zeros(length - total, "<u2")])
             rows.append((key[0], k, total, [None if pd.isna(docs[i]) else int(docs[i]) for i in members],
                          [parts[i] for i in members], [0, *np.cumsum(n).tolist()], ids, pos.tobytes()))
+        give_back()
         return pd.DataFrame(rows, columns=["group", "pack", "n_tokens", "doc_ids", "parts", "cu_seqlens", "input_ids", "position_ids"])
     return run
 

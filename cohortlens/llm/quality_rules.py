@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlens.llm.common import text_of, text_slices, utf8_buffer, words_of
+from cohortlens.llm.common import lean, text_of, text_slices, utf8_buffer, words_of
 from cohortlens.llm.weak_labels import attach_posterior, fit, pattern_counts, vote
 
 MIN_WORDS = 50
@@ -88,7 +88,7 @@ def _attach(names: list[str]):
             s = text_stats(b.column(b.schema.get_field_index("_q_text")))
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(names))], *[pa.array(s[c]) for c in STATS]],
                                              names=[*names, *[f"_q_{c}" for c in STATS]])
-    return run
+    return lean(run)
 
 
 def attach_stats(docs: DataFrame) -> DataFrame:
