@@ -23,29 +23,40 @@ from cohortlens.llm.quality_rules import apply_quality_rules
 from cohortlens.session import checkpoint_dir
 
 
+# Texts go to Python workers in batches of at most so many bytes. Batches are
+# held by the executor's buffers and by the workers, which later stages reuse,
+# so their size is what a stage leaves behind; results do not depend on it.
+BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
+    spark.conf.set(*BATCH)
     return apply_quality_rules(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar documents (five words, similarity 0.8 or more)
     the one with the smallest doc_id stays."""
+    spark.conf.set(*BATCH)
     return keep_one(docs, words=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark passages go."""
+    spark.conf.set(*BATCH)
     return remove_leaks(docs, documents(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are repeated or left out so that the sources meet their targets."""
+    spark.conf.set(*BATCH)
     return apply_mix(docs)
 
 
 def token_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of the mix, packed into sequences."""
+    spark.conf.set(*BATCH)
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
