@@ -16,24 +16,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlens.llm.common import text_of, text_slices, utf8_buffer, words_of
+from cohortlens.llm.common import lean, text_of, text_slices, utf8_buffer, words_of
+from cohortlens.llm.quality_rules import STATS, text_stats
 from cohortlens.llm.weak_labels import attach_posterior, fit, pattern_counts, vote
 
 DIMENSIONS = 1 << 16
 SAMPLE_ROWS = 6000  # documents that train the scorer, at most; those of the smallest hashes
 STEPS = 150
-TRUST = 1.0  # in the labellers, see weak_labels.fit
-COUNTS = ("words", "distinct", "repeats", "symbols", "capitals", "exclaims")
 _REPEAT, _NEW, _FLAT = DIMENSIONS, DIMENSIONS + 1, DIMENSIONS + 2  # beside the trigrams
 SIZE = DIMENSIONS + 3
 
 
-def _table(chars: bytes) -> np.ndarray:
-    t = np.zeros(256, bool)
-    t[list(chars)] = True
-    return t
-
-
 def _grams(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashed byte trigrams of the texts (letters as they are), and their rows;
     trigrams across two texts are left out."""
@@ -47,15 +40,15 @@ def _grams(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (hashed % DIMENSIONS)[same].astype(np.int64), row[:-2][same]
 
 
-def _same_word(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word ids, row of each, whether it equals the word two or one before)."""
+def _same_word(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(row of each word, whether it equals the word two or one before)."""
     words, row = words_of(texts)
     ids = words.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
     rep = np.zeros(len(ids), bool)
     for k in (1, 2):
         if len(ids) > k:
             rep[k:] |= (ids[k:] == ids[:-k]) & (row[k:] == row[:-k])
-    return ids, row, rep
+    return row, rep
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -63,7 +56,7 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(texts)
     buf, off = utf8_buffer(texts)
     gram, grow = _grams(buf, off)
-    _, wrow, rep = _same_word(texts)
+    wrow, rep = _same_word(texts)
     key, c = np.unique(grow * SIZE + gram, return_counts=True)
     row, feat = key // SIZE, key % SIZE
     val = c / np.maximum(1, np.bincount(grow, minlength=n))[row]
@@ -81,7 +74,7 @@ def scores(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
     buf, off = utf8_buffer(texts)
     gram, grow = _grams(buf, off)
     total = np.bincount(grow, weights=weights[gram], minlength=n) / np.maximum(1, np.bincount(grow, minlength=n))
-    _, wrow, rep = _same_word(texts)
+    wrow, rep = _same_word(texts)
     share = np.bincount(wrow, weights=rep, minlength=n) / np.maximum(1, np.bincount(wrow, minlength=n))
     return total + share * weights[_REPEAT] + (1 - share) * weights[_NEW] + weights[_FLAT]
 
@@ -105,40 +98,36 @@ def train(rows: np.ndarray, feats: np.ndarray, vals: np.ndarray, target: np.ndar
 
 def _attach_counts(names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [_table(b"#*$%&|<>^~"), _table(bytes(range(65, 91))), _table(b"!")]
         for b in text_slices(batches, "_c_text"):
-            t = b.column(b.schema.get_field_index("_c_text"))
-            n = len(t)
-            buf, off = utf8_buffer(t)
-            ids, row, rep = _same_word(t)
-            words = np.bincount(row, minlength=n)
-            order = np.unique(row * (int(ids.max(initial=0)) + 1) + ids) // (int(ids.max(initial=0)) + 1)
-            cols = [words, np.bincount(order, minlength=n), np.bincount(row, weights=rep, minlength=n),
-                    *[np.diff(np.searchsorted(np.flatnonzero(x[buf]), off)) for x in tables]]
-            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(names))], *[pa.array(c.astype(np.int64)) for c in cols]],
-                                             names=[*names, *[f"_c_{c}" for c in COUNTS]])
-    return run
+            c = text_stats(b.column(b.schema.get_field_index("_c_text")))
+            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(names))], *[pa.array(c[x]) for x in STATS]],
+                                             names=[*names, *[f"_c_{x}" for x in STATS]])
+    return lean(run)
 
 
 def attach_counts(docs: DataFrame) -> DataFrame:
-    """``docs`` with the labellers' COUNTS as ``_c_<name>``; a map, no shuffle."""
-    schema = T.StructType([*docs.schema.fields, *[T.StructField(f"_c_{c}", T.LongType()) for c in COUNTS]])
+    """``docs`` with the labellers' STATS as ``_c_<name>``; a map, no shuffle."""
+    schema = T.StructType([*docs.schema.fields, *[T.StructField(f"_c_{c}", T.LongType()) for c in STATS]])
     return docs.withColumn("_c_text", text_of()).mapInArrow(_attach_counts(docs.columns), schema)
 
 
 def labellers() -> list[Column]:
     """Overlapping votes: good or bad outside a band, abstention inside and in
-    texts of under 20 words, where shares say little."""
-    words = F.when(F.col("_c_words") >= 20, F.col("_c_words").cast("double"))
+    texts of under 20 words, where shares say little. The bands are strict;
+    what a lone bad vote is worth, the fit decides."""
+    n = F.col("_c_n_words")
+    words = F.when(n >= 20, n.cast("double"))
+    chars = F.when(n >= 20, F.col("_c_word_chars").cast("double"))
     band = lambda x, good, bad: vote(x > bad, x < good)
     share = lambda c: F.col(f"_c_{c}") / words
     return [
-        band(share("symbols"), 0.05, 0.25),
-        band(share("symbols") + share("exclaims"), 0.1, 0.5),
-        band(share("exclaims"), 0.1, 0.4),
-        band(share("capitals"), 0.8, 2.0),
-        band(share("repeats"), 0.1, 0.3),
-        vote((words >= 60) & (words < 500) & (share("distinct") < 0.25), (words < 500) & (share("distinct") > 0.4)),
+        band(share("n_symbols"), 0.05, 0.25),
+        band(F.col("_c_n_marks") / chars, 0.1, 0.2),
+        band(share("n_upper"), 0.8, 2.0),
+        band(share("n_near_repeats"), 0.05, 0.15),
+        band(share("n_top_word"), 0.12, 0.2),
+        band(share("n_repeat_words"), 0.05, 0.1),
+        vote((n < 500) & (share("n_distinct") < 0.3), (n < 500) & (share("n_distinct") > 0.5)),
     ]
 
 
@@ -149,7 +138,7 @@ def _score(names: list[str], weights):
             s = scores(b.column(b.schema.get_field_index("_c_text")), w)
             p = 1 / (1 + np.exp(-np.clip(s, -30, 30)))
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(names))], pa.array(p)], names=[*names, "score"])
-    return run
+    return lean(run)
 
 
 def fit_scorer(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, dict[int, float]]:
@@ -158,7 +147,7 @@ def fit_scorer(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[np.ndar
     reach the driver, as vote posteriors and hashed features."""
     votes = labellers()
     counts = pattern_counts(attach_counts(docs.select("text")), votes)
-    post, _ = fit(counts, len(votes), trust=TRUST)
+    post, _ = fit(counts, len(votes))
     # A hash bound lets a little more than the sample through, so that few texts
     # meet in the task that picks the smallest hashes.
     share = min(1.0, 1.3 * (sample_rows + 100) / max(1, sum(counts.values())))

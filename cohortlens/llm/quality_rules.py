@@ -20,9 +20,10 @@ from cohortlens.llm.common import lean, text_of, text_slices, utf8_buffer, words
 from cohortlens.llm.weak_labels import attach_posterior, fit, pattern_counts, vote
 
 MIN_WORDS = 50
-TRUST = 1.0  # in the rules, see weak_labels.fit
 SYMBOLS = b"#*$%&|<>"
-STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_exclaim", "n_same_as_last")
+MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())  # ASCII punctuation and symbols
+STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_marks", "n_distinct",
+         "n_top_word", "n_near_repeats", "n_letterless")
 
 
 def _count_bytes(buf: np.ndarray, off: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -51,12 +52,14 @@ def repeated_window_words(ids: np.ndarray, row: np.ndarray, distinct: int) -> np
 
 
 def text_stats(texts: pa.Array) -> dict[str, np.ndarray]:
-    """The STATS of each text of a null-free string array."""
+    """The STATS of each text of a null-free string array. n_top_word: how
+    often its most frequent word stands in it; n_near_repeats: words equal to
+    one of the two before; n_letterless: words without any letter."""
     n = len(texts)
     per = lambda row, w=None: np.bincount(row, weights=w, minlength=n).astype(np.int64)
     buf, off = utf8_buffer(texts)
     tables = {}
-    for name, chars in (("n_symbols", SYMBOLS), ("n_exclaim", b"!"), ("n_upper", bytes(range(65, 91)))):
+    for name, chars in (("n_symbols", SYMBOLS), ("n_marks", MARKS), ("n_upper", bytes(range(65, 91)))):
         t = np.zeros(256, bool)
         t[list(chars)] = True
         tables[name] = _count_bytes(buf, off, t)
@@ -64,9 +67,14 @@ def text_stats(texts: pa.Array) -> dict[str, np.ndarray]:
     d = words.dictionary_encode()
     ids, k = d.indices.to_numpy(zero_copy_only=False), max(1, len(d.dictionary))
     chars = pc.utf8_length(d.dictionary).to_numpy(zero_copy_only=False) if len(words) else np.zeros(0, np.int64)
-    same = np.zeros(len(ids), bool)
-    if len(ids):
-        same[1:] = (ids[1:] == ids[:-1]) & (row[1:] == row[:-1])
+    letterless = pc.invert(pc.match_substring_regex(d.dictionary, r"\pL")).to_numpy(zero_copy_only=False) if len(words) else np.zeros(0, bool)
+    near = np.zeros(len(ids), bool)
+    for gap in (1, 2):
+        if len(ids) > gap:
+            near[gap:] |= (ids[gap:] == ids[:-gap]) & (row[gap:] == row[:-gap])
+    own, times = np.unique(row.astype(np.int64) * k + ids, return_counts=True)
+    top = np.zeros(n, np.int64)
+    np.maximum.at(top, own // k, times)
     lines = pc.split_pattern(texts, "\n")
     flat, lrow = lines.flatten(), pc.list_parent_indices(lines).to_numpy(zero_copy_only=False)
     dup = np.zeros(n, np.int64)
@@ -79,7 +87,8 @@ def text_stats(texts: pa.Array) -> dict[str, np.ndarray]:
         once = np.unique(lr * len(dl.dictionary) + li)
         dup = per(lr) - per(once // max(1, len(dl.dictionary)))
     return {"n_words": per(row), "word_chars": per(row, chars[ids] if len(ids) else None), "n_dup_lines": dup,
-            "n_repeat_words": per(row, repeated_window_words(ids, row, k)), "n_same_as_last": per(row, same), **tables}
+            "n_repeat_words": per(row, repeated_window_words(ids, row, k)), "n_distinct": per(own // k), "n_top_word": top, "n_near_repeats": per(row, near),
+            "n_letterless": per(row, letterless[ids] if len(ids) else None), **tables}
 
 
 def _attach(names: list[str]):
@@ -100,19 +109,25 @@ def attach_stats(docs: DataFrame) -> DataFrame:
 
 def rules() -> list:
     """The votes over the columns of STATS. Between the two bounds, or without
-    words, a rule abstains."""
+    words, a rule abstains. The rules overlap: junk of symbols, tables and
+    stammered words is seen by several of them, each in its own way, so that
+    agreement tells which to believe. The two on repetition are strict on
+    purpose; on texts that all others call good they are outvoted."""
     words = F.when(F.col("_q_n_words") > 0, F.col("_q_n_words").cast("double"))
     chars = F.when(F.col("_q_word_chars") > 0, F.col("_q_word_chars").cast("double"))
     mean = chars / words
     band = lambda x, good, bad: vote(x > bad, x < good)
+    share = lambda c: F.col(f"_q_{c}") / words
     return [
-        vote((mean < 2.5) | (mean > 14), (mean > 3.5) & (mean < 10)),
-        band(F.col("_q_n_symbols") / words, 0.05, 0.2),
-        band(F.col("_q_n_dup_lines") * 20 / words, 0.2, 1.0),
-        band(F.col("_q_n_repeat_words") / words, 0.1, 0.3),
+        vote((mean < 3) | (mean > 7), (mean > 4) & (mean < 6.5)),
+        band(share("n_symbols"), 0.05, 0.2),
+        band(F.col("_q_n_marks") / chars, 0.1, 0.2),
+        band(share("n_top_word"), 0.12, 0.25),
+        band(share("n_near_repeats"), 0.05, 0.2),
+        band(share("n_letterless"), 0.1, 0.25),
+        band(F.col("_q_n_dup_lines") * 20 / words, 0.1, 0.2),
+        band(share("n_repeat_words"), 0.05, 0.1),
         band(F.col("_q_n_upper") / chars, 0.2, 0.4),
-        band(F.col("_q_n_exclaim") / words, 0.1, 0.3),
-        band(F.col("_q_n_same_as_last") / words, 0.05, 0.2),
     ]
 
 
@@ -124,7 +139,7 @@ def judge(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     failed = (F.col("_q_n_words") < MIN_WORDS) | (100 * F.col("_q_n_repeat_words") > 50 * F.col("_q_n_words"))
     # Rows that the base rules reject anyway would otherwise be the whole bad class.
     counts = pattern_counts(attach_stats(docs.select("text")).where(~failed), rules())
-    post, _ = fit(counts, len(rules()), trust=TRUST)
+    post, _ = fit(counts, len(rules()))
     out = attach_posterior(attach_stats(docs), rules(), post, "_q_posterior").withColumn("_q_base_failed", failed)
     return out.withColumn("_q_kept", ~F.col("_q_base_failed") & (F.col("_q_posterior") >= threshold))
 

@@ -16,7 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ABSTAIN, BAD, GOOD = 0, 1, 2
-FALSE_ALARM = 0.002
+# Pseudo-votes (bad, good) and pseudo-rows of the prior: fixed numbers, so that
+# in any sizeable corpus the votes decide. Most rows are taken to be good, and
+# good rows to get a bad vote now and then.
+PRIOR_BAD, PRIOR_GOOD, PRIOR_ROWS = (1.0, 1.0), (1.0, 19.0), (1.0, 9.0)
 MAX_LABELLERS = 9  # 19 683 patterns at most
 
 
@@ -37,18 +40,16 @@ def digits(patterns: np.ndarray, m: int) -> np.ndarray:
     return np.stack([patterns // 3 ** (m - 1 - i) % 3 for i in range(m)], axis=1) if m else np.zeros((len(patterns), 0), int)
 
 
-def fit(counts: Mapping[int, int], m: int, iterations: int = 200, prior: float = 0.5, trust: float = 0.0) -> tuple[dict[int, float], np.ndarray]:
+def fit(counts: Mapping[int, int], m: int, iterations: int = 500) -> tuple[dict[int, float], np.ndarray]:
     """EM over pattern counts. Returns the posterior probability of good per
     pattern and the rates of bad votes [class (bad, good), labeller].
 
-    Starts from a soft majority in which one bad vote outweighs the good ones,
-    the way all-must-pass filters read votes; a labeller that would vote bad
+    Starts from a soft majority in which one bad vote outweighs the good ones;
+    what a bad vote is worth in the end is estimated: a labeller whose bad votes
+    the others do not share is outvoted by them. A labeller that would vote bad
     more often on good rows than on bad ones is held at equal odds, so the
-    classes cannot swap. ``trust`` is the weight, against the data's, of the
-    prior belief that good rows rarely get a bad vote (FALSE_ALARM): labellers
-    that look for different faults never agree, and without such a belief the
-    votes alone do not tell which side is right. Without rows the result is
-    empty."""
+    classes cannot swap. The priors (see above) only settle what few rows leave
+    open. Without rows the result is empty."""
     if not counts:
         return {}, np.full((2, m), 0.5)
     pats = np.array(sorted(counts), dtype=np.int64)
@@ -57,22 +58,19 @@ def fit(counts: Mapping[int, int], m: int, iterations: int = 200, prior: float =
     bad, good = (v == BAD).sum(1), (v == GOOD).sum(1)
     post = np.where(bad > 0, 0.1, np.where(good > 0, 0.95, 0.5))
     rate = np.full((2, m), 0.5)  # of bad among the votes, by class (bad, good) and labeller
-    votes_cast = n @ (v != ABSTAIN)
     for _ in range(iterations):
-        share = float(np.clip((n @ post + prior) / (n.sum() + 2 * prior), 1e-6, 1 - 1e-6))
-        for c, w in enumerate((n * (1 - post), n * post)):
-            rate[c] = (w @ (v == BAD) + prior) / (w @ (v != ABSTAIN) + 2 * prior)
-        believed = trust * votes_cast
-        rate[1] = ((n * post) @ (v == BAD) + prior + FALSE_ALARM * believed) / ((n * post) @ (v != ABSTAIN) + 2 * prior + believed)
+        share = (n @ post + PRIOR_ROWS[1]) / (n.sum() + sum(PRIOR_ROWS))
+        for c, (w, prior) in enumerate(((n * (1 - post), PRIOR_BAD), (n * post, PRIOR_GOOD))):
+            rate[c] = (w @ (v == BAD) + prior[0]) / (w @ (v != ABSTAIN) + sum(prior))
         swapped = rate[1] > rate[0]
         rate[:, swapped] = rate[:, swapped].mean(axis=0)
         log = [np.log(p) + (v == BAD) @ np.log(rate[c]) + (v == GOOD) @ np.log(1 - rate[c])
                for c, p in enumerate((1 - share, share))]
         new = 1 / (1 + np.exp(np.clip(log[0] - log[1], -500, 500)))
-        if np.abs(new - post).max() < 1e-9:
-            post = new
-            break
+        done = np.abs(new - post).max() < 1e-9
         post = new
+        if done:
+            break
     return dict(zip(pats.tolist(), post.tolist())), rate
 
 

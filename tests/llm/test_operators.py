@@ -43,10 +43,60 @@ def test_em_finds_the_bad_labeller():
     assert (got == truth).mean() > 0.95
 
 
+def test_em_is_a_maximum_of_the_posterior_likelihood():
+    """Against the likelihood written out row by row: no small step from the
+    fitted rates and share is better."""
+    rng = np.random.default_rng(7)
+    truth = rng.random(300) < 0.7
+    votes = np.where(rng.random((300, 3)) < [0.9, 0.8, 0.75], np.where(truth, 2, 1)[:, None], np.where(truth, 1, 2)[:, None])
+    votes[rng.random((300, 3)) < 0.2] = 0
+    pats = collections.Counter(int(r[0] * 9 + r[1] * 3 + r[2]) for r in votes)
+    post, rate = weak_labels.fit(pats, 3)
+    good = sum(n * post[p] for p, n in pats.items())
+    share = (good + weak_labels.PRIOR_ROWS[1]) / (300 + sum(weak_labels.PRIOR_ROWS))
+
+    def objective(share, rate):
+        out = weak_labels.PRIOR_ROWS[0] * np.log(1 - share) + weak_labels.PRIOR_ROWS[1] * np.log(share)
+        for c, prior in enumerate((weak_labels.PRIOR_BAD, weak_labels.PRIOR_GOOD)):
+            out += (prior[0] * np.log(rate[c]) + prior[1] * np.log(1 - rate[c])).sum()
+        for row in votes:
+            p = [1 - share, share]
+            for c in (0, 1):
+                for j, x in enumerate(row):
+                    p[c] *= 1 if x == 0 else rate[c][j] if x == 1 else 1 - rate[c][j]
+            out += np.log(p[0] + p[1])
+        return out
+
+    best = objective(share, rate)
+    for step in (0.003, 0.02):
+        for _ in range(60):
+            s, r = share + rng.normal(0, step), rate + rng.normal(0, step, rate.shape)
+            assert objective(np.clip(s, 1e-3, 1 - 1e-3), np.clip(r, 1e-3, 1 - 1e-3)) <= best + 1e-6
+
+
+def test_a_lone_bad_vote_is_outvoted_in_quality_rules(spark):
+    """A refrain makes one rule vote bad on every third text; the other rules
+    call these texts good. Tables and symbol junk are seen by several rules."""
+    rng = np.random.default_rng(3)
+    word = lambda: "".join(rng.choice(list("abcdefghilmnoprstu"), rng.integers(3, 8)))
+    rows = []
+    for i in range(150):
+        lines = [" ".join(word() for _ in range(12)) for _ in range(8)]
+        if i % 10 == 9:
+            lines = [" | ".join(x.split()) for x in lines] if i % 20 == 9 else [" ".join(w + "$$$" for w in x.split()) for x in lines]
+        elif i % 3 == 0:
+            lines += ["oh come", "oh come", "oh come"]
+        rows.append((i, "\n".join(lines)))
+    got = {r.doc_id: r for r in quality_rules(docs_df(spark, rows)).collect()}
+    assert all(got[i].n_dup_lines == 2 for i in range(150) if i % 3 == 0 and i % 10 != 9)
+    assert not any(r.base_failed for r in got.values())
+    assert {i for i, r in got.items() if r.kept} == {i for i in range(150) if i % 10 != 9}
+
+
 def test_quality_rules_counts_and_labels(spark):
     d = sample(spark, 1000)
     text, labels = texts_of(d), {r.doc_id: r.quality for r in spark.read.parquet(f"{SF_ORACLE}/labels.parquet").collect()}
-    right = seen = 0
+    right = seen = bad = kept_bad = 0
     for r in quality_rules(d).collect():
         t = text[r.doc_id]
         w = WORD.findall(t)
@@ -60,7 +110,13 @@ def test_quality_rules_counts_and_labels(spark):
         if r.doc_id in labels and not r.base_failed:
             seen += 1
             right += r.kept == bool(labels[r.doc_id])
-    assert right >= 0.97 * seen
+            bad += not labels[r.doc_id]
+            kept_bad += r.kept and not labels[r.doc_id]
+        assert r.n_distinct == len(set(w)) and r.n_top_word == max(collections.Counter(w).values(), default=0)
+        assert r.n_near_repeats == sum(w[k] in w[max(0, k - 2):k] for k in range(len(w)))
+        assert r.n_letterless == sum(not any(map(str.isalpha, x)) for x in w)
+        assert r.n_marks == len(re.findall(r"[!-/:-@\[-`{-~]", t)) and r.n_upper == len(re.findall("[A-Z]", t))
+    assert right >= 0.99 * seen and bad and kept_bad <= 0.1 * bad
 
 
 def test_classifier_held_out_accuracy(spark):
@@ -68,7 +124,7 @@ def test_classifier_held_out_accuracy(spark):
     got = [(r.kept, labels[r.doc_id]) for r in classify_quality(sample(spark, 1000), sample_rows=600).collect() if r.doc_id in labels]
     good = [k for k, q in got if q]
     bad = [k for k, q in got if not q]
-    assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.3 * len(bad)
+    assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.1 * len(bad)
 
 
 # --- op2 ------------------------------------------------------------------
