@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.plans import activity as act
-from cohortlens.plans import etl, intern, lms, maintain, mentor, risk
+from cohortlens.plans import etl, intern, lms, maintain, mentor, risk, rollup
 from cohortlens.sources.bindings import Gold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,7 @@ register("f05_activity_share_range", lambda g: act.activity_hours(g, ("intern_id
 register("f05_daily_hours_range", lambda g: act.daily_hours(g, RANGE))
 register("f05_weekly_hours_range", lambda g: act.weekly_hours(g, ("intern_id",), RANGE))
 register("c10_range_summary", lambda g: act.range_summary(g, RANGE))
+register("c10_range_rollup", lambda g: rollup.range_summary(rollup.session_rollup(g), RANGE))
 register("a07_weekly_hours_by_year", lambda g: act.weekly_hours(g, ("intern_id",), with_year=True))
 register("a19_cohort_activity_mean", act.cohort_activity_mean)
 register("b05_weekly_trend", act.weekly_trend_pivot)
@@ -61,6 +62,8 @@ register("b15_cohort_weekly_band", act.cohort_weekly_band)
 register("b27_top_activity_week", act.top_activity_last_week)
 register("b31_daily_activity_pivot", act.daily_activity_pivot)
 register("w02_streak_stats", act.streak_stats)
+register("w02_streaks_rollup", lambda g: rollup.streak_stats(rollup.session_rollup(g)))
+register("f05_streaks_range", lambda g: rollup.streak_stats(rollup.session_rollup(g), RANGE))
 register("r05_streak_calendar", act.streak_calendar)
 
 # --- LMS -------------------------------------------------------------------

@@ -96,9 +96,20 @@ def exact_sum(c) -> Column:
     1e-7, over a trillion rows per group) are added as integers on the fast
     aggregation path; only the two totals are joined as decimals. Null
     without a summable value; see ``unsummable`` for those left out."""
+    whole, part = sum_parts(c)
+    return join_parts(F.sum(whole), F.sum(part))
+
+
+def sum_parts(c) -> tuple[Column, Column]:
+    """Whole part and fraction (units of 1e-7) as integers, whose sums can be
+    stored and added further before ``join_parts``."""
     v = finite(c)
     whole = F.floor(v)
-    part = F.rint((v - whole) * float(10 ** SUM_DECIMALS)).cast("bigint")
-    units = (F.sum(whole.cast("bigint")).cast("decimal(20,0)") * F.lit(10 ** SUM_DECIMALS).cast("decimal(9,0)")
-             + F.sum(part).cast("decimal(20,0)"))
+    return whole.cast("bigint"), F.rint((v - whole) * float(10 ** SUM_DECIMALS)).cast("bigint")
+
+
+def join_parts(whole: Column, part: Column) -> Column:
+    """The double of two sums of ``sum_parts``."""
+    units = (whole.cast("decimal(20,0)") * F.lit(10 ** SUM_DECIMALS).cast("decimal(9,0)")
+             + part.cast("decimal(20,0)"))
     return (units.cast("decimal(31,0)") * F.lit("0.0000001").cast("decimal(7,7)")).cast("double")

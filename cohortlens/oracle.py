@@ -855,3 +855,6 @@ SQL["st1_daily_effort"] = SQL["a03_daily_outliers"]
 SQL["st1_weekly_effort"] = SQL["a07_weekly_hours_by_year"]
 SQL["b04_risk_after_changes"] = SQL["b04_dropout_risk"]
 SQL["u02_merge_indexed"] = SQL["u02_merge_new"]
+SQL["w02_streaks_rollup"] = SQL["w02_streak_stats"]
+SQL["f05_streaks_range"] = in_range(SQL["w02_streak_stats"])
+SQL["c10_range_rollup"] = SQL["c10_range_summary"]

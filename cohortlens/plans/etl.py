@@ -155,19 +155,47 @@ def star_schema(g: Gold, materialized: bool = False) -> Star:
     return Star(g, materialized)
 
 
-def star_schema_sequential(g: Gold) -> dict[str, DataFrame]:
-    """Integer surrogate keys from 1001 (interns) and 501 (courses)."""
-    lms = materialize(silver_lms(g.bronze_lms))
-    eod = silver_eod(g.bronze_eod)
-    names = lms.where(F.col("intern_name").isNotNull()).select("intern_name").distinct()
-    di = rank_rows(names, [F.asc("intern_name")], name="__r").select(
-        "intern_name", (F.col("__r") + 1000).alias("intern_id"))
-    dc = small_side(dim_course(lms, first_id=501, fmt=None), "dim_course")
-    fact_progress = null_safe_join(lms.join(di, "intern_name"), dc, ["course_name", "start_date", "end_date"]) \
-        .select("row_id", "intern_id", "course_id", "progress", "reviewed", "total_assg", "overall_status")
-    fact_effort = eod.join(di.withColumnRenamed("intern_name", "full_name"), "full_name") \
-        .select("row_id", "date", "intern_id", "activity", "hours")
-    return {"dim_intern": di, "dim_course": dc, "fact_progress": fact_progress, "fact_effort": fact_effort}
+class SequentialStar:
+    """Integer surrogate keys from 1001 (interns) and 501 (courses), one
+    lazy table per attribute: a table reads only what it is made of."""
+
+    def __init__(self, g: Gold):
+        self.g = g
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return getattr(self, name)
+
+    @cached_property
+    def silver_lms(self) -> DataFrame:
+        return silver_lms(self.g.bronze_lms)
+
+    @cached_property
+    def dim_intern(self) -> DataFrame:
+        names = self.silver_lms.where(F.col("intern_name").isNotNull()).select("intern_name").distinct()
+        return rank_rows(names, [F.asc("intern_name")], name="__r").select(
+            "intern_name", (F.col("__r") + 1000).alias("intern_id"))
+
+    @cached_property
+    def dim_course(self) -> DataFrame:
+        return dim_course(self.silver_lms, first_id=501, fmt=None)
+
+    @cached_property
+    def fact_progress(self) -> DataFrame:
+        # The sheet is read three times here, once for each key and once for the rows.
+        once = SequentialStar(self.g)
+        once.silver_lms = materialize(self.silver_lms, "silver_lms")
+        courses = small_side(once.dim_course, "dim_course")
+        return null_safe_join(once.silver_lms.join(once.dim_intern, "intern_name"), courses, ["course_name", "start_date", "end_date"]) \
+            .select("row_id", "intern_id", "course_id", "progress", "reviewed", "total_assg", "overall_status")
+
+    @cached_property
+    def fact_effort(self) -> DataFrame:
+        return silver_eod(self.g.bronze_eod).join(self.dim_intern.withColumnRenamed("intern_name", "full_name"), "full_name") \
+            .select("row_id", "date", "intern_id", "activity", "hours")
+
+
+def star_schema_sequential(g: Gold) -> SequentialStar:
+    return SequentialStar(g)
 
 
 def key_collisions(g: Gold) -> DataFrame:

@@ -64,9 +64,12 @@ def top_bottom_interns(g: Gold, n: int = TOP_N) -> DataFrame:
 def sample_rows(g: Gold, n: int = SAMPLE_ROWS, seed: int = SAMPLE_SEED) -> DataFrame:
     """A seeded random sample of n LMS rows. Sampling is the feature; the
     order key is a digest of the row id and the seed, so the sample does not
-    depend on partitioning."""
+    depend on partitioning. The rows are chosen before names are joined to them."""
     order = F.md5(F.concat_ws(":", F.col("lms_row_id").cast("string"), F.lit(str(seed))))
-    return lms_view(g).orderBy(order, "lms_row_id").limit(n)
+    chosen = materialize(g.fact_lms_light.orderBy(order, "lms_row_id").limit(n), "sample")
+    interns = g.dim_intern.join(F.broadcast(chosen), "intern_id", "left_semi")  # n rows
+    courses = g.dim_course.join(F.broadcast(chosen), "course_id", "left_semi")
+    return chosen.join(interns, "intern_id", "left").join(courses, "course_id", "left")
 
 
 def summary_json(g: Gold) -> DataFrame:
