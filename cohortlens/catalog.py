@@ -169,6 +169,7 @@ from cohortlens.plans import reload  # noqa: E402
 register("w05_latest_lms_rows", reload.latest_lms_rows)
 register("b43_dim_mentor_from_facts", reload.dim_mentor_from_facts)
 register("b43_outlier_count", reload.outlier_count)
+register("s09_clustered_range", lambda g: reload.clustered_daily_hours(g, RANGE))
 register("u03_unknown_statuses", reload.unknown_statuses)
 register("u04_name_union", reload.name_union)
 register("f09_signed_in_mentor", lambda g: reload.signed_in_mentor_dim(g, g.dim_mentor.agg(F.min("mentor_name")).scalar()))

@@ -858,3 +858,4 @@ SQL["u02_merge_indexed"] = SQL["u02_merge_new"]
 SQL["w02_streaks_rollup"] = SQL["w02_streak_stats"]
 SQL["f05_streaks_range"] = in_range(SQL["w02_streak_stats"])
 SQL["c10_range_rollup"] = SQL["c10_range_summary"]
+SQL["s09_clustered_range"] = SQL["f05_daily_hours_range"]

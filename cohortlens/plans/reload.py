@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.text import clean_name, full_name, mentor_list
 from cohortlens.operators.relational import keep_last, scoped_view
-from cohortlens.plans.common import STATUS_VALUES, hours_sum
+from cohortlens.plans.activity import daily_hours
+from cohortlens.plans.common import STATUS_VALUES, Params, hours_sum
+from cohortlens.session import checkpoint_dir, delete_on_exit
 from cohortlens.sources.bindings import Gold
+from cohortlens.sources.clustered import read_clustered, write_clustered
 
 
 def latest_lms_rows(g: Gold) -> DataFrame:
@@ -60,3 +66,13 @@ def persist_gold(g: Gold) -> Gold:
 def release_gold(g: Gold) -> None:
     for name in ("fact_lms", "fact_activity", "dim_intern", "dim_course", "bridge"):
         getattr(g, name).unpersist()
+
+
+def clustered_daily_hours(g: Gold, p: Params) -> DataFrame:
+    """The activity fact written clustered by intern and date, and the
+    daily hours of a date range out of the files that the range needs."""
+    path = os.path.join(checkpoint_dir(g.spark), "tables", f"clustered-{uuid.uuid4().hex}")
+    write_clustered(g.fact_activity, path, files=int(g.spark.conf.get("spark.sql.shuffle.partitions")))
+    delete_on_exit(g.spark.sparkContext, path)
+    rows = read_clustered(g.spark, path, dates=(p.start, p.end))
+    return daily_hours(Gold.from_frames(g.spark, fact_activity=rows))
