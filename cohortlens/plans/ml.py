@@ -1,23 +1,21 @@
 """Machine learning on the per-intern feature table.
 
 Features are one row per intern, built with aggregates (M01). Models are
-Spark ML estimators trained on executors; the feature table is persisted
-while several fits read it and released afterwards.
+trained on executors (M02 by ``operators.kmeans``, M03 and M04 by Spark ML)
+over the feature table, written once.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.numeric import exact_sum, round_half_even
+from cohortlens.operators import kmeans
 from cohortlens.operators.materialize import materialize
 from cohortlens.operators.ranking import exact_median
 from cohortlens.plans.activity import total_hours
@@ -75,42 +73,29 @@ def _assembled(df: DataFrame, cols: list[str], name: str = "features") -> DataFr
     return VectorAssembler(inputCols=cols, outputCol=name, handleInvalid="keep").transform(df)
 
 
-def clusters(g: Gold, k: int = N_CLUSTERS, n_init: int = N_INIT, max_iter: int = KMEANS_MAX_ITER,
-             parallel: int = 4) -> DataFrame:
-    """Personas from k-means on standardised features. Spark's KMeans has
-    no n_init, so ``n_init`` seeds are fitted, each for ``max_iter`` passes over
-    the feature table at most, ``parallel`` at a time, and the lowest training
-    cost kept. Persona rule on cluster means: > 75 progress High Performers,
-    < 45 Needs Support, hours above the mean of cluster means Steady
-    Workers, else Efficient Learners. Empty when there are <= k interns."""
+def clusters(g: Gold, k: int = N_CLUSTERS, n_init: int = N_INIT, max_iter: int = KMEANS_MAX_ITER) -> DataFrame:
+    """Personas from k-means on standardised features: ``n_init`` restarts,
+    each to convergence or ``max_iter`` rounds, served together by one scan of
+    the feature table a round; the lowest cost is kept. Persona rule on cluster
+    means: > 75 progress High Performers, < 45 Needs Support, hours above the
+    mean of cluster means Steady Workers, else Efficient Learners. Empty when
+    there are <= k interns."""
     f = training_table(g)
     if f.count() <= k:
         return f.limit(0).withColumn("cluster", F.lit(0)).withColumn("persona", F.lit(""))
-    x = _assembled(f, CLUSTER_FEATURES, "raw")
-    scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(x)
-    xs = scaler.transform(x).persist()
-    try:
-        # The restarts are independent Spark jobs: submit a few at a time.
-        def fit(i):
-            m = KMeans(k=k, seed=SEED + i, maxIter=max_iter, tol=KMEANS_TOL,
-                       featuresCol="features", predictionCol="cluster").fit(xs)
-            return m.summary.trainingCost, i, m
-        with ThreadPoolExecutor(max_workers=min(n_init, parallel)) as pool:
-            fits = list(pool.map(fit, range(n_init)))
-        best = min(fits, key=lambda t: (t[0], t[1]))[2]
-        # Written to the shared checkpoint folder: later stages do not
-        # re-run the fits if an executor is lost.
-        pred = materialize(best.transform(xs).select(*f.columns, "cluster"), "clusters")
-        means = pred.groupBy("cluster").agg(F.avg("progress").alias("cp"), F.avg("hours").alias("ch"))
-        mean_of_means = means.agg(F.avg("ch")).scalar()
-        persona = (F.when(F.col("cp") > PERSONA_HIGH_MIN, PERSONA_HIGH)
-                    .when(F.col("cp") < PERSONA_SUPPORT_MAX, PERSONA_SUPPORT)
-                    .when(F.col("ch") > mean_of_means, PERSONA_STEADY).otherwise(PERSONA_EFFICIENT))
-        labels = means.select("cluster", persona.alias("persona"))
-        # One row per cluster: broadcast is bounded by k.
-        return pred.join(F.broadcast(labels), "cluster").select(*f.columns, "cluster", "persona")
-    finally:
-        xs.unpersist()
+    pts = kmeans.points(f, "intern_id", CLUSTER_FEATURES)
+    best = kmeans.fit(pts, "intern_id", k, n_init, SEED, max_iter, KMEANS_TOL)
+    near = pts.select("intern_id", kmeans.nearest("x", best.centers).alias("cluster"))
+    # Written to the shared checkpoint folder: the means and the result read it.
+    pred = materialize(f.join(near, "intern_id").select(*f.columns, "cluster"), "clusters")
+    means = pred.groupBy("cluster").agg(F.avg("progress").alias("cp"), F.avg("hours").alias("ch"))
+    mean_of_means = means.agg(F.avg("ch")).scalar()
+    persona = (F.when(F.col("cp") > PERSONA_HIGH_MIN, PERSONA_HIGH)
+                .when(F.col("cp") < PERSONA_SUPPORT_MAX, PERSONA_SUPPORT)
+                .when(F.col("ch") > mean_of_means, PERSONA_STEADY).otherwise(PERSONA_EFFICIENT))
+    labels = means.select("cluster", persona.alias("persona"))
+    # One row per cluster: broadcast is bounded by k.
+    return pred.join(F.broadcast(labels), "cluster").select(*f.columns, "cluster", "persona")
 
 
 def test_score_model(g: Gold) -> DataFrame:
