@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.plans import activity as act
-from cohortlens.plans import etl, intern, lms, maintain, mentor, risk, rollup
+from cohortlens.plans import etl, intern, lms, maintain, mentor, presence, risk, rollup, sketches
 from cohortlens.sources.bindings import Gold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,13 @@ register("w02_streaks_rollup", lambda g: rollup.streak_stats(rollup.session_roll
 register("f05_streaks_range", lambda g: rollup.streak_stats(rollup.session_rollup(g), RANGE))
 register("r05_streak_calendar", act.streak_calendar)
 
+# Distinct counts and quantiles over chosen dates, from what is stored per block of days.
+register("a14_active_interns_range", lambda g: presence.active(presence.session_sets(g), presence.COHORT, RANGE))
+register("a14_activity_interns_range", lambda g: presence.active(presence.session_sets(g), presence.ACTIVITY, RANGE))
+register("b20_mentor_retention_range", lambda g: presence.retention(presence.session_sets(g), presence.MENTOR, RANGE))
+register("a16_activity_median_range", lambda g: sketches.activity_quantile(g, RANGE, 0.5))
+register("a16_activity_p90_range", lambda g: sketches.activity_quantile(g, RANGE, 0.9))
+
 # --- LMS -------------------------------------------------------------------
 register("a01_course_avg_progress", lms.course_avg_progress)
 register("b06_pending_reviews", lms.pending_reviews)

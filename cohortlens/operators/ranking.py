@@ -45,8 +45,9 @@ def _ranged(df: DataFrame, order: Sequence, group: Sequence[str], num_partitions
     return s, stats
 
 
-def _positions(df: DataFrame, order: Sequence, group: Sequence[str], num_partitions: int | None) -> DataFrame:
-    """``df`` with __pos (1-based position) and __cnt (rows of the group)."""
+def positions(df: DataFrame, order: Sequence, group: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
+    """``df`` with __pos (1-based position in ``order`` within ``group``, whose
+    nulls are a group) and __cnt (rows of the group)."""
     group = list(group)
     s, stats = _ranged(df, order, group, num_partitions)
     keys = [_PID, *group]
@@ -66,7 +67,7 @@ def rank_rows(df: DataFrame, order: Sequence, group: Sequence[str] = (),
     result to be deterministic; ties otherwise get arbitrary distinct
     positions, like ``row_number``.
     """
-    out = _positions(df, order, group, num_partitions)
+    out = positions(df, order, group, num_partitions)
     return out.select(*df.columns, F.col("__pos").alias(name))
 
 
@@ -78,7 +79,7 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], names: Seque
     group = list(group)
     names = list(names or [f"q{int(q * 100)}" for q in qs])
     v = df.select(*group, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    pos = _positions(v, [F.col("__v")], group, num_partitions)
+    pos = positions(v, [F.col("__v")], group, num_partitions)
     aggs, wanted = [], None
     for q, nm in zip(qs, names):
         k = (F.col("__cnt") - 1) * F.lit(float(q))

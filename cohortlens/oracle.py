@@ -859,3 +859,20 @@ SQL["w02_streaks_rollup"] = SQL["w02_streak_stats"]
 SQL["f05_streaks_range"] = in_range(SQL["w02_streak_stats"])
 SQL["c10_range_rollup"] = SQL["c10_range_summary"]
 SQL["s09_clustered_range"] = SQL["f05_daily_hours_range"]
+
+# Distinct counts and quantiles over the chosen dates, straight from the facts.
+SQL["a14_active_interns_range"] = in_range(with_gold("SELECT count(DISTINCT intern_id) AS active FROM fact_activity"))
+SQL["a14_activity_interns_range"] = in_range(with_gold(
+    "SELECT activity AS name, count(DISTINCT intern_id) AS active FROM fact_activity GROUP BY activity"))
+SQL["b20_mentor_retention_range"] = with_gold("""
+SELECT mentor_name AS name, count(*) FILTER (now) AS active, count(*) FILTER (past) AS before,
+       count(*) FILTER (now AND past) AS retained, count(*) FILTER (now AND NOT past) AS new,
+       count(*) FILTER (past AND NOT now) AS lost
+FROM (SELECT mentor_name, intern_id, bool_or(date >= DATE '2024-01-08') AS now, bool_or(date < DATE '2024-01-08') AS past
+      FROM fact_activity JOIN bridge USING (intern_id)
+      WHERE date BETWEEN DATE '2023-12-25' AND DATE '2024-01-21' GROUP BY mentor_name, intern_id)
+GROUP BY mentor_name""")
+for key, q in (("a16_activity_median_range", 0.5), ("a16_activity_p90_range", 0.9)):
+    SQL[key] = in_range(with_gold(f"""
+SELECT activity, count(*) AS logs, {q}::DOUBLE AS q, quantile_cont(hours, {q}) AS hours FROM fact_activity
+WHERE hours IS NOT NULL GROUP BY activity"""))

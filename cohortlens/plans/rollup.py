@@ -53,6 +53,15 @@ def cover(first: int, last: int) -> list[tuple[int, int, int]]:
     return out
 
 
+def covers(first: int, last: int) -> Column:
+    """Whether a stored row (``level``, ``block``) is one of the blocks that make
+    up the days ``first`` to ``last``."""
+    wanted = F.lit(False)
+    for level, a, b in cover(first, last):
+        wanted = wanted | ((F.col("level") == level) & F.col("block").between(a, b))
+    return wanted
+
+
 def _runs(start: Column) -> Column:
     """The pieces of a group merged in date order, from day ``start``: days
     without a piece are not active. A run that reaches a piece's end goes on
@@ -125,10 +134,7 @@ def blocks_in(rollup: DataFrame, p: Params | None = None) -> DataFrame:
         return rollup.where(F.col("level") == LEVELS - 1)
     if not (p.start and p.end):
         raise ValueError("a range needs both ends")
-    wanted = F.lit(False)
-    for level, a, b in cover(day_number(p.start), day_number(p.end)):
-        wanted = wanted | ((F.col("level") == level) & F.col("block").between(a, b))
-    return rollup.where(wanted)
+    return rollup.where(covers(day_number(p.start), day_number(p.end)))
 
 
 def _per_intern(rollup: DataFrame, p: Params | None) -> DataFrame:
