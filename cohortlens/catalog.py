@@ -162,11 +162,12 @@ from cohortlens.streaming import landing  # noqa: E402
 
 QUERIES["st1_incremental_landing"] = lambda spark, sf_dir: landing.landed_activity(spark, sf_dir)
 QUERIES["st1_incremental_landing"].__doc__ = landing.landed_activity.__doc__
-from cohortlens.streaming import effort, indexed_landing  # noqa: E402
+from cohortlens.streaming import checked_landing, effort, indexed_landing  # noqa: E402
 
 QUERIES["st1_daily_effort"] = lambda spark, sf_dir: effort.streamed_outlier_days(spark, sf_dir)
 QUERIES["st1_weekly_effort"] = lambda spark, sf_dir: effort.streamed_weekly_hours(spark, sf_dir)
 register("u02_merge_indexed", indexed_landing.merged_by_index)
+register("b03_landing_checks", checked_landing.landing_checks)
 register("b42_daily_landing_eod", lambda g: landing.export_and_land(g, "eod"))
 register("b42_daily_landing_lms", lambda g: landing.export_and_land(g, "lms"))
 

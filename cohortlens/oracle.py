@@ -876,3 +876,20 @@ for key, q in (("a16_activity_median_range", 0.5), ("a16_activity_p90_range", 0.
     SQL[key] = in_range(with_gold(f"""
 SELECT activity, count(*) AS logs, {q}::DOUBLE AS q, quantile_cont(hours, {q}) AS hours FROM fact_activity
 WHERE hours IS NOT NULL GROUP BY activity"""))
+
+# Additive checks, counted on the sheets as they are.
+_LMS_CHECKS = {
+    "rows": "true", "unnamed": "intern_name IS NULL",
+    "unparsed_progress": '"Progress (%)" IS NOT NULL AND ' + to_double_sql("regexp_replace(trim(" + '"Progress (%)"' + "), '%+$', '')") + " IS NULL",
+    "unparsed_start": '"Start Date" IS NOT NULL AND start_date IS NULL', "unparsed_end": '"End Date" IS NOT NULL AND end_date IS NULL',
+    "progress_above_100": "progress > 100", "progress_outside": "NOT coalesce(progress BETWEEN 0 AND 100, false)",
+    "unknown_status": "overall_status NOT IN ('Completed', 'In Progress', 'In progress', 'Not started', 'Not Started')",
+    "completed_below_30": "overall_status = 'Completed' AND progress < 30"}
+_EOD_CHECKS = {
+    "rows": "true", "unnamed": "full_name IS NULL", "undated": "date IS NULL", "unparsed_date": '"Date" IS NOT NULL AND date IS NULL',
+    "negative_hours": "hours < 0", "hours_outside": "NOT coalesce(hours BETWEEN 0 AND 10, false)",
+    "unsummable_hours": "hours IS NOT NULL AND NOT abs(hours) <= 9e15"}
+SQL["b03_landing_checks"] = with_gold("\nUNION ALL\n".join(
+    f"""SELECT '{sheet}' AS sheet, '{name}' AS "check", count(*) FILTER ({cond}) AS n, {batches}::BIGINT AS batches
+FROM silver_{sheet} s JOIN bronze_{sheet} b ON s.row_id = b.row_id"""
+    for sheet, batches, checks in (("lms", 2, _LMS_CHECKS), ("eod", 1, _EOD_CHECKS)) for name, cond in checks.items()), BRONZE)

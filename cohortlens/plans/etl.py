@@ -71,7 +71,7 @@ def silver_lms(bronze: DataFrame) -> DataFrame:
 
 def silver_eod(bronze: DataFrame) -> DataFrame:
     """C04 / C09 on the EOD sheet: full name, day-first date."""
-    extra = [c for c in ("row_id",) if c in bronze.columns]
+    extra = [c for c in ("row_id", "unparsed") if c in bronze.columns]
     return bronze.select(*extra, parse_date(F.col("Date")).alias("date"),
                          full_name(F.col("First Name"), F.col("Last Name")).alias("full_name"),
                          F.col("Activity").alias("activity"), F.col("Hours").cast("double").alias("hours"))
