@@ -886,9 +886,9 @@ _LMS_CHECKS = {
     "unknown_status": "overall_status NOT IN ('Completed', 'In Progress', 'In progress', 'Not started', 'Not Started')",
     "completed_below_30": "overall_status = 'Completed' AND progress < 30"}
 _EOD_CHECKS = {
-    "rows": "true", "unnamed": "full_name IS NULL", "undated": "date IS NULL", "unparsed_date": '"Date" IS NOT NULL AND date IS NULL',
-    "negative_hours": "hours < 0", "hours_outside": "NOT coalesce(hours BETWEEN 0 AND 10, false)",
-    "unsummable_hours": "hours IS NOT NULL AND NOT abs(hours) <= 9e15"}
+    "rows": "true", "unnamed": "full_name IS NULL", "undated": "s.date IS NULL", "unparsed_date": 'b."Date" IS NOT NULL AND s.date IS NULL',
+    "negative_hours": "s.hours < 0", "hours_outside": "NOT coalesce(s.hours BETWEEN 0 AND 10, false)",
+    "unsummable_hours": "s.hours IS NOT NULL AND NOT abs(s.hours) <= 9e15"}
 SQL["b03_landing_checks"] = with_gold("\nUNION ALL\n".join(
     f"""SELECT '{sheet}' AS sheet, '{name}' AS "check", count(*) FILTER ({cond}) AS n, {batches}::BIGINT AS batches
 FROM silver_{sheet} s JOIN bronze_{sheet} b ON s.row_id = b.row_id"""
