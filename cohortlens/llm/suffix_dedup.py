@@ -3,8 +3,9 @@
 A byte goes if a ``LENGTH``-byte string that covers it also starts in a
 document with a smaller doc_id. Equal strings hold equal k-grams, so both
 pick the same smallest k-gram hash: it is the string's key. Runs of
-neighbouring strings with one key are shipped as one piece of text to the
-bucket of the key, and only strings of one key can be equal.
+neighbouring strings with one key are shipped as pieces of text to the bucket
+of the key, and only strings of one key can be equal. Pieces are short, so
+they are handled as rows of words in arrays, not one by one.
 
 1. Each task sends the distinct keys of its texts, 4 bytes each, to buckets
    whose number follows the size of the corpus; keys of one text only are
@@ -31,48 +32,82 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import SLICE_BYTES, give_back, lean, mix64, text_of, utf8_buffer
+from cohortlens.llm.common import give_back, lean, mix64, text_of, utf8_buffer
 
 LENGTH = 50
 GRAM = 26  # bytes of a key's k-gram
+PIECE_STRINGS = LENGTH - GRAM + 1  # strings of a piece, at most
+PIECE_WORDS = 10  # its 8-byte words: LENGTH + PIECE_STRINGS - 1 = 74 bytes and zeros
+SLICE_BYTES = 1 << 16  # text handled at a time, so that its arrays stay in the processor's cache
 BUCKET_BYTES = 4 << 20  # of text for each bucket
 DOC_BUCKET_BYTES = 8 << 20
 FILTER_BYTES = 64 << 20  # all buckets' filters together, at most
 SEGMENT_BYTES = 32 << 10  # one bucket's filter, at most
 HELD_KEYS = 2_000_000  # keys that a task holds before it sends them
-HELD_PIECES = 150_000  # pieces that a task holds before it sends them
+HELD_PIECES = 300_000  # pieces that a task holds before it sends them
 BATCH_STRINGS = 1 << 15  # strings in a batch of the index
 NO_ID = (1 << 63) - 1  # a null doc_id: after all others
 
 _ODD = [np.uint64(c | 1) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
-                                   0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
+                                   0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3,
+                                   0x1D8E4E27C47D124F, 0xEB44ACCAB455D165)]
+#: By number of strings: which bits of a piece's words are its own.
+_OWN = np.where(np.arange(PIECE_WORDS * 8) < np.arange(PIECE_STRINGS + 1)[:, None] + LENGTH - 1, 255, 0).astype(np.uint8).view(np.uint64)
 
 
-def keys_of(buf: np.ndarray) -> np.ndarray:
-    """The key of the LENGTH-byte string at each position of ``buf``."""
+class Room:
+    """Arrays for one slice of text, used again for the next, because fresh
+    large arrays cost page faults."""
+
+    def __init__(self, size: int = 0):
+        self.grow(size or SLICE_BYTES + LENGTH)
+
+    def grow(self, size: int) -> None:
+        self.size = size
+        self.text = np.zeros(size + PIECE_WORDS * 8, np.uint8)
+        self.every = np.ndarray((size + PIECE_WORDS * 8 - 7,), np.uint64, buffer=self.text, strides=(1,))
+        self.words, self.a, self.b = np.empty((3, len(self.every)), np.uint64)
+
+
+def keys_of(buf: np.ndarray, room: Room | None = None) -> np.ndarray:
+    """The key of the LENGTH-byte string at each position of ``buf``. It lies in
+    ``room`` and holds until the next call; ``room.words`` then has the 8
+    bytes from each position on, zeros after the end."""
     if len(buf) < LENGTH:
         return np.zeros(0, np.uint64)
+    room = room or Room(len(buf))
+    if len(buf) > room.size:
+        room.grow(len(buf))
+    end = len(buf) + PIECE_WORDS * 8
+    room.text[:len(buf)] = buf
+    room.text[len(buf):end] = 0
+    w = room.words
+    w[:end - 7] = room.every[:end - 7]
+    n = len(buf) - GRAM + 1
+    a, b = room.a[:n], room.b[:n]
     with np.errstate(over="ignore"):
-        h1 = buf.astype(np.uint64) + np.uint64(1)
-        h2 = h1[:-1] * _ODD[0] + h1[1:]
-        h4 = h2[:-2] * _ODD[1] + h2[2:]
-        h8 = h4[:-4] * _ODD[2] + h4[4:]
-        h16 = h8[:-8] * _ODD[3] + h8[8:]
-        n = len(buf) - GRAM + 1
-        h = h16[:n] * _ODD[4] + h8[16:16 + n] * _ODD[5] + h2[24:24 + n]
-        h = h ^ (h >> np.uint64(32))
-        h *= _ODD[0]
-        h ^= h >> np.uint64(29)
+        np.multiply(w[:n], _ODD[0], out=a)
+        for c, at in zip(_ODD[1:], (6, 12, GRAM - 8)):
+            np.multiply(w[at:at + n], c, out=b)
+            np.add(a, b, out=a)
+        np.right_shift(a, np.uint64(32), out=b)
+        np.bitwise_xor(a, b, out=a)
+        np.multiply(a, _ODD[4], out=a)
+        np.right_shift(a, np.uint64(29), out=b)
+        np.bitwise_xor(a, b, out=a)
     for step in (1, 2, 4, 8):
-        h = np.minimum(h[:-step], h[step:])
+        n -= step
+        np.minimum(a[:n], a[step:n + step], out=b[:n])
+        a, b = b, a
     m = len(buf) - LENGTH + 1
-    return np.minimum(h[:m], h[9:9 + m])  # 16 + 9 = 25 = LENGTH - GRAM + 1
+    return np.minimum(a[:m], a[9:9 + m], out=b[:m])  # 16 + 9 = 25 = LENGTH - GRAM + 1
 
 
-def segments(batch: pa.RecordBatch, text: int, limit: int = SLICE_BYTES) -> Iterator[tuple]:
+def segments(batch: pa.RecordBatch, text: int, limit: int = 0) -> Iterator[tuple]:
     """(buffer, starts, rows, bases): stretches of about ``limit`` bytes of
     neighbouring texts; a longer text is cut into overlapping ones. ``starts``
     are where texts begin in the buffer, with its end last."""
+    limit = limit or SLICE_BYTES
     buf, off = utf8_buffer(batch.column(text))
     i = 0
     while i < batch.num_rows:
@@ -88,30 +123,30 @@ def segments(batch: pa.RecordBatch, text: int, limit: int = SLICE_BYTES) -> Iter
         i = j
 
 
-def runs_of(buf: np.ndarray, starts: np.ndarray) -> tuple:
-    """Runs of neighbouring strings of one text that have one key: (key, first
-    position, number of strings, index of the text)."""
-    keys = keys_of(buf)
+def runs_of(buf: np.ndarray, starts: np.ndarray, room: Room) -> tuple:
+    """Runs of neighbouring strings of one text that have one key, cut where
+    they are longer than a piece: (key, first position, number of strings,
+    index of the text)."""
+    keys = keys_of(buf, room)
     if not len(keys):
         return keys, *[np.zeros(0, np.int64)] * 3
-    new = np.ones(len(keys), bool)
-    new[1:] = keys[1:] != keys[:-1]
+    new = np.empty(len(keys), bool)
+    new[0] = True
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
     inner = starts[1:-1]
-    ok = np.ones(len(keys), bool)
-    for d in inner:  # strings across a boundary are none
-        ok[max(0, d - LENGTH + 1):d] = False
+    inner = inner[inner > 0]
     new[inner[inner < len(keys)]] = True
-    cut = np.flatnonzero(ok[1:] != ok[:-1]) + 1
-    new[cut] = True
+    new[np.maximum(inner - LENGTH + 1, 0)[inner - LENGTH + 1 < len(keys)]] = True
     at = np.flatnonzero(new)
-    n = np.diff(np.append(at, len(keys)))
-    live = ok[at]
-    at, n = at[live], n[live]
-    return keys[at], at, n, np.searchsorted(starts, at, side="right") - 1
-
-
-def _bucket(keys: np.ndarray, bits: int) -> np.ndarray:
-    return (mix64(keys) >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+    n = np.diff(at, append=len(keys))
+    t = np.searchsorted(starts, at, side="right") - 1
+    live = at <= starts[t + 1] - LENGTH  # strings across a boundary are none
+    at, n, t = at[live], n[live], t[live]
+    if n.max(initial=0) > PIECE_STRINGS:
+        parts = -(-n // PIECE_STRINGS)
+        skip = PIECE_STRINGS * (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
+        at, n, t = np.repeat(at, parts) + skip, np.minimum(PIECE_STRINGS, np.repeat(n, parts) - skip), np.repeat(t, parts)
+    return keys[at], at, n, t
 
 
 def _send_keys(bits: int):
@@ -123,11 +158,10 @@ def _send_keys(bits: int):
         r = np.concatenate([h[1] for h in held])
         held.clear()
         k >>= np.uint64(32 - bits)  # the bucket, then 32 bits
-        order = np.argsort(k, kind="stable")
+        order = np.argsort(k)
         k, r = k[order], r[order]
         first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-        last = np.append(first[1:], len(k)) - 1
-        several = r[first] != r[last]  # rows come in order, so a run of one row has equal ends
+        several = np.minimum.reduceat(r, first) != np.maximum.reduceat(r, first)
         k = k[first]
         bucket, low = (k >> np.uint64(32)).astype(np.int64), (k & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         edges = np.searchsorted(bucket, np.arange((1 << bits) + 1))
@@ -141,10 +175,10 @@ def _send_keys(bits: int):
                                           names=["bucket", "one", "many"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, row0 = [], 0, 0
+        held, size, row0, room = [], 0, 0, Room()
         for b in batches:
             for buf, starts, rows, _ in segments(b, 0):
-                k, _, _, t = runs_of(buf, starts)
+                k, _, _, t = runs_of(buf, starts, room)
                 if len(k):
                     held.append((k, rows[t] + row0))
                     size += len(k)
@@ -178,14 +212,49 @@ def _shared_filter(segment: int):
     return run
 
 
-def _pack(docs, keys, counts, firsts, data) -> bytes:
-    import zstandard
+def _alike(words: np.ndarray, n: np.ndarray, key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces in order of ``key`` (of ``bits`` bits) with equal ones together:
+    the order, and where in it a new piece begins. The bytes decide; should
+    two pieces' hashes agree, some equal ones may stay apart, as different
+    pieces of their key."""
+    with np.errstate(over="ignore"):
+        h = n.astype(np.uint64)
+        for j in range(PIECE_WORDS):
+            h += words[:, j] * _ODD[j]
+        h = mix64(h)
+    order = np.argsort((key << np.uint64(64 - bits)) | (h >> np.uint64(bits)))
+    w, n, key = words[order], n[order], key[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (w[1:] != w[:-1]).any(axis=1) | (n[1:] != n[:-1]) | (key[1:] != key[:-1])
+    return order, np.flatnonzero(new)
+
+
+def _spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... of each range, one range after another."""
+    return np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+
+
+#: A blob of pieces: for each one its smallest doc_id, key, strings and places, then the places, then the texts.
+_PIECE, _PLACE = ((np.int64, np.uint32, np.uint8, np.uint32), (np.int64, np.uint32))
+
 
-    body = [np.array([len(docs)], np.int64), np.array(docs, np.int64), np.array(keys, np.uint64), np.array(counts, np.int64)]
-    for rows in firsts:
-        body.append(np.array([len(rows), *[x for row in rows for x in row]], np.int64))
-    head = np.concatenate([b.view(np.int64) for b in body]).tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(np.int64(len(head)).tobytes() + head + b"".join(data))
+def _pack(piece: list, place: list, data: np.ndarray, z) -> bytes:
+    cols = [np.array([len(piece[0]), len(place[0])], np.int64), *[x.astype(t) for x, t in zip(piece, _PIECE)],
+            *[x.astype(t) for x, t in zip(place, _PLACE)], data]
+    return z.compress(b"".join(c.tobytes() for c in cols))
+
+
+def _unpack(blob: bytes, z) -> tuple:
+    """(doc_id, key, strings, places), (row key, position), words of the pieces."""
+    raw = z.decompress(blob)
+    sizes, at, cols = np.frombuffer(raw, np.int64, 2).tolist(), 16, []
+    for types, size in zip((_PIECE, _PLACE), sizes):
+        for t in types:
+            cols.append(np.frombuffer(raw, t, size, at))
+            at += cols[-1].nbytes
+    text = np.zeros((sizes[0], PIECE_WORDS * 8), np.uint8)
+    text[_OWN.view(np.uint8)[cols[2]] > 0] = np.frombuffer(raw, np.uint8, offset=at)
+    return *cols, text.view(np.uint64)
 
 
 def _pack_gone(rows: np.ndarray) -> bytes:
@@ -212,37 +281,47 @@ def _send_pieces(bits: int, segment: int, filters):
     """The pieces whose key the filter holds. Of equal pieces in a partition
     only the smallest doc_id's leaves it; the others are removed already."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        z = zstandard.ZstdCompressor(level=1)
         bitmap = np.frombuffer(filters.value, np.uint8)
-        held: dict[bytes, list] = {}
-        rows_held = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            out: dict[int, list] = {}
-            gone = []
-            for piece, (key, bucket, rows) in held.items():
-                d0 = min(r[0] for r in rows)
-                mine = [(r[1], r[2]) for r in rows if r[0] == d0]
-                out.setdefault(bucket, []).append((d0, key, len(piece) - LENGTH + 1, mine, piece))
-                gone.extend((*r, len(piece)) for r in rows if r[0] != d0)
+        held: list[tuple] = []
+
+        def flush() -> pa.RecordBatch:
+            cols = [np.concatenate(x) for x in zip(*held)]
             held.clear()
-            ids, kinds, blobs = [], [], []
-            for bucket, recs in out.items():
-                recs.sort(key=lambda r: r[1])
-                ids.append(bucket)
-                kinds.append(1)
-                blobs.append(_pack(*[[r[i] for r in recs] for i in range(5)]))
-            if gone:
-                ids.append(hash(gone[0]) % (1 << bits))
+            order, at = _alike(cols[0], cols[1], cols[2], 32 + bits)
+            words, (n, top, doc, row, pos) = cols[0][order[at]], (x[order] for x in cols[1:])
+            del cols
+            size = np.diff(at, append=len(order))
+            d0 = np.minimum.reduceat(doc, at)
+            mine = doc == np.repeat(d0, size)
+            gone = np.stack([doc[~mine], row[~mine], pos[~mine], n[~mine] + (LENGTH - 1)], axis=1)
+            places = np.add.reduceat(mine, at, dtype=np.int64)
+            piece = [d0, top[at] & np.uint64(0xFFFFFFFF), n[at], places]
+            data = words.view(np.uint8)[_OWN.view(np.uint8)[n[at]] > 0]
+            place = [row[mine], pos[mine]]
+            bucket = (top[at] >> np.uint64(32)).astype(np.int64)
+            first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            to_place, to_byte = (np.append(0, np.cumsum(x)) for x in (places, n[at] + (LENGTH - 1)))
+            ids, blobs = bucket[first].tolist(), []
+            for a, e in zip(first.tolist(), [*first[1:].tolist(), len(at)]):
+                p = slice(to_place[a], to_place[e])
+                blobs.append(_pack([x[a:e] for x in piece], [x[p] for x in place], data[to_byte[a]:to_byte[e]], z))
+            kinds = [1] * len(ids)
+            if len(gone):
+                ids.append(hash(tuple(gone[0].tolist())) % (1 << bits))
                 kinds.append(0)
-                blobs.append(_pack_gone(np.array(gone, np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(kinds, pa.int32()), pa.array(blobs, pa.binary())],
-                                             names=["bucket", "kind", "blob"])
+                blobs.append(_pack_gone(gone))
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(kinds, pa.int32()), pa.array(blobs, pa.binary())],
+                                              names=["bucket", "kind", "blob"])
 
+        rows_held, room = 0, Room()
         for b in batches:
             ids = b.column(1).to_numpy(zero_copy_only=False)
             row_key = b.column(2).to_numpy(zero_copy_only=False)
             for buf, starts, rows, bases in segments(b, 0):
-                k, at, n, t = runs_of(buf, starts)
+                k, at, n, t = runs_of(buf, starts, room)
                 if not len(k):
                     continue
                 top = mix64(k) >> np.uint64(32 - bits)
@@ -251,24 +330,18 @@ def _send_pieces(bits: int, segment: int, filters):
                 for p in _probe(low, segment):
                     p = p.astype(np.int64)
                     ok &= (bitmap[bucket * segment + (p >> 3)] >> (p & 7).astype(np.uint8)) & 1 > 0
-                data = buf.tobytes()
                 sel = np.flatnonzero(ok)
-                where = (at[sel] - starts[t[sel]] + bases[t[sel]]).tolist()
-                r = rows[t[sel]]
-                for key, bu, a, m, pos, doc, rk in zip(low[sel].tolist(), bucket[sel].tolist(), at[sel].tolist(), n[sel].tolist(),
-                                                       where, ids[r].tolist(), row_key[r].tolist()):
-                    piece = data[a:a + m + LENGTH - 1]
-                    got = held.get(piece)
-                    if got is None:
-                        held[piece] = (key, bu, [(doc, rk, pos)])
-                    else:
-                        got[2].append((doc, rk, pos))
+                if not len(sel):
+                    continue
+                at, n, t = at[sel], n[sel], t[sel]
+                words = room.words[at[:, None] + np.arange(0, PIECE_WORDS * 8, 8)] & _OWN[n]
+                held.append((words, n, top[sel], ids[rows[t]], row_key[rows[t]], at - starts[t] + bases[t]))
                 rows_held += len(sel)
                 if rows_held > HELD_PIECES:
-                    yield from flush()
+                    yield flush()
                     rows_held = 0
         if held:
-            yield from flush()
+            yield flush()
     return lean(run)
 
 
@@ -327,68 +400,59 @@ def _match(doc_buckets: int):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         import zstandard
 
-        z, gone = zstandard.ZstdDecompressor(), []
-        pieces: dict[bytes, list] = {}
+        z, gone, parts = zstandard.ZstdDecompressor(), [], []
         for kind, blob in zip(pdf["kind"], pdf["blob"]):
             if kind == 0:
                 gone.append(_unpack_gone(blob))
-                continue
-            raw = z.decompress(blob)
-            size = int(np.frombuffer(raw, np.int64, 1)[0])
-            head, data = np.frombuffer(raw, np.int64, size // 8, 8).tolist(), raw[8 + size:]
-            n, at, pos = head[0], 1 + 3 * head[0], 0
-            for i in range(n):
-                doc, k, strings = head[1 + i], head[1 + n + i], head[1 + 2 * n + i]
-                m = head[at]
-                where = list(zip(head[at + 1:at + 1 + 2 * m:2], head[at + 2:at + 2 + 2 * m:2]))
-                at += 1 + 2 * m
-                piece = data[pos:pos + strings + LENGTH - 1]
-                pos += len(piece)
-                pieces.setdefault(piece, [k, []])[1].append((doc, where))
+            else:
+                parts.append(_unpack(blob, z))
+        if parts:
+            gone.extend(decide(*[np.concatenate(x) for x in zip(*parts)]))
+        out = emit(gone)
+        give_back()
+        return out
+
+    def decide(doc, k, n, places, row, pos, words) -> Iterator[np.ndarray]:
+        n, pos = n.astype(np.int64), pos.astype(np.int64)
         # Equal pieces: all but the smallest doc_id's are removed whole.
-        kept, by_key = [], {}
-        for piece, (k, recs) in pieces.items():
-            d0 = min(d for d, _ in recs)
-            mine = []
-            for d, where in recs:
-                if d == d0:
-                    mine.extend(where)
-                elif where:
-                    gone.append(np.array([(d, r, p, len(piece)) for r, p in where], np.int64))
-            kept.append((d0, k, piece, mine))
-            by_key[k] = by_key.get(k, 0) + 1
+        order, at = _alike(words, n, k.astype(np.uint64), 32)
+        group = np.empty(len(order), np.int64)
+        group[order] = np.repeat(np.arange(len(at)), np.diff(at, append=len(order)))
+        d0 = np.minimum.reduceat(doc[order], at)
+        piece = np.repeat(np.arange(len(doc)), places)  # of each place
+        mine = (doc == d0[group])[piece]
+        lost = piece[~mine]
+        yield np.stack([doc[lost], row[~mine], pos[~mine], n[lost] + (LENGTH - 1)], axis=1)
+        # The places of the others, by group.
+        by = np.argsort(group[piece[mine]], kind="stable")
+        row, pos = row[mine][by], pos[mine][by]
+        count = np.bincount(group[piece[mine]], minlength=len(at))
+        first = np.cumsum(count) - count
         # A key with one piece only has no other place where its strings are.
-        kept = sorted((x for x in kept if by_key[x[1]] > 1), key=lambda x: x[0])
+        n, k, words = n[order[at]], k[order[at]], words[order[at]]
+        twice = np.append(k[1:] == k[:-1], False)
+        twice[1:] |= twice[:-1].copy()
+        kept = np.flatnonzero(twice)
+        kept = kept[np.argsort(d0[kept], kind="stable")]
+        strings = np.cumsum(n[kept])
         index, i = LevelIndex(), 0
         while i < len(kept):
-            j, strings = i, 0
-            while j < len(kept) and strings < BATCH_STRINGS:
-                strings += len(kept[j][2]) - LENGTH + 1
-                j += 1
-            part = kept[i:j]
-            data = np.frombuffer(b"".join(x[2] for x in part), np.uint8)
-            lens = np.array([len(x[2]) for x in part])
-            off = np.concatenate([[0], np.cumsum(lens)[:-1]])
-            cnt = lens - LENGTH + 1
-            which = np.repeat(np.arange(len(part)), cnt)
-            local = np.arange(len(which)) - np.repeat(np.cumsum(cnt) - cnt, cnt)
-            wins = np.ascontiguousarray(sliding_window_view(data, LENGTH)[off[which] + local]).view(f"S{LENGTH}").ravel()
-            seen = index.add(wins, np.array([x[0] for x in part], np.int64)[which])
+            j = int(np.searchsorted(strings, (strings[i - 1] if i else 0) + BATCH_STRINGS)) + 1
+            part, cnt = kept[i:j], n[kept[i:j]]
+            which, local = np.repeat(part, cnt), _spread(np.zeros(len(part), np.int64), cnt)
+            text = sliding_window_view(words[part].view(np.uint8).ravel(), LENGTH)
+            wins = text[_spread(np.arange(len(part)) * (PIECE_WORDS * 8), cnt)].view(f"S{LENGTH}").ravel()
+            seen = index.add(wins, d0[which])
             new = np.append(True, seen[1:] != seen[:-1])
             new[np.cumsum(cnt) - cnt] = True
             begin = np.flatnonzero(new)
             stop = np.append(begin[1:], len(seen))
-            live = seen[begin]
-            out = []
-            for a, e in zip(begin[live].tolist(), stop[live].tolist()):
-                w = which[a]
-                out.extend((part[w][0], r, p + int(local[a]), e - a + LENGTH - 1) for r, p in part[w][3])
-            if out:
-                gone.append(np.array(out, np.int64))
+            begin, stop = begin[seen[begin]], stop[seen[begin]]
+            w = which[begin]
+            to = _spread(first[w], count[w])
+            own = np.repeat(np.arange(len(w)), count[w])
+            yield np.stack([d0[w[own]], row[to], pos[to] + local[begin][own], (stop - begin)[own] + (LENGTH - 1)], axis=1)
             i = j
-        out = emit(gone)
-        give_back()
-        return out
     return run
 
 

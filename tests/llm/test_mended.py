@@ -5,9 +5,12 @@ need every rule."""
 import collections
 import itertools
 import random
+import sys
+import types
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -71,6 +74,73 @@ def test_lean_passes_batches_on():
     assert [x.column(0).to_pylist() for x in lean(lambda it: it)(iter(b))] == [[0], [1], [2]]
 
 
+def sent_pieces(texts, bits=4, segment=1 << 12):
+    """The pieces of one partition, by bucket, and its batches of them."""
+    batch = pa.record_batch({"text": [t for _, t in texts], "doc_id": [i for i, _ in texts], "row_key": list(range(len(texts)))})
+    bitmap = bytearray(segment << bits)
+    for b, rows in pd.concat([x.to_pandas() for x in sd._send_keys(bits)(iter([batch.select(["text"])]))]).groupby("bucket"):
+        bitmap[b * segment:(b + 1) * segment] = sd._shared_filter(segment)((b,), rows)["bits"][0]
+    sent = sd._send_pieces(bits, segment, types.SimpleNamespace(value=bytes(bitmap)))(iter([batch]))
+    return pd.concat([x.to_pandas() for x in sent]).groupby("bucket")
+
+
+def cut_by(buckets, texts):
+    """What the stretches found in the buckets leave of each row."""
+    gone = [np.zeros(len(t.encode()), bool) for _, t in texts]
+    for b, rows in buckets:
+        for blob in sd._match(8)((b,), rows)["blob"]:
+            for doc, row, at, n in sd._unpack_gone(blob).tolist():
+                assert texts[row][0] == doc and at >= 0 and at + n <= len(gone[row])
+                gone[row][at:at + n] = True
+    return {i: bytes(np.frombuffer(t.encode(), np.uint8)[~g]) for (i, t), g in zip(texts, gone)}
+
+
+def odd_texts():
+    rnd = random.Random(11)
+    passage = "".join(rnd.choices("abcdefgh ", k=900))
+    texts = [(1, " " * 700), (2, "x" + " " * 391 + "y" + " " * 60), (3, "abc" * 90), (4, "z" + "bca" * 70 + "abc" * 5), (5, "\0" * 130 + "a"),
+             (6, "b" + "\0" * 74), (7, ""), (8, "a" * 49), (9, "a" * 50), (10, "a" * 75), (11, "é" * 300), (12, "aé" + "é" * 40), (13, ""), (14, "")]
+    texts += [(20 + k, f"{k} {passage[40 * k:40 * k + 200]} {rnd.random()} {passage[:60 + k]}") for k in range(20)]
+    return rnd.sample(texts, len(texts))
+
+
+def test_pieces_of_periodic_and_odd_texts(monkeypatch):
+    texts = odd_texts()
+    assert cut_by(sent_pieces(texts), texts) == covered(texts)
+    monkeypatch.setattr(sd, "HELD_PIECES", 20)   # pieces leave in many batches
+    monkeypatch.setattr(sd, "SLICE_BYTES", 150)  # texts are cut into many slices
+    monkeypatch.setattr(sd, "BATCH_STRINGS", 40)
+    assert cut_by(sent_pieces(texts), texts) == covered(texts)
+
+
+def test_pieces_whose_hashes_all_agree(monkeypatch):
+    texts = odd_texts()
+    monkeypatch.setattr(sd, "mix64", lambda x: np.zeros(len(x), np.uint64))
+    assert cut_by(sent_pieces(texts), texts) == covered(texts)
+
+
+def test_pieces_are_handled_by_arrays():
+    """CPU seconds: calls for each piece made op4 miss its budget."""
+    rnd = random.Random(12)
+    base = ["".join(rnd.choices("abcdefghijklmnop ", k=2500)) for _ in range(150)]
+    calls = []
+    for n in (50, 150):
+        texts = [(i, t) for i, t in enumerate(base[:n])] + [(1000 + i, f"{t[:700]} {i} {t[700:]}") for i, t in enumerate(base[:n])]
+        calls.append(0)
+
+        def count(frame, event, arg):
+            calls[-1] += event in ("call", "c_call")
+
+        sys.setprofile(count)
+        try:
+            found = [len(sd._match(8)((b,), rows)) for b, rows in sent_pieces(texts)]
+        finally:
+            sys.setprofile(None)
+        assert sum(found)
+    pieces = 2 * 100 * 2500 / 25  # more in the second, at least: a piece has 25 strings at most
+    assert calls[1] - calls[0] < pieces / 2, (calls, pieces)
+
+
 # --- op8 --------------------------------------------------------------------
 
 def test_passages_in_many_texts_do_not_link_them(spark):
