@@ -130,7 +130,8 @@ def dropout_model(g: Gold) -> DataFrame:
     x = _assembled(w, CLASSIFIER_FEATURES)
     rf = RandomForestClassifier(featuresCol="features", labelCol="is_at_risk", weightCol="weight",
                                 numTrees=N_TREES, maxDepth=MAX_DEPTH, seed=SEED, featureSubsetStrategy="sqrt")
-    pred = rf.fit(x).transform(x)
+    # A copy has no training summary, which holds the session and cannot be sent once the session has observed a write.
+    pred = rf.fit(x).copy().transform(x)
     return pred.select(*f.columns,
                        round_half_even(vector_to_array("probability")[1], 3).alias("risk_probability"),
                        F.col("prediction").cast("int").alias("predicted_risk_class"))

@@ -1,6 +1,7 @@
 """Models are not bit-reproducible against another library: checked by invariants."""
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from cohortlens.plans import ml
@@ -79,3 +80,10 @@ def test_clusters_keep_the_best_restart(g):
 
     best = cost(ml.clusters(g, n_init=4).toPandas())
     assert best <= min(cost(ml.clusters(g, n_init=n).toPandas()) for n in (1, 2)) * (1 + 1e-6)
+
+
+def test_forest_after_an_observed_query(spark, g):
+    seen = Observation()
+    spark.range(10).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 10}
+    assert ml.dropout_model(g).count() == len(ml.dropout_model(g).collect()) > 0
